@@ -19,32 +19,43 @@ from knnspark.functions.distance import arrow_matrix
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
-def query_blocks(queries: DataFrame, dim: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                 qid: str = "qid", qv: str = "qv") -> list[tuple[np.ndarray, np.ndarray]]:
-    """Split valid queries (length ``dim``) into broadcastable ``(qids, Q)`` blocks.
+def vector_blocks(df: DataFrame, key: str, vec: str, dim: int, extra: tuple[str, ...] = (),
+                  max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> list[tuple[np.ndarray, np.ndarray, dict]]:
+    """Split rows whose vector has length ``dim`` into broadcastable ``(keys, M, extras)`` blocks.
 
-    Queries of another length are dropped here, which gives them an empty answer (D18).
+    The row count is taken first and the number of blocks chosen so that each block stays under
+    ``max_bytes``; the collected size is checked again before it is shipped.
     """
-    q = queries.where(F.size(qv) == dim).select(F.col(qid).cast("bigint"), F.col(qv).cast("array<double>"))
+    q = df.where(F.size(vec) == dim).select(F.col(key).cast("bigint"), F.col(vec).cast("array<double>"), *extra)
     n = q.count()
     if n == 0:
         return []
-    row_bytes = 8 * max(dim, 1) + 48
+    row_bytes = 8 * max(dim, 1) + 48 + 8 * len(extra)
     nblocks = max(1, math.ceil(n * row_bytes / max_bytes))
     out = []
     for b in range(nblocks):
-        part = q if nblocks == 1 else q.where(F.pmod(F.xxhash64(F.col(qid)), F.lit(nblocks)) == b)
+        part = q if nblocks == 1 else q.where(F.pmod(F.xxhash64(F.col(key)), F.lit(nblocks)) == b)
         tbl = part.toArrow()
         if tbl.nbytes > 2 * max_bytes:  # hash imbalance guard: never ship an unchecked block
-            raise MemoryError(f"query block of {tbl.nbytes} bytes exceeds the broadcast bound")
+            raise MemoryError(f"block of {tbl.nbytes} bytes exceeds the broadcast bound")
         if tbl.num_rows == 0:
             continue
-        qids = tbl.column(0).to_numpy().astype(np.int64)
+        keys = tbl.column(0).to_numpy().astype(np.int64)
         mat, _ = arrow_matrix(tbl.column(1), dim)
-        out.append((qids, np.ascontiguousarray(mat)))
+        extras = {c: tbl.column(c).to_numpy(zero_copy_only=False) for c in extra}
+        out.append((keys, np.ascontiguousarray(mat), extras))
     return out
 
 
+def query_blocks(queries: DataFrame, dim: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                 qid: str = "qid", qv: str = "qv") -> list[tuple[np.ndarray, np.ndarray]]:
+    """Valid queries (length ``dim``) as broadcastable ``(qids, Q)`` blocks.
+
+    Queries of another length are dropped here, which gives them an empty answer (D18).
+    """
+    return [(k, m) for k, m, _ in vector_blocks(queries, qid, qv, dim, (), max_bytes)]
+
+
 def check_broadcast(nbytes: int, what: str, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> None:
     if nbytes > max_bytes:
         raise MemoryError(f"{what} is {nbytes} bytes, above the broadcast bound of {max_bytes}")

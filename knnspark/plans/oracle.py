@@ -41,3 +41,57 @@ def topn(pairs: str, n: int, dist_col: str = "dist", extra: str = "") -> str:
     return f"""SELECT qid, rank::INTEGER AS rank, id, round({dist_col}, 6) AS dist{extra} FROM (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY {dist_col}, id) AS rank FROM {pairs}) t
 WHERE rank <= {n}"""
+
+
+def cent(metric: str = "l2") -> str:
+    """Label-median centroids ``cent(cid, c)`` and the nearest/second-nearest assignment ``asg``."""
+    return f"""cent AS (
+  SELECT label::INTEGER AS cid, list(m ORDER BY dim) AS c FROM (
+    SELECT label, dim, median(x) AS m FROM (
+      SELECT label, unnest(v) AS x, unnest(generate_series(0, len(v) - 1)) AS dim FROM base) e
+    GROUP BY label, dim) g
+  GROUP BY label),
+cdist AS (
+  SELECT b.id, c.cid, {dist('b.v', 'c.c', metric)} AS dist,
+         row_number() OVER (PARTITION BY b.id ORDER BY {dist('b.v', 'c.c', metric)}, c.cid) AS r
+  FROM base b, cent c),
+asg AS (
+  SELECT a.id, a.cid, a.dist, s.cid AS cid2, s.dist AS dist2
+  FROM cdist a LEFT JOIN cdist s ON s.id = a.id AND s.r = 2 WHERE a.r = 1)"""
+
+
+def probes(nprobe: int, metric: str = "l2", cents: str = "cent") -> str:
+    return f"""probes AS (
+  SELECT * FROM (
+    SELECT q.qid, q.qv, c.cid, {dist('q.qv', 'c.c', metric)} AS cdist,
+           row_number() OVER (PARTITION BY q.qid ORDER BY {dist('q.qv', 'c.c', metric)}, c.cid) AS prank
+    FROM queries q, {cents} c) t
+  WHERE prank <= {nprobe})"""
+
+
+def exact_pairs(metric: str = "l2") -> str:
+    return f"pairs AS (SELECT q.qid, b.id, {dist('q.qv', 'b.v', metric)} AS dist FROM queries q, base b)"
+
+
+def ranked(name: str, pairs: str, n: int) -> str:
+    """CTE ``name(qid, rank, id, dist)`` with the top ``n`` rows per query (unrounded)."""
+    return f"""{name} AS (
+  SELECT qid, rank, id, dist FROM (
+    SELECT qid, id, dist, row_number() OVER (PARTITION BY qid ORDER BY dist, id) AS rank FROM {pairs}) t
+  WHERE rank <= {n})"""
+
+
+def eval_per_query(n: int) -> str:
+    """``pq(qid, af, recall)`` from CTEs ``approx`` and ``truth``."""
+    return f"""a1 AS (SELECT qid, dist AS a_dist FROM approx WHERE rank = 1),
+t1 AS (SELECT qid, dist AS t_dist FROM truth WHERE rank = 1),
+hits AS (SELECT a.qid, count(*) AS hits FROM (SELECT DISTINCT qid, id FROM approx) a
+         WHERE EXISTS (SELECT 1 FROM truth t WHERE t.qid = a.qid AND t.id = a.id AND t.rank <= {n})
+         GROUP BY a.qid),
+pq AS (
+  SELECT q.qid,
+         CASE WHEN a1.a_dist IS NOT NULL AND t1.t_dist IS NOT NULL THEN a1.a_dist / (t1.t_dist + 1e-12) ELSE 0.0 END AS af,
+         CASE WHEN a1.a_dist IS NOT NULL AND t1.t_dist IS NOT NULL THEN coalesce(hits.hits, 0) / {float(n)} ELSE 0.0 END
+           AS recall
+  FROM (SELECT DISTINCT qid FROM queries) q
+  LEFT JOIN a1 ON a1.qid = q.qid LEFT JOIN t1 ON t1.qid = q.qid LEFT JOIN hits ON hits.qid = q.qid)"""

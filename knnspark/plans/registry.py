@@ -98,3 +98,207 @@ def q_knn_nested(spark, sf_dir):
     fmt = lambda arr: F.concat_ws(";", F.transform(arr, lambda s: F.format_string("%d:%.6f", s["id"], s["dist"])))
     return nested.select("qid", fmt("neighbors").alias("neighbors"), fmt("range").alias("hits"),
                          F.size("range").cast("bigint").alias("n_hits"))
+
+
+# --------------------------------------------------------------------------- vector functions
+
+from knnspark.functions import distance as V  # noqa: E402
+from knnspark.functions import stats as S  # noqa: E402
+from knnspark.operators import cluster as K  # noqa: E402
+from knnspark.operators import evaluate as M  # noqa: E402
+from knnspark.operators import ivfflat as IVF  # noqa: E402
+from knnspark.sources.vectors import read_embeddings, validate_vectors  # noqa: E402
+
+NPROBE = 3
+PQ_M = 16
+
+
+def _label_centroids(base):
+    return K.centroid_matrix(K.label_medians(base))
+
+
+@register("dim_mean", f"""WITH {O.SPLIT}
+SELECT label, dim::INTEGER AS dim, round(avg(x), 6) AS mean FROM (
+  SELECT label, unnest(v) AS x, unnest(generate_series(0, len(v) - 1)) AS dim FROM base) e
+GROUP BY label, dim""")
+def q_dim_mean(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    return _r6(S.dim_means(base, ["label"]), "mean")
+
+
+@register("dim_median", f"""WITH {O.SPLIT}
+SELECT label, dim::INTEGER AS dim, round(median(x), 6) AS median FROM (
+  SELECT label, unnest(v) AS x, unnest(generate_series(0, len(v) - 1)) AS dim FROM base) e
+GROUP BY label, dim""")
+def q_dim_median(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    return _r6(S.dim_medians(base, ["label"]), "median")
+
+
+@register("validate_vectors", """SELECT count(*)::BIGINT AS n_rows,
+  sum(CASE WHEN embedding IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_null,
+  min(len(embedding))::INTEGER AS min_dim, max(len(embedding))::INTEGER AS max_dim,
+  sum(CASE WHEN list_bool_or(list_transform(embedding, lambda x: x IS NULL OR isnan(x))) THEN 1 ELSE 0 END)::BIGINT
+    AS n_bad_values,
+  sum(CASE WHEN embedding IS NOT NULL AND len(embedding) <> 64 THEN 1 ELSE 0 END)::BIGINT AS n_wrong_dim
+FROM embeddings""")
+def q_validate(spark, sf_dir):
+    emb = read_embeddings(spark, sf_dir)
+    return validate_vectors(emb.select(F.col("embedding").alias("v")), "v", expected_dim=64)
+
+
+@register("centroids", f"""WITH {O.SPLIT}, {O.cent()}
+SELECT cid, (generate_subscripts(c, 1) - 1)::INTEGER AS dim, round(unnest(c), 6) AS c FROM cent""")
+def q_centroids(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    cents = K.label_medians(base)
+    return cents.select("cid", F.posexplode("c").alias("dim", "c")).withColumn("c", F.round("c", 6))
+
+
+_ASSIGN_SQL = f"""WITH {O.SPLIT}, {O.cent()}
+SELECT id, cid, round(dist, 6) AS dist, cid2, round(dist2, 6) AS dist2 FROM asg"""
+
+
+@register("assign", _ASSIGN_SQL)
+def q_assign(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    return _r6(K.assign(base, _label_centroids(base)), "dist", "dist2")
+
+
+@register("second_nearest", f"""WITH {O.SPLIT}, {O.cent()}
+SELECT id, cid2, round(dist2, 6) AS dist2 FROM asg""")
+def q_second_nearest(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    return _r6(K.assign(base, _label_centroids(base)).select("id", "cid2", "dist2"), "dist2")
+
+
+@register("cluster_members", f"""WITH {O.SPLIT}, {O.cent()}
+SELECT cid, count(*)::BIGINT AS n, min(id) AS min_id, max(id) AS max_id FROM asg GROUP BY cid""")
+def q_cluster_members(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    return K.cluster_sizes(K.assign(base, _label_centroids(base)))
+
+
+@register("silhouette_fast", f"""WITH {O.SPLIT}, {O.cent()}
+SELECT cid, count(*)::BIGINT AS n, round(avg(
+  CASE WHEN dist2 IS NULL THEN 1.0 WHEN greatest(dist, dist2) > 0 THEN (dist2 - dist) / greatest(dist, dist2)
+       ELSE 0.0 END), 6) AS silhouette
+FROM asg GROUP BY ROLLUP (cid)""")
+def q_silhouette_fast(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    return _r6(K.silhouette_fast(K.assign(base, _label_centroids(base))), "silhouette")
+
+
+@register("silhouette_full", f"""WITH {O.SPLIT}, {O.cent()},
+pts AS (SELECT asg.id, asg.cid, asg.cid2, b.v FROM asg JOIN base b ON b.id = asg.id),
+sa AS (SELECT p.id, avg({O.dist('p.v', 'o.v')}) AS a FROM pts p JOIN pts o ON o.cid = p.cid AND o.id <> p.id
+       GROUP BY p.id),
+sb AS (SELECT p.id, avg({O.dist('p.v', 'o.v')}) AS b FROM pts p JOIN pts o ON o.cid = p.cid2 GROUP BY p.id),
+s AS (SELECT p.id, p.cid,
+        CASE WHEN sa.a IS NULL OR sb.b IS NULL THEN 0.0
+             WHEN greatest(sa.a, sb.b) > 0 THEN (sb.b - sa.a) / greatest(sa.a, sb.b) ELSE 0.0 END AS s
+      FROM pts p LEFT JOIN sa ON sa.id = p.id LEFT JOIN sb ON sb.id = p.id)
+SELECT cid, count(*)::BIGINT AS n, round(avg(s), 6) AS silhouette FROM s GROUP BY ROLLUP (cid)""")
+def q_silhouette_full(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    return _r6(K.silhouette_full(base, K.assign(base, _label_centroids(base))), "silhouette")
+
+
+@register("squared_l2", f"""WITH {O.SPLIT}, {O.cent()}
+SELECT b.id, round({O.sqdist('b.v', 'c.c')}, 6) AS sq FROM base b JOIN asg a ON a.id = b.id JOIN cent c ON c.cid = a.cid""")
+def q_squared_l2(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    cents = K.label_medians(base)
+    asg = K.assign(base, K.centroid_matrix(cents)).select("id", "cid")
+    j = base.join(asg, "id").join(F.broadcast(cents), "cid")
+    return j.select("id", F.round(V.squared_l2("v", "c"), 6).alias("sq"))
+
+
+@register("residuals", f"""WITH {O.SPLIT}, {O.cent()}
+SELECT id, (generate_subscripts(r, 1) - 1)::INTEGER AS dim, round(unnest(r), 6) AS r FROM (
+  SELECT b.id, list_transform(list_zip(b.v, c.c), lambda p: p[1] - p[2]) AS r
+  FROM base b JOIN asg a ON a.id = b.id JOIN cent c ON c.cid = a.cid) t""")
+def q_residuals(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    cents = K.label_medians(base)
+    asg = K.assign(base, K.centroid_matrix(cents)).select("id", "cid")
+    j = base.join(asg, "id").join(F.broadcast(cents), "cid")
+    return (j.select("id", F.posexplode(V.residual("v", "c")).alias("dim", "r"))
+            .withColumn("r", F.round("r", 6)))
+
+
+@register("subvectors", f"""WITH {O.SPLIT}
+SELECT id, m::INTEGER AS m, round(sub[1], 6) AS first, round(list_sum(list_transform(sub, lambda x: x * x)), 6) AS ssq
+FROM (SELECT id, unnest(generate_series(0, {PQ_M} - 1)) AS m,
+             unnest(list_transform(generate_series(0, {PQ_M} - 1), lambda i: v[i * 4 + 1 : i * 4 + 4])) AS sub
+      FROM base) t""")
+def q_subvectors(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    parts = base.select("id", F.posexplode(V.subvectors("v", PQ_M, 64 // PQ_M)).alias("m", "sub"))
+    ssq = F.aggregate("sub", F.lit(0.0), lambda s, x: s + x * x)
+    return parts.select("id", "m", F.round(F.col("sub")[0], 6).alias("first"), F.round(ssq, 6).alias("ssq"))
+
+
+# --------------------------------------------------------------------------- IVFFlat
+
+
+def _ivf_index(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    return IVF.build_ivfflat(base, _label_centroids(base)), base, queries
+
+
+@register("ivf_probes", f"""WITH {O.SPLIT}, {O.cent()}, {O.probes(NPROBE)}
+SELECT qid, prank::INTEGER AS prank, cid, round(cdist, 6) AS cdist FROM probes""")
+def q_ivf_probes(spark, sf_dir):
+    index, _, queries = _ivf_index(spark, sf_dir)
+    return _r6(IVF.probes(index, queries, NPROBE).drop("qv"), "cdist")
+
+
+_IVF_CANDS = f"""{O.SPLIT}, {O.cent()}, {O.probes(NPROBE)},
+lists AS (SELECT a.cid, b.id, b.v FROM asg a JOIN base b ON b.id = a.id),
+cands AS (SELECT p.qid, l.id, {O.dist('p.qv', 'l.v')} AS dist FROM probes p JOIN lists l ON l.cid = p.cid)"""
+
+
+@register("ivfflat_knn", f"WITH {_IVF_CANDS}\n{O.topn('cands', N)}")
+def q_ivfflat_knn(spark, sf_dir):
+    index, _, queries = _ivf_index(spark, sf_dir)
+    return _r6(IVF.search(index, queries, N, NPROBE), "dist")
+
+
+@register("ivfflat_range", f"WITH {_IVF_CANDS}\nSELECT qid, id, round(dist, 6) AS dist FROM cands WHERE dist <= {R}")
+def q_ivfflat_range(spark, sf_dir):
+    index, _, queries = _ivf_index(spark, sf_dir)
+    return _r6(IVF.range_search(index, queries, R, NPROBE), "dist")
+
+
+# --------------------------------------------------------------------------- evaluation
+
+_EVAL_CTES = f"""{_IVF_CANDS}, {O.exact_pairs()},
+{O.ranked('truth', 'pairs', N)},
+{O.ranked('approx', 'cands', N)},
+{O.eval_per_query(N)}"""
+
+
+def _ivf_vs_exact(spark, sf_dir):
+    index, base, queries = _ivf_index(spark, sf_dir)
+    return IVF.search(index, queries, N, NPROBE), exact.knn(base, queries, N), queries
+
+
+@register("average_af", f"WITH {_EVAL_CTES}\nSELECT round(avg(af), 6) AS average_af FROM pq")
+def q_average_af(spark, sf_dir):
+    approx, truth, queries = _ivf_vs_exact(spark, sf_dir)
+    return _r6(M.summary(approx, truth, queries, N, "ivfflat").select("average_af"), "average_af")
+
+
+@register("recall_at_n", f"WITH {_EVAL_CTES}\nSELECT round(avg(recall), 6) AS recall_at_n FROM pq")
+def q_recall_at_n(spark, sf_dir):
+    approx, truth, queries = _ivf_vs_exact(spark, sf_dir)
+    return _r6(M.summary(approx, truth, queries, N, "ivfflat").select("recall_at_n"), "recall_at_n")
+
+
+@register("truth_compare", f"""WITH {_EVAL_CTES}
+SELECT a.qid, a.rank::INTEGER AS rank, a.id, round(a.dist, 6) AS dist, round(coalesce(t.dist, a.dist), 6) AS true_dist
+FROM approx a LEFT JOIN truth t ON t.qid = a.qid AND t.rank = a.rank""")
+def q_truth_compare(spark, sf_dir):
+    approx, truth, _ = _ivf_vs_exact(spark, sf_dir)
+    return _r6(M.truth_compare(approx, truth), "dist", "true_dist")
