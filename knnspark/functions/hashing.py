@@ -34,16 +34,26 @@ def lsh_coefficients(dim: int, base: int = LSH_COEF_BASE, modulus: int = LSH_TAB
     return [pow(base, i, modulus) for i in range(dim)]
 
 
-def lsh_hash(v: Column, offsets: list[float], coef: list[int], w: float,
-             modulus: int = LSH_TABLE_SIZE) -> Column:
-    """One grid hash ``h``: cells ``a_i = floor((x_i - s_i) / w)`` folded as
+def double_array(values) -> str:
+    """SQL text of a DOUBLE array literal; each value is parsed from its round-trip text."""
+    return "array(" + ", ".join(f"CAST('{float(x)!r}' AS DOUBLE)" for x in values) + ")"
+
+
+def lsh_hash_sql(vec: str, offsets: list[float], coef: list[int], w: float,
+                 modulus: int = LSH_TABLE_SIZE) -> str:
+    """SQL text of one grid hash ``h``: cells ``a_i = floor((x_i - s_i) / w)`` folded as
     ``sum_i pmod(pmod(a_{d-1-i}, M) * r_i, M)`` then reduced ``mod M``."""
-    s = F.array(*[F.lit(float(x)) for x in offsets])
-    r = F.array(*[F.lit(int(x)).cast("bigint") for x in coef])
-    cells = F.zip_with(v, s, lambda x, o: F.floor((x - o) / F.lit(float(w))).cast("bigint"))
-    m = F.lit(modulus).cast("bigint")
-    terms = F.zip_with(F.reverse(cells), r, lambda a, c: F.pmod(F.pmod(a, m) * c, m))
-    return F.pmod(F.aggregate(terms, F.lit(0).cast("bigint"), lambda acc, x: acc + x), m)
+    r = "array(" + ", ".join(f"{int(c)}L" for c in coef) + ")"
+    cells = (f"zip_with({vec}, {double_array(offsets)}, "
+             f"(x, o) -> CAST(floor((x - o) / CAST('{float(w)!r}' AS DOUBLE)) AS BIGINT))")
+    terms = f"zip_with(reverse({cells}), {r}, (a, c) -> pmod(pmod(a, {modulus}L) * c, {modulus}L))"
+    return f"pmod(aggregate({terms}, 0L, (acc, t) -> acc + t), {modulus}L)"
+
+
+def lsh_hash(v: str, offsets: list[float], coef: list[int], w: float,
+             modulus: int = LSH_TABLE_SIZE) -> Column:
+    """One grid hash as a column (parsed once from SQL text, evaluated in the JVM)."""
+    return F.expr(lsh_hash_sql(v, offsets, coef, w, modulus))
 
 
 def lsh_amplify(hashes: list[Column], k: int, table_size: int | None = LSH_TABLE_SIZE) -> Column:

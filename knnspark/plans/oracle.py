@@ -27,8 +27,13 @@ def dot(a: str, b: str) -> str:
     return f"list_sum(list_transform(list_zip({a}, {b}), lambda p: p[1] * p[2]))"
 
 
+def double_lit(x) -> str:
+    """A DOUBLE literal parsed from its shortest round-trip text (no DECIMAL detour)."""
+    return f"'{float(x)!r}'::DOUBLE"
+
+
 def double_list(values) -> str:
-    return "[" + ", ".join(repr(float(x)) for x in values) + "]::DOUBLE[]"
+    return "['" + "', '".join(repr(float(x)) for x in values) + "']::DOUBLE[]"
 
 
 def md5_uniform(expr: str) -> str:
@@ -95,3 +100,61 @@ pq AS (
            AS recall
   FROM (SELECT DISTINCT qid FROM queries) q
   LEFT JOIN a1 ON a1.qid = q.qid LEFT JOIN t1 ON t1.qid = q.qid LEFT JOIN hits ON hits.qid = q.qid)"""
+
+
+# --------------------------------------------------------------------------- LSH
+
+
+def lsh_hash(vec: str, offsets, coef, w: float) -> str:
+    cells = f"list_transform(list_zip({vec}, {double_list(offsets)}), lambda p: floor((p[1] - p[2]) / {double_lit(w)})::BIGINT)"
+    r = "[" + ", ".join(str(int(c)) for c in coef) + "]::BIGINT[]"
+    return (f"(list_sum(list_transform(list_zip(list_reverse({cells}), {r}), "
+            f"lambda p: (((p[1] % 256) + 256) % 256 * p[2]) % 256)) % 256)")
+
+
+def lsh_bucket(vec: str, model, t: int) -> str:
+    p = model.params
+    shift = 32 // p.k if p.k > 1 else 0
+    g = "0::BIGINT"
+    for j in range(p.k):
+        h = lsh_hash(vec, model.offsets[t, j], model.coef, p.w)
+        g = f"((({g}) << {shift}) | {h}) & 4294967295"
+    return f"(({g}) % {int(p.table_size)})"
+
+
+def lsh_buckets_cte(name: str, src: str, key: str, vec: str, model, extra: str = "") -> str:
+    arr = "[" + ", ".join(lsh_bucket(vec, model, t) for t in range(model.params.L)) + "]"
+    return f"""{name} AS (
+  SELECT {key}{extra}, (unnest(generate_series(0, {model.params.L - 1})))::INTEGER AS t, unnest({arr}) AS bucket
+  FROM {src})"""
+
+
+# --------------------------------------------------------------------------- hypercube
+
+_U64 = "18446744073709551616::UHUGEINT"
+
+
+def cube_codes_cte(name: str, src: str, key: str, vec: str, model) -> str:
+    """``name(key, code)``: projections inlined, splitmix64 coin flips in UHUGEINT arithmetic."""
+    p = model.params
+    rows = ", ".join(f"({i}, {double_list(model.P[i])}, {double_lit(model.t[i])})" for i in range(p.kproj))
+    seed = int(p.seed) & 0xFFFFFFFFFFFFFFFF
+    return f"""{name}_p AS (SELECT * FROM (VALUES {rows}) x(i, p, t)),
+{name}_c AS (
+  SELECT s.{key} AS key, cp.i, floor(({dot(f's.{vec}', 'cp.p')} + cp.t) / {double_lit(p.w)})::BIGINT AS cell
+  FROM {src} s, {name}_p cp),
+{name}_k0 AS (
+  SELECT key, i, xor(xor((i::UBIGINT << 32),
+                        CASE WHEN cell < 0 THEN (cell::HUGEINT + 18446744073709551616)::UBIGINT ELSE cell::UBIGINT END),
+                    {seed}::UBIGINT) AS x FROM {name}_c),
+{name}_k1 AS (SELECT key, i, ((x::UHUGEINT + 11400714819323198485::UHUGEINT) % {_U64})::UBIGINT AS x FROM {name}_k0),
+{name}_k2 AS (SELECT key, i, ((xor(x, x >> 30)::UHUGEINT * 13787848793156543929::UHUGEINT) % {_U64})::UBIGINT AS x
+  FROM {name}_k1),
+{name}_k3 AS (SELECT key, i, ((xor(x, x >> 27)::UHUGEINT * 10723151780598845931::UHUGEINT) % {_U64})::UBIGINT AS x
+  FROM {name}_k2),
+{name} AS (
+  SELECT key AS {key}, sum(((xor(x, x >> 31) & 1::UBIGINT)::BIGINT) << i)::BIGINT AS code FROM {name}_k3 GROUP BY key)"""
+
+
+def masks_values(masks) -> str:
+    return "(VALUES " + ", ".join(f"({i + 1}, {int(m)}::BIGINT)" for i, m in enumerate(masks)) + ") mk(prank, mask)"

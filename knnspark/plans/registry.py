@@ -302,3 +302,113 @@ FROM approx a LEFT JOIN truth t ON t.qid = a.qid AND t.rank = a.rank""")
 def q_truth_compare(spark, sf_dir):
     approx, truth, _ = _ivf_vs_exact(spark, sf_dir)
     return _r6(M.truth_compare(approx, truth), "dist", "true_dist")
+
+
+# --------------------------------------------------------------------------- LSH
+
+from knnspark.operators import hypercube as H  # noqa: E402
+from knnspark.operators import lsh as LSH  # noqa: E402
+
+DIM = 64
+LSH_PARAMS = LSH.LSHParams(k=4, L=5, w=4.0, seed=1)
+LSH_MODEL = LSH.draw_lsh(LSH_PARAMS, DIM)
+
+_LSH_CTES = f"""{O.SPLIT},
+{O.lsh_buckets_cte('bb', 'base', 'id', 'v', LSH_MODEL)},
+{O.lsh_buckets_cte('qb', 'queries', 'qid', 'qv', LSH_MODEL)},
+cands AS (SELECT DISTINCT qb.qid, bb.id FROM qb JOIN bb ON bb.t = qb.t AND bb.bucket = qb.bucket),
+lpairs AS (SELECT c.qid, c.id, {O.dist('q.qv', 'b.v')} AS dist
+           FROM cands c JOIN queries q ON q.qid = c.qid JOIN base b ON b.id = c.id)"""
+
+
+@register("lsh_buckets", f"WITH {_LSH_CTES}\nSELECT t, bucket, id FROM bb")
+def q_lsh_buckets(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    return LSH.build_index(LSH_MODEL, base)
+
+
+@register("lsh_candidates", f"WITH {_LSH_CTES}\nSELECT qid, id FROM cands")
+def q_lsh_candidates(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    return LSH.candidates(LSH_MODEL, LSH.build_index(LSH_MODEL, base), queries)
+
+
+@register("lsh_knn", f"WITH {_LSH_CTES}\n{O.topn('lpairs', N)}")
+def q_lsh_knn(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    return _r6(LSH.search(LSH_MODEL, base, queries, N), "dist")
+
+
+@register("lsh_range", f"WITH {_LSH_CTES}\nSELECT qid, id, round(dist, 6) AS dist FROM lpairs WHERE dist <= {R}")
+def q_lsh_range(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    return _r6(LSH.range_search(LSH_MODEL, base, queries, R), "dist")
+
+
+# --------------------------------------------------------------------------- hypercube
+
+CUBE_PARAMS = H.CubeParams(kproj=7, w=4.0, max_candidates=0, probes=8, seed=1)
+CUBE_MODEL = H.draw_cube(CUBE_PARAMS, DIM)
+CUBE_CAP = 50
+CUBE_MODEL_CAPPED = H.CubeModel(H.CubeParams(kproj=7, w=4.0, max_candidates=CUBE_CAP, probes=8, seed=1),
+                                CUBE_MODEL.P, CUBE_MODEL.t)
+_MASKS = H.probe_masks(CUBE_PARAMS.kproj, CUBE_PARAMS.probes)
+
+_CUBE_CTES = f"""{O.SPLIT},
+{O.cube_codes_cte('bcode', 'base', 'id', 'v', CUBE_MODEL)},
+{O.cube_codes_cte('qcode', 'queries', 'qid', 'qv', CUBE_MODEL)},
+qprobe AS (SELECT q.qid, mk.prank::INTEGER AS prank, xor(q.code, mk.mask) AS code FROM qcode q, {O.masks_values(_MASKS)}),
+cpairs AS (SELECT p.qid, b.id, p.prank FROM qprobe p JOIN bcode b ON b.code = p.code),
+capped AS (SELECT qid, id, prank FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY prank, id) AS k FROM cpairs) t WHERE k <= {CUBE_CAP}),
+cdists AS (SELECT c.qid, c.id, {O.dist('q.qv', 'b.v')} AS dist FROM cpairs c
+           JOIN queries q ON q.qid = c.qid JOIN base b ON b.id = c.id),
+cdists_capped AS (SELECT c.qid, c.id, {O.dist('q.qv', 'b.v')} AS dist FROM capped c
+           JOIN queries q ON q.qid = c.qid JOIN base b ON b.id = c.id)"""
+
+
+@register("cube_codes", f"WITH {_CUBE_CTES}\nSELECT id, code FROM bcode")
+def q_cube_codes(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    return H.build_index(CUBE_MODEL, base).select("id", "code")
+
+
+@register("cube_probes", f"WITH {_CUBE_CTES}\nSELECT qid, prank, code FROM qprobe")
+def q_cube_probes(spark, sf_dir):
+    _, queries = fixture_split(spark, sf_dir)
+    return H.query_probes(CUBE_MODEL, queries)
+
+
+@register("cube_candidates", f"WITH {_CUBE_CTES}\nSELECT qid, id, prank FROM capped")
+def q_cube_candidates(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    return H.candidates(CUBE_MODEL_CAPPED, H.build_index(CUBE_MODEL_CAPPED, base), queries)
+
+
+@register("cube_knn", f"WITH {_CUBE_CTES}\n{O.topn('cdists', N)}")
+def q_cube_knn(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    return _r6(H.search(CUBE_MODEL, base, queries, N), "dist")
+
+
+@register("cube_knn_capped", f"WITH {_CUBE_CTES}\n{O.topn('cdists_capped', N)}")
+def q_cube_knn_capped(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    return _r6(H.search(CUBE_MODEL_CAPPED, base, queries, N), "dist")
+
+
+@register("cube_range", f"WITH {_CUBE_CTES}\nSELECT qid, id, round(dist, 6) AS dist FROM cdists WHERE dist <= {R}")
+def q_cube_range(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    return _r6(H.range_search(CUBE_MODEL, base, queries, R), "dist")
+
+
+@register("dot_products", f"""WITH {O.SPLIT},
+{O.cube_codes_cte('bcode', 'base', 'id', 'v', CUBE_MODEL)}
+SELECT b.id, cp.i::INTEGER AS i, round({O.dot('b.v', 'cp.p')}, 6) AS dot FROM base b, bcode_p cp""")
+def q_dot_products(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    from knnspark.functions.hashing import double_array
+    proj = F.expr("array(" + ", ".join(double_array(row) for row in CUBE_MODEL.P) + ")")
+    return (base.select("id", "v", F.posexplode(proj).alias("i", "p"))
+            .select("id", "i", F.round(V.dot("v", "p"), 6).alias("dot")))
