@@ -158,3 +158,40 @@ def cube_codes_cte(name: str, src: str, key: str, vec: str, model) -> str:
 
 def masks_values(masks) -> str:
     return "(VALUES " + ", ".join(f"({i + 1}, {int(m)}::BIGINT)" for i, m in enumerate(masks)) + ") mk(prank, mask)"
+
+
+# --------------------------------------------------------------------------- training
+
+
+def train_ctes(k: int, iters: int, seed: int = 1, metric: str = "l2", src: str = "base") -> str:
+    """CTEs ``s`` (md5-ordered sample of floor(sqrt(n)) points), ``c{r}`` (k-means++ seeds by an
+    exponential race, one CTE per round) and ``cen{i}`` (centroids after ``i`` k-medians steps)."""
+    parts = [f"""s AS (
+  SELECT id, v FROM {src}
+  QUALIFY row_number() OVER (ORDER BY md5(concat_ws(':', '{seed}', id::VARCHAR)), id)
+          <= (SELECT floor(sqrt(count(*))) FROM {src})),
+c0 AS (
+  SELECT 0 AS cid, id, v FROM s
+  ORDER BY -ln({md5_uniform(f"concat_ws(':', '{seed}', '0', id::VARCHAR)")}), id LIMIT 1)"""]
+    for r in range(1, k):
+        u = md5_uniform(f"concat_ws(':', '{seed}', '{r}', s.id::VARCHAR)")
+        parts.append(f"""d{r} AS (
+  SELECT s.id, s.v, min({dist('s.v', 'c.v', metric)}) AS d, any_value({u}) AS u FROM s, c{r - 1} c GROUP BY s.id, s.v),
+c{r} AS (
+  SELECT * FROM c{r - 1}
+  UNION ALL (SELECT {r} AS cid, id, v FROM d{r} WHERE d > 0 ORDER BY -ln(u) / (d * d), id LIMIT 1))""")
+    parts.append(f"seeds AS (SELECT cid, id, v FROM c{k - 1})")
+    parts.append("cen0 AS (SELECT cid::INTEGER AS cid, v AS c FROM seeds)")
+    for i in range(iters):
+        parts.append(f"""a{i} AS (
+  SELECT id, cid FROM (
+    SELECT s.id, c.cid, row_number() OVER (PARTITION BY s.id ORDER BY {dist('s.v', 'c.c', metric)}, c.cid) AS r
+    FROM s, cen{i} c) t WHERE r = 1),
+m{i} AS (
+  SELECT a.cid, e.dim, median(e.x) AS m
+  FROM a{i} a JOIN (SELECT id, unnest(v) AS x, unnest(generate_series(0, len(v) - 1)) AS dim FROM s) e ON e.id = a.id
+  GROUP BY a.cid, e.dim),
+cen{i + 1} AS (
+  SELECT c.cid, coalesce(n.c, c.c) AS c FROM cen{i} c
+  LEFT JOIN (SELECT cid, list(m ORDER BY dim) AS c FROM m{i} GROUP BY cid) n ON n.cid = c.cid)""")
+    return ",\n".join(parts)

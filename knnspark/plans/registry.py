@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -412,3 +413,70 @@ def q_dot_products(spark, sf_dir):
     proj = F.expr("array(" + ", ".join(double_array(row) for row in CUBE_MODEL.P) + ")")
     return (base.select("id", "v", F.posexplode(proj).alias("i", "p"))
             .select("id", "i", F.round(V.dot("v", "p"), 6).alias("dot")))
+
+
+# --------------------------------------------------------------------------- training
+
+TRAIN_K = 10
+TRAIN_ITERS = 3
+TRAIN_PARAMS = K.KMediansParams(k=TRAIN_K, metric="l2", seed=1, max_iter=TRAIN_ITERS, tol_changes=-1)
+_TRAIN = O.train_ctes(TRAIN_K, TRAIN_ITERS, 1, "l2")
+
+
+def _sample(base):
+    n = int(np.floor(np.sqrt(base.count())))
+    return K.training_sample(base.select("id", "v"), n, 1)
+
+
+@register("train_sample", f"WITH {O.SPLIT}, {_TRAIN}\nSELECT id FROM s")
+def q_train_sample(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    return _sample(base).select("id")
+
+
+@register("kmeanspp_seeds", f"WITH {O.SPLIT}, {_TRAIN}\nSELECT cid::INTEGER AS cid, id FROM seeds")
+def q_kmeanspp_seeds(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    sample = _sample(base).checkpoint(eager=True)
+    cids, C = K.kmeanspp_seeds(sample, TRAIN_K, "l2", 1)
+    # Seeds are sample points: recover their ids by an equi-join on the vector.
+    seeds = K.centroids_frame(spark, cids, C)
+    return seeds.join(sample, seeds["c"] == sample["v"]).select("cid", "id")
+
+
+def _centroid_rows(spark, cids, C):
+    return (K.centroids_frame(spark, cids, C)
+            .select("cid", F.posexplode("c").alias("dim", "c")).withColumn("c", F.round("c", 6)))
+
+
+@register("kmedians_step", f"""WITH {O.SPLIT}, {_TRAIN}
+SELECT cid, (generate_subscripts(c, 1) - 1)::INTEGER AS dim, round(unnest(c), 6) AS c FROM cen1""")
+def q_kmedians_step(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    sample = _sample(base).checkpoint(eager=True)
+    cids, C = K.kmeanspp_seeds(sample, TRAIN_K, "l2", 1)
+    _, _, (cids, C) = K.kmedians_step(sample, cids, C, "l2", None)
+    return _centroid_rows(spark, cids, C)
+
+
+@register("kmedians_fit", f"""WITH {O.SPLIT}, {_TRAIN}
+SELECT cid, (generate_subscripts(c, 1) - 1)::INTEGER AS dim, round(unnest(c), 6) AS c FROM cen{TRAIN_ITERS}""")
+def q_kmedians_fit(spark, sf_dir):
+    base, _ = fixture_split(spark, sf_dir)
+    cids, C, _ = K.kmedians_fit(base, TRAIN_PARAMS)
+    return _centroid_rows(spark, cids, C)
+
+
+@register("ivfflat_trained_knn", f"""WITH {O.SPLIT}, {_TRAIN},
+tcent AS (SELECT cid, c FROM cen{TRAIN_ITERS}),
+tasg AS (SELECT id, cid FROM (
+  SELECT b.id, c.cid, row_number() OVER (PARTITION BY b.id ORDER BY {O.dist('b.v', 'c.c')}, c.cid) AS r
+  FROM base b, tcent c) t WHERE r = 1),
+{O.probes(NPROBE, cents='tcent')},
+tcands AS (SELECT p.qid, b.id, {O.dist('p.qv', 'b.v')} AS dist
+           FROM probes p JOIN tasg a ON a.cid = p.cid JOIN base b ON b.id = a.id)
+{O.topn('tcands', N)}""")
+def q_ivfflat_trained_knn(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    index = IVF.build_ivfflat(base, None, TRAIN_PARAMS)
+    return _r6(IVF.search(index, queries, N, NPROBE), "dist")
