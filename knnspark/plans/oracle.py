@@ -195,3 +195,98 @@ cen{i + 1} AS (
   SELECT c.cid, coalesce(n.c, c.c) AS c FROM cen{i} c
   LEFT JOIN (SELECT cid, list(m ORDER BY dim) AS c FROM m{i} GROUP BY cid) n ON n.cid = c.cid)""")
     return ",\n".join(parts)
+
+
+# --------------------------------------------------------------------------- IVFPQ
+
+
+def pq_ctes(M: int, ksub: int, ds: int, iters: int, nprobe: int, seed: int = 1) -> str:
+    """CTEs after ``cent``/``asg``: ``parts``, codebook seeding ``cb{r}``, Lloyd rounds ``bk{i}``,
+    the final codebook ``cbf(m, h, cw)``, codes ``enc(id, cid, m, code)``, probes, ``lut`` and ``adc``."""
+    def u(expr_m, r, id_expr):
+        return md5_uniform(f"concat_ws(':', '{seed}', {expr_m}::VARCHAR, '{r}', {id_expr}::VARCHAR)")
+    out = [f"""res AS (
+  SELECT a.cid, b.id, list_transform(list_zip(b.v, c.c), lambda p: p[1] - p[2]) AS r
+  FROM base b JOIN asg a ON a.id = b.id JOIN cent c ON c.cid = a.cid),
+parts AS MATERIALIZED (
+  SELECT id, unnest(generate_series(0, {M - 1}))::INTEGER AS m,
+         unnest(list_transform(generate_series(0, {M - 1}), lambda i: r[i * {ds} + 1 : i * {ds} + {ds}])) AS sub
+  FROM res),
+pcnt AS (SELECT m, count(*) AS n FROM parts GROUP BY m),
+cb0 AS MATERIALIZED (
+  SELECT m, 0 AS h, sub AS cw FROM (
+    SELECT m, id, sub, row_number() OVER (PARTITION BY m ORDER BY -ln({u('m', 0, 'id')}), id) AS rr FROM parts) t
+  WHERE rr = 1)"""]
+    for r in range(1, ksub):
+        out.append(f"""sd{r} AS (
+  SELECT p.m, p.id, any_value(p.sub) AS sub, min({sqdist('p.sub', 'c.cw')}) AS d
+  FROM parts p JOIN cb{r - 1} c ON c.m = p.m GROUP BY p.m, p.id),
+cb{r} AS MATERIALIZED (
+  SELECT * FROM cb{r - 1}
+  UNION ALL
+  SELECT m, {r} AS h, sub AS cw FROM (
+    SELECT m, id, sub, row_number() OVER (PARTITION BY m ORDER BY -ln({u('m', r, 'id')}) / d, id) AS rr
+    FROM sd{r} WHERE d > 0) t
+  WHERE rr = 1)""")
+    out.append(f"""kact AS (SELECT m, least({ksub}, n) AS k FROM pcnt),
+ns AS (SELECT m, count(*) AS s FROM cb{ksub - 1} GROUP BY m),
+bk0 AS MATERIALIZED (
+  SELECT k.m, g.h::INTEGER AS h, c.cw FROM kact k JOIN ns ON ns.m = k.m, range(0, {ksub}) g(h)
+  JOIN cb{ksub - 1} c ON c.m = k.m AND c.h = g.h % ns.s WHERE g.h < k.k),
+act0 AS (SELECT m FROM kact WHERE k > 0)""")
+    for i in range(iters):
+        prev = f"LEFT JOIN as{i - 1} o ON o.m = a.m AND o.id = a.id" if i > 0 else ""
+        chg = "CASE WHEN o.h IS NULL OR o.h <> a.h THEN 1 ELSE 0 END" if i > 0 else "1"
+        out.append(f"""as{i} AS MATERIALIZED (
+  SELECT m, id, h FROM (
+    SELECT p.m, p.id, c.h,
+           row_number() OVER (PARTITION BY p.m, p.id ORDER BY {sqdist('p.sub', 'c.cw')}, c.h) AS rr
+    FROM parts p JOIN bk{i} c ON c.m = p.m WHERE p.m IN (SELECT m FROM act{i})) t
+  WHERE rr = 1),
+ch{i} AS (SELECT a.m, sum({chg}) AS ch FROM as{i} a {prev} GROUP BY a.m),
+act{i + 1} AS MATERIALIZED (SELECT m FROM ch{i} WHERE ch > 0),
+mn{i} AS (
+  SELECT m, h, list(x ORDER BY dim) AS cw FROM (
+    SELECT a.m, a.h, e.dim, avg(e.x) AS x
+    FROM as{i} a JOIN (SELECT m, id, unnest(sub) AS x, unnest(generate_series(0, len(sub) - 1)) AS dim FROM parts) e
+      ON e.m = a.m AND e.id = a.id
+    GROUP BY a.m, a.h, e.dim) t
+  GROUP BY m, h),
+emp{i} AS (
+  SELECT c.m, c.h FROM bk{i} c WHERE c.m IN (SELECT m FROM act{i + 1})
+  AND NOT EXISTS (SELECT 1 FROM as{i} a WHERE a.m = c.m AND a.h = c.h)),
+rp{i} AS (
+  SELECT m, h, sub FROM (
+    SELECT e.m, e.h, p.sub, row_number() OVER (
+      PARTITION BY e.m, e.h
+      ORDER BY md5(concat_ws(':', '{seed}', 'empty', '{i}', e.m::VARCHAR, e.h::VARCHAR, p.id::VARCHAR)), p.id) AS rr
+    FROM emp{i} e JOIN parts p ON p.m = e.m) t
+  WHERE rr = 1),
+bk{i + 1} AS MATERIALIZED (
+  SELECT c.m, c.h,
+         CASE WHEN c.m IN (SELECT m FROM act{i + 1}) THEN coalesce(mn.cw, rp.sub, c.cw) ELSE c.cw END AS cw
+  FROM bk{i} c LEFT JOIN mn{i} mn ON mn.m = c.m AND mn.h = c.h LEFT JOIN rp{i} rp ON rp.m = c.m AND rp.h = c.h)""")
+    out.append(f"""nk AS (SELECT m, count(*) AS k FROM bk{iters} GROUP BY m),
+cbf AS MATERIALIZED (
+  SELECT g.h::INTEGER AS h, nk.m, c.cw FROM nk, range(0, {ksub}) g(h)
+  JOIN bk{iters} c ON c.m = nk.m AND c.h = g.h % nk.k),
+enc AS MATERIALIZED (
+  SELECT id, m, h AS code FROM (
+    SELECT p.id, p.m, c.h, row_number() OVER (PARTITION BY p.id, p.m ORDER BY {sqdist('p.sub', 'c.cw')}, c.h) AS rr
+    FROM parts p JOIN cbf c ON c.m = p.m) t
+  WHERE rr = 1),
+{probes(nprobe)},
+qres AS (
+  SELECT p.qid, p.cid, list_transform(list_zip(p.qv, c.c), lambda x: x[1] - x[2]) AS r
+  FROM probes p JOIN cent c ON c.cid = p.cid),
+qparts AS (
+  SELECT qid, cid, unnest(generate_series(0, {M - 1}))::INTEGER AS m,
+         unnest(list_transform(generate_series(0, {M - 1}), lambda i: r[i * {ds} + 1 : i * {ds} + {ds}])) AS sub
+  FROM qres),
+lut AS MATERIALIZED (
+  SELECT q.qid, q.cid, q.m, c.h, {sqdist('q.sub', 'c.cw')} AS val FROM qparts q JOIN cbf c ON c.m = q.m),
+adc AS (
+  SELECT l.qid, e.id, sqrt(sum(l.val)) AS dist
+  FROM lut l JOIN asg a ON a.cid = l.cid JOIN enc e ON e.id = a.id AND e.m = l.m AND e.code = l.h
+  GROUP BY l.qid, e.id)""")
+    return ",\n".join(out)

@@ -480,3 +480,57 @@ def q_ivfflat_trained_knn(spark, sf_dir):
     base, queries = fixture_split(spark, sf_dir)
     index = IVF.build_ivfflat(base, None, TRAIN_PARAMS)
     return _r6(IVF.search(index, queries, N, NPROBE), "dist")
+
+
+# --------------------------------------------------------------------------- IVFPQ
+
+from knnspark.operators import pq as PQ  # noqa: E402
+
+PQ_NBITS = 4
+PQ_ITERS = 5
+PQ_PARAMS = PQ.PQParams(m=PQ_M, nbits=PQ_NBITS, nprobe=NPROBE, seed=1, metric="l2", train_iters=PQ_ITERS)
+_PQ = f"""{O.SPLIT}, {O.cent()},
+{O.pq_ctes(PQ_M, 1 << PQ_NBITS, DIM // PQ_M, PQ_ITERS, NPROBE, 1)}"""
+
+
+def _pq_index(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    return PQ.build_ivfpq(base, PQ_PARAMS, _label_centroids(base)), base, queries
+
+
+@register("pq_train", f"""WITH {_PQ}
+SELECT m, h, (generate_subscripts(cw, 1) - 1)::INTEGER AS dim, round(unnest(cw), 6) AS cw FROM cbf""")
+def q_pq_train(spark, sf_dir):
+    index, _, _ = _pq_index(spark, sf_dir)
+    return (PQ.codebook_table(spark, index).select("m", "h", F.posexplode("cw").alias("dim", "cw"))
+            .withColumn("cw", F.round("cw", 6)))
+
+
+@register("pq_encode", f"""WITH {_PQ}
+SELECT a.cid, e.id, e.m, e.code::INTEGER AS code FROM enc e JOIN asg a ON a.id = e.id""")
+def q_pq_encode(spark, sf_dir):
+    index, _, _ = _pq_index(spark, sf_dir)
+    return index.codes.select("cid", "id", F.posexplode("codes").alias("m", "code")).withColumn(
+        "code", F.col("code").cast("int"))
+
+
+@register("pq_lut", f"""WITH {_PQ}
+SELECT qid, cid, m, h, round(val, 6) AS val FROM lut""")
+def q_pq_lut(spark, sf_dir):
+    index, _, queries = _pq_index(spark, sf_dir)
+    ksub = index.params.ksub
+    lut = PQ.lookup_tables(index, queries).select("qid", "cid", F.posexplode("lut").alias("i", "val"))
+    return lut.select("qid", "cid", (F.col("i") / ksub).cast("int").alias("m"), (F.col("i") % ksub).cast("int").alias("h"),
+                      F.round("val", 6).alias("val"))
+
+
+@register("pq_knn", f"WITH {_PQ}\n{O.topn('adc', N)}")
+def q_pq_knn(spark, sf_dir):
+    index, base, queries = _pq_index(spark, sf_dir)
+    return _r6(PQ.search(index, base, queries, N), "dist")
+
+
+@register("pq_range", f"WITH {_PQ}\nSELECT qid, id, round(dist, 6) AS dist FROM adc WHERE dist <= {R}")
+def q_pq_range(spark, sf_dir):
+    index, base, queries = _pq_index(spark, sf_dir)
+    return _r6(PQ.range_search(index, base, queries, R), "dist")
