@@ -534,3 +534,42 @@ def q_pq_knn(spark, sf_dir):
 def q_pq_range(spark, sf_dir):
     index, base, queries = _pq_index(spark, sf_dir)
     return _r6(PQ.range_search(index, base, queries, R), "dist")
+
+
+# --------------------------------------------------------------------------- ingest
+
+from knnspark.session import scratch_path  # noqa: E402
+from knnspark.sources import binary as B  # noqa: E402
+
+_INGEST_SQL = """SELECT vec_id AS id, (generate_subscripts(embedding, 1) - 1)::INTEGER AS dim,
+       round(unnest(embedding)::DOUBLE, 6) AS x FROM embeddings"""
+_INGEST_IDX_SQL = """SELECT vec_id AS id, (generate_subscripts(embedding, 1) - 1)::INTEGER AS dim,
+       least(255.0, greatest(0.0, round((unnest(embedding)::DOUBLE + 1.0) * 127.5))) AS x FROM embeddings"""
+
+
+def _ingest(spark, sf_dir, kind: str, transform=None, rows: int = 0, cols: int = 0):
+    from knnspark.sources.vectors import canonical
+
+    vecs = canonical(read_embeddings(spark, sf_dir), keep=())
+    if transform is not None:
+        vecs = vecs.select("id", transform.alias("v"))
+    path = scratch_path(spark, f"ingest-{kind}")
+    B.write_vectors(vecs, path, kind, partitions=4, rows=rows, cols=cols)
+    back = B.read_vectors(spark, path, kind, split_bytes=16 * 1024)
+    return back.select("id", F.posexplode("v").alias("dim", "x"))
+
+
+@register("ingest_fvecs", _INGEST_SQL)
+def q_ingest_fvecs(spark, sf_dir):
+    return _r6(_ingest(spark, sf_dir, "fvecs"), "x")
+
+
+@register("ingest_text", _INGEST_SQL)
+def q_ingest_text(spark, sf_dir):
+    return _r6(_ingest(spark, sf_dir, "text"), "x")
+
+
+@register("ingest_idx", _INGEST_IDX_SQL)
+def q_ingest_idx(spark, sf_dir):
+    pixels = F.transform("v", lambda x: F.least(F.lit(255.0), F.greatest(F.lit(0.0), F.round((x + 1.0) * 127.5))))
+    return _ingest(spark, sf_dir, "idx", pixels, rows=8, cols=8)
