@@ -1,7 +1,10 @@
 """Hash functions: md5-derived uniforms, the LSH grid hash (V8, V11, L2, L3) and the hypercube
 coin flip (H3, H4).
 
-The LSH hash is plain column arithmetic (JVM side).  The hypercube coin flip needs wrapping
+The LSH hash exists as column arithmetic (``lsh_hash``, usable in any projection) and as the same
+arithmetic on NumPy batches (``lsh_buckets_np``), which the LSH operators use: Spark evaluates
+higher-order array functions without code generation, and a plan with L x k literal arrays is slow
+to analyse.  The hypercube coin flip needs wrapping
 64-bit multiplication, which Spark SQL does not have under ANSI mode, so vertex codes are computed
 on Arrow batches with NumPy ``uint64`` arithmetic inside ``mapInArrow``.
 """
@@ -59,11 +62,11 @@ def lsh_hash(v: str, offsets: list[float], coef: list[int], w: float,
 def lsh_amplify(hashes: list[Column], k: int, table_size: int | None = LSH_TABLE_SIZE) -> Column:
     """``g``: fold the k hashes as a 32-bit word, ``g = (g << (32 div k)) | h``, then ``mod table_size``.
 
-    ``table_size=None`` keeps the whole 32-bit word (k <= 4), or for k > 4, where the shifted
-    fields overlap, a 64-bit hash of the k values.
+    ``table_size=None`` keeps the whole 32-bit word (k <= 4); for k > 4, where the shifted fields
+    overlap, use ``lsh_buckets_np`` (which then chains splitmix64 over the k values).
     """
     if table_size is None and k > 4:
-        return F.xxhash64(*hashes)
+        raise NotImplementedError("full keys for k > 4 are computed by lsh_buckets_np")
     shift = 32 // k if k > 1 else 0
     g = F.lit(0).cast("bigint")
     for h in hashes:
@@ -71,6 +74,37 @@ def lsh_amplify(hashes: list[Column], k: int, table_size: int | None = LSH_TABLE
     return g if table_size is None else F.pmod(g, F.lit(int(table_size)).cast("bigint"))
 
 
+def lsh_buckets_np(X: np.ndarray, offsets: np.ndarray, coef: np.ndarray, w: float, k: int,
+                   table_size: int | None = LSH_TABLE_SIZE, modulus: int = LSH_TABLE_SIZE) -> np.ndarray:
+    """The same hash on a batch: ``X`` (n x d), ``offsets`` (L x k x d) -> buckets (n x L) int64.
+
+    Same IEEE operations as the column form (subtract, divide, floor), so cells are identical.
+    """
+    n, d = X.shape
+    L = offsets.shape[0]
+    S = offsets.reshape(L * k, d)
+    out = np.empty((n, L), dtype=np.int64)
+    step = max(1, (1 << 21) // max(1, L * k * d))
+    shift = np.int64(32 // k if k > 1 else 0)
+    mask = np.int64(0xFFFFFFFF)
+    r = np.asarray(coef, dtype=np.int64)[None, None, :]
+    for s0 in range(0, n, step):
+        cells = np.floor((X[s0:s0 + step, None, :] - S[None, :, :]) / w).astype(np.int64)
+        terms = (np.mod(cells, modulus)[:, :, ::-1] * r) % modulus
+        h = (terms.sum(axis=2) % modulus).reshape(-1, L, k)
+        if table_size is None and k > 4:
+            g = np.zeros(h.shape[:2], dtype=np.uint64)
+            for j in range(k):
+                g = splitmix64(g ^ h[:, :, j].astype(np.uint64))
+            out[s0:s0 + step] = (g >> np.uint64(1)).astype(np.int64)
+            continue
+        g = np.zeros(h.shape[:2], dtype=np.int64)
+        for j in range(k):
+            g = ((g << shift) | h[:, :, j]) & mask
+        out[s0:s0 + step] = g if table_size is None else np.mod(g, table_size)
+    return out
+
+
 # --------------------------------------------------------------------------- hypercube coin flip
 
 # The public splitmix64 finaliser constants.

@@ -27,12 +27,12 @@ CENTROID_SCHEMA = "cid int, c array<double>"
 
 
 def centroid_matrix(centroids: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[np.ndarray, np.ndarray]:
-    """Collect a centroid table (checked size) -> ``(cids, C)`` ordered by ``cid``."""
-    k = centroids.count()
+    """Collect a centroid table (size checked by one aggregate first) -> ``(cids, C)`` by ``cid``."""
+    stats = centroids.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("c")).alias("d")).first()
+    k = int(stats["k"])
     if k == 0:
         return np.empty(0, dtype=np.int32), np.empty((0, 0))
-    first = centroids.select(F.size("c").alias("d")).first()
-    check_broadcast(k * (8 * int(first["d"]) + 16), "centroid table", max_bytes)
+    check_broadcast(k * (8 * int(stats["d"]) + 16), "centroid table", max_bytes)
     tbl = centroids.select(F.col("cid").cast("int"), F.col("c").cast("array<double>")).toArrow()
     cids = tbl.column(0).to_numpy()
     C, _ = arrow_matrix(tbl.column(1))

@@ -1,8 +1,9 @@
 """LSH by grid hashing (L1-L7): bucket equi-join, de-duplicated candidates, exact re-rank.
 
 Build (L1, L4): hash parameters are drawn on the driver (``L x k x d`` offsets, bounded by the
-dimension, not the data); the index ``(t, bucket, id)`` is one narrow pass with ``L`` bucket
-columns computed by JVM expressions and exploded.
+dimension, not the data); the index ``(t, bucket, id)`` is one narrow ``mapInArrow`` pass that
+hashes Arrow batches with NumPy and emits one row per table.  ``LSHModel.bucket_columns`` gives
+the same buckets as plain columns for use inside other projections.
 
 Search (L5-L7) is fused into one scan of the base: each base row's ``L`` buckets are computed in
 the scan, joined to the (size-checked, broadcast) query buckets on ``(t, bucket)``, and the true
@@ -16,11 +17,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from knnspark.functions.distance import distance, metric_name
-from knnspark.functions.hashing import LSH_TABLE_SIZE, lsh_amplify, lsh_coefficients, lsh_hash
+from knnspark.functions.distance import arrow_matrix, distance, metric_name
+from knnspark.functions.hashing import LSH_TABLE_SIZE, lsh_amplify, lsh_buckets_np, lsh_coefficients, lsh_hash
 from knnspark.operators.exact import RANGE_SCHEMA
 from knnspark.operators.rerank import bounded_broadcast
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
@@ -77,11 +80,36 @@ def params_table(spark, model: LSHModel) -> DataFrame:
     return spark.createDataFrame(rows, "t int, j int, s array<double>, r array<int>")
 
 
+def _bucket_kernel(model: "LSHModel", key: str, vec: str, carry: list[str]):
+    p = model.params
+    offsets, coef, d = model.offsets, np.asarray(model.coef, dtype=np.int64), model.dim
+
+    def run(batches):
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            lengths = pc.fill_null(pc.list_value_length(rb.column(vec)), -1).to_numpy(zero_copy_only=False)
+            ok = np.nonzero(lengths == d)[0]          # rows of a wrong length get no bucket
+            if len(ok) == 0:
+                continue
+            sub = rb.take(pa.array(ok)) if len(ok) != rb.num_rows else rb
+            X, _ = arrow_matrix(sub.column(vec), d)
+            B = lsh_buckets_np(X, offsets, coef, p.w, p.k, p.table_size)     # (n, L)
+            n = len(X)
+            rows = pa.array(np.repeat(np.arange(n), p.L))
+            arrays = [sub.column(key).take(rows)] + [sub.column(c).take(rows) for c in carry]
+            arrays += [pa.array(np.tile(np.arange(p.L, dtype=np.int32), n)), pa.array(B.ravel(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[key, *carry, "t", "bucket"])
+    return run
+
+
 def with_buckets(model: LSHModel, df: DataFrame, key: str, vec: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``(key, t, bucket, *carry)``: one row per table; rows of a wrong length are dropped."""
-    arr = F.array(*model.bucket_columns(vec))
-    return (df.where(F.size(vec) == model.dim)
-            .select(key, *carry, F.posexplode(arr).alias("t", "bucket")))
+    """L2-L4 as one narrow pass: ``(key, *carry, t, bucket)``, one row per table."""
+    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    carry = [c for c in carry if c != key]
+    schema = ", ".join(f"{c} {fields[c]}" for c in [key, *carry]) + ", t int, bucket bigint"
+    cols = list(dict.fromkeys([key, vec, *carry]))
+    return df.select(*cols).mapInArrow(_bucket_kernel(model, key, vec, carry), schema)
 
 
 def build_index(model: LSHModel, base: DataFrame) -> DataFrame:
