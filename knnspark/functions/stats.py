@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MEDIAN_ACCURACY = 1_000_000
+MAX_BROADCAST_GROUPS = 200_000
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out: str = "median",
@@ -24,6 +25,11 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out: str
                .agg(F.count(F.lit(1)).alias("_n"),
                     F.percentile_approx("_x", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_b"))
                .select(*group_cols, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi")))
+    # One row per group: collected after a count check and broadcast, so the values are joined
+    # map-side and partially aggregated before any shuffle (a hot group never reaches one task whole).
+    rows = bracket.limit(MAX_BROADCAST_GROUPS + 1).collect()
+    if len(rows) <= MAX_BROADCAST_GROUPS:
+        bracket = F.broadcast(df.sparkSession.createDataFrame(rows, bracket.schema))
     inner = (vals.join(bracket, group_cols)
              .groupBy(*group_cols)
              .agg(F.first("_n").alias("_n"),

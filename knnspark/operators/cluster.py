@@ -201,7 +201,10 @@ def silhouette_full(points: DataFrame, assigned: DataFrame, metric: str = "l2",
     """
     metric = metric_name(metric)
     spark = points.sparkSession
-    table = (points.select("id", "v").join(assigned.select("id", "cid", "cid2"), "id"))
+    if "v" in assigned.columns:          # assignment computed with carry=("v",): no join with the base
+        table = assigned.select("id", "v", "cid", "cid2")
+    else:
+        table = points.select("id", "v").join(assigned.select("id", "cid", "cid2"), "id")
     d = table.select(F.size("v")).first()
     if d is None:
         return spark.createDataFrame([], "cid int, n bigint, silhouette double")
@@ -245,10 +248,28 @@ class KMediansParams:
     tol_changes: int = 1            # stop when at most this many sample points change cluster
 
 
-def training_sample(points: DataFrame, size: int, seed: int = 1) -> DataFrame:
-    """K1: ``size`` distinct points chosen by an md5 order (a top-k, not a global sort)."""
+def training_sample(points: DataFrame, size: int, seed: int = 1, total: int | None = None) -> DataFrame:
+    """K1: the ``size`` points that come first in ``(md5(seed:id), id)`` order.
+
+    The md5 order is uniform, so a filter ``u < t`` with ``t`` a little above ``size / n`` keeps
+    slightly more than ``size`` rows; the exact first ``size`` are then taken from that small set.
+    This avoids a global top-k that would funnel every partition's candidates into one task.
+    ``t`` is raised until the filter keeps enough rows (expected once).
+    """
+    size = int(size)
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string")))
-    return points.orderBy(key, F.col("id")).limit(int(size))
+    u = md5_uniform(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string")))
+    keyed = points.withColumn("_k", key).withColumn("_u", u)
+    n = total if total is not None else points.count()
+    if size <= 0 or n == 0:
+        return points.limit(0)
+    t = min(1.0, 1.2 * size / n + 8.0 * np.sqrt(size) / n + 1e-9)
+    while True:
+        kept = keyed.where(F.col("_u") < F.lit(t)) if t < 1.0 else keyed
+        if t >= 1.0 or kept.count() >= size:
+            break
+        t = min(1.0, t * 2.0)
+    return kept.orderBy("_k", "id").limit(size).drop("_k", "_u")
 
 
 def _race_pick(sample: DataFrame, cids, C, metric: str, seed: int, rnd: int):
@@ -317,11 +338,11 @@ def kmedians_fit(points: DataFrame, params: KMediansParams) -> tuple[np.ndarray,
     go through the driver per iteration.
     """
     metric = metric_name(params.metric)
+    total = points.count()
     n = params.train_size
     if n is None:
-        total = points.count()
         n = max(1, int(np.floor(np.sqrt(total))))
-    sample = training_sample(points.select("id", "v"), n, params.seed).checkpoint(eager=True)
+    sample = training_sample(points.select("id", "v"), n, params.seed, total).checkpoint(eager=True)
     cids, C = kmeanspp_seeds(sample, params.k, metric, params.seed)
     if len(cids) == 0:
         return cids, C, 0

@@ -336,11 +336,18 @@ def adc_candidates(index: PQIndex, queries: DataFrame, max_bytes: int = DEFAULT_
     return union_all(frames)
 
 
-def _with_fallback(index: PQIndex, base: DataFrame, queries: DataFrame, cands: DataFrame, n: int | None,
+def _with_fallback(index: PQIndex, base: DataFrame, queries: DataFrame, n: int | None,
                    radius: float | None) -> DataFrame:
-    """Queries without a single candidate get an exact answer with the run's metric."""
-    valid = queries.where(F.size("qv") == index.dim)
-    lonely = valid.join(cands.select("qid").distinct(), "qid", "left_anti")
+    """Queries whose probed cells are all empty get an exact answer with the run's metric.
+
+    "No candidate" is decided from the probes and the per-cell counts of the codes table (a small
+    aggregate), not from the candidate pairs themselves.
+    """
+    probes = cluster.nearest_probes(queries, (index.cids, index.C), index.params.nprobe, index.params.metric,
+                                    carry=())
+    filled = index.codes.groupBy("cid").agg(F.count(F.lit(1)).alias("n"))
+    served = probes.join(F.broadcast(filled), "cid").select("qid").distinct()
+    lonely = queries.where(F.size("qv") == index.dim).join(served, "qid", "left_anti")
     if n is not None:
         return exact.knn(base, lonely, n, index.params.metric)
     return exact.range_search(base, lonely, radius, index.params.metric)
@@ -351,8 +358,8 @@ def search(index: PQIndex, base: DataFrame, queries: DataFrame, n: int,
     """Top-N by approximate distance (ties by id) -> ``(qid, rank, id, dist)``."""
     if n <= 0:
         raise ValueError("N must be a positive integer")
-    cands = adc_candidates(index, queries, max_bytes).persist()
-    return top_n(cands, n).unionByName(_with_fallback(index, base, queries, cands, n, None))
+    cands = adc_candidates(index, queries, max_bytes)
+    return top_n(cands, n).unionByName(_with_fallback(index, base, queries, n, None))
 
 
 def range_search(index: PQIndex, base: DataFrame, queries: DataFrame, radius: float,
@@ -360,6 +367,5 @@ def range_search(index: PQIndex, base: DataFrame, queries: DataFrame, radius: fl
     """Candidates with approximate ``dist <= radius``; fallback queries use the exact distance."""
     if radius is None or radius <= 0:
         return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
-    cands = adc_candidates(index, queries, max_bytes).persist()
-    hits = cands.where(F.col("dist") <= float(radius))
-    return hits.unionByName(_with_fallback(index, base, queries, cands, None, radius))
+    hits = adc_candidates(index, queries, max_bytes).where(F.col("dist") <= float(radius))
+    return hits.unionByName(_with_fallback(index, base, queries, None, radius))

@@ -202,7 +202,7 @@ s AS (SELECT p.id, p.cid,
 SELECT cid, count(*)::BIGINT AS n, round(avg(s), 6) AS silhouette FROM s GROUP BY ROLLUP (cid)""")
 def q_silhouette_full(spark, sf_dir):
     base, _ = fixture_split(spark, sf_dir)
-    return _r6(K.silhouette_full(base, K.assign(base, _label_centroids(base))), "silhouette")
+    return _r6(K.silhouette_full(base, K.assign(base, _label_centroids(base), carry=("v",))), "silhouette")
 
 
 @register("squared_l2", f"""WITH {O.SPLIT}, {O.cent()}
