@@ -23,14 +23,24 @@ def vector_blocks(df: DataFrame, key: str, vec: str, dim: int, extra: tuple[str,
                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> list[tuple[np.ndarray, np.ndarray, dict]]:
     """Split rows whose vector has length ``dim`` into broadcastable ``(keys, M, extras)`` blocks.
 
-    The row count is taken first and the number of blocks chosen so that each block stays under
-    ``max_bytes``; the collected size is checked again before it is shipped.
+    At most ``max_bytes // row_bytes + 1`` rows are collected to find out whether one block is
+    enough; otherwise the rows are counted and hash-split so that each block stays under
+    ``max_bytes`` (checked again after collection).
     """
     q = df.where(F.size(vec) == dim).select(F.col(key).cast("bigint"), F.col(vec).cast("array<double>"), *extra)
-    n = q.count()
-    if n == 0:
-        return []
     row_bytes = 8 * max(dim, 1) + 48 + 8 * len(extra)
+    cap = max(1, max_bytes // row_bytes)
+    # Common case: everything fits one block.  The limit bounds what is collected; only when it
+    # is exceeded are the rows counted and cut into hash blocks.
+    first = q.limit(cap + 1).toArrow()
+    if first.num_rows <= cap:
+        if first.num_rows == 0:
+            return []
+        mat, _ = arrow_matrix(first.column(1), dim)
+        return [(first.column(0).to_numpy().astype(np.int64), np.ascontiguousarray(mat),
+                 {c: first.column(c).to_numpy(zero_copy_only=False) for c in extra})]
+    del first
+    n = q.count()
     nblocks = max(1, math.ceil(n * row_bytes / max_bytes))
     out = []
     for b in range(nblocks):

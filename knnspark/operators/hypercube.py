@@ -171,3 +171,12 @@ def range_search(model: CubeModel, base: DataFrame, queries: DataFrame, radius:
         return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
     return (_pairs(model, base, queries, max_bytes).where(F.col("dist") <= float(radius))
             .select("qid", "id", "dist"))
+
+
+def search_index(model: CubeModel, index: DataFrame, base: DataFrame, queries: DataFrame, n: int,
+                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """H6-H8 over a stored ``cube_index(code, id)``: capped candidates, then the shared re-rank."""
+    from knnspark.operators.rerank import rerank
+
+    return rerank(candidates(model, index, queries, max_bytes), base, queries, n=n, metric=model.params.metric,
+                  max_bytes=max_bytes)

@@ -159,3 +159,13 @@ def range_search(model: LSHModel, base: DataFrame, queries: DataFrame, radius: f
         return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
     return (_pairs(model, base, queries, max_bytes).where(F.col("dist") <= float(radius))
             .dropDuplicates(["qid", "id"]).select("qid", "id", "dist"))
+
+
+def search_index(model: LSHModel, index: DataFrame, base: DataFrame, queries: DataFrame, n: int,
+                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """L5 + L6 over a stored ``lsh_index``: candidates by bucket join, then the shared re-rank
+    (vectors fetched by an equi-join on ``id``)."""
+    from knnspark.operators.rerank import rerank
+
+    return rerank(candidates(model, index, queries, max_bytes), base, queries, n=n, metric=model.params.metric,
+                  max_bytes=max_bytes)

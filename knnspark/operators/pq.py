@@ -43,6 +43,7 @@ class PQParams:
     seed: int = 1
     metric: str = "l2"           # coarse stage and fallback only; codebooks are always L2
     train_iters: int = 20
+    codebook_train_size: int | None = None   # None: all residuals (reference); else an md5 sample of points
     coarse: cluster.KMediansParams = field(default_factory=lambda: cluster.KMediansParams(k=50))
 
     def __post_init__(self):
@@ -276,7 +277,12 @@ def build_ivfpq(base: DataFrame, params: PQParams, centroids=None) -> PQIndex:
     if d % params.m:
         raise ValueError("vector dimension must be divisible by M")
     ds = d // params.m
-    parts = residual_parts(base, cids, C, params.m, metric).select("m", "id", "sub").checkpoint(eager=True)
+    train = base
+    if params.codebook_train_size is not None:
+        # Bounded training set for very large bases: every seeding round and Lloyd round is a
+        # pass over the residual parts, so this caps build cost; encoding still covers all points.
+        train = cluster.training_sample(base.select("id", "v"), params.codebook_train_size, params.seed)
+    parts = residual_parts(train, cids, C, params.m, metric).select("m", "id", "sub").checkpoint(eager=True)
     books = train_codebooks(parts, params.m, params.ksub, ds, params.seed, params.train_iters)
     codes = encode(base, cids, C, books, metric)
     return PQIndex(params, cids, C, books, codes)

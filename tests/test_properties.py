@@ -146,3 +146,26 @@ def test_pq_fallback_for_queries_without_candidates(spark, split):
     lonely = queries.where(F.col("qid").isin([r["qid"] for r in qrows]))
     got = rows(pq.search(index, base, lonely, N))
     assert got == rows(exact.knn(base, lonely, N))
+
+
+def test_stored_index_paths_match_fused_scans(spark, split, tmp_path):
+    base, queries = split
+    lm = lsh.draw_lsh(lsh.LSHParams(k=4, L=5, w=4.0, seed=1), 64)
+    idx = lsh.build_index(lm, base)
+    assert rows(lsh.search_index(lm, idx, base, queries, N)) == rows(lsh.search(lm, base, queries, N))
+    cm = hypercube.draw_cube(hypercube.CubeParams(kproj=7, max_candidates=50, probes=8), 64)
+    cidx = hypercube.build_index(cm, base)
+    assert rows(hypercube.search_index(cm, cidx, base, queries, N)) == rows(hypercube.search(cm, base, queries, N))
+    # IVF lists written partitioned by cid give the same answer (and prune to probed cells)
+    index = ivfflat.build_ivfflat(base, cluster.label_medians(base))
+    want = rows(ivfflat.search(index, queries, N, 3))
+    ivfflat.write_lists(index, str(tmp_path / "lists"))
+    assert rows(ivfflat.search(index, queries, N, 3)) == want
+
+
+def test_pq_codebook_sample_option(split):
+    base, queries = split
+    params = pq.PQParams(m=16, nbits=3, nprobe=3, train_iters=3, codebook_train_size=100)
+    index = pq.build_ivfpq(base, params, cluster.label_medians(base))
+    assert index.codebooks.shape == (16, 8, 4)
+    assert index.codes.count() == base.count()
