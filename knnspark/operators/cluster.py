@@ -55,6 +55,13 @@ def label_medians(base: DataFrame, label_col: str = "label") -> DataFrame:
 # --------------------------------------------------------------------------- nearest centroids
 
 
+def nearest_cid(X: np.ndarray, cids: np.ndarray, C: np.ndarray, metric: str) -> np.ndarray:
+    """K3 on a batch: the nearest centroid's id, lowest id on ties."""
+    D = pairwise(X, C, metric)
+    _, near = smallest_k(D, np.broadcast_to(cids.astype(np.int64), D.shape), 1)
+    return near[:, 0]
+
+
 def _nearest_kernel(cids, C, k, metric, key_col, vec_col, carry, long):
     d = C.shape[1]
 

@@ -4,9 +4,10 @@ Vertex codes are computed on Arrow batches (NumPy ``X @ P.T`` and the splitmix c
 The probe sequence of a query is its code XOR a fixed list of masks ordered by
 ``(popcount, ascending bit tuple)`` -- the order in which a breadth-first walk that flips bits in
 ascending order reaches the vertices -- so probing is one equi-join of the base codes with the
-broadcast ``(qid, prank, code)`` table.  The candidate cap keeps the first ``M`` points in
-``(prank, id)`` order; distances are computed where the join produces the pair, so only
-``(qid, prank, id, dist)`` rows are shuffled for the cap and top-N windows.
+broadcast ``(qid, prank, code)`` table, done inside one candidate scan of the base
+(``operators.scan``).  The candidate cap keeps the first ``M`` points in ``(prank, id)`` order:
+each task keeps its local first ``M`` per query, and a ``row_number`` window over the <= M rows
+per (query, task) finishes the cap before the top-N window.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 
 from knnspark.functions.distance import arrow_matrix, distance, metric_name
 from knnspark.functions.hashing import cube_codes
-from knnspark.operators.exact import RANGE_SCHEMA, top_n
+from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
 from knnspark.operators.rerank import bounded_broadcast
+from knnspark.operators.scan import (ORDERED_SCHEMA, PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored,
+                                     finish_topn, match, pair_distances, run_blocks)
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
@@ -147,13 +150,69 @@ def candidates(model: CubeModel, index: DataFrame, queries: DataFrame,
     return _cap(pairs, model.params.max_candidates)
 
 
-def _pairs(model: CubeModel, base: DataFrame, queries: DataFrame, max_bytes: int) -> DataFrame:
-    pr = query_probes(model, queries, with_vectors=True)
-    pr = bounded_broadcast(pr, queries, model.params.probes, 8 * model.dim + 40, max_bytes)
-    bc = with_codes(model, base, "v", ("id", "v"))
-    pairs = (bc.join(pr, "code")
-             .select("qid", "id", "prank", distance(F.col("qv"), F.col("v"), model.params.metric).alias("dist")))
-    return _cap(pairs, model.params.max_candidates)
+def _payload(tbl: pa.Table):
+    """Broadcast value from collected ``(qid, prank, code, qv)`` rows, sorted by probe code."""
+    qid = tbl.column("qid").to_numpy()
+    uq, first, inv = np.unique(qid, return_index=True, return_inverse=True)
+    Q, _ = arrow_matrix(tbl.column("qv").take(pa.array(first)))
+    code = tbl.column("code").to_numpy()
+    order = np.argsort(code, kind="stable")
+    return (uq.astype(np.int64), np.ascontiguousarray(Q), code[order], inv[order],
+            tbl.column("prank").to_numpy()[order].astype(np.int64))
+
+
+def _scan_kernel(model: CubeModel, n: int, radius: float | None):
+    p = model.params
+    P, t, d, cap = model.P, model.t, model.dim, p.max_candidates
+
+    def kernel(bc):
+        def run(batches):
+            qids, Q, pcodes, powner, prank = bc.value
+            state = GroupTopN(cap) if cap > 0 else (GroupTopN(n) if n else None)
+            for rb in batches:
+                if rb.num_rows == 0:
+                    continue
+                lengths = pc.fill_null(pc.list_value_length(rb.column(1)), -1).to_numpy(zero_copy_only=False)
+                ok = np.nonzero(lengths == d)[0]
+                if len(ok) == 0:
+                    continue
+                sub = rb.take(pa.array(ok)) if len(ok) != rb.num_rows else rb
+                ids = sub.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                X, _ = arrow_matrix(sub.column(1), d)
+                rows, pos = match(pcodes, cube_codes(X, P, t, p.w, p.seed))
+                if len(rows) == 0:
+                    continue
+                q, pr = powner[pos], prank[pos]
+                if cap > 0:
+                    # H7 locally: the first ``cap`` points per query in (prank, id) order; the global
+                    # first ``cap`` are among the union of the local ones.
+                    loc = GroupTopN(cap)
+                    loc.add(q, pr, ids[rows], rows)
+                    q, pr, _, rows = loc.result()
+                    dist = pair_distances(Q, X, q, rows, p.metric)
+                    state.add(q, pr, ids[rows], dist)
+                else:
+                    dist = pair_distances(Q, X, q, rows, p.metric)
+                    yield from emit_scored(state, qids, q, ids[rows], dist, radius)
+            if cap > 0:
+                res = state.result()
+                if res is not None:
+                    q, pr, ids, dist = res
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(qids[q], pa.int64()), pa.array(ids, pa.int64()), pa.array(pr, pa.int32()),
+                         pa.array(dist, pa.float64())], names=["qid", "id", "prank", "dist"])
+            else:
+                yield from finish_topn(state, qids)
+        return run
+    return kernel
+
+
+def _scan(model: CubeModel, base: DataFrame, queries: DataFrame, n: int, radius: float | None,
+          max_bytes: int) -> DataFrame | None:
+    tables = collect_blocks(queries, lambda q: query_probes(model, q, True), model.params.probes,
+                            8 * model.dim + 64, max_bytes)
+    schema = ORDERED_SCHEMA if model.params.max_candidates > 0 else PAIR_SCHEMA
+    return run_blocks(base, ["id", "v"], [_payload(t) for t in tables], _scan_kernel(model, n, radius), schema)
 
 
 def search(model: CubeModel, base: DataFrame, queries: DataFrame, n: int,
@@ -161,7 +220,12 @@ def search(model: CubeModel, base: DataFrame, queries: DataFrame, n: int,
     """H8: top-N of the examined points by ``(dist, id)``."""
     if n <= 0:
         raise ValueError("N must be a positive integer")
-    return top_n(_pairs(model, base, queries, max_bytes), n)
+    pairs = _scan(model, base, queries, n, None, max_bytes)
+    if pairs is None:
+        return queries.sparkSession.createDataFrame([], NEIGHBOR_SCHEMA)
+    if model.params.max_candidates > 0:
+        return top_n(_cap(pairs, model.params.max_candidates), n)
+    return top_n(pairs.where("top"), n)
 
 
 def range_search(model: CubeModel, base: DataFrame, queries: DataFrame, radius: float,
@@ -169,8 +233,12 @@ def range_search(model: CubeModel, base: DataFrame, queries: DataFrame, radius:
     """H9: examined points with ``dist <= radius``."""
     if radius is None or radius <= 0:
         return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
-    return (_pairs(model, base, queries, max_bytes).where(F.col("dist") <= float(radius))
-            .select("qid", "id", "dist"))
+    pairs = _scan(model, base, queries, 0, float(radius), max_bytes)
+    if pairs is None:
+        return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
+    if model.params.max_candidates > 0:
+        return _cap(pairs, model.params.max_candidates).where(F.col("dist") <= float(radius)).select("qid", "id", "dist")
+    return pairs.where("hit").select("qid", "id", "dist")
 
 
 def search_index(model: CubeModel, index: DataFrame, base: DataFrame, queries: DataFrame, n: int,

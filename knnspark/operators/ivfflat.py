@@ -1,9 +1,11 @@
-"""IVFFlat (I1-I4): coarse probe -> equi-join to inverted lists on ``cid`` -> re-rank.
-
-Inverted lists are the table ``(cid, id, v)``.  Written with ``partitionBy("cid")`` they let
-Spark prune to the probed lists at run time (dynamic partition pruning); built on the fly they are
-one narrow assignment pass over the base.  The probe side (queries x nprobe) is broadcast only
-after its size is checked, so the lists are never shuffled.
+"""IVFFlat (I1-I4): coarse probe -> list scan -> top-N / radius.
+
+Inverted lists are the table ``(cid, id, v)``.  Search is one candidate scan (``operators.scan``):
+the probes ``(qid, cid)`` are computed by Spark and broadcast in size-checked blocks; each task
+matches its rows' cells to the probes and scores only those pairs.  Lists written with
+``partitionBy("cid")`` are filtered to the probed cells, so Spark reads only those partitions;
+without stored lists the cell of every base row is computed in the scan (K8), so the lists are
+never materialised or shuffled.
 """
 
 from __future__ import annotations
@@ -11,13 +13,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knnspark.functions.distance import distance, metric_name
+from knnspark.functions.distance import arrow_matrix, metric_name
 from knnspark.operators import cluster
-from knnspark.operators.exact import RANGE_SCHEMA, top_n
-from knnspark.operators.rerank import bounded_broadcast
+from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
+from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn, match,
+                                     pair_distances, run_blocks)
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
@@ -27,6 +32,8 @@ class IVFFlatIndex:
     C: np.ndarray
     lists: DataFrame          # (cid, id, v)
     metric: str = "l2"
+    base: DataFrame | None = None
+    stored: bool = False      # lists read back from a cid-partitioned table
 
     def centroids(self, spark) -> DataFrame:
         """The centroid table."""
@@ -42,14 +49,15 @@ def build_ivfflat(base: DataFrame, centroids=None, params: cluster.KMediansParam
     else:
         cids, C = centroids if isinstance(centroids, tuple) else cluster.centroid_matrix(centroids)
     lists = cluster.assign(base, (cids, C), metric, carry=("v",)).select("cid", "id", "v")
-    return IVFFlatIndex(cids, C, lists, metric)
+    return IVFFlatIndex(cids, C, lists, metric, base.select("id", "v"))
 
 
 def write_lists(index: IVFFlatIndex, path: str) -> DataFrame:
-    """Persist the inverted lists partitioned by ``cid``; returns the re-read table."""
+    """Persist the inverted lists partitioned by ``cid``; searches then read only probed cells."""
     index.lists.write.mode("overwrite").partitionBy("cid").parquet(path)
     spark = index.lists.sparkSession
     index.lists = spark.read.parquet(path).select("cid", "id", "v")
+    index.stored = True
     return index.lists
 
 
@@ -58,25 +66,84 @@ def probes(index: IVFFlatIndex, queries: DataFrame, nprobe: int) -> DataFrame:
     return cluster.nearest_probes(queries, (index.cids, index.C), nprobe, index.metric)
 
 
-def candidates(index: IVFFlatIndex, queries: DataFrame, nprobe: int,
-               max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Every point of the probed lists with its true distance -> ``(qid, id, dist)``."""
-    pr = probes(index, queries, nprobe).select("qid", "cid", "qv")
-    d = index.C.shape[1] if index.C.size else 0
-    pr = bounded_broadcast(pr, queries, max(nprobe, 0), 8 * d + 32, max_bytes)
-    return (index.lists.join(pr, "cid")
-            .select("qid", "id", distance(F.col("qv"), F.col("v"), index.metric).alias("dist")))
-
-
-def search(index: IVFFlatIndex, queries: DataFrame, n: int, nprobe: int) -> DataFrame:
+def _payload(tbl: pa.Table, cids: np.ndarray, C: np.ndarray):
+    qid = tbl.column("qid").to_numpy()
+    uq, first, inv = np.unique(qid, return_index=True, return_inverse=True)
+    Q, _ = arrow_matrix(tbl.column("qv").take(pa.array(first)))
+    cell = tbl.column("cid").to_numpy().astype(np.int64)
+    order = np.argsort(cell, kind="stable")
+    return uq.astype(np.int64), np.ascontiguousarray(Q), cell[order], inv[order], cids, C
+
+
+def _scan_kernel(metric: str, n: int, radius: float | None, has_cid: bool):
+    def kernel(bc):
+        def run(batches):
+            qids, Q, cells, owners, cids, C = bc.value
+            d = Q.shape[1]
+            state = GroupTopN(n) if n else None
+            for rb in batches:
+                if rb.num_rows == 0:
+                    continue
+                names = rb.schema.names
+                lengths = pc.fill_null(pc.list_value_length(rb.column(names.index("v"))), -1).to_numpy(
+                    zero_copy_only=False)
+                ok = np.nonzero(lengths == d)[0]
+                if len(ok) == 0:
+                    continue
+                sub = rb.take(pa.array(ok)) if len(ok) != rb.num_rows else rb
+                ids = sub.column(names.index("id")).to_numpy(zero_copy_only=False).astype(np.int64)
+                X, _ = arrow_matrix(sub.column(names.index("v")), d)
+                if has_cid:
+                    cell = sub.column(names.index("cid")).to_numpy(zero_copy_only=False).astype(np.int64)
+                else:
+                    cell = cluster.nearest_cid(X, cids, C, metric)          # K8 on the fly
+                rows, pos = match(cells, cell)
+                if len(rows) == 0:
+                    continue
+                q = owners[pos]
+                dist = pair_distances(Q, X, q, rows, metric)
+                yield from emit_scored(state, qids, q, ids[rows], dist, radius)
+            yield from finish_topn(state, qids)
+        return run
+    return kernel
+
+
+def _scan(index: IVFFlatIndex, queries: DataFrame, nprobe: int, n: int, radius: float | None,
+          max_bytes: int) -> DataFrame | None:
+    """Every point of the probed lists scored against its queries, in one pass."""
+    if nprobe <= 0 or len(index.cids) == 0:
+        return None
+    d = index.C.shape[1]
+    tables = collect_blocks(queries, lambda q: probes(index, q, nprobe), nprobe, 8 * d + 64, max_bytes)
+    payloads = [_payload(t, index.cids, index.C) for t in tables]
+    if not payloads:
+        return None
+    if index.stored:
+        probed = sorted({int(c) for p in payloads for c in np.unique(p[2])})
+        source = index.lists.where(F.col("cid").isin(probed))       # static partition pruning
+        return run_blocks(source, ["cid", "id", "v"], payloads, _scan_kernel(index.metric, n, radius, True),
+                          PAIR_SCHEMA)
+    source = index.base if index.base is not None else index.lists
+    return run_blocks(source, ["id", "v"], payloads, _scan_kernel(index.metric, n, radius, False), PAIR_SCHEMA)
+
+
+def search(index: IVFFlatIndex, queries: DataFrame, n: int, nprobe: int,
+           max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Top-N of the probed lists by ``(dist, id)`` -> ``(qid, rank, id, dist)``."""
     if n <= 0:
         raise ValueError("N must be a positive integer")
-    return top_n(candidates(index, queries, nprobe), n)
+    pairs = _scan(index, queries, nprobe, n, None, max_bytes)
+    if pairs is None:
+        return queries.sparkSession.createDataFrame([], NEIGHBOR_SCHEMA)
+    return top_n(pairs.where("top"), n)
 
 
-def range_search(index: IVFFlatIndex, queries: DataFrame, radius: float, nprobe: int) -> DataFrame:
+def range_search(index: IVFFlatIndex, queries: DataFrame, radius: float, nprobe: int,
+                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """I4: every candidate with ``dist <= radius`` (all of them, not only the first N; D4)."""
     if radius is None or radius <= 0:
         return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
-    return candidates(index, queries, nprobe).where(F.col("dist") <= float(radius))
+    pairs = _scan(index, queries, nprobe, 0, float(radius), max_bytes)
+    if pairs is None:
+        return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
+    return pairs.where("hit").select("qid", "id", "dist")

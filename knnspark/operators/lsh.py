@@ -5,11 +5,11 @@ dimension, not the data); the index ``(t, bucket, id)`` is one narrow ``mapInArr
 hashes Arrow batches with NumPy and emits one row per table.  ``LSHModel.bucket_columns`` gives
 the same buckets as plain columns for use inside other projections.
 
-Search (L5-L7) is fused into one scan of the base: each base row's ``L`` buckets are computed in
-the scan, joined to the (size-checked, broadcast) query buckets on ``(t, bucket)``, and the true
-distance is computed right there, so vectors never cross a shuffle.  Pairs found in several
-tables are de-duplicated (D3) by ranking with ``dense_rank`` over ``(dist, id)``, which gives
-duplicates the same rank, then dropping repeats inside the already-partitioned window output.
+Search (L5-L7) is one candidate scan of the base (``operators.scan``): the query buckets are
+computed by Spark and broadcast in size-checked blocks; each base task hashes its rows, matches
+them to the query buckets table by table, scores each distinct (query, point) pair once (D3) and
+keeps a local top-N, so only <= N rows per query and task are shuffled.  ``candidates`` and
+``search_index`` give the same answers from a stored ``lsh_index`` table by equi-joins.
 """
 
 from __future__ import annotations
@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from knnspark.functions.distance import arrow_matrix, distance, metric_name
 from knnspark.functions.hashing import LSH_TABLE_SIZE, lsh_amplify, lsh_buckets_np, lsh_coefficients, lsh_hash
-from knnspark.operators.exact import RANGE_SCHEMA
+from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
 from knnspark.operators.rerank import bounded_broadcast
+from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn, match,
+                                     pair_distances, run_blocks)
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
@@ -129,27 +131,76 @@ def candidates(model: LSHModel, index: DataFrame, queries: DataFrame,
     return index.join(qb, ["t", "bucket"]).select("qid", "id").distinct()
 
 
-def _pairs(model: LSHModel, base: DataFrame, queries: DataFrame, max_bytes: int) -> DataFrame:
-    """Fused scan: base buckets in the scan, broadcast query buckets, distance in place.
+def _payload(tbl: pa.Table, L: int):
+    """Broadcast value from collected ``(qid, qv, t, bucket)`` rows: queries + per-table sorted keys."""
+    qid = tbl.column("qid").to_numpy()
+    uq, first, inv = np.unique(qid, return_index=True, return_inverse=True)
+    Q, _ = arrow_matrix(tbl.column("qv").take(pa.array(first)))
+    t = tbl.column("t").to_numpy()
+    bucket = tbl.column("bucket").to_numpy()
+    keys, owners = [], []
+    for tt in range(L):
+        m = t == tt
+        order = np.argsort(bucket[m], kind="stable")
+        keys.append(bucket[m][order])
+        owners.append(inv[m][order])
+    return uq.astype(np.int64), np.ascontiguousarray(Q), keys, owners
 
-    May contain a pair once per table it shares (de-duplicated by the callers)."""
-    qb = query_buckets(model, queries, True)
-    qb = bounded_broadcast(qb, queries, model.params.L, 8 * model.dim + 40, max_bytes)
-    bb = with_buckets(model, base, "id", "v", ("v",))
-    return (bb.join(qb, ["t", "bucket"])
-            .select("qid", "id", distance(F.col("qv"), F.col("v"), model.params.metric).alias("dist")))
+
+def _scan_kernel(model: LSHModel, n: int, radius: float | None):
+    p = model.params
+    offsets, coef, d = model.offsets, np.asarray(model.coef, dtype=np.int64), model.dim
+
+    def kernel(bc):
+        def run(batches):
+            qids, Q, keys, owners = bc.value
+            state = GroupTopN(n) if n else None
+            for rb in batches:
+                if rb.num_rows == 0:
+                    continue
+                lengths = pc.fill_null(pc.list_value_length(rb.column(1)), -1).to_numpy(zero_copy_only=False)
+                ok = np.nonzero(lengths == d)[0]
+                if len(ok) == 0:
+                    continue
+                sub = rb.take(pa.array(ok)) if len(ok) != rb.num_rows else rb
+                ids = sub.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                X, _ = arrow_matrix(sub.column(1), d)
+                B = lsh_buckets_np(X, offsets, coef, p.w, p.k, p.table_size)
+                rr, qq = [], []
+                for t in range(p.L):
+                    rows, pos = match(keys[t], B[:, t])
+                    rr.append(rows)
+                    qq.append(owners[t][pos])
+                r, q = np.concatenate(rr), np.concatenate(qq)
+                if len(r) == 0:
+                    continue
+                # a pair found in several tables is scored once (D3)
+                _, u = np.unique(q * len(ids) + r, return_index=True)
+                r, q = r[u], q[u]
+                dist = pair_distances(Q, X, q, r, p.metric)
+                yield from emit_scored(state, qids, q, ids[r], dist, radius)
+            yield from finish_topn(state, qids)
+        return run
+    return kernel
+
+
+def _scan(model: LSHModel, base: DataFrame, queries: DataFrame, n: int, radius: float | None,
+          max_bytes: int) -> DataFrame | None:
+    tables = collect_blocks(queries, lambda q: query_buckets(model, q, True), model.params.L,
+                            8 * model.dim + 64, max_bytes)
+    payloads = [_payload(t, model.params.L) for t in tables]
+    return run_blocks(base, ["id", "v"], payloads, _scan_kernel(model, n, radius), PAIR_SCHEMA)
 
 
 def search(model: LSHModel, base: DataFrame, queries: DataFrame, n: int,
            max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Top-N distinct candidates by ``(dist, id)``; fewer when there are fewer candidates."""
+    """L5 + L6: top-N distinct candidates by ``(dist, id)``; fewer when there are fewer."""
     if n <= 0:
         raise ValueError("N must be a positive integer")
-    w = Window.partitionBy("qid").orderBy("dist", "id")
-    ranked = (_pairs(model, base, queries, max_bytes)
-              .withColumn("rank", F.dense_rank().over(w))
-              .where(F.col("rank") <= n))
-    return ranked.dropDuplicates(["qid", "rank"]).select("qid", F.col("rank").cast("int"), "id", "dist")
+    pairs = _scan(model, base, queries, n, None, max_bytes)
+    if pairs is None:
+        return queries.sparkSession.createDataFrame([], NEIGHBOR_SCHEMA)
+    return top_n(pairs.where("top"), n)
 
 
 def range_search(model: LSHModel, base: DataFrame, queries: DataFrame, radius: float,
@@ -157,8 +208,10 @@ def range_search(model: LSHModel, base: DataFrame, queries: DataFrame, radius: f
     """Every distinct candidate with ``dist <= radius`` (not only the first N; D4)."""
     if radius is None or radius <= 0:
         return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
-    return (_pairs(model, base, queries, max_bytes).where(F.col("dist") <= float(radius))
-            .dropDuplicates(["qid", "id"]).select("qid", "id", "dist"))
+    pairs = _scan(model, base, queries, 0, float(radius), max_bytes)
+    if pairs is None:
+        return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
+    return pairs.where("hit").select("qid", "id", "dist")
 
 
 def search_index(model: LSHModel, index: DataFrame, base: DataFrame, queries: DataFrame, n: int,

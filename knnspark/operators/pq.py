@@ -11,8 +11,8 @@ Build
 
 Search
   P5  lookup tables per probed ``(qid, cid)``: squared L2 from each residual part to each code word.
-  P6  ADC: the codes table joined to the LUT rows on ``cid``; LUT blocks are size-checked and
-      broadcast block by block, so the codes table is streamed, never shuffled.
+  P6  ADC: one candidate scan of the codes table (``operators.scan``) against the LUT blocks
+      (size-checked, broadcast); the codes table is streamed, never shuffled.
   P7  queries with no candidate at all fall back to an exact scan (``left_anti`` + exact kNN).
   P8  top-N / radius on the approximate distance.
 """
@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, smallest_k
 from knnspark.functions.hashing import md5_uniform
 from knnspark.operators import cluster, exact
-from knnspark.operators.blocks import check_broadcast, union_all
+from knnspark.operators.blocks import check_broadcast
 from knnspark.operators.exact import RANGE_SCHEMA, top_n
+from knnspark.operators.scan import PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn, match, run_blocks
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
@@ -326,20 +327,51 @@ def lookup_tables(index: PQIndex, queries: DataFrame) -> DataFrame:
                                                     "qid bigint, cid int, lut array<double>")
 
 
-def adc_candidates(index: PQIndex, queries: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """``(qid, id, dist)`` with the asymmetric distance ``sqrt(sum_m lut[m][code_m])``."""
+def _adc_payload(tbl: pa.Table, M: int, ksub: int):
+    """Broadcast value from collected ``(qid, cid, lut)`` rows, sorted by cell."""
+    qid = tbl.column("qid").to_numpy()
+    uq, inv = np.unique(qid, return_inverse=True)
+    cell = tbl.column("cid").to_numpy().astype(np.int64)
+    lut = tbl.column("lut").combine_chunks() if isinstance(tbl.column("lut"), pa.ChunkedArray) else tbl.column("lut")
+    L = lut.flatten().to_numpy(zero_copy_only=False).reshape(len(cell), M, ksub)
+    order = np.argsort(cell, kind="stable")
+    return uq.astype(np.int64), cell[order], inv[order], np.ascontiguousarray(L[order])
+
+
+def _adc_kernel(M: int, n: int, radius: float | None):
+    def kernel(bc):
+        def run(batches):
+            qids, cells, owners, L = bc.value
+            state = GroupTopN(n) if n else None
+            mm = np.arange(M)[None, :]
+            for rb in batches:
+                if rb.num_rows == 0:
+                    continue
+                cell = rb.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                ids = rb.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+                codes = rb.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, M)
+                rows, pos = match(cells, cell)
+                if len(rows) == 0:
+                    continue
+                dist = np.empty(len(rows))
+                for s0 in range(0, len(rows), 1 << 16):
+                    r, p_ = rows[s0:s0 + (1 << 16)], pos[s0:s0 + (1 << 16)]
+                    dist[s0:s0 + len(r)] = np.sqrt(L[p_[:, None], mm, codes[r]].sum(axis=1))
+                yield from emit_scored(state, qids, owners[pos], ids[rows], dist, radius)
+            yield from finish_topn(state, qids)
+        return run
+    return kernel
+
+
+def adc_scan(index: PQIndex, queries: DataFrame, n: int, radius: float | None,
+             max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame | None:
+    """P5 + P6: the query LUTs are computed by Spark and broadcast in size-checked blocks; one
+    pass over the codes table scores every point of a probed cell with ``sqrt(sum_m lut[m][code_m])``
+    and keeps a local top-N (or the radius hits)."""
     p = index.params
-    nq = queries.count()
-    lut_bytes = p.nprobe * p.m * p.ksub * 8 + 64
-    nblocks = max(1, math.ceil(nq * lut_bytes / max_bytes))
-    adist = F.expr(f"sqrt(aggregate(transform(codes, (c, i) -> lut[i * {p.ksub} + CAST(c AS INT)]), "
-                   f"CAST(0 AS DOUBLE), (a, x) -> a + x))")
-    frames = []
-    for b in range(nblocks):
-        qb = queries if nblocks == 1 else queries.where(F.pmod(F.xxhash64("qid"), F.lit(nblocks)) == b)
-        lut = F.broadcast(lookup_tables(index, qb))
-        frames.append(index.codes.join(lut, "cid").select("qid", "id", adist.alias("dist")))
-    return union_all(frames)
+    tables = collect_blocks(queries, lambda q: lookup_tables(index, q), p.nprobe, 8 * p.m * p.ksub + 64, max_bytes)
+    payloads = [_adc_payload(t, p.m, p.ksub) for t in tables]
+    return run_blocks(index.codes, ["cid", "id", "codes"], payloads, _adc_kernel(p.m, n, radius), PAIR_SCHEMA)
 
 
 def _with_fallback(index: PQIndex, base: DataFrame, queries: DataFrame, n: int | None,
@@ -364,8 +396,9 @@ def search(index: PQIndex, base: DataFrame, queries: DataFrame, n: int,
     """Top-N by approximate distance (ties by id) -> ``(qid, rank, id, dist)``."""
     if n <= 0:
         raise ValueError("N must be a positive integer")
-    cands = adc_candidates(index, queries, max_bytes)
-    return top_n(cands, n).unionByName(_with_fallback(index, base, queries, n, None))
+    pairs = adc_scan(index, queries, n, None, max_bytes)
+    fallback = _with_fallback(index, base, queries, n, None)
+    return fallback if pairs is None else top_n(pairs.where("top"), n).unionByName(fallback)
 
 
 def range_search(index: PQIndex, base: DataFrame, queries: DataFrame, radius: float,
@@ -373,5 +406,6 @@ def range_search(index: PQIndex, base: DataFrame, queries: DataFrame, radius: fl
     """Candidates with approximate ``dist <= radius``; fallback queries use the exact distance."""
     if radius is None or radius <= 0:
         return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
-    hits = adc_candidates(index, queries, max_bytes).where(F.col("dist") <= float(radius))
-    return hits.unionByName(_with_fallback(index, base, queries, None, radius))
+    pairs = adc_scan(index, queries, 0, float(radius), max_bytes)
+    fallback = _with_fallback(index, base, queries, None, radius)
+    return fallback if pairs is None else pairs.where("hit").select("qid", "id", "dist").unionByName(fallback)
