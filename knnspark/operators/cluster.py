@@ -40,6 +40,36 @@ def centroid_matrix(centroids: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST
     return cids[order].astype(np.int32), np.ascontiguousarray(C[order])
 
 
+def long_to_matrix(long: DataFrame, key: str = "cid", dim: str = "dim", value: str = "m",
+                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Collect a long ``(key, dim, value)`` table as ``(keys, matrix)`` in one job.
+
+    Each row holds three scalars, so ``limit(max_bytes // 32 + 1)`` bounds what reaches the
+    driver; more rows than that raise instead of being collected.
+    """
+    cap = max(1, max_bytes // 32)
+    tbl = long.select(F.col(key).cast("int"), F.col(dim).cast("int"), F.col(value).cast("double")).limit(cap + 1).toArrow()
+    if tbl.num_rows > cap:
+        raise MemoryError("centroid table exceeds the broadcast bound")
+    if tbl.num_rows == 0:
+        return np.empty(0, dtype=np.int32), np.empty((0, 0))
+    k = tbl.column(0).to_numpy()
+    j = tbl.column(1).to_numpy()
+    x = tbl.column(2).to_numpy(zero_copy_only=False)
+    keys, row = np.unique(k, return_inverse=True)
+    M = np.full((len(keys), int(j.max()) + 1), np.nan)
+    M[row, j] = x
+    if np.isnan(M).any():
+        raise ValueError("incomplete centroid table")
+    return keys.astype(np.int32), M
+
+
+def label_median_matrix(base: DataFrame, label_col: str = "label") -> tuple[np.ndarray, np.ndarray]:
+    """``label_medians`` collected straight from the long median table (one job after the bracket)."""
+    med = exact_median(explode_dims(base, "v", [label_col]), [label_col, "dim"], "x", "m")
+    return long_to_matrix(med, label_col, "dim", "m")
+
+
 def centroids_frame(spark, cids: np.ndarray, C: np.ndarray) -> DataFrame:
     rows = [(int(c), [float(x) for x in row]) for c, row in zip(cids, C)]
     return spark.createDataFrame(rows, CENTROID_SCHEMA)
@@ -315,33 +345,36 @@ def kmeanspp_seeds(sample: DataFrame, k: int, metric: str = "l2", seed: int = 1)
     return np.array(cids, dtype=np.int32), C
 
 
-def kmedians_step(sample: DataFrame, cids, C, metric: str, prev: DataFrame | None = None):
-    """K5 + K6: assign, count changes against ``prev`` (cid column; initial 0), median update.
+def kmedians_step(sample: DataFrame, cids, C, metric: str, prev: tuple | None = None):
+    """K5 + K6: assign, count changes against the assignment under ``prev`` centroids (initially
+    cluster 0, as in the reference), median update.
 
-    Empty clusters keep their old centroid (D8).  Returns (assigned, changes, new (cids, C)).
+    Both assignments are narrow passes over the (checkpointed) sample, so no join or stored
+    previous assignment is needed.  Empty clusters keep their old centroid (D8).
+    Returns (assigned, changes, new (cids, C)).
     """
-    spark = sample.sparkSession
-    assigned = assign(sample, (cids, C), metric, carry=("v",))
     if prev is None:
-        changes = assigned.where(F.col("cid") != 0).count()
+        cur = assign(sample, (cids, C), metric, carry=("v",))
+        changes = cur.where(F.col("cid") != 0).count()
     else:
-        changes = (assigned.join(prev.select("id", F.col("cid").alias("old")), "id")
-                   .where(F.col("cid") != F.col("old")).count())
-    med = exact_median(explode_dims(assigned, "v", ["cid"]), ["cid", "dim"], "x", "m")
-    new = assemble_vectors(med, ["cid"], "dim", "m", "c")
-    ncids, nC = centroid_matrix(new)
+        old = assign(sample, prev, metric, carry=("v",)).select("id", "v", F.col("cid").alias("old"))
+        cur = assign(old, (cids, C), metric, carry=("v", "old"))
+        changes = cur.where(F.col("cid") != F.col("old")).count()
+    med = exact_median(explode_dims(cur, "v", ["cid"]), ["cid", "dim"], "x", "m")
+    ncids, nC = long_to_matrix(med, "cid", "dim", "m")
     C2 = C.copy()
     pos = {int(c): i for i, c in enumerate(cids)}
     for c, row in zip(ncids, nC):
         C2[pos[int(c)]] = row
-    return assigned, changes, (cids, C2)
+    return cur, changes, (cids, C2)
 
 
 def kmedians_fit(points: DataFrame, params: KMediansParams) -> tuple[np.ndarray, np.ndarray, int]:
     """K1 -> K2 -> Lloyd loop (K5, K6) until changes <= tol or ``max_iter``.  Returns (cids, C, iters).
 
     The sample is written once to the shared checkpoint folder (reliable ``checkpoint``), so each
-    iteration reads it back instead of re-ranking the full table; only ``k x d`` centroid values
+    iteration reads it back instead of re-ranking the full table; every round's plan is that
+    checkpoint plus literal centroids, so lineage does not grow.  Only ``k x d`` centroid values
     go through the driver per iteration.
     """
     metric = metric_name(params.metric)
@@ -356,8 +389,9 @@ def kmedians_fit(points: DataFrame, params: KMediansParams) -> tuple[np.ndarray,
     prev = None
     it = 0
     while it < params.max_iter:
-        assigned, changes, (cids, C) = kmedians_step(sample, cids, C, metric, prev)
-        prev = assigned.select("id", "cid").checkpoint(eager=True)
+        _, changes, (ncids, nC) = kmedians_step(sample, cids, C, metric, prev)
+        prev = (cids, C)
+        cids, C = ncids, nC
         it += 1
         if changes <= params.tol_changes:
             break

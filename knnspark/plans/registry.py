@@ -115,7 +115,7 @@ PQ_M = 16
 
 
 def _label_centroids(base):
-    return K.centroid_matrix(K.label_medians(base))
+    return K.label_median_matrix(base)
 
 
 @register("dim_mean", f"""WITH {O.SPLIT}
