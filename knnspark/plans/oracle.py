@@ -125,7 +125,7 @@ def lsh_bucket(vec: str, model, t: int) -> str:
 def lsh_buckets_cte(name: str, src: str, key: str, vec: str, model, extra: str = "") -> str:
     arr = "[" + ", ".join(lsh_bucket(vec, model, t) for t in range(model.params.L)) + "]"
     return f"""{name} AS (
-  SELECT {key}{extra}, (unnest(generate_series(0, {model.params.L - 1})))::INTEGER AS t, unnest({arr}) AS bucket
+  SELECT {key}{extra}, (unnest(generate_series(0, {model.params.L - 1})))::INTEGER AS t, unnest({arr})::BIGINT AS bucket
   FROM {src})"""
 
 
