@@ -584,3 +584,32 @@ def q_throughput(spark, sf_dir):
     index, base, queries = _ivf_index(spark, sf_dir)
     approx = IVF.search(index, queries, N, NPROBE)
     return M.throughput(approx, exact.knn(base, queries, N), queries, N, "ivfflat")
+
+
+# --------------------------------------------------------------------------- result report
+
+from knnspark.sources import sink as SINK  # noqa: E402
+
+_NL = "chr(10)"
+
+
+@register("result_report", f"""WITH {_EVAL_CTES},
+cmp AS (SELECT a.qid, a.rank, a.id, a.dist, coalesce(t.dist, a.dist) AS true_dist
+        FROM approx a LEFT JOIN truth t ON t.qid = a.qid AND t.rank = a.rank),
+nbt AS (SELECT qid, string_agg(printf('Nearest neighbor-%d: %d', rank, id) || {_NL} ||
+                               printf('distanceApproximate: %.6f', dist) || {_NL} ||
+                               printf('distanceTrue: %.6f', true_dist), {_NL} ORDER BY rank) AS nb
+        FROM cmp GROUP BY qid),
+rgt AS (SELECT qid, string_agg(printf('R-near neighbor: %d (%.6f)', id, dist), {_NL} ORDER BY dist, id) AS rg
+        FROM cands WHERE dist <= {R} GROUP BY qid)
+SELECT nbt.qid AS qid, concat_ws({_NL}, repeat('=', 61), printf('Query: %d', nbt.qid), nbt.nb, rgt.rg) AS report
+FROM nbt LEFT JOIN rgt ON rgt.qid = nbt.qid""")
+def q_result_report(spark, sf_dir):
+    index, base, queries = _ivf_index(spark, sf_dir)
+    approx = IVF.search(index, queries, N, NPROBE)
+    cmp = M.truth_compare(approx, exact.knn(base, queries, N))
+    hits = IVF.range_search(index, queries, R, NPROBE)
+    ev = spark.createDataFrame([], "method string, average_af double, recall_at_n double, qps double, "
+                                   "ms_per_query double, truth_ms_per_query double")
+    lines = SINK.report_lines(cmp, hits, ev, {})
+    return lines.where("key >= 0").select(F.col("key").alias("qid"), F.col("value").alias("report"))
