@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, smallest_k
 from knnspark.operators.blocks import query_blocks, union_all
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
+from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scan_source
 from knnspark.sources.vectors import vector_dim
 
 PAIR_SCHEMA = "qid bigint, id bigint, dist double, top boolean, hit boolean"
@@ -74,7 +74,7 @@ def scan_pairs(base: DataFrame, queries: DataFrame, n: int = 0, radius: float |
     frames = []
     for qids, Q in blocks:
         bc = spark.sparkContext.broadcast((qids, Q))
-        frames.append(base.select(F.col("id").cast("bigint"), F.col("v").cast("array<double>"))
+        frames.append(scan_source(base.select(F.col("id").cast("bigint"), F.col("v").cast("array<double>")))
                       .mapInArrow(_scan_kernel(bc, metric, n, radius), PAIR_SCHEMA))
     return union_all(frames)
 

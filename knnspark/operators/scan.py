@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from knnspark.functions.distance import metric_name
 from knnspark.operators.blocks import union_all
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
+from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scan_source
 
 PAIR_SCHEMA = "qid bigint, id bigint, dist double, top boolean, hit boolean"
 ORDERED_SCHEMA = "qid bigint, id bigint, prank int, dist double"
@@ -156,7 +156,7 @@ def run_blocks(base: DataFrame, cols: list[str], payloads: list, kernel: Callabl
     frames = []
     for payload in payloads:
         bc = spark.sparkContext.broadcast(payload)
-        frames.append(base.select(*cols).mapInArrow(kernel(bc), schema))
+        frames.append(scan_source(base.select(*cols)).mapInArrow(kernel(bc), schema))
     return union_all(frames) if frames else None
 
 

@@ -11,6 +11,18 @@ from pyspark.sql import SparkSession
 # (query blocks, centroids, codebooks).  Every broadcast is checked against it.
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Optional session setting: number of tasks for dense / candidate scans of the base.  Each scan
+# task ships at most N rows per query to the top-N shuffle, so that shuffle carries
+# (scan tasks x queries x N) rows; coalescing the base into fewer, larger tasks (a narrow
+# operation) shrinks it for large query sets.  Unset: one task per input split.
+SCAN_PARTITIONS_CONF = "knnspark.scan.partitions"
+
+
+def scan_source(df):
+    """``df`` coalesced to ``knnspark.scan.partitions`` tasks when that setting is present."""
+    n = df.sparkSession.conf.get(SCAN_PARTITIONS_CONF, None)
+    return df.coalesce(int(n)) if n else df
+
 
 def get_spark(master: str | None = None, cpus: int | None = None,
               app: str = "knnspark", shuffle_partitions: int | None = None) -> SparkSession:

@@ -169,3 +169,14 @@ def test_pq_codebook_sample_option(split):
     index = pq.build_ivfpq(base, params, cluster.label_medians(base))
     assert index.codebooks.shape == (16, 8, 4)
     assert index.codes.count() == base.count()
+
+
+def test_scan_partitions_setting_keeps_results(spark, split, truth):
+    base, queries = split
+    spark.conf.set("knnspark.scan.partitions", "2")
+    try:
+        assert rows(exact.knn(base.repartition(9), queries, N)) == rows(truth)
+        model = lsh.draw_lsh(lsh.LSHParams(k=2, L=2, w=1e6, seed=5), 64)
+        assert rows(lsh.search(model, base.repartition(9), queries, N)) == rows(truth)
+    finally:
+        spark.conf.unset("knnspark.scan.partitions")
