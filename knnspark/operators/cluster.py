@@ -326,13 +326,16 @@ def _race_pick(sample: DataFrame, cids, C, metric: str, seed: int, rnd: int):
     return None if best is None else (int(best["id"]), np.asarray(best["v"], dtype=np.float64))
 
 
-def kmeanspp_seeds(sample: DataFrame, k: int, metric: str = "l2", seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+def kmeanspp_seeds(sample: DataFrame, k: int, metric: str = "l2", seed: int = 1,
+                   with_ids: bool = False) -> tuple[np.ndarray, ...]:
     """K2: k-means++ seeding; stops early when all remaining distances are 0.
 
-    Returns ``(cids, C)``; seed ``r`` gets cid ``r`` (0-based).
+    Returns ``(cids, C)`` -- plus the chosen points' ids with ``with_ids`` -- where seed ``r``
+    gets cid ``r`` (0-based).
     """
     metric = metric_name(metric)
     cids: list[int] = []
+    ids: list[int] = []
     rows: list[np.ndarray] = []
     for r in range(int(k)):
         C = np.vstack(rows) if rows else np.empty((0, 0))
@@ -340,8 +343,11 @@ def kmeanspp_seeds(sample: DataFrame, k: int, metric: str = "l2", seed: int = 1)
         if pick is None:
             break
         cids.append(r)
+        ids.append(pick[0])
         rows.append(pick[1])
     C = np.vstack(rows) if rows else np.empty((0, 0))
+    if with_ids:
+        return np.array(cids, dtype=np.int32), C, np.array(ids, dtype=np.int64)
     return np.array(cids, dtype=np.int32), C
 
 

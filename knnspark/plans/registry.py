@@ -438,10 +438,10 @@ def q_train_sample(spark, sf_dir):
 def q_kmeanspp_seeds(spark, sf_dir):
     base, _ = fixture_split(spark, sf_dir)
     sample = _sample(base).checkpoint(eager=True)
-    cids, C = K.kmeanspp_seeds(sample, TRAIN_K, "l2", 1)
-    # Seeds are sample points: recover their ids by an equi-join on the vector.
-    seeds = K.centroids_frame(spark, cids, C)
-    return seeds.join(sample, seeds["c"] == sample["v"]).select("cid", "id")
+    cids, _, ids = K.kmeanspp_seeds(sample, TRAIN_K, "l2", 1, with_ids=True)
+    chosen = spark.createDataFrame([(int(c), int(i)) for c, i in zip(cids, ids)], "cid int, id bigint")
+    # the chosen ids are checked against the sample table they were drawn from
+    return chosen.join(sample.select("id"), "id").select("cid", "id")
 
 
 def _centroid_rows(spark, cids, C):

@@ -11,7 +11,6 @@ No state is kept between batches: every query is answered independently, as in t
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from knnspark.plans import api
