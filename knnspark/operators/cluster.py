@@ -93,6 +93,7 @@ def nearest_cid(X: np.ndarray, cids: np.ndarray, C: np.ndarray, metric: str) ->
 
 
 def _nearest_kernel(cids, C, k, metric, key_col, vec_col, carry, long):
+    check_broadcast(C.nbytes, "centroid matrix")        # shipped to every task with the closure
     d = C.shape[1]
 
     def run(batches):

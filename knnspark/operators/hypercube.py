@@ -27,6 +27,7 @@ from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
 from knnspark.operators.rerank import bounded_broadcast
 from knnspark.operators.scan import (ORDERED_SCHEMA, PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored,
                                      finish_topn, match, pair_distances, run_blocks)
+from knnspark.operators.blocks import check_broadcast
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
@@ -63,6 +64,7 @@ def draw_cube(params: CubeParams, dim: int) -> CubeModel:
     """H2: projections ``N(0, 1)`` and offsets ``U[0, w)`` from a seeded generator."""
     if dim <= 0:
         raise ValueError("vectors have zero dimension")
+    check_broadcast(8 * params.kproj * dim, "hypercube projections")
     rng = np.random.default_rng(params.seed)
     P = rng.standard_normal((params.kproj, dim))
     t = rng.uniform(0.0, params.w, size=params.kproj)

@@ -27,6 +27,7 @@ from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
 from knnspark.operators.rerank import bounded_broadcast
 from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn, match,
                                      pair_distances, run_blocks)
+from knnspark.operators.blocks import check_broadcast
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
@@ -69,6 +70,7 @@ class LSHModel:
 
 def draw_lsh(params: LSHParams, dim: int) -> LSHModel:
     """L1: offsets ``s ~ U[0, w)`` from a seeded generator; coefficients from the fixed rule."""
+    check_broadcast(8 * params.L * params.k * max(dim, 1), "LSH parameters")
     rng = np.random.default_rng(params.seed)
     offsets = rng.uniform(0.0, params.w, size=(params.L, params.k, dim))
     return LSHModel(params, offsets, lsh_coefficients(dim))

@@ -82,7 +82,8 @@ def residual_parts(points: DataFrame, cids, C, m: int, metric: str) -> DataFrame
         raise ValueError("vector dimension must be divisible by M")
     ds = d // m
     spark = points.sparkSession
-    cents = F.broadcast(cluster.centroids_frame(spark, cids, C))   # k x d, size checked upstream
+    check_broadcast(C.nbytes, "centroid matrix")
+    cents = F.broadcast(cluster.centroids_frame(spark, cids, C))
     asg = cluster.assign(points, (cids, C), metric, carry=("v",)).select("cid", "id", "v")
     res = asg.join(cents, "cid").select("cid", "id", F.zip_with("v", "c", lambda x, y: x - y).alias("r"))
     parts = F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: F.slice("r", i * ds + 1, ds))
@@ -233,6 +234,7 @@ def _random_points(parts: DataFrame, empties: list[tuple[int, int]], seed: int,
 
 
 def _encode_kernel(cids, C, books, metric):
+    check_broadcast(C.nbytes + books.nbytes, "centroids and codebooks")
     M, ksub, ds = books.shape
     pos = {int(c): i for i, c in enumerate(cids)}
 
@@ -299,6 +301,7 @@ def codebook_table(spark, index: PQIndex) -> DataFrame:
 
 
 def _lut_kernel(cids, C, books):
+    check_broadcast(C.nbytes + books.nbytes, "centroids and codebooks")
     M, ksub, ds = books.shape
     pos = {int(c): i for i, c in enumerate(cids)}
 
