@@ -5,6 +5,6 @@ and query sets are ``(qid BIGINT, qv ARRAY<DOUBLE>)``.  Indexes are ordinary tab
 candidate generation is an equi-join, and ranking is a windowed top-k.
 """
 
-from knnspark.session import get_spark, checkpoint_dir
+from knnspark.session import checkpoint_dir, get_spark, prepare
 
-__all__ = ["get_spark", "checkpoint_dir"]
+__all__ = ["get_spark", "checkpoint_dir", "prepare"]

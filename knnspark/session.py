@@ -44,6 +44,36 @@ def get_spark(master: str | None = None, cpus: int | None = None,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return prepare(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``knnspark`` importable on executors: zip the package and ``addPyFile`` it once per
+    application (the same as ``--py-files``; task closures reference the package's functions)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="knnspark-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Everything a session needs before running this library's jobs."""
+    ship_package(spark)
     checkpoint_dir(spark)
     return spark
 
