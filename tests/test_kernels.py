@@ -74,3 +74,49 @@ def test_lsh_numpy_hash_matches_definition():
                 h = sum(((a[d - 1 - q] % 256) * coef[q]) % 256 for q in range(d)) % 256
                 g = ((g << (32 // k)) | h) & 0xFFFFFFFF
             assert got[i, t] == g % 256
+
+
+class _BC:
+    def __init__(self, value):
+        self.value = value
+
+
+def _run_exact_kernel(Q, X, ids, n, radius, metric="l2"):
+    import pyarrow as pa
+
+    from knnspark.operators.exact import _scan_kernel
+
+    qids = np.arange(100, 100 + len(Q), dtype=np.int64)
+    batches = []
+    for s in range(0, len(X), 7):
+        xs = X[s:s + 7]
+        offs = pa.array(np.arange(0, (len(xs) + 1) * X.shape[1], X.shape[1], dtype=np.int32))
+        batches.append(pa.RecordBatch.from_arrays(
+            [pa.array(ids[s:s + 7]), pa.ListArray.from_arrays(offs, pa.array(xs.ravel()))], names=["id", "v"]))
+    out = list(_scan_kernel(_BC((qids, Q)), metric, n, radius)(iter(batches)))
+    rows = [r for b in out for r in zip(*[b.column(i).to_pylist() for i in range(5)])]
+    return qids, rows
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 6), st.integers(1, 60), st.integers(1, 6), st.integers(0, 2**31 - 1), st.booleans())
+def test_gemm_filter_is_exact(nq, nx, n, seed, dup):
+    rng = np.random.default_rng(seed)
+    d = 5
+    X = rng.integers(-3, 4, size=(nx, d)).astype(float) * 0.5   # many exact ties
+    if dup:
+        X[::2] = X[0]
+    Q = rng.integers(-3, 4, size=(nq, d)).astype(float) * 0.5
+    ids = rng.permutation(10 * nx)[:nx].astype(np.int64)
+    radius = 1.5
+    qids, rows = _run_exact_kernel(Q, X, ids, n, radius)
+    D = np.sqrt(((Q[:, None] - X[None]) ** 2).sum(-1))
+    top = sorted((q, i, round(dd, 12)) for q, i, dd, t, h in rows if t)
+    want = []
+    for a in range(nq):
+        order = np.lexsort((ids, D[a]))[:n]
+        want += [(int(qids[a]), int(ids[j]), round(float(D[a, j]), 12)) for j in order]
+    # a task's local top-n is exact per task; here one task sees everything
+    assert sorted((q, i) for q, i, _ in top) == sorted((q, i) for q, i, _ in want)
+    hits = sorted((q, i) for q, i, dd, t, h in rows if h)
+    assert hits == sorted((int(qids[a]), int(ids[j])) for a in range(nq) for j in range(nx) if D[a, j] <= radius)
