@@ -1,9 +1,10 @@
 """Vector scalar functions (V1-V8, V11) as Spark columns, plus NumPy batch kernels.
 
-Column forms stay inside the JVM (higher-order array functions, whole-stage codegen) and are
-used wherever a plan compares a bounded candidate set.  The NumPy kernels run inside
-``mapInArrow`` tasks on Arrow batches and are used for the dense scans (exact search,
-centroid assignment) where a query block or a centroid table is shipped to every task.
+Column forms stay inside the JVM and serve projections over bounded inputs.  The NumPy kernels
+run inside ``mapInArrow`` tasks on Arrow batches and serve the dense scans (exact search,
+centroid assignment, candidate scoring) where a query block or a centroid table is shipped to
+every task.  Distances are scored from explicit differences; for L2 a matrix product with a
+proven rounding bound first narrows the candidates (``smallest_k_l2``), so answers are exact.
 """
 
 from __future__ import annotations
@@ -145,3 +146,39 @@ def smallest_k(dist: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, n
         d_sel, i_sel = dist, ids
     order = np.lexsort((i_sel, d_sel), axis=1)
     return np.take_along_axis(d_sel, order, axis=1), np.take_along_axis(i_sel, order, axis=1)
+
+
+def gemm_error_bound(rn: np.ndarray, cn_max: float, d: int) -> np.ndarray:
+    """Bound on the rounding error of ``|r|^2 + |c|^2 - 2 r.c`` in float64, whatever the
+    summation order of the matrix product: about ``d * eps`` times the magnitudes involved."""
+    eps = np.finfo(np.float64).eps
+    return 4.0 * (d + 2) * eps * (rn + cn_max) + 1e-300
+
+
+def smallest_k_l2(X: np.ndarray, C: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row of ``X``, the ``k`` smallest exact ``(L2 distance, key)`` pairs over the rows of ``C``.
+
+    Same answer as ``smallest_k(pairwise(X, C), keys, k)``: a matrix product bounds every
+    squared distance within a proven error, and only entries that can still be among the k
+    smallest are scored again from explicit differences.
+    """
+    n, d = X.shape
+    m = C.shape[0]
+    k = min(k, m)
+    if n == 0 or k == 0:
+        return np.empty((n, k)), np.empty((n, k), dtype=np.int64)
+    xn = np.einsum("ij,ij->i", X, X)
+    cn = np.einsum("ij,ij->i", C, C)
+    A = xn[:, None] + cn[None, :] - 2.0 * (X @ C.T)
+    err = gemm_error_bound(xn, float(cn.max()), d)[:, None]
+    t = np.partition(A, k - 1, axis=1)[:, k - 1:k]
+    ri, ci = np.nonzero(A <= t + 2.0 * err)
+    diff = X[ri] - C[ci]
+    dist = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+    kv = np.asarray(keys, dtype=np.int64)[ci]
+    order = np.lexsort((kv, dist, ri))
+    ri, dist, kv = ri[order], dist[order], kv[order]
+    first = np.r_[True, ri[1:] != ri[:-1]]
+    start = np.maximum.accumulate(np.where(first, np.arange(len(ri)), 0))
+    keep = (np.arange(len(ri)) - start) < k
+    return dist[keep].reshape(n, k), kv[keep].reshape(n, k)

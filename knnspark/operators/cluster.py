@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, smallest_k
+from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, smallest_k, smallest_k_l2
 from knnspark.functions.hashing import md5_uniform
 from knnspark.functions.stats import assemble_vectors, exact_median, explode_dims
 from knnspark.operators.blocks import check_broadcast, union_all, vector_blocks
@@ -85,11 +85,20 @@ def label_medians(base: DataFrame, label_col: str = "label") -> DataFrame:
 # --------------------------------------------------------------------------- nearest centroids
 
 
+def nearest_centroids(X: np.ndarray, cids: np.ndarray, C: np.ndarray, metric: str,
+                      k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` nearest centroids of every row by exact ``(dist, cid)``: ``(dist, cid)`` matrices.
+
+    L2 goes through the GEMM pre-filter (same answer, matrix-product speed)."""
+    if metric == "l2":
+        return smallest_k_l2(X, C, cids, k)
+    D = pairwise(X, C, metric)
+    return smallest_k(D, np.broadcast_to(cids.astype(np.int64), D.shape), k)
+
+
 def nearest_cid(X: np.ndarray, cids: np.ndarray, C: np.ndarray, metric: str) -> np.ndarray:
     """K3 on a batch: the nearest centroid's id, lowest id on ties."""
-    D = pairwise(X, C, metric)
-    _, near = smallest_k(D, np.broadcast_to(cids.astype(np.int64), D.shape), 1)
-    return near[:, 0]
+    return nearest_centroids(X, cids, C, metric, 1)[1][:, 0]
 
 
 def _nearest_kernel(cids, C, k, metric, key_col, vec_col, carry, long):
@@ -106,9 +115,8 @@ def _nearest_kernel(cids, C, k, metric, key_col, vec_col, carry, long):
                 continue
             sub = rb.take(pa.array(ok)) if len(ok) != rb.num_rows else rb
             X, _ = arrow_matrix(sub.column(vec_col), d)
-            D = pairwise(X, C, metric)
             kk = min(k, C.shape[0])
-            dist, cid = smallest_k(D, np.broadcast_to(cids.astype(np.int64), D.shape), kk)
+            dist, cid = nearest_centroids(X, cids, C, metric, kk)
             keys = sub.column(key_col)
             if long:
                 rows = np.repeat(np.arange(sub.num_rows), kk)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, smallest_k
+from knnspark.functions.distance import arrow_matrix, gemm_error_bound, metric_name, pairwise, smallest_k
 from knnspark.operators.blocks import query_blocks, union_all
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scan_source
 from knnspark.sources.vectors import vector_dim
@@ -35,13 +35,6 @@ def _pair_batch(qid, ids, dist, top: bool, hit: bool) -> pa.RecordBatch:
         names=["qid", "id", "dist", "top", "hit"])
 
 
-def _gemm_bound(qn: np.ndarray, xn_max: float, d: int) -> np.ndarray:
-    """Bound on the rounding error of ``|q|^2 + |x|^2 - 2 q.x`` in float64 (any summation order,
-    FMA or not): each of the three terms is off by at most ~d eps times its magnitude."""
-    eps = np.finfo(np.float64).eps
-    return 4.0 * (d + 2) * eps * (qn + xn_max) + 1e-300
-
-
 def _gemm_kernel(bc, n: int, radius: float | None):
     """Exact L2 search with a GEMM pre-filter.
 
@@ -67,7 +60,7 @@ def _gemm_kernel(bc, n: int, radius: float | None):
                 ids, X = ids_all[s:s + step], X_all[s:s + step]
                 xn = np.einsum("ij,ij->i", X, X)
                 A = qn[:, None] + xn[None, :] - 2.0 * (Q @ X.T)
-                err = _gemm_bound(qn, float(xn.max()), d)[:, None]
+                err = gemm_error_bound(qn, float(xn.max()), d)[:, None]
                 if state is not None:
                     k = min(n, A.shape[1])
                     t = np.partition(A, k - 1, axis=1)[:, k - 1:k]

@@ -120,3 +120,18 @@ def test_gemm_filter_is_exact(nq, nx, n, seed, dup):
     assert sorted((q, i) for q, i, _ in top) == sorted((q, i) for q, i, _ in want)
     hits = sorted((q, i) for q, i, dd, t, h in rows if h)
     assert hits == sorted((int(qids[a]), int(ids[j])) for a in range(nq) for j in range(nx) if D[a, j] <= radius)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 30), st.integers(1, 12), st.integers(1, 4), st.integers(0, 2**31 - 1))
+def test_smallest_k_l2_equals_direct(n, m, k, seed):
+    from knnspark.functions.distance import smallest_k_l2
+
+    rng = np.random.default_rng(seed)
+    X = rng.integers(-2, 3, size=(n, 4)).astype(float)
+    C = rng.integers(-2, 3, size=(m, 4)).astype(float)         # duplicate centroids and ties
+    keys = rng.permutation(100)[:m].astype(np.int64)
+    d1, k1 = smallest_k_l2(X, C, keys, k)
+    d2, k2 = smallest_k(pairwise(X, C, "l2"), np.broadcast_to(keys, (n, m)), k)
+    assert np.array_equal(k1, k2)
+    assert np.allclose(d1, d2, rtol=0, atol=1e-12)
