@@ -293,10 +293,17 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(VectorFileDataSource)
 
 
+# Dataset type names accepted by the reference's loader, mapped to file formats.
+KIND_ALIASES = {"mnist": "idx", "sift": "fvecs"}
+
+
 def read_vectors(spark: SparkSession, path: str, kind: str, split_bytes: int = DEFAULT_SPLIT_BYTES) -> DataFrame:
-    """Load a vector file (or a folder of them) as ``(id, v)``."""
+    """Load a vector file (or a folder of them) as ``(id, v)``.
+
+    ``kind``: ``fvecs`` (alias ``sift``), ``idx`` (alias ``mnist``), ``text`` or ``parquet``.
+    """
     register(spark)
-    kind = kind.lower()
+    kind = KIND_ALIASES.get(kind.lower(), kind.lower())
     if kind == "parquet":
         from knnspark.sources.vectors import canonical
         return canonical(spark.read.parquet(path), "id", "v", ())

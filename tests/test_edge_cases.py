@@ -143,3 +143,14 @@ def test_fvecs_and_idx_roundtrip_with_splits(spark, tmp_path):
     q.write_bytes(struct.pack(">IIII", 0x803, 11, 3, 4) + img.tobytes())
     got = binary.read_vectors(spark, str(q), "idx", split_bytes=30).orderBy("id").collect()
     assert np.array_equal(np.array([r["v"] for r in got]), img.reshape(11, 12).astype(np.float64))
+
+
+def test_dataset_type_aliases(spark, tmp_path):
+    p = tmp_path / "a.fvecs"
+    p.write_bytes(struct.pack("<i", 2) + struct.pack("<2f", 1.0, 2.0))
+    assert [list(r["v"]) for r in binary.read_vectors(spark, str(p), "sift").collect()] == [[1.0, 2.0]]
+    q = tmp_path / "a.idx"
+    q.write_bytes(struct.pack(">IIII", 0x803, 1, 1, 2) + bytes([7, 9]))
+    assert [list(r["v"]) for r in binary.read_vectors(spark, str(q), "MNIST").collect()] == [[7.0, 9.0]]
+    with pytest.raises(Exception):
+        binary.read_vectors(spark, str(q), "demo").collect()
