@@ -26,7 +26,7 @@ from knnspark.functions.hashing import cube_codes
 from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
 from knnspark.operators.rerank import bounded_broadcast
 from knnspark.operators.scan import (ORDERED_SCHEMA, PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored,
-                                     finish_topn, match, pair_distances, run_blocks)
+                                     finish_topn, match_chunks, pair_distances, run_blocks)
 from knnspark.operators.blocks import check_broadcast
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
@@ -181,21 +181,20 @@ def _scan_kernel(model: CubeModel, n: int, radius: float | None):
                 sub = rb.take(pa.array(ok)) if len(ok) != rb.num_rows else rb
                 ids = sub.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 X, _ = arrow_matrix(sub.column(1), d)
-                rows, pos = match(pcodes, cube_codes(X, P, t, p.w, p.seed))
-                if len(rows) == 0:
-                    continue
-                q, pr = powner[pos], prank[pos]
-                if cap > 0:
-                    # H7 locally: the first ``cap`` points per query in (prank, id) order; the global
-                    # first ``cap`` are among the union of the local ones.
-                    loc = GroupTopN(cap)
-                    loc.add(q, pr, ids[rows], rows)
-                    q, pr, _, rows = loc.result()
-                    dist = pair_distances(Q, X, q, rows, p.metric)
-                    state.add(q, pr, ids[rows], dist)
-                else:
-                    dist = pair_distances(Q, X, q, rows, p.metric)
-                    yield from emit_scored(state, qids, q, ids[rows], dist, radius)
+                codes = cube_codes(X, P, t, p.w, p.seed)
+                for rows, pos in match_chunks(pcodes, codes):
+                    q, pr = powner[pos], prank[pos]
+                    if cap > 0:
+                        # H7 locally: the first ``cap`` points per query in (prank, id) order; the
+                        # global first ``cap`` are among the union of the local ones.
+                        loc = GroupTopN(cap)
+                        loc.add(q, pr, ids[rows], rows)
+                        q, pr, _, rows = loc.result()
+                        dist = pair_distances(Q, X, q, rows, p.metric)
+                        state.add(q, pr, ids[rows], dist)
+                    else:
+                        dist = pair_distances(Q, X, q, rows, p.metric)
+                        yield from emit_scored(state, qids, q, ids[rows], dist, radius)
             if cap > 0:
                 res = state.result()
                 if res is not None:

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from knnspark.functions.distance import arrow_matrix, metric_name
 from knnspark.operators import cluster
 from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
-from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn, match,
-                                     pair_distances, run_blocks)
+from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn,
+                                     match_chunks, pair_distances, run_blocks)
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
@@ -97,12 +97,10 @@ def _scan_kernel(metric: str, n: int, radius: float | None, has_cid: bool):
                     cell = sub.column(names.index("cid")).to_numpy(zero_copy_only=False).astype(np.int64)
                 else:
                     cell = cluster.nearest_cid(X, cids, C, metric)          # K8 on the fly
-                rows, pos = match(cells, cell)
-                if len(rows) == 0:
-                    continue
-                q = owners[pos]
-                dist = pair_distances(Q, X, q, rows, metric)
-                yield from emit_scored(state, qids, q, ids[rows], dist, radius)
+                for rows, pos in match_chunks(cells, cell):
+                    q = owners[pos]
+                    dist = pair_distances(Q, X, q, rows, metric)
+                    yield from emit_scored(state, qids, q, ids[rows], dist, radius)
             yield from finish_topn(state, qids)
         return run
     return kernel

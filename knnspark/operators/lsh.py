@@ -25,8 +25,8 @@ from knnspark.functions.distance import arrow_matrix, metric_name
 from knnspark.functions.hashing import LSH_TABLE_SIZE, lsh_amplify, lsh_buckets_np, lsh_coefficients, lsh_hash
 from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
 from knnspark.operators.rerank import bounded_broadcast
-from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn, match,
-                                     pair_distances, run_blocks)
+from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn,
+                                     match_chunks, pair_distances, run_blocks)
 from knnspark.operators.blocks import check_broadcast
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
@@ -139,13 +139,15 @@ def _payload(tbl: pa.Table, L: int):
     Q, _ = arrow_matrix(tbl.column("qv").take(pa.array(first)))
     t = tbl.column("t").to_numpy()
     bucket = tbl.column("bucket").to_numpy()
+    QB = np.zeros((len(uq), L), dtype=np.int64)
+    QB[inv, t] = bucket
     keys, owners = [], []
     for tt in range(L):
         m = t == tt
         order = np.argsort(bucket[m], kind="stable")
         keys.append(bucket[m][order])
         owners.append(inv[m][order])
-    return uq.astype(np.int64), np.ascontiguousarray(Q), keys, owners
+    return uq.astype(np.int64), np.ascontiguousarray(Q), keys, owners, QB
 
 
 def _scan_kernel(model: LSHModel, n: int, radius: float | None):
@@ -154,7 +156,7 @@ def _scan_kernel(model: LSHModel, n: int, radius: float | None):
 
     def kernel(bc):
         def run(batches):
-            qids, Q, keys, owners = bc.value
+            qids, Q, keys, owners, QB = bc.value
             state = GroupTopN(n) if n else None
             for rb in batches:
                 if rb.num_rows == 0:
@@ -167,19 +169,17 @@ def _scan_kernel(model: LSHModel, n: int, radius: float | None):
                 ids = sub.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 X, _ = arrow_matrix(sub.column(1), d)
                 B = lsh_buckets_np(X, offsets, coef, p.w, p.k, p.table_size)
-                rr, qq = [], []
                 for t in range(p.L):
-                    rows, pos = match(keys[t], B[:, t])
-                    rr.append(rows)
-                    qq.append(owners[t][pos])
-                r, q = np.concatenate(rr), np.concatenate(qq)
-                if len(r) == 0:
-                    continue
-                # a pair found in several tables is scored once (D3)
-                _, u = np.unique(q * len(ids) + r, return_index=True)
-                r, q = r[u], q[u]
-                dist = pair_distances(Q, X, q, r, p.metric)
-                yield from emit_scored(state, qids, q, ids[r], dist, radius)
+                    for r, pos in match_chunks(keys[t], B[:, t]):
+                        q = owners[t][pos]
+                        if t:
+                            # a pair found in several tables is scored once, in its first table (D3)
+                            first = ~(B[r, :t] == QB[q, :t]).any(axis=1)
+                            r, q = r[first], q[first]
+                        if len(r) == 0:
+                            continue
+                        dist = pair_distances(Q, X, q, r, p.metric)
+                        yield from emit_scored(state, qids, q, ids[r], dist, radius)
             yield from finish_topn(state, qids)
         return run
     return kernel

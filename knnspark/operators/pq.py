@@ -31,7 +31,8 @@ from knnspark.functions.hashing import md5_uniform
 from knnspark.operators import cluster, exact
 from knnspark.operators.blocks import check_broadcast
 from knnspark.operators.exact import RANGE_SCHEMA, top_n
-from knnspark.operators.scan import PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn, match, run_blocks
+from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn, match_chunks,
+                                     run_blocks)
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
@@ -352,14 +353,12 @@ def _adc_kernel(M: int, n: int, radius: float | None):
                 cell = rb.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 ids = rb.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
                 codes = rb.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, M)
-                rows, pos = match(cells, cell)
-                if len(rows) == 0:
-                    continue
-                dist = np.empty(len(rows))
-                for s0 in range(0, len(rows), 1 << 16):
-                    r, p_ = rows[s0:s0 + (1 << 16)], pos[s0:s0 + (1 << 16)]
-                    dist[s0:s0 + len(r)] = np.sqrt(L[p_[:, None], mm, codes[r]].sum(axis=1))
-                yield from emit_scored(state, qids, owners[pos], ids[rows], dist, radius)
+                for rows, pos in match_chunks(cells, cell):
+                    dist = np.empty(len(rows))
+                    for s0 in range(0, len(rows), 1 << 16):
+                        r, p_ = rows[s0:s0 + (1 << 16)], pos[s0:s0 + (1 << 16)]
+                        dist[s0:s0 + len(r)] = np.sqrt(L[p_[:, None], mm, codes[r]].sum(axis=1))
+                    yield from emit_scored(state, qids, owners[pos], ids[rows], dist, radius)
             yield from finish_topn(state, qids)
         return run
     return kernel

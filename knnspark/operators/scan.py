@@ -49,6 +49,34 @@ def match(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nda
     return rows, start + np.arange(total)
 
 
+def match_chunks(sorted_keys: np.ndarray, keys: np.ndarray, limit: int = _PAIR_BUFFER):
+    """``match`` in pieces of at most ``limit`` pairs, so a hot key (many queries on one bucket
+    or cell) never materialises rows x queries pairs at once; one row with more matches than
+    ``limit`` is itself split."""
+    lo = np.searchsorted(sorted_keys, keys, "left")
+    hi = np.searchsorted(sorted_keys, keys, "right")
+    cnt = hi - lo
+    cum = np.cumsum(cnt)
+    n = len(keys)
+    r0 = 0
+    while r0 < n:
+        before = int(cum[r0 - 1]) if r0 else 0
+        r1 = int(np.searchsorted(cum, before + limit, "right"))
+        if r1 == r0:                      # a single row above the limit
+            for s in range(int(lo[r0]), int(hi[r0]), limit):
+                e = min(s + limit, int(hi[r0]))
+                yield np.full(e - s, r0), np.arange(s, e)
+            r0 += 1
+            continue
+        c = cnt[r0:r1]
+        total = int(c.sum())
+        if total:
+            rows = np.repeat(np.arange(r0, r1), c)
+            start = np.repeat(lo[r0:r1] - (np.cumsum(c) - c), c)
+            yield rows, start + np.arange(total)
+        r0 = r1
+
+
 def pair_distances(Q: np.ndarray, X: np.ndarray, qi: np.ndarray, ri: np.ndarray, metric: str) -> np.ndarray:
     """Distances of the pairs ``(Q[qi], X[ri])`` from explicit differences, in bounded chunks."""
     out = np.empty(len(qi))

@@ -135,3 +135,18 @@ def test_smallest_k_l2_equals_direct(n, m, k, seed):
     d2, k2 = smallest_k(pairwise(X, C, "l2"), np.broadcast_to(keys, (n, m)), k)
     assert np.array_equal(k1, k2)
     assert np.allclose(d1, d2, rtol=0, atol=1e-12)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=40), st.lists(st.integers(0, 4), max_size=40), st.integers(1, 7))
+def test_match_chunks_cover_the_join_within_limit(left, right, limit):
+    from knnspark.operators.scan import match_chunks
+
+    sk = np.sort(np.array(right, dtype=np.int64))
+    keys = np.array(left, dtype=np.int64)
+    got = []
+    for rows, pos in match_chunks(sk, keys, limit):
+        assert len(rows) <= limit
+        got += [(int(r), int(p)) for r, p in zip(rows, pos)]
+    rows, pos = match(sk, keys)
+    assert sorted(got) == sorted(zip(rows.tolist(), pos.tolist()))
