@@ -1,9 +1,7 @@
 """Aggregates over vector components (V9 mean, V10 median) that stay bounded per group.
 
-``exact_median`` never buffers a whole group: a first pass finds, per group, a narrow value
-bracket around the median with ``percentile_approx`` (rank error <= n/accuracy); a second pass
-counts the values below the bracket and collects only the values inside it.  The exact median
-(mean of the two middle values for an even count) is then read from the sorted bracket.
+``exact_median`` never buffers a whole group: approximate-quantile brackets are narrowed until
+few values remain around the middle ranks, and only those are sorted (see its docstring).
 """
 
 from __future__ import annotations
@@ -11,37 +9,129 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEDIAN_ACCURACY = 1_000_000
-MAX_BROADCAST_GROUPS = 200_000
+MEDIAN_ACCURACY = 10_000          # sketch size of the bracket passes (Spark's usual setting)
+MEDIAN_MAX_COLLECT = 100_000      # most values of one group ever gathered into one array
+MAX_BROADCAST_GROUPS = 200_000    # bracket state per group is broadcast
+_NARROW_QUANTILES = 1_000
+_MAX_PASSES = 8
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out: str = "median",
-                 accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
-    """Exact per-group median of ``value_col`` -> ``(*group_cols, out)``; nulls are ignored."""
+                 accuracy: int = MEDIAN_ACCURACY, max_collect: int = MEDIAN_MAX_COLLECT) -> DataFrame:
+    """Exact per-group median of ``value_col`` -> ``(*group_cols, out)``; nulls are ignored.
+
+    No group is ever buffered whole:
+
+    1. one aggregate gives each group's count and a bracket ``[lo, hi]`` around the median ranks
+       (``percentile_approx``, rank error <= n/accuracy);
+    2. a group of at most ``max_collect`` values is finished directly; a larger one alternates
+       a counting pass (values below / inside the bracket, over the whole group) with a narrowing
+       pass (1,000 quantiles of the values inside the bracket, so ~500x narrower each time) until
+       at most ``max_collect`` values remain inside, or the bracket is a single value;
+    3. the values inside each final bracket are sorted per group and the one or two middle ranks
+       are read (mean of the two middle values for an even count).
+
+    Only per-group bracket state (a few numbers) goes through the driver, broadcast back to the
+    passes; every pass is a partial aggregation before its shuffle.
+    """
+    spark = df.sparkSession
+    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     eps = 4.0 / accuracy
-    x = F.col(value_col)
-    vals = df.select(*group_cols, x.cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    bracket = (vals.groupBy(*group_cols)
-               .agg(F.count(F.lit(1)).alias("_n"),
-                    F.percentile_approx("_x", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_b"))
-               .select(*group_cols, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi")))
-    # One row per group: collected after a count check and broadcast, so the values are joined
-    # map-side and partially aggregated before any shuffle (a hot group never reaches one task whole).
-    rows = bracket.limit(MAX_BROADCAST_GROUPS + 1).collect()
-    if len(rows) <= MAX_BROADCAST_GROUPS:
-        bracket = F.broadcast(df.sparkSession.createDataFrame(rows, bracket.schema))
-    inner = (vals.join(bracket, group_cols)
-             .groupBy(*group_cols)
-             .agg(F.first("_n").alias("_n"),
-                  F.sum(F.when(F.col("_x") < F.col("_lo"), 1).otherwise(0)).alias("_below"),
-                  F.array_sort(F.collect_list(F.when((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")),
-                                                     F.col("_x")))).alias("_in")))
-    k1 = F.floor((F.col("_n") + 1) / 2).cast("int")
-    k2 = (F.floor(F.col("_n") / 2) + 1).cast("int")
-    v1 = F.try_element_at("_in", (k1 - F.col("_below")).cast("int"))
-    v2 = F.try_element_at("_in", (k2 - F.col("_below")).cast("int"))
-    med = F.when(v1.isNull() | v2.isNull(), F.raise_error(F.lit("median bracket missed"))).otherwise((v1 + v2) / 2.0)
-    return inner.select(*group_cols, med.cast("double").alias(out))
+    first = (vals.groupBy(*group_cols)
+             .agg(F.count(F.lit(1)).alias("_n"),
+                  F.percentile_approx("_x", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_b"))
+             .limit(MAX_BROADCAST_GROUPS + 1).collect())
+    if len(first) > MAX_BROADCAST_GROUPS:
+        raise MemoryError("too many median groups for a broadcast bracket table")
+    state = []
+    for r in first:
+        n = int(r["_n"])
+        big = n > max_collect
+        state.append({"key": tuple(r[c] for c in group_cols), "n": n, "k1": (n + 1) // 2, "k2": n // 2 + 1,
+                      "lo": float(r["_b"][0]) if big else float("-inf"),
+                      "hi": float(r["_b"][1]) if big else float("inf"),
+                      "below": 0, "inside": n, "big": big, "prev": (float("-inf"), float("inf"))})
+    key_schema = [f for f in vals.schema.fields if f.name in group_cols]
+
+    def table(rows, extra):
+        from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+
+        fields = list(key_schema) + [StructField(c, LongType() if c in ("_below", "_k1", "_k2") else DoubleType())
+                                     for c in extra]
+        data = [tuple(r["key"]) + tuple(r[c.lstrip("_")] for c in extra) for r in rows]
+        return F.broadcast(spark.createDataFrame(data, StructType(fields)))
+
+    big = [st for st in state if st["big"]]
+    for _ in range(_MAX_PASSES):
+        if not big:
+            break
+        counts = (vals.join(table(big, ["_lo", "_hi"]), group_cols).groupBy(*group_cols)
+                  .agg(F.sum(F.when(F.col("_x") < F.col("_lo"), 1).otherwise(0)).alias("below"),
+                       F.sum(F.when((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")), 1)
+                             .otherwise(0)).alias("inside")).collect())
+        by_key = {tuple(r[c] for c in group_cols): r for r in counts}
+        narrow = []
+        for st in big:
+            c = by_key[st["key"]]
+            st["below"], st["inside"] = int(c["below"]), int(c["inside"])
+            if not (st["below"] < st["k1"] and st["k2"] <= st["below"] + st["inside"]):
+                st["lo"], st["hi"] = st["prev"]          # bracket missed the ranks: step back
+                narrow.append(st)
+            elif st["lo"] == st["hi"] or st["inside"] <= max_collect:
+                st["big"] = False                       # final bracket
+            else:
+                narrow.append(st)
+        if not narrow:
+            big = []
+            break
+        qs = [i / _NARROW_QUANTILES for i in range(_NARROW_QUANTILES + 1)]
+        marks = (vals.join(table(narrow, ["_lo", "_hi"]), group_cols)
+                 .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
+                 .groupBy(*group_cols).agg(F.percentile_approx("_x", qs, 10 * _NARROW_QUANTILES).alias("_q"))
+                 .collect())
+        by_key = {tuple(r[c] for c in group_cols): list(r["_q"]) for r in marks}
+        for st in narrow:
+            q = by_key[st["key"]]
+            if st["prev"] == (st["lo"], st["hi"]) and st["inside"] == st["n"]:
+                st["below"] = 0
+            inside = max(st["inside"], 1)
+            i = max(0, int((st["k1"] - st["below"] - 1) / inside * _NARROW_QUANTILES) - 3)
+            j = min(_NARROW_QUANTILES, int((st["k2"] - st["below"]) / inside * _NARROW_QUANTILES) + 3)
+            st["prev"] = (st["lo"], st["hi"])
+            st["lo"], st["hi"] = float(q[i]), float(q[j])
+        big = narrow
+    if big:
+        raise RuntimeError("median brackets did not converge")
+
+    single = [st for st in state if st["lo"] == st["hi"] and st["inside"] > max_collect]
+    rest = [st for st in state if not (st["lo"] == st["hi"] and st["inside"] > max_collect)]
+    for st in rest:
+        st["k1"], st["k2"] = st["k1"] - st["below"], st["k2"] - st["below"]
+    parts = []
+    if rest:
+        br = table(rest, ["_lo", "_hi", "_k1", "_k2"])
+        inner = (vals.join(br, group_cols)
+                 .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
+                 .groupBy(*group_cols)
+                 .agg(F.first("_k1").alias("_k1"), F.first("_k2").alias("_k2"),
+                      F.array_sort(F.collect_list("_x")).alias("_in")))
+        v1 = F.try_element_at("_in", F.col("_k1").cast("int"))
+        v2 = F.try_element_at("_in", F.col("_k2").cast("int"))
+        med = F.when(v1.isNull() | v2.isNull(), F.raise_error(F.lit("median bracket missed"))).otherwise(
+            (v1 + v2) / 2.0)
+        parts.append(inner.select(*group_cols, med.cast("double").alias(out)))
+    if single:                                          # the middle ranks lie in a run of one value
+        for st in single:
+            st["m"] = st["lo"]
+        from pyspark.sql.types import DoubleType, StructField, StructType
+
+        data = [tuple(st["key"]) + (st["m"],) for st in single]
+        parts.append(spark.createDataFrame(data, StructType(list(key_schema) + [StructField(out, DoubleType())])))
+    if not parts:
+        from pyspark.sql.types import DoubleType, StructField, StructType
+
+        return spark.createDataFrame([], StructType(list(key_schema) + [StructField(out, DoubleType())]))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def explode_dims(df: DataFrame, vec_col: str = "v", keep: list[str] | None = None) -> DataFrame:

@@ -180,3 +180,21 @@ def test_scan_partitions_setting_keeps_results(spark, split, truth):
         assert rows(lsh.search(model, base.repartition(9), queries, N)) == rows(truth)
     finally:
         spark.conf.unset("knnspark.scan.partitions")
+
+
+def test_exact_median_large_and_duplicate_groups(spark):
+    """Groups above the collect limit go through counting / narrowing passes; a group whose
+    middle is a long run of one value is answered without collecting it."""
+    from knnspark.functions.stats import exact_median
+
+    rng = np.random.default_rng(7)
+    big = rng.normal(size=5001)
+    dup = np.concatenate([np.full(3000, 2.5), rng.normal(size=1000), rng.normal(size=1000) + 9])
+    even = rng.normal(size=4000)
+    data = [(0, float(x)) for x in big] + [(1, float(x)) for x in dup] + [(2, float(x)) for x in even]
+    df = spark.createDataFrame(data, "g int, x double").repartition(5)
+    for acc in (10_000, 20):            # 20: a wide first bracket forces narrowing passes
+        got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "x", accuracy=acc, max_collect=300).collect()}
+        assert got[0] == float(np.median(big))
+        assert got[1] == float(np.median(dup))
+        assert got[2] == float(np.median(even))
