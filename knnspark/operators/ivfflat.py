@@ -52,9 +52,15 @@ def build_ivfflat(base: DataFrame, centroids=None, params: cluster.KMediansParam
     return IVFFlatIndex(cids, C, lists, metric, base.select("id", "v"))
 
 
-def write_lists(index: IVFFlatIndex, path: str) -> DataFrame:
-    """Persist the inverted lists partitioned by ``cid``; searches then read only probed cells."""
-    index.lists.write.mode("overwrite").partitionBy("cid").parquet(path)
+def write_lists(index: IVFFlatIndex, path: str, partitions: int | None = None) -> DataFrame:
+    """Persist the inverted lists partitioned by ``cid``; searches then read only probed cells.
+
+    Rows are range-partitioned on ``(cid, id)`` first: each task writes one or a few cells, and a
+    cell holding a large share of the base is split over several tasks instead of one.
+    """
+    lists = index.lists
+    n = partitions or int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lists.repartitionByRange(n, "cid", "id").write.mode("overwrite").partitionBy("cid").parquet(path)
     spark = index.lists.sparkSession
     index.lists = spark.read.parquet(path).select("cid", "id", "v")
     index.stored = True
