@@ -1,7 +1,9 @@
 """Shared candidate re-ranking: ``(qid, id)`` candidates -> true distance -> top-N / radius.
 
-Used by the bucket methods.  The query side is joined by broadcast after a size check; the base
-side is only touched through an equi-join on ``id``.
+Used by the stored-index searches (``lsh.search_index``, ``hypercube.search_index``).  The query
+side is joined by broadcast after a size check; vectors are fetched by an equi-join on ``id``, so
+this path shuffles the base -- the candidate scans in ``operators.scan`` avoid that and are the
+default search path.
 """
 
 from __future__ import annotations
@@ -30,8 +32,10 @@ def rerank(cands: DataFrame, base: DataFrame, queries: DataFrame, n: int | None
            radius: float | None = None, metric: str = "l2",
            max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Distances for distinct candidate pairs; top-N when ``n`` is given, else radius hits."""
-    d_est = 8 * 128 + 32
-    q = bounded_broadcast(queries.select("qid", "qv"), queries, 1, d_est, max_bytes)
+    from knnspark.sources.vectors import vector_dim
+
+    d = vector_dim(queries, "qv") or 0
+    q = bounded_broadcast(queries.select("qid", "qv"), queries, 1, 8 * d + 32, max_bytes)
     pairs = (cands.select("qid", "id").distinct()
              .join(q, "qid")
              .join(base.select("id", "v"), "id")

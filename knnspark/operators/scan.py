@@ -23,7 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knnspark.functions.distance import metric_name
 from knnspark.operators.blocks import union_all
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scan_source
 
@@ -122,7 +121,6 @@ class GroupTopN:
     def result(self, nkeys: int = 2) -> tuple[np.ndarray, ...] | None:
         if not self.parts:
             return None
-        self.nkeys = nkeys
         return self._reduce(nkeys)
 
 
@@ -188,5 +186,3 @@ def run_blocks(base: DataFrame, cols: list[str], payloads: list, kernel: Callabl
     return union_all(frames) if frames else None
 
 
-def check_metric(metric: str) -> str:
-    return metric_name(metric)
