@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knnspark.functions.distance import arrow_matrix
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
+from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bound
 
 
 def vector_blocks(df: DataFrame, key: str, vec: str, dim: int, extra: tuple[str, ...] = (),
@@ -27,6 +27,7 @@ def vector_blocks(df: DataFrame, key: str, vec: str, dim: int, extra: tuple[str,
     enough; otherwise the rows are counted and hash-split so that each block stays under
     ``max_bytes`` (checked again after collection).
     """
+    max_bytes = broadcast_bound(max_bytes)
     q = df.where(F.size(vec) == dim).select(F.col(key).cast("bigint"), F.col(vec).cast("array<double>"), *extra)
     row_bytes = 8 * max(dim, 1) + 48 + 8 * len(extra)
     cap = max(1, max_bytes // row_bytes)
@@ -43,17 +44,25 @@ def vector_blocks(df: DataFrame, key: str, vec: str, dim: int, extra: tuple[str,
     n = q.count()
     nblocks = max(1, math.ceil(n * row_bytes / max_bytes))
     out = []
-    for b in range(nblocks):
-        part = q if nblocks == 1 else q.where(F.pmod(F.xxhash64(F.col(key)), F.lit(nblocks)) == b)
+
+    def take(part: DataFrame, level: int) -> None:
         tbl = part.toArrow()
-        if tbl.nbytes > 2 * max_bytes:  # hash imbalance guard: never ship an unchecked block
-            raise MemoryError(f"block of {tbl.nbytes} bytes exceeds the broadcast bound")
+        if tbl.nbytes > 2 * max_bytes:  # uneven hash split: halve this block again
+            if tbl.num_rows <= 1 or level >= 12:
+                raise MemoryError(f"one row needs {tbl.nbytes} bytes, above the broadcast bound")
+            del tbl
+            for h in range(2):
+                take(part.where(F.pmod(F.xxhash64(F.col(key), F.lit(level)), F.lit(2)) == h), level + 1)
+            return
         if tbl.num_rows == 0:
-            continue
+            return
         keys = tbl.column(0).to_numpy().astype(np.int64)
         mat, _ = arrow_matrix(tbl.column(1), dim)
         extras = {c: tbl.column(c).to_numpy(zero_copy_only=False) for c in extra}
         out.append((keys, np.ascontiguousarray(mat), extras))
+
+    for b in range(nblocks):
+        take(q.where(F.pmod(F.xxhash64(F.col(key)), F.lit(nblocks)) == b), 1)
     return out
 
 
@@ -67,6 +76,7 @@ def query_blocks(queries: DataFrame, dim: int, max_bytes: int = DEFAULT_MAX_BROA
 
 
 def check_broadcast(nbytes: int, what: str, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> None:
+    max_bytes = broadcast_bound(max_bytes)
     if nbytes > max_bytes:
         raise MemoryError(f"{what} is {nbytes} bytes, above the broadcast bound of {max_bytes}")
 

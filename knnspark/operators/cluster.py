@@ -19,7 +19,7 @@ from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, sma
 from knnspark.functions.hashing import md5_uniform
 from knnspark.functions.stats import assemble_vectors, exact_median, explode_dims
 from knnspark.operators.blocks import check_broadcast, union_all, vector_blocks
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
+from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bound
 
 CENTROID_SCHEMA = "cid int, c array<double>"
 
@@ -47,7 +47,7 @@ def long_to_matrix(long: DataFrame, key: str = "cid", dim: str = "dim", value: s
     Each row holds three scalars, so ``limit(max_bytes // 32 + 1)`` bounds what reaches the
     driver; more rows than that raise instead of being collected.
     """
-    cap = max(1, max_bytes // 32)
+    cap = max(1, broadcast_bound(max_bytes) // 32)
     tbl = long.select(F.col(key).cast("int"), F.col(dim).cast("int"), F.col(value).cast("double")).limit(cap + 1).toArrow()
     if tbl.num_rows > cap:
         raise MemoryError("centroid table exceeds the broadcast bound")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from knnspark.functions.distance import distance
 from knnspark.operators.exact import top_n
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
+from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bound
 
 
 def bounded_broadcast(small: DataFrame, driver_rows: DataFrame, fanout: int, row_bytes: int,
@@ -25,7 +25,7 @@ def bounded_broadcast(small: DataFrame, driver_rows: DataFrame, fanout: int, row
     shuffles (AQE splits skewed partitions).
     """
     est = driver_rows.count() * max(fanout, 1) * max(row_bytes, 1)
-    return F.broadcast(small) if est <= max_bytes else small
+    return F.broadcast(small) if est <= broadcast_bound(max_bytes) else small
 
 
 def rerank(cands: DataFrame, base: DataFrame, queries: DataFrame, n: int | None = None,

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knnspark.operators.blocks import union_all
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scan_source
+from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bound, scan_source
 
 PAIR_SCHEMA = "qid bigint, id bigint, dist double, top boolean, hit boolean"
 ORDERED_SCHEMA = "qid bigint, id bigint, prank int, dist double"
@@ -159,6 +159,7 @@ def collect_blocks(queries: DataFrame, make: Callable[[DataFrame], DataFrame], r
     ``make(queries)`` computes the per-query rows in Spark; at most ``cap + 1`` rows are collected
     to learn whether one block is enough, otherwise the queries are counted and hash-split.
     """
+    max_bytes = broadcast_bound(max_bytes)
     cap = max(1, max_bytes // max(row_bytes, 1))
     first = make(queries).limit(cap + 1).toArrow()
     if first.num_rows <= cap:
@@ -166,13 +167,21 @@ def collect_blocks(queries: DataFrame, make: Callable[[DataFrame], DataFrame], r
     del first
     nq = queries.count()
     nblocks = max(1, math.ceil(nq * rows_per_query * row_bytes / max_bytes))
-    out = []
-    for b in range(nblocks):
-        tbl = make(queries.where(F.pmod(F.xxhash64("qid"), F.lit(nblocks)) == b)).toArrow()
-        if tbl.nbytes > 2 * max_bytes:
-            raise MemoryError(f"query block of {tbl.nbytes} bytes exceeds the broadcast bound")
-        if tbl.num_rows:
+    out: list[pa.Table] = []
+
+    def take(part: DataFrame, level: int) -> None:
+        tbl = make(part).toArrow()
+        if tbl.nbytes > 2 * max_bytes:             # uneven hash split: halve this block again
+            if tbl.num_rows <= rows_per_query or level >= 12:
+                raise MemoryError(f"one query needs {tbl.nbytes} bytes, above the broadcast bound")
+            del tbl
+            for h in range(2):
+                take(part.where(F.pmod(F.xxhash64("qid", F.lit(level)), F.lit(2)) == h), level + 1)
+        elif tbl.num_rows:
             out.append(tbl)
+
+    for b in range(nblocks):
+        take(queries.where(F.pmod(F.xxhash64("qid"), F.lit(nblocks)) == b), 1)
     return out
 
 

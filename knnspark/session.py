@@ -8,8 +8,19 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Upper bound for anything this library ships to executors as a broadcast
-# (query blocks, centroids, codebooks).  Every broadcast is checked against it.
+# (query blocks, centroids, codebooks).  Every broadcast is checked against it.  A cluster can
+# raise it with the session setting below: larger query blocks mean fewer passes over the base.
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_CONF = "knnspark.broadcast.maxBytes"
+
+
+def broadcast_bound(max_bytes: int | None = None) -> int:
+    """The broadcast bound: an explicit non-default value, else the session setting, else 64 MB."""
+    if max_bytes is not None and max_bytes != DEFAULT_MAX_BROADCAST_BYTES:
+        return int(max_bytes)
+    spark = SparkSession.getActiveSession()
+    value = spark.conf.get(BROADCAST_CONF, None) if spark is not None else None
+    return int(value) if value else DEFAULT_MAX_BROADCAST_BYTES
 
 # Optional session setting: number of tasks for dense / candidate scans of the base.  Each scan
 # task ships at most N rows per query to the top-N shuffle, so that shuffle carries

@@ -198,3 +198,17 @@ def test_exact_median_large_and_duplicate_groups(spark):
         assert got[0] == float(np.median(big))
         assert got[1] == float(np.median(dup))
         assert got[2] == float(np.median(even))
+
+
+def test_small_broadcast_bound_splits_query_blocks(spark, split, truth):
+    """A tiny bound forces several query blocks (several passes); answers do not change."""
+    base, queries = split
+    index = ivfflat.build_ivfflat(base, cluster.label_median_matrix(base))
+    spark.conf.set("knnspark.broadcast.maxBytes", str(8 * 1024))
+    try:
+        assert rows(exact.knn(base, queries, N)) == rows(truth)
+        model = lsh.draw_lsh(lsh.LSHParams(k=2, L=2, w=1e6, seed=5), 64)
+        assert rows(lsh.search(model, base, queries, N)) == rows(truth)
+        assert rows(ivfflat.search(index, queries, N, 10)) == rows(truth)
+    finally:
+        spark.conf.unset("knnspark.broadcast.maxBytes")
