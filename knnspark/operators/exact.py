@@ -125,7 +125,8 @@ def scan_pairs(base: DataFrame, queries: DataFrame, n: int = 0, radius: float |
     frames = []
     for qids, Q in blocks:
         bc = spark.sparkContext.broadcast((qids, Q))
-        frames.append(scan_source(base.select(F.col("id").cast("bigint"), F.col("v").cast("array<double>")))
+        src = base.select(F.col("id").cast("bigint"), F.col("v").cast("array<double>"))
+        frames.append(scan_source(src, len(qids) * n if n > 0 else None)
                       .mapInArrow(_scan_kernel(bc, metric, n, radius), PAIR_SCHEMA))
     return union_all(frames)
 

@@ -213,7 +213,8 @@ def _scan(model: CubeModel, base: DataFrame, queries: DataFrame, n: int, radius:
     tables = collect_blocks(queries, lambda q: query_probes(model, q, True), model.params.probes,
                             8 * model.dim + 64, max_bytes)
     schema = ORDERED_SCHEMA if model.params.max_candidates > 0 else PAIR_SCHEMA
-    return run_blocks(base, ["id", "v"], [_payload(t) for t in tables], _scan_kernel(model, n, radius), schema)
+    keep = model.params.max_candidates if model.params.max_candidates > 0 else n
+    return run_blocks(base, ["id", "v"], [_payload(t) for t in tables], _scan_kernel(model, n, radius), schema, keep)
 
 
 def search(model: CubeModel, base: DataFrame, queries: DataFrame, n: int,

@@ -126,9 +126,9 @@ def _scan(index: IVFFlatIndex, queries: DataFrame, nprobe: int, n: int, radius:
         probed = sorted({int(c) for p in payloads for c in np.unique(p[2])})
         source = index.lists.where(F.col("cid").isin(probed))       # static partition pruning
         return run_blocks(source, ["cid", "id", "v"], payloads, _scan_kernel(index.metric, n, radius, True),
-                          PAIR_SCHEMA)
+                          PAIR_SCHEMA, n)
     source = index.base if index.base is not None else index.lists
-    return run_blocks(source, ["id", "v"], payloads, _scan_kernel(index.metric, n, radius, False), PAIR_SCHEMA)
+    return run_blocks(source, ["id", "v"], payloads, _scan_kernel(index.metric, n, radius, False), PAIR_SCHEMA, n)
 
 
 def search(index: IVFFlatIndex, queries: DataFrame, n: int, nprobe: int,

@@ -190,7 +190,7 @@ def _scan(model: LSHModel, base: DataFrame, queries: DataFrame, n: int, radius:
     tables = collect_blocks(queries, lambda q: query_buckets(model, q, True), model.params.L,
                             8 * model.dim + 64, max_bytes)
     payloads = [_payload(t, model.params.L) for t in tables]
-    return run_blocks(base, ["id", "v"], payloads, _scan_kernel(model, n, radius), PAIR_SCHEMA)
+    return run_blocks(base, ["id", "v"], payloads, _scan_kernel(model, n, radius), PAIR_SCHEMA, n)
 
 
 def search(model: LSHModel, base: DataFrame, queries: DataFrame, n: int,

@@ -185,13 +185,18 @@ def collect_blocks(queries: DataFrame, make: Callable[[DataFrame], DataFrame], r
     return out
 
 
-def run_blocks(base: DataFrame, cols: list[str], payloads: list, kernel: Callable, schema: str) -> DataFrame | None:
-    """One ``mapInArrow`` scan of ``base[cols]`` per broadcast payload, unioned."""
+def run_blocks(base: DataFrame, cols: list[str], payloads: list, kernel: Callable, schema: str,
+               keep_per_query: int = 0) -> DataFrame | None:
+    """One ``mapInArrow`` scan of ``base[cols]`` per broadcast payload, unioned.
+
+    ``keep_per_query`` (N, or M for a capped scan) sizes the scan's task count for the top-N
+    shuffle; the number of queries of a payload is the length of its first element."""
     spark = base.sparkSession
     frames = []
     for payload in payloads:
         bc = spark.sparkContext.broadcast(payload)
-        frames.append(scan_source(base.select(*cols)).mapInArrow(kernel(bc), schema))
+        rows = len(payload[0]) * keep_per_query if keep_per_query else None
+        frames.append(scan_source(base.select(*cols), rows).mapInArrow(kernel(bc), schema))
     return union_all(frames) if frames else None
 
 

@@ -22,17 +22,29 @@ def broadcast_bound(max_bytes: int | None = None) -> int:
     value = spark.conf.get(BROADCAST_CONF, None) if spark is not None else None
     return int(value) if value else DEFAULT_MAX_BROADCAST_BYTES
 
-# Optional session setting: number of tasks for dense / candidate scans of the base.  Each scan
-# task ships at most N rows per query to the top-N shuffle, so that shuffle carries
-# (scan tasks x queries x N) rows; coalescing the base into fewer, larger tasks (a narrow
-# operation) shrinks it for large query sets.  Unset: one task per input split.
+# Scan task count.  Each scan task ships at most N rows per query to the top-N shuffle, so that
+# shuffle carries (scan tasks x queries x N) rows.  When that product would pass
+# ``knnspark.scan.maxShuffleRows`` the base is coalesced (a narrow operation, no shuffle) into
+# fewer, larger tasks -- never fewer than twice the cluster's parallelism.
+# ``knnspark.scan.partitions`` fixes the task count explicitly.
 SCAN_PARTITIONS_CONF = "knnspark.scan.partitions"
-
-
-def scan_source(df):
-    """``df`` coalesced to ``knnspark.scan.partitions`` tasks when that setting is present."""
-    n = df.sparkSession.conf.get(SCAN_PARTITIONS_CONF, None)
-    return df.coalesce(int(n)) if n else df
+SCAN_SHUFFLE_ROWS_CONF = "knnspark.scan.maxShuffleRows"
+DEFAULT_SCAN_SHUFFLE_ROWS = 500_000_000
+
+
+def scan_source(df, rows_per_task: int | None = None):
+    """The base side of a scan, with its task count sized for the top-N shuffle."""
+    spark = df.sparkSession
+    fixed = spark.conf.get(SCAN_PARTITIONS_CONF, None)
+    if fixed:
+        return df.coalesce(int(fixed))
+    if rows_per_task:
+        budget = int(spark.conf.get(SCAN_SHUFFLE_ROWS_CONF, None) or DEFAULT_SCAN_SHUFFLE_ROWS)
+        floor = 2 * spark.sparkContext.defaultParallelism
+        target = max(floor, budget // max(rows_per_task, 1))
+        if df.rdd.getNumPartitions() > target:
+            return df.coalesce(target)
+    return df
 
 
 def get_spark(master: str | None = None, cpus: int | None = None,

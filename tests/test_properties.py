@@ -212,3 +212,18 @@ def test_small_broadcast_bound_splits_query_blocks(spark, split, truth):
         assert rows(ivfflat.search(index, queries, N, 10)) == rows(truth)
     finally:
         spark.conf.unset("knnspark.broadcast.maxBytes")
+
+
+def test_scan_sized_by_shuffle_budget(spark, split, truth):
+    """With a tiny shuffle-row budget the scan is coalesced to 2x parallelism; same answers."""
+    from knnspark.session import scan_source
+
+    base, queries = split
+    many = base.repartition(40)
+    spark.conf.set("knnspark.scan.maxShuffleRows", "10")
+    try:
+        assert scan_source(many, 1000).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+        assert rows(exact.knn(many, queries, N)) == rows(truth)
+    finally:
+        spark.conf.unset("knnspark.scan.maxShuffleRows")
+    assert scan_source(many, 1000).rdd.getNumPartitions() == 40
