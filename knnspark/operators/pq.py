@@ -372,7 +372,12 @@ def adc_scan(index: PQIndex, queries: DataFrame, n: int, radius: float | None,
     p = index.params
     tables = collect_blocks(queries, lambda q: lookup_tables(index, q), p.nprobe, 8 * p.m * p.ksub + 64, max_bytes)
     payloads = [_adc_payload(t, p.m, p.ksub) for t in tables]
-    return run_blocks(index.codes, ["cid", "id", "codes"], payloads, _adc_kernel(p.m, n, radius), PAIR_SCHEMA, n)
+    if not payloads:
+        return None
+    # only probed cells are read (partition pruning when the codes are stored by cid)
+    probed = sorted({int(c) for pl in payloads for c in np.unique(pl[1])})
+    codes = index.codes.where(F.col("cid").isin(probed))
+    return run_blocks(codes, ["cid", "id", "codes"], payloads, _adc_kernel(p.m, n, radius), PAIR_SCHEMA, n)
 
 
 def _with_fallback(index: PQIndex, base: DataFrame, queries: DataFrame, n: int | None,

@@ -127,3 +127,80 @@ def evaluate(method: str, base: DataFrame, queries: DataFrame, n: int, radius: f
     truth = exact.knn(base, queries, n, index.metric)
     evaluation = M.throughput(neighbors, truth, queries, n, method)
     return EvaluationRun(neighbors, hits, truth, M.truth_compare(neighbors, truth), evaluation)
+
+
+# --------------------------------------------------------------------------- persistence
+#
+# An index is saved as the tables of FIXTURES §4 plus a small JSON file of its configuration:
+#   lsh:       lsh_params(t, j, s, r), lsh_index(t, bucket, id)
+#   hypercube: cube_params(i, p, t), probe_masks(prank, mask), cube_index(code, id)
+#   ivfflat:   centroids(cid, c), ivf_lists(cid, id, v) partitioned by cid
+#   ivfpq:     centroids(cid, c), codebooks(m, h, cw), pq_codes(cid, id, codes) partitioned by cid
+
+
+def save(index: Index, path: str) -> None:
+    """Write an index as plain tables under ``path`` (a shared folder on a cluster)."""
+    import dataclasses
+    import json
+
+    spark = index.base.sparkSession
+    out = path.rstrip("/")
+    cfg = dataclasses.asdict(index.config) if dataclasses.is_dataclass(index.config) else {}
+    meta = {"method": index.method, "metric": index.metric, "config": cfg}
+    spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").text(f"{out}/meta")
+    m = index.model
+    if index.method == "lsh":
+        lsh.params_table(spark, m).write.mode("overwrite").parquet(f"{out}/lsh_params")
+        lsh.build_index(m, index.base).write.mode("overwrite").parquet(f"{out}/lsh_index")
+    elif index.method == "hypercube":
+        hypercube.params_table(spark, m).write.mode("overwrite").parquet(f"{out}/cube_params")
+        hypercube.masks_table(spark, m).write.mode("overwrite").parquet(f"{out}/probe_masks")
+        hypercube.build_index(m, index.base).write.mode("overwrite").parquet(f"{out}/cube_index")
+    elif index.method == "ivfflat":
+        m.centroids(spark).write.mode("overwrite").parquet(f"{out}/centroids")
+        ivfflat.write_lists(m, f"{out}/ivf_lists")
+    elif index.method == "ivfpq":
+        cluster.centroids_frame(spark, m.cids, m.C).write.mode("overwrite").parquet(f"{out}/centroids")
+        pq.codebook_table(spark, m).write.mode("overwrite").parquet(f"{out}/codebooks")
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        (m.codes.repartitionByRange(n, "cid", "id").write.mode("overwrite").partitionBy("cid")
+         .parquet(f"{out}/pq_codes"))
+        m.codes = spark.read.parquet(f"{out}/pq_codes").select("cid", "id", "codes")
+
+
+def load(spark, path: str, base: DataFrame) -> Index:
+    """Read an index written by ``save``; ``base`` is the vector table it was built over."""
+    import json
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    src = path.rstrip("/")
+    meta = json.loads(spark.read.text(f"{src}/meta").first()[0])
+    method, metric, cfg = meta["method"], meta["metric"], meta["config"]
+    if method == "brute":
+        return Index(method, base, metric, None, BruteConfig(**cfg))
+    if method == "lsh":
+        params = lsh.LSHParams(**cfg)
+        rows = spark.read.parquet(f"{src}/lsh_params").orderBy("t", "j").collect()
+        offsets = np.array([r["s"] for r in rows], dtype=np.float64).reshape(params.L, params.k, -1)
+        return Index(method, base, metric, lsh.LSHModel(params, offsets, list(rows[0]["r"])), params)
+    if method == "hypercube":
+        params = hypercube.CubeParams(**cfg)
+        rows = spark.read.parquet(f"{src}/cube_params").orderBy("i").collect()
+        P = np.array([r["p"] for r in rows], dtype=np.float64)
+        t = np.array([r["t"] for r in rows], dtype=np.float64)
+        return Index(method, base, metric, hypercube.CubeModel(params, P, t), params)
+    cids, C = cluster.centroid_matrix(spark.read.parquet(f"{src}/centroids"))
+    if method == "ivfflat":
+        config = IVFFlatConfig(**cfg)
+        lists = spark.read.parquet(f"{src}/ivf_lists").select("cid", "id", "v")
+        idx = ivfflat.IVFFlatIndex(cids, C, lists, metric, base.select("id", "v"), stored=True)
+        return Index(method, base, metric, idx, config)
+    config = IVFPQConfig(**cfg)
+    books = spark.read.parquet(f"{src}/codebooks").orderBy("m", "h").collect()
+    cb = np.array([r["cw"] for r in books], dtype=np.float64).reshape(config.m, 1 << config.nbits, -1)
+    pp = pq.PQParams(m=config.m, nbits=config.nbits, nprobe=config.nprobe, seed=config.seed, metric=metric,
+                     train_iters=config.train_iters)
+    codes = spark.read.parquet(f"{src}/pq_codes").select(F.col("cid").cast("int"), "id", "codes")
+    return Index(method, base, metric, pq.PQIndex(pp, cids, C, cb, codes), config)

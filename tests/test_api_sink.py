@@ -39,3 +39,19 @@ def test_report_and_result_tables(spark, split, tmp_path):
     assert text.startswith("=== RESULTS OF IVFFLAT ===")
     assert text.count("Query: ") == queries.count()
     assert "Nearest neighbor-3:" in text and "distanceTrue:" in text
+
+
+@pytest.mark.parametrize("method,config", [
+    ("lsh", None),
+    ("hypercube", None),
+    ("ivfflat", api.IVFFlatConfig(k=10, nprobe=3, max_iter=3)),
+    ("ivfpq", api.IVFPQConfig(k=10, nprobe=3, m=16, nbits=3, max_iter=2, train_iters=2)),
+])
+def test_save_and_load_give_same_answers(spark, split, tmp_path, method, config):
+    base, queries = split
+    index = api.build(method, base, config)
+    want = sorted(tuple(r) for r in api.search(index, queries, 5)[0].collect())
+    api.save(index, str(tmp_path / method))
+    again = api.load(spark, str(tmp_path / method), base)
+    got = sorted(tuple(r) for r in api.search(again, queries, 5)[0].collect())
+    assert got == want
