@@ -38,6 +38,7 @@ def main() -> None:
     # JVM / Python worker / Python data source warm-up on the smallest table (not timed).
     run(R.QUERIES["knn_l2"](spark, "/root/testdata/sf0.001"))
     run(R.QUERIES["ingest_fvecs"](spark, "/root/testdata/sf0.001"))
+    run(R.QUERIES["ivf_probes"](spark, "/root/testdata/sf0.001"))
 
     times: dict[str, float] = {}
     for name in HEADLINE:

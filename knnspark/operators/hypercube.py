@@ -47,6 +47,10 @@ class CubeParams:
         self.probes = max(1, int(self.probes))
         self.w = float(self.w) if self.w > 0 else 4.0
         self.metric = metric_name(self.metric)
+        if self.metric != "l2":
+            import warnings
+
+            warnings.warn("hypercube random projections assume the L2 metric", stacklevel=2)
 
 
 @dataclass

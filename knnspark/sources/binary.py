@@ -216,7 +216,8 @@ class VectorFileReader(DataSourceReader):
 
 @dataclass
 class _Written(WriterCommitMessage):
-    path: str
+    tmp: str
+    final: str
 
 
 class VectorFileWriter(DataSourceArrowWriter):
@@ -229,7 +230,8 @@ class VectorFileWriter(DataSourceArrowWriter):
     def write(self, iterator):
         from pyspark import TaskContext
 
-        pid = TaskContext.get().partitionId()
+        ctx = TaskContext.get()
+        pid, attempt = ctx.partitionId(), ctx.attemptNumber()
         chunks = []
         for rb in iterator:
             if rb.num_rows:
@@ -240,7 +242,10 @@ class VectorFileWriter(DataSourceArrowWriter):
         mat = np.vstack(chunks) if chunks else np.zeros((0, 0))
         filesystem, p = _fs(self.path)
         filesystem.create_dir(p, recursive=True)
-        name = f"{p}/part-{pid:05d}.{self.kind}"
+        # Each attempt writes its own hidden file; the driver's commit renames the winners, so a
+        # retried or speculative task never leaves a torn or duplicate part file.
+        name = f"{p}/.part-{pid:05d}.{self.kind}.attempt-{attempt}-{ctx.taskAttemptId()}"
+        final = f"{p}/part-{pid:05d}.{self.kind}"
         if self.kind == "fvecs":
             n, d = mat.shape
             rec = np.empty((n, d + 1), dtype="<i4")
@@ -260,14 +265,20 @@ class VectorFileWriter(DataSourceArrowWriter):
             raise ValueError(f"cannot write kind {self.kind!r}")
         with filesystem.open_output_stream(name) as f:
             f.write(payload)
-        return _Written(name)
+        return _Written(name, final)
+
+    def commit(self, messages):
+        filesystem, _ = _fs(self.path)
+        for m in messages:
+            if m is not None:
+                filesystem.move(m.tmp, m.final)
 
     def abort(self, messages):
         filesystem, _ = _fs(self.path)
         for m in messages:
             if m is not None:
                 try:
-                    filesystem.delete_file(_fs(m.path)[1])
+                    filesystem.delete_file(m.tmp)
                 except Exception:  # noqa: BLE001
                     pass
 

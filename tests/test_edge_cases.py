@@ -154,3 +154,8 @@ def test_dataset_type_aliases(spark, tmp_path):
     assert [list(r["v"]) for r in binary.read_vectors(spark, str(q), "MNIST").collect()] == [[7.0, 9.0]]
     with pytest.raises(Exception):
         binary.read_vectors(spark, str(q), "demo").collect()
+
+
+def test_cube_warns_for_l1():
+    with pytest.warns(UserWarning):
+        hypercube.CubeParams(metric="l1")
