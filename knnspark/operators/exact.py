@@ -166,11 +166,17 @@ def range_search(base: DataFrame, queries: DataFrame, radius: float, metric: str
 
 
 def knn_and_range(base: DataFrame, queries: DataFrame, n: int, radius: float, metric: str = "l2",
-                  max_block_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
-    """Neighbours and radius hits from one scan of the base (the pair set is persisted)."""
+                  max_block_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                  persist: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Neighbours and radius hits from one scan of the base.
+
+    With ``persist`` the pair set is kept (memory and disk, recomputed from lineage if an
+    executor is lost) so both outputs share one scan; without it each output scans again."""
     _check_n(n)
     r = float(radius) if radius is not None and radius > 0 else None
-    pairs = scan_pairs(base, queries, n=n, radius=r, metric=metric, max_block_bytes=max_block_bytes).persist()
+    pairs = scan_pairs(base, queries, n=n, radius=r, metric=metric, max_block_bytes=max_block_bytes)
+    if persist:
+        pairs = pairs.persist()
     neighbors = top_n(pairs.where("top"), n)
     hits = pairs.where("hit").select("qid", "id", "dist")
     return neighbors, hits

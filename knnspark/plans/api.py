@@ -90,13 +90,16 @@ def build(method: str, base: DataFrame, config=None, centroids=None) -> Index:
     return Index(method, base, metric, pq.build_ivfpq(base, pp, centroids), config)
 
 
-def search(index: Index, queries: DataFrame, n: int, radius: float | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Top-``n`` neighbours and, when ``radius > 0``, radius hits of every query."""
+def search(index: Index, queries: DataFrame, n: int, radius: float | None = None,
+           persist: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """Top-``n`` neighbours and, when ``radius > 0``, radius hits of every query.
+
+    ``persist=False`` keeps nothing cached (for long-running callers such as streams)."""
     base, m = index.base, index.model
     want_range = radius is not None and radius > 0
     if index.method == "brute":
         if want_range:
-            return exact.knn_and_range(base, queries, n, radius, index.metric)
+            return exact.knn_and_range(base, queries, n, radius, index.metric, persist=persist)
         return exact.knn(base, queries, n, index.metric), None
     if index.method == "lsh":
         return lsh.search(m, base, queries, n), (lsh.range_search(m, base, queries, radius) if want_range else None)

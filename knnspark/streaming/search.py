@@ -32,7 +32,7 @@ def start_search(index: api.Index, queries: DataFrame, n: int, sink: str, radius
     checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        neighbors, hits = api.search(index, batch, n, radius)
+        neighbors, hits = api.search(index, batch, n, radius, persist=False)   # nothing cached per batch
         out = f"{sink.rstrip('/')}/neighbors/batch_id={batch_id}"
         neighbors.write.mode("overwrite").parquet(out)
         if hits is not None:

@@ -23,3 +23,15 @@ def test_stream_matches_batch(spark, split, tmp_path):
     assert got == want
     got_h = sorted(tuple(r) for r in S.read_results(spark, str(tmp_path / "out"), "range_hits").select("qid", "id").collect())
     assert got_h == sorted(tuple(r) for r in hits.select("qid", "id").collect())
+
+
+def test_stream_with_exact_search_caches_nothing(spark, split, tmp_path):
+    """Exact search with a radius per micro-batch, without persisting a pair set per batch."""
+    base, queries = split
+    src = str(tmp_path / "q")
+    queries.repartition(3, "qid").write.parquet(src)
+    index = api.build("brute", base)
+    q = S.start_search(index, S.query_stream(spark, src, max_files_per_trigger=1), 3, str(tmp_path / "o"),
+                       radius=1.2, checkpoint=str(tmp_path / "c"))
+    q.awaitTermination(300)
+    assert S.read_results(spark, str(tmp_path / "o")).count() == 3 * queries.count()
