@@ -48,14 +48,16 @@ def topn(pairs: str, n: int, dist_col: str = "dist", extra: str = "") -> str:
 WHERE rank <= {n}"""
 
 
-def cent(metric: str = "l2") -> str:
-    """Label-median centroids ``cent(cid, c)`` and the nearest/second-nearest assignment ``asg``."""
+def cent(metric: str = "l2", extra: str = "") -> str:
+    """Label-median centroids ``cent(cid, c)`` (plus the rows of ``extra``, a SELECT of
+    ``(cid INTEGER, c DOUBLE[])``) and the nearest/second-nearest assignment ``asg``."""
+    union = f"\n  UNION ALL {extra}" if extra else ""
     return f"""cent AS (
   SELECT label::INTEGER AS cid, list(m ORDER BY dim) AS c FROM (
     SELECT label, dim, median(x) AS m FROM (
       SELECT label, unnest(v) AS x, unnest(generate_series(0, len(v) - 1)) AS dim FROM base) e
     GROUP BY label, dim) g
-  GROUP BY label),
+  GROUP BY label{union}),
 cdist AS (
   SELECT b.id, c.cid, {dist('b.v', 'c.c', metric)} AS dist,
          row_number() OVER (PARTITION BY b.id ORDER BY {dist('b.v', 'c.c', metric)}, c.cid) AS r
