@@ -77,3 +77,14 @@ def test_median_with_hot_group(spark, skewed):
     got = {(r["dim"]): r["median"] for r in dim_medians(base.withColumn("g", F.lit(1)), ["g"]).collect()}
     want = np.median(X, axis=0)
     assert all(abs(got[j] - want[j]) < 1e-12 for j in range(64))
+
+
+def test_lsh_full_keys_many_hashes(skewed):
+    """table_size=None with k > 4: the k hashes are chained into one 64-bit key."""
+    base, queries, ids, X, qids, Q = skewed
+    model = lsh.draw_lsh(lsh.LSHParams(k=6, L=3, w=8.0, seed=4, table_size=None), 64)
+    coef = np.array(model.coef)
+    B = lsh_buckets_np(X, model.offsets, coef, 8.0, 6, None)
+    QB = lsh_buckets_np(Q, model.offsets, coef, 8.0, 6, None)
+    cand = (QB[:, None, :] == B[None, :, :]).any(axis=2)
+    assert rows(lsh.search(model, base, queries, N)) == brute(qids, Q, ids, X, cand)
