@@ -94,22 +94,43 @@ def residual_parts(points: DataFrame, cids, C, m: int, metric: str) -> DataFrame
 # --------------------------------------------------------------------------- P2 / P3
 
 
-def _min_sq_kernel(books: dict[int, np.ndarray], ds: int):
-    """Per training row: squared L2 to the nearest current centre of its part (inf if none)."""
+def _race_kernel(books: dict[int, np.ndarray], ds: int, seed: int, rnd: int):
+    """One k-means++ round on a batch: per part, the point with the smallest race key
+    ``-ln(u)/d2`` (``d2`` = squared L2 to the nearest chosen centre, ``u`` from
+    ``md5(seed:m:round:id)`` as in ``functions.hashing.md5_uniform``); only those local winners
+    leave the task."""
+    import hashlib
+
     def run(batches):
         for rb in batches:
             if rb.num_rows == 0:
                 continue
             ms = rb.column("m").to_numpy(zero_copy_only=False)
+            ids = rb.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
             X, _ = arrow_matrix(rb.column("sub"), ds)
-            out = np.full(rb.num_rows, np.inf)
+            out_m, out_id, out_key, out_rows = [], [], [], []
             for mm in np.unique(ms):
                 rows = np.nonzero(ms == mm)[0]
                 book = books.get(int(mm))
-                if book is not None and len(book):
-                    out[rows] = pairwise(X[rows], book, "l2", squared=True).min(axis=1)
-            yield pa.RecordBatch.from_arrays([rb.column("m"), rb.column("id"), rb.column("sub"), pa.array(out)],
-                                             names=["m", "id", "sub", "d2"])
+                d2 = (pairwise(X[rows], book, "l2", squared=True).min(axis=1) if book is not None and len(book)
+                      else np.full(len(rows), np.inf))
+                keep = d2 > 0
+                if not keep.any():
+                    continue
+                rows, d2 = rows[keep], d2[keep]
+                hexes = [hashlib.md5(f"{seed}:{int(mm)}:{rnd}:{int(i)}".encode()).hexdigest()[:13] for i in ids[rows]]
+                u = (np.array([int(h, 16) for h in hexes], dtype=np.float64) + 0.5) / float(1 << 52)
+                key = np.where(np.isinf(d2), -np.log(u), -np.log(u) / d2)
+                best = np.lexsort((ids[rows], key))[0]
+                out_m.append(int(mm))
+                out_id.append(int(ids[rows[best]]))
+                out_key.append(float(key[best]))
+                out_rows.append(int(rows[best]))
+            if out_m:
+                sub = rb.column("sub").take(pa.array(out_rows))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out_m, pa.int32()), pa.array(out_id, pa.int64()), pa.array(out_key), sub],
+                    names=["m", "id", "key", "sub"])
     return run
 
 
@@ -117,22 +138,19 @@ def seed_codebooks(parts: DataFrame, M: int, ksub: int, ds: int, seed: int) -> d
     """K-means++ per part; a part stops early when every remaining distance is 0.
 
     Round ``r`` picks, for every part still seeding, ``argmin -ln(u)/d2`` with ``u`` from
-    ``md5(seed:m:r:id)`` -- one aggregation per round for all parts.
+    ``md5(seed:m:r:id)``: each task keeps its local winner per part and one small aggregation
+    per round finishes the choice for all parts.
     """
     books: dict[int, list[np.ndarray]] = {mm: [] for mm in range(M)}
     active = set(range(M))
-    schema = "m int, id bigint, sub array<double>, d2 double"
+    schema = "m int, id bigint, key double, sub array<double>"
     for r in range(ksub):
         if not active:
             break
         mats = {mm: np.vstack(b) for mm, b in books.items() if b}
-        scored = (parts.where(F.col("m").isin(sorted(active)))
-                  .select("m", "id", "sub")
-                  .mapInArrow(_min_sq_kernel(mats, ds), schema))
-        u = md5_uniform(F.concat_ws(":", F.lit(str(seed)), F.col("m").cast("string"), F.lit(str(r)),
-                                    F.col("id").cast("string")))
-        key = F.when(F.col("d2") == float("inf"), -F.log(u)).otherwise(-F.log(u) / F.col("d2"))
-        picks = (scored.where(F.col("d2") > 0).withColumn("key", key)
+        picks = (parts.where(F.col("m").isin(sorted(active)))
+                 .select("m", "id", "sub")
+                 .mapInArrow(_race_kernel(mats, ds, seed, r), schema)
                  .groupBy("m").agg(F.min_by(F.col("sub"), F.struct("key", "id")).alias("sub"))
                  .collect())
         got = set()
