@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, smallest_k
-from knnspark.functions.hashing import md5_uniform
 from knnspark.operators import cluster, exact
 from knnspark.operators.blocks import check_broadcast
 from knnspark.operators.exact import RANGE_SCHEMA, top_n
