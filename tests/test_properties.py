@@ -227,3 +227,14 @@ def test_scan_sized_by_shuffle_budget(spark, split, truth):
     finally:
         spark.conf.unset("knnspark.scan.maxShuffleRows")
     assert scan_source(many, 1000).rdd.getNumPartitions() == 40
+
+
+@pytest.mark.parametrize("size", [1, 7, 21, 200, 449, 450, 451, 1000])
+def test_training_sample_equals_global_md5_order(split, size):
+    from pyspark.sql import functions as F
+
+    base, _ = split
+    got = sorted(r["id"] for r in cluster.training_sample(base.select("id", "v"), size, 3).collect())
+    key = F.md5(F.concat_ws(":", F.lit("3"), F.col("id").cast("string")))
+    want = sorted(r["id"] for r in base.orderBy(key, "id").limit(size).collect())
+    assert got == want
