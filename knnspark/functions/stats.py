@@ -17,7 +17,8 @@ _MAX_PASSES = 8
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out: str = "median",
-                 accuracy: int = MEDIAN_ACCURACY, max_collect: int = MEDIAN_MAX_COLLECT) -> DataFrame:
+                 accuracy: int = MEDIAN_ACCURACY, max_collect: int = MEDIAN_MAX_COLLECT,
+                 side_sum: str | None = None, side_out: dict | None = None) -> DataFrame:
     """Exact per-group median of ``value_col`` -> ``(*group_cols, out)``; nulls are ignored.
 
     No group is ever buffered whole:
@@ -33,14 +34,24 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out: str
 
     Only per-group bracket state (a few numbers) goes through the driver, broadcast back to the
     passes; every pass is a partial aggregation before its shuffle.
+
+    ``side_sum`` names a numeric column of ``df`` summed per group in the first pass (so a caller
+    gets e.g. a change count without another job); the sums land in ``side_out[group key]``.
     """
     spark = df.sparkSession
-    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    side = [F.col(side_sum).alias("_side")] if side_sum else []
+    src = df.select(*group_cols, F.col(value_col).cast("double").alias("_x"), *side).where(F.col("_x").isNotNull())
+    vals = src.select(*group_cols, "_x")
     eps = 4.0 / accuracy
-    first = (vals.groupBy(*group_cols)
+    side_agg = [F.sum("_side").alias("_side")] if side_sum else []
+    first = (src.groupBy(*group_cols)
              .agg(F.count(F.lit(1)).alias("_n"),
-                  F.percentile_approx("_x", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_b"))
+                  F.percentile_approx("_x", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_b"),
+                  *side_agg)
              .limit(MAX_BROADCAST_GROUPS + 1).collect())
+    if side_sum and side_out is not None:
+        for r in first:
+            side_out[tuple(r[c] for c in group_cols)] = r["_side"]
     if len(first) > MAX_BROADCAST_GROUPS:
         raise MemoryError("too many median groups for a broadcast bracket table")
     state = []

@@ -370,12 +370,17 @@ def kmedians_step(sample: DataFrame, cids, C, metric: str, prev: tuple | None =
     """
     if prev is None:
         cur = assign(sample, (cids, C), metric, carry=("v",))
-        changes = cur.where(F.col("cid") != 0).count()
+        changed = (F.col("cid") != 0).cast("int")
     else:
         old = assign(sample, prev, metric, carry=("v",)).select("id", "v", F.col("cid").alias("old"))
         cur = assign(old, (cids, C), metric, carry=("v", "old"))
-        changes = cur.where(F.col("cid") != F.col("old")).count()
-    med = exact_median(explode_dims(cur, "v", ["cid"]), ["cid", "dim"], "x", "m")
+        changed = (F.col("cid") != F.col("old")).cast("int")
+    # the change count rides on the median's first pass (counted once per point: dimension 0)
+    long = explode_dims(cur.withColumn("_chg", changed), "v", ["cid", "_chg"])
+    long = long.withColumn("_chg", F.when(F.col("dim") == 0, F.col("_chg")).otherwise(0))
+    per_group: dict = {}
+    med = exact_median(long, ["cid", "dim"], "x", "m", side_sum="_chg", side_out=per_group)
+    changes = int(sum(v or 0 for v in per_group.values()))
     ncids, nC = long_to_matrix(med, "cid", "dim", "m")
     C2 = C.copy()
     pos = {int(c): i for i, c in enumerate(cids)}

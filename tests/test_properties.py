@@ -238,3 +238,18 @@ def test_training_sample_equals_global_md5_order(split, size):
     key = F.md5(F.concat_ws(":", F.lit("3"), F.col("id").cast("string")))
     want = sorted(r["id"] for r in base.orderBy(key, "id").limit(size).collect())
     assert got == want
+
+
+def test_kmedians_change_count(split):
+    """The change count carried by the median pass equals a direct count."""
+    from pyspark.sql import functions as F
+
+    base, _ = split
+    sample = cluster.training_sample(base.select("id", "v"), 60, 1)
+    cids, C = cluster.kmeanspp_seeds(sample, 5, "l2", 1)
+    a0, ch0, (cids1, C1) = cluster.kmedians_step(sample, cids, C, "l2")
+    assert ch0 == a0.where(F.col("cid") != 0).count()
+    a1, ch1, _ = cluster.kmedians_step(sample, cids1, C1, "l2", prev=(cids, C))
+    old = cluster.assign(sample, (cids, C)).select("id", F.col("cid").alias("old"))
+    new = cluster.assign(sample, (cids1, C1)).select("id", "cid")
+    assert ch1 == new.join(old, "id").where(F.col("cid") != F.col("old")).count()
