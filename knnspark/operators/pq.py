@@ -170,25 +170,45 @@ def _pad(book: np.ndarray, ksub: int, ds: int) -> np.ndarray:
     return book[idx].copy()
 
 
-def _assign_kernel(prev: np.ndarray | None, cur: np.ndarray, ds: int):
-    """Nearest code word (lowest index on ties) under the current and the previous codebooks."""
+def _assign_kernel(prev: list | None, cur: list, ds: int):
+    """One Lloyd round on a batch: nearest code word (lowest index on ties) under the current
+    codebooks, whether it differs from the one under the previous codebooks, and per
+    (part, code word, dimension) partial sums -- only those partial aggregates leave the task."""
     def run(batches):
         for rb in batches:
             if rb.num_rows == 0:
                 continue
             ms = rb.column("m").to_numpy(zero_copy_only=False)
             X, _ = arrow_matrix(rb.column("sub"), ds)
-            h = np.zeros(rb.num_rows, dtype=np.int32)
-            changed = np.ones(rb.num_rows, dtype=np.int32)
+            out_m, out_h, out_dim, out_s, out_c, out_ch = [], [], [], [], [], []
             for mm in np.unique(ms):
                 rows = np.nonzero(ms == mm)[0]
-                h[rows] = np.argmin(pairwise(X[rows], cur[int(mm)], "l2", squared=True), axis=1)
+                book = cur[int(mm)]
+                h = np.argmin(pairwise(X[rows], book, "l2", squared=True), axis=1)
                 if prev is not None:
                     old = np.argmin(pairwise(X[rows], prev[int(mm)], "l2", squared=True), axis=1)
-                    changed[rows] = (old != h[rows]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [rb.column("m"), rb.column("id"), pa.array(h, pa.int32()), pa.array(changed, pa.int32()),
-                 rb.column("sub")], names=["m", "id", "h", "changed", "sub"])
+                    changed = (old != h).astype(np.int64)
+                else:
+                    changed = np.ones(len(rows), dtype=np.int64)
+                k = len(book)
+                cnt = np.bincount(h, minlength=k)
+                chg = np.bincount(h, weights=changed, minlength=k)
+                sums = np.zeros((k, ds))
+                np.add.at(sums, h, X[rows])
+                used = np.nonzero(cnt)[0]
+                for dim in range(ds):
+                    out_m.append(np.full(len(used), mm))
+                    out_h.append(used)
+                    out_dim.append(np.full(len(used), dim))
+                    out_s.append(sums[used, dim])
+                    out_c.append(cnt[used])
+                    out_ch.append(chg[used] if dim == 0 else np.zeros(len(used)))
+            if out_m:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(out_m), pa.int32()), pa.array(np.concatenate(out_h), pa.int32()),
+                     pa.array(np.concatenate(out_dim), pa.int32()), pa.array(np.concatenate(out_s)),
+                     pa.array(np.concatenate(out_c), pa.int64()), pa.array(np.concatenate(out_ch).astype(np.int64))],
+                    names=["m", "h", "dim", "s", "c", "ch"])
     return run
 
 
@@ -206,15 +226,14 @@ def train_codebooks(parts: DataFrame, M: int, ksub: int, ds: int, seed: int, ite
     check_broadcast(8 * M * ksub * ds, "PQ codebooks")
     active = {mm for mm in range(M) if kact[mm] > 0}
     prev = None
-    schema = "m int, id bigint, h int, changed int, sub array<double>"
+    schema = "m int, h int, dim int, s double, c bigint, ch bigint"
     for it in range(iters):
         if not active:
             break
-        assigned = (parts.where(F.col("m").isin(sorted(active))).select("m", "id", "sub")
-                    .mapInArrow(_assign_kernel(prev, cur, ds), schema))
-        stats = (assigned.select("m", "h", "changed", F.posexplode("sub").alias("dim", "x"))
+        stats = (parts.where(F.col("m").isin(sorted(active))).select("m", "id", "sub")
+                 .mapInArrow(_assign_kernel(prev, cur, ds), schema)
                  .groupBy("m", "h", "dim")
-                 .agg(F.avg("x").alias("mean"), F.sum("changed").alias("ch"))
+                 .agg((F.sum("s") / F.sum("c")).alias("mean"), F.sum("ch").alias("ch"))
                  .collect())
         changes = {mm: 0 for mm in active}
         means = {mm: cur[mm].copy() for mm in active}
