@@ -253,3 +253,19 @@ def test_kmedians_change_count(split):
     old = cluster.assign(sample, (cids, C)).select("id", F.col("cid").alias("old"))
     new = cluster.assign(sample, (cids1, C1)).select("id", "cid")
     assert ch1 == new.join(old, "id").where(F.col("cid") != F.col("old")).count()
+
+
+def test_l1_metric_through_every_method(split):
+    """At their exact limits the approximate methods equal exact L1 search too."""
+    base, queries = split
+    want = rows(exact.knn(base, queries, N, "l1"))
+    cids, C = cluster.label_median_matrix(base)
+    index = ivfflat.build_ivfflat(base, (cids, C), cluster.KMediansParams(metric="l1"))
+    assert rows(ivfflat.search(index, queries, N, nprobe=len(cids))) == want
+    model = lsh.draw_lsh(lsh.LSHParams(k=2, L=2, w=1e6, seed=5, metric="l1"), 64)
+    assert rows(lsh.search(model, base, queries, N)) == want
+    import warnings
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        cube = hypercube.draw_cube(hypercube.CubeParams(kproj=3, max_candidates=0, probes=8, metric="l1"), 64)
+    assert rows(hypercube.search(cube, base, queries, N)) == want
