@@ -124,11 +124,21 @@ class EvaluationRun:
 
 def evaluate(method: str, base: DataFrame, queries: DataFrame, n: int, radius: float | None = None,
              config=None, centroids=None) -> EvaluationRun:
-    """M6: build, exact truth, approximate run, timed metrics (M1-M5)."""
+    """M6: build, exact truth, approximate run, timed metrics (M1-M5).
+
+    The evaluation row also carries the run configuration as a JSON ``config`` column (D17)."""
+    import dataclasses
+    import json
+
+    from pyspark.sql import functions as F
+
     index = build(method, base, config, centroids)
     neighbors, hits = search(index, queries, n, radius)
     truth = exact.knn(base, queries, n, index.metric)
-    evaluation = M.throughput(neighbors, truth, queries, n, method)
+    cfg = dataclasses.asdict(index.config) if dataclasses.is_dataclass(index.config) else {}
+    cfg.update({"method": method, "N": n, "R": radius})
+    evaluation = M.throughput(neighbors, truth, queries, n, method).withColumn(
+        "config", F.lit(json.dumps(cfg, sort_keys=True)))
     return EvaluationRun(neighbors, hits, truth, M.truth_compare(neighbors, truth), evaluation)
 
 

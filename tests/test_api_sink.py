@@ -21,6 +21,7 @@ def test_every_method_runs_and_evaluates(split, method, config):
     run = api.evaluate(method, base, queries, n=5, radius=1.2, config=config)
     row = run.evaluation.first()
     assert row["method"] == method and row["n"] == 5
+    assert json.loads(row["config"])["method"] == method
     assert 0.0 <= row["recall_at_n"] <= 1.0 and row["qps"] > 0
     if method == "brute":
         assert row["recall_at_n"] == 1.0 and abs(row["average_af"] - 1.0) < 1e-9
