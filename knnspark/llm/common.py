@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,3 +32,27 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of complete groups, with each group's start and the end of the last.
+
+    The rows must be sorted by the first ``keys`` integer columns.  A group that goes on in the next
+    batch is held back; no more than one batch and one group are held.
+    """
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = pa.Table.from_batches([batch])
+        now = now if held is None else pa.concat_tables([held, now])
+        change = np.zeros(now.num_rows - 1, bool)
+        for k in range(keys):
+            column = now.column(k).to_numpy()
+            change |= column[1:] != column[:-1]
+        starts = np.concatenate([[0], np.flatnonzero(change) + 1])
+        if len(starts) > 1:
+            yield now.slice(0, starts[-1]), starts
+        held = now.slice(starts[-1])
+    if held is not None:
+        yield held, np.array([0, held.num_rows])

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from knnspark.llm import histogram, packing, secrets, urls, warc
+from knnspark.llm import decontaminate, histogram, jaccard, langid, packing, pseudo_lm, secrets, syncmers, urls, warc
 from knnspark.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,11 +22,40 @@ URL_RULES = [
 ]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in each document: aligned words that match, and where they begin."""
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "matched", "item_words", "doc_start")
+
+
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-log-likelihood of every document under a network trained on all of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights, vocabulary = pseudo_lm.train(docs)
+    return pseudo_lm.score(docs, weights, vocabulary)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.digest(secrets.scan(docs))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates (word 5-grams, Jaccard 0.8 or more): class and number of links of each document."""
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.learn(langid.learned_from(docs))
+    predicted = langid.identify(docs.select("doc_id", "text"), model)
+    return predicted.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram.histogram(table(spark, sf_dir, "documents"), TOKENIZER, RANKS)
 
@@ -57,7 +86,12 @@ def _url_sql() -> str:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_lm_score": op2_lm_score,
     "op3_secret_scan": op3_secret_scan,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op5_language_id": op5_language_id,
+    "op6_fingerprints": op6_fingerprints,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
