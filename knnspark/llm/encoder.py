@@ -92,7 +92,7 @@ class BatchEncoder:
             starts[odd] = len(ids) + np.cumsum(counts[odd]) - counts[odd]
             ids = np.concatenate([ids, np.array([i for m in more for i in m], dtype=np.uint32)])
         if self.to_compare > 0:
-            some = range(min(self.to_compare, len(chunks)))
+            some = [k for k in range(min(self.to_compare, len(chunks))) if not any(s in chunks[k].as_py() for s in self.special)]
             self.to_compare -= len(some)
             own = [ids[starts[k]:starts[k] + counts[k]].tolist() for k in some]
             if self._library([" " + chunks[k].as_py() for k in some]) != own:

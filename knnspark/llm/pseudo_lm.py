@@ -33,7 +33,7 @@ from knnspark.llm.common import pieces
 from knnspark.llm.words import WordHasher
 
 BUCKETS, FREQUENT, HASHED = 1 << 16, 4096, 1024
-SINGLE, SHARED = 64, 32  # classes of one id, and classes of equal mass for the other ids
+SINGLE, SHARED = 192, 64  # classes of one id, and classes of equal mass for the other ids
 SIDE, DIM, HIDDEN = 2, 16, 32
 INPUTS, EDGE, CLASSES, WIDTH = FREQUENT + HASHED + 1, FREQUENT + HASHED, SINGLE + SHARED, 2 * SIDE
 SHAPES = {"embed": (INPUTS, DIM), "mid": (WIDTH * DIM, HIDDEN), "mid_bias": (HIDDEN,), "out": (HIDDEN, CLASSES), "out_bias": (CLASSES,)}
@@ -233,7 +233,7 @@ def train_round(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: Voc
     return _shaped(np.concatenate([np.frombuffer(r["sums"], "<f4") / r["windows"] for r in rows]))
 
 
-def train(docs: DataFrame, rounds: int = 2, stride: int = 16, rate: float = 0.05, batch: int = 512) -> tuple[dict[str, np.ndarray], Vocabulary]:
+def train(docs: DataFrame, rounds: int = 2, stride: int = 16, rate: float = 0.2, batch: int = 128) -> tuple[dict[str, np.ndarray], Vocabulary]:
     vocabulary = Vocabulary.of(count_ids(docs))
     weights = start_weights(vocabulary)
     for k in range(rounds):
