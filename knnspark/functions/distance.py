@@ -103,21 +103,43 @@ def pairwise(Q: np.ndarray, X: np.ndarray, metric: str = "l2", squared: bool = F
 
 
 def arrow_matrix(col, dim: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Turn an Arrow list<double> column into an (n x d) matrix plus per-row lengths."""
+    """Turn an Arrow list<double> column into an (n x d) matrix plus per-row lengths.
+
+    The rule for bad vectors, in every method and metric: a null vector, one of another length, or
+    one with a null, NaN or infinite element raises, with the number of such rows in the batch.
+    (``usable_rows`` is the query side's rule: such queries get an empty answer.)
+    """
     import pyarrow as pa
     import pyarrow.compute as pc
 
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    lengths = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.list_value_length(col), -1).to_numpy(zero_copy_only=False)
     n = len(col)
     if n == 0:
         return np.empty((0, dim or 0)), lengths
-    d = dim if dim is not None else int(lengths[0])
+    d = dim if dim is not None else int(lengths.max())
     if not np.all(lengths == d):
-        raise ValueError(f"vectors of unequal length in a batch (expected {d})")
+        raise ValueError(f"{int((lengths == -1).sum())} null vectors and {int(((lengths != d) & (lengths != -1)).sum())} "
+                         f"of another length than {d} among {n} rows")
     flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return flat.reshape(n, d), lengths
+    X = flat.reshape(n, d)
+    if not np.isfinite(flat).all():
+        raise ValueError(f"{int((~np.isfinite(X)).any(axis=1).sum())} of {n} vectors hold a null, NaN or infinite element")
+    return X, lengths
+
+
+def usable_rows(col, dim: int) -> np.ndarray:
+    """Positions of the vectors of length ``dim`` whose elements are all finite."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.list_value_length(col), -1).to_numpy(zero_copy_only=False)
+    rows = np.flatnonzero(lengths == dim)
+    if len(rows) == 0 or dim == 0:
+        return rows
+    flat = col.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return rows[np.isfinite(flat.reshape(len(rows), dim)).all(axis=1)]
 
 
 def smallest_k(dist: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -148,11 +170,17 @@ def smallest_k(dist: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, n
     return np.take_along_axis(d_sel, order, axis=1), np.take_along_axis(i_sel, order, axis=1)
 
 
-def gemm_error_bound(rn: np.ndarray, cn_max: float, d: int) -> np.ndarray:
-    """Bound on the rounding error of ``|r|^2 + |c|^2 - 2 r.c`` in float64, whatever the
-    summation order of the matrix product: about ``d * eps`` times the magnitudes involved."""
+def gemm_error_bound(rn: np.ndarray, cn: np.ndarray, d: int) -> np.ndarray:
+    """Bound on the rounding error of ``|r|^2 + |c|^2 - 2 r.c`` in float64, for each pair and
+    whatever the summation order of the matrix product: about ``d * eps`` times the magnitudes
+    involved.  A pair's bound depends on its own two vectors only."""
     eps = np.finfo(np.float64).eps
-    return 4.0 * (d + 2) * eps * (rn + cn_max) + 1e-300
+    return 4.0 * (d + 2) * eps * (rn[:, None] + cn[None, :]) + 1e-300
+
+
+def not_above(low: np.ndarray, threshold) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs whose lower bound isn't proven to exceed the threshold (an overflow proves nothing)."""
+    return np.nonzero(~(low > threshold))
 
 
 def smallest_k_l2(X: np.ndarray, C: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,9 +198,9 @@ def smallest_k_l2(X: np.ndarray, C: np.ndarray, keys: np.ndarray, k: int) -> tup
     xn = np.einsum("ij,ij->i", X, X)
     cn = np.einsum("ij,ij->i", C, C)
     A = xn[:, None] + cn[None, :] - 2.0 * (X @ C.T)
-    err = gemm_error_bound(xn, float(cn.max()), d)[:, None]
-    t = np.partition(A, k - 1, axis=1)[:, k - 1:k]
-    ri, ci = np.nonzero(A <= t + 2.0 * err)
+    err = gemm_error_bound(xn, cn, d)
+    t = np.partition(A + err, k - 1, axis=1)[:, k - 1:k]
+    ri, ci = not_above(A - err, t)
     diff = X[ri] - C[ci]
     dist = np.sqrt(np.einsum("ij,ij->i", diff, diff))
     kv = np.asarray(keys, dtype=np.int64)[ci]

@@ -28,7 +28,8 @@ def vector_blocks(df: DataFrame, key: str, vec: str, dim: int, extra: tuple[str,
     ``max_bytes`` (checked again after collection).
     """
     max_bytes = broadcast_bound(max_bytes)
-    q = df.where(F.size(vec) == dim).select(F.col(key).cast("bigint"), F.col(vec).cast("array<double>"), *extra)
+    bad = F.exists(vec, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    q = df.where((F.size(vec) == dim) & ~F.coalesce(bad, F.lit(False))).select(F.col(key).cast("bigint"), F.col(vec).cast("array<double>"), *extra)
     row_bytes = 8 * max(dim, 1) + 48 + 8 * len(extra)
     cap = max(1, max_bytes // row_bytes)
     # Common case: everything fits one block.  The limit bounds what is collected; only when it
@@ -70,7 +71,8 @@ def query_blocks(queries: DataFrame, dim: int, max_bytes: int = DEFAULT_MAX_BROA
                  qid: str = "qid", qv: str = "qv") -> list[tuple[np.ndarray, np.ndarray]]:
     """Valid queries (length ``dim``) as broadcastable ``(qids, Q)`` blocks.
 
-    Queries of another length are dropped here, which gives them an empty answer (D18).
+    Queries of another length, or with an element that isn't finite, are dropped here, which gives
+    them an empty answer (D18).
     """
     return [(k, m) for k, m, _ in vector_blocks(queries, qid, qv, dim, (), max_bytes)]
 

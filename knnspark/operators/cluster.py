@@ -11,11 +11,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, smallest_k, smallest_k_l2
+from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, smallest_k, smallest_k_l2, usable_rows
 from knnspark.functions.hashing import md5_uniform
 from knnspark.functions.stats import assemble_vectors, exact_median, explode_dims
 from knnspark.operators.blocks import check_broadcast, union_all, vector_blocks
@@ -109,8 +108,8 @@ def _nearest_kernel(cids, C, k, metric, key_col, vec_col, carry, long):
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            lengths = pc.fill_null(pc.list_value_length(rb.column(vec_col)), -1).to_numpy(zero_copy_only=False)
-            ok = np.nonzero(lengths == d)[0]  # rows of a wrong length get no centroid (S6 / D18)
+            # Points with a bad vector raise (S6); queries with one get no probe.
+            ok = usable_rows(rb.column(vec_col), d) if long else np.arange(rb.num_rows)
             if len(ok) == 0:
                 continue
             sub = rb.take(pa.array(ok)) if len(ok) != rb.num_rows else rb

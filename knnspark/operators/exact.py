@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from knnspark.functions.distance import arrow_matrix, gemm_error_bound, metric_name, pairwise, smallest_k
+from knnspark.functions.distance import arrow_matrix, gemm_error_bound, metric_name, not_above, pairwise, smallest_k
 from knnspark.operators.blocks import query_blocks, union_all
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scan_source
 from knnspark.sources.vectors import vector_dim
@@ -38,10 +38,11 @@ def _pair_batch(qid, ids, dist, top: bool, hit: bool) -> pa.RecordBatch:
 def _gemm_kernel(bc, n: int, radius: float | None):
     """Exact L2 search with a GEMM pre-filter.
 
-    One matrix product gives every squared distance up to a proven error bound ``e``.  The
-    true top-N of a query all have approximate values <= (N-th approximate value) + 2e, and the
-    true radius hits have approximate values <= R^2 + e, so only those candidates are scored
-    again from explicit differences; the answer is exactly the one of the direct method.
+    One matrix product gives every squared distance up to a proven error bound for the pair.  A
+    query's top-N of the task all lie at or below T, the smaller of the N-th best upper bound of the
+    chunk and the N-th best exact distance of the chunks before, so only pairs whose lower bound
+    isn't above T are scored again from explicit differences, as are those for radius hits.  The
+    answer is exactly the one of the direct method.
     """
     from knnspark.operators.scan import GroupTopN, pair_distances
 
@@ -51,6 +52,7 @@ def _gemm_kernel(bc, n: int, radius: float | None):
         qn = np.einsum("ij,ij->i", Q, Q)
         state = GroupTopN(n) if n > 0 else None
         step = max(1, _TASK_ELEMS // max(nq, 1))
+        best = np.full(nq, np.inf)  # squared N-th best distance of each query so far
         for rb in batches:
             if rb.num_rows == 0:
                 continue
@@ -60,14 +62,16 @@ def _gemm_kernel(bc, n: int, radius: float | None):
                 ids, X = ids_all[s:s + step], X_all[s:s + step]
                 xn = np.einsum("ij,ij->i", X, X)
                 A = qn[:, None] + xn[None, :] - 2.0 * (Q @ X.T)
-                err = gemm_error_bound(qn, float(xn.max()), d)[:, None]
+                err = gemm_error_bound(qn, xn, d)
+                low = A - err
                 if state is not None:
                     k = min(n, A.shape[1])
-                    t = np.partition(A, k - 1, axis=1)[:, k - 1:k]
-                    qi, xi = np.nonzero(A <= t + 2.0 * err)
+                    t = np.minimum(np.partition(A + err, k - 1, axis=1)[:, k - 1], best) if k == n else best
+                    qi, xi = not_above(low, t[:, None])
                     state.add(qi, pair_distances(Q, X, qi, xi, "l2"), ids[xi])
+                    best = np.fmin(best, state.worst(nq) ** 2 * (1 + 1e-12))
                 if radius is not None:
-                    qi, xi = np.nonzero(A <= radius * radius + err)
+                    qi, xi = not_above(low, radius * radius * (1 + 1e-12))
                     if len(qi):
                         dist = pair_distances(Q, X, qi, xi, "l2")
                         m = dist <= radius

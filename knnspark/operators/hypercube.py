@@ -17,11 +17,10 @@ from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from knnspark.functions.distance import arrow_matrix, metric_name
+from knnspark.functions.distance import arrow_matrix, metric_name, usable_rows
 from knnspark.functions.hashing import cube_codes
 from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
 from knnspark.operators.rerank import bounded_broadcast
@@ -95,16 +94,14 @@ def masks_table(spark, model: CubeModel) -> DataFrame:
     return spark.createDataFrame([(i + 1, m) for i, m in enumerate(masks)], "prank int, mask bigint")
 
 
-def _code_kernel(P, t, w, seed, vec_col, out_cols):
+def _code_kernel(P, t, w, seed, vec_col, out_cols, strict):
     d = P.shape[1]
 
     def run(batches):
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            lengths = pc.fill_null(pc.list_value_length(rb.column(vec_col)), -1).to_numpy(
-                zero_copy_only=False)
-            ok = np.nonzero(lengths == d)[0]     # wrong-length rows have no vertex (S6)
+            ok = np.arange(rb.num_rows) if strict else usable_rows(rb.column(vec_col), d)
             if len(ok) == 0:
                 continue
             sub = rb.take(pa.array(ok)) if len(ok) != rb.num_rows else rb
@@ -115,13 +112,13 @@ def _code_kernel(P, t, w, seed, vec_col, out_cols):
     return run
 
 
-def with_codes(model: CubeModel, df: DataFrame, vec_col: str, keep: tuple[str, ...]) -> DataFrame:
-    """H3 + H5: ``(*keep, code BIGINT)`` for every row of the right length."""
+def with_codes(model: CubeModel, df: DataFrame, vec_col: str, keep: tuple[str, ...], strict: bool = True) -> DataFrame:
+    """H3 + H5: ``(*keep, code BIGINT)``.  A bad vector raises; without ``strict`` (queries) it has no vertex."""
     p = model.params
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = ", ".join(f"{c} {fields[c]}" for c in keep) + ", code bigint"
     cols = list(dict.fromkeys([*keep, vec_col]))
-    return df.select(*cols).mapInArrow(_code_kernel(model.P, model.t, p.w, p.seed, vec_col, keep), schema)
+    return df.select(*cols).mapInArrow(_code_kernel(model.P, model.t, p.w, p.seed, vec_col, keep, strict), schema)
 
 
 def build_index(model: CubeModel, base: DataFrame) -> DataFrame:
@@ -133,7 +130,7 @@ def query_probes(model: CubeModel, queries: DataFrame, with_vectors: bool = Fals
     """H6: ``(qid, prank, code[, qv])`` -- each query's vertex XOR each mask."""
     masks = probe_masks(model.params.kproj, model.params.probes)
     keep = ("qid", "qv") if with_vectors else ("qid",)
-    qc = with_codes(model, queries, "qv", keep)
+    qc = with_codes(model, queries, "qv", keep, strict=False)
     arr = F.array(*[F.lit(m).cast("bigint") for m in masks])
     out = qc.select(*keep, F.col("code").alias("_c"), F.posexplode(arr).alias("_p", "_m"))
     return out.select("qid", (F.col("_p") + 1).cast("int").alias("prank"),
@@ -178,11 +175,7 @@ def _scan_kernel(model: CubeModel, n: int, radius: float | None):
             for rb in batches:
                 if rb.num_rows == 0:
                     continue
-                lengths = pc.fill_null(pc.list_value_length(rb.column(1)), -1).to_numpy(zero_copy_only=False)
-                ok = np.nonzero(lengths == d)[0]
-                if len(ok) == 0:
-                    continue
-                sub = rb.take(pa.array(ok)) if len(ok) != rb.num_rows else rb
+                sub = rb
                 ids = sub.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 X, _ = arrow_matrix(sub.column(1), d)
                 codes = cube_codes(X, P, t, p.w, p.seed)

@@ -14,7 +14,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,12 +90,7 @@ def _scan_kernel(metric: str, n: int, radius: float | None, has_cid: bool):
                 if rb.num_rows == 0:
                     continue
                 names = rb.schema.names
-                lengths = pc.fill_null(pc.list_value_length(rb.column(names.index("v"))), -1).to_numpy(
-                    zero_copy_only=False)
-                ok = np.nonzero(lengths == d)[0]
-                if len(ok) == 0:
-                    continue
-                sub = rb.take(pa.array(ok)) if len(ok) != rb.num_rows else rb
+                sub = rb
                 ids = sub.column(names.index("id")).to_numpy(zero_copy_only=False).astype(np.int64)
                 X, _ = arrow_matrix(sub.column(names.index("v")), d)
                 if has_cid:

@@ -18,10 +18,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from knnspark.functions.distance import arrow_matrix, metric_name
+from knnspark.functions.distance import arrow_matrix, metric_name, usable_rows
 from knnspark.functions.hashing import LSH_TABLE_SIZE, lsh_amplify, lsh_buckets_np, lsh_coefficients, lsh_hash
 from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
 from knnspark.operators.rerank import bounded_broadcast
@@ -83,7 +82,7 @@ def params_table(spark, model: LSHModel) -> DataFrame:
     return spark.createDataFrame(rows, "t int, j int, s array<double>, r array<int>")
 
 
-def _bucket_kernel(model: "LSHModel", key: str, vec: str, carry: list[str]):
+def _bucket_kernel(model: "LSHModel", key: str, vec: str, carry: list[str], strict: bool):
     p = model.params
     offsets, coef, d = model.offsets, np.asarray(model.coef, dtype=np.int64), model.dim
 
@@ -91,8 +90,7 @@ def _bucket_kernel(model: "LSHModel", key: str, vec: str, carry: list[str]):
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            lengths = pc.fill_null(pc.list_value_length(rb.column(vec)), -1).to_numpy(zero_copy_only=False)
-            ok = np.nonzero(lengths == d)[0]          # rows of a wrong length get no bucket
+            ok = np.arange(rb.num_rows) if strict else usable_rows(rb.column(vec), d)
             if len(ok) == 0:
                 continue
             sub = rb.take(pa.array(ok)) if len(ok) != rb.num_rows else rb
@@ -106,13 +104,16 @@ def _bucket_kernel(model: "LSHModel", key: str, vec: str, carry: list[str]):
     return run
 
 
-def with_buckets(model: LSHModel, df: DataFrame, key: str, vec: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    """L2-L4 as one narrow pass: ``(key, *carry, t, bucket)``, one row per table."""
+def with_buckets(model: LSHModel, df: DataFrame, key: str, vec: str, carry: tuple[str, ...] = (),
+                 strict: bool = True) -> DataFrame:
+    """L2-L4 as one narrow pass: ``(key, *carry, t, bucket)``, one row per table.
+
+    A bad vector raises; without ``strict`` (queries) it has no bucket."""
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     carry = [c for c in carry if c != key]
     schema = ", ".join(f"{c} {fields[c]}" for c in [key, *carry]) + ", t int, bucket bigint"
     cols = list(dict.fromkeys([key, vec, *carry]))
-    return df.select(*cols).mapInArrow(_bucket_kernel(model, key, vec, carry), schema)
+    return df.select(*cols).mapInArrow(_bucket_kernel(model, key, vec, carry, strict), schema)
 
 
 def build_index(model: LSHModel, base: DataFrame) -> DataFrame:
@@ -122,7 +123,7 @@ def build_index(model: LSHModel, base: DataFrame) -> DataFrame:
 
 def query_buckets(model: LSHModel, queries: DataFrame, with_vectors: bool = True) -> DataFrame:
     carry = ("qv",) if with_vectors else ()
-    return with_buckets(model, queries, "qid", "qv", carry)
+    return with_buckets(model, queries, "qid", "qv", carry, strict=False)
 
 
 def candidates(model: LSHModel, index: DataFrame, queries: DataFrame,
@@ -161,11 +162,7 @@ def _scan_kernel(model: LSHModel, n: int, radius: float | None):
             for rb in batches:
                 if rb.num_rows == 0:
                     continue
-                lengths = pc.fill_null(pc.list_value_length(rb.column(1)), -1).to_numpy(zero_copy_only=False)
-                ok = np.nonzero(lengths == d)[0]
-                if len(ok) == 0:
-                    continue
-                sub = rb.take(pa.array(ok)) if len(ok) != rb.num_rows else rb
+                sub = rb
                 ids = sub.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 X, _ = arrow_matrix(sub.column(1), d)
                 B = lsh_buckets_np(X, offsets, coef, p.w, p.k, p.table_size)

@@ -298,7 +298,7 @@ def _encode_kernel(cids, C, books, metric):
 def encode(points: DataFrame, cids, C, books: np.ndarray, metric: str) -> DataFrame:
     """``pq_codes(cid, id, codes ARRAY<SMALLINT>)``."""
     d = C.shape[1]
-    return (points.where(F.size("v") == d).select("id", "v")
+    return (points.select("id", "v")
             .mapInArrow(_encode_kernel(cids, C, books, metric), "cid int, id bigint, codes array<smallint>"))
 
 

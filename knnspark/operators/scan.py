@@ -94,7 +94,9 @@ class GroupTopN:
     def __init__(self, n: int):
         self.n = n
         self.parts: list[tuple[np.ndarray, ...]] = []
+        self.kept = 0             # rows left by the last cut: the next one waits for as many new ones
         self.size = 0
+        self.cut = False          # whether the first part is a sorted, cut set
 
     def add(self, group: np.ndarray, *cols: np.ndarray) -> None:
         """``cols`` are sort keys in priority order followed by payload columns."""
@@ -102,9 +104,10 @@ class GroupTopN:
             return
         self.parts.append((group, *cols))
         self.size += len(group)
-        if self.size > _PAIR_BUFFER:
+        if self.size > max(_PAIR_BUFFER, 2 * self.kept):
             self.parts = [self._reduce()]
-            self.size = len(self.parts[0][0])
+            self.size = self.kept = len(self.parts[0][0])
+            self.cut = True
 
     def _reduce(self, nkeys: int = 2) -> tuple[np.ndarray, ...]:
         cols = [np.concatenate(c) for c in zip(*self.parts)]
@@ -118,6 +121,16 @@ class GroupTopN:
         keep = (np.arange(len(g)) - start) < self.n
         return tuple(c[keep] for c in cols)
 
+    def worst(self, groups: int) -> np.ndarray:
+        """The ``n``-th best first key of each group as of the last cut (infinite where there are fewer)."""
+        out = np.full(groups, np.inf)
+        if self.cut and len(self.parts[0][0]):
+            g, key = self.parts[0][0], self.parts[0][1]
+            last = np.flatnonzero(np.r_[g[1:] != g[:-1], True])
+            full = np.diff(np.r_[-1, last]) >= self.n
+            out[g[last[full]]] = key[last[full]]
+        return out
+
     def result(self, nkeys: int = 2) -> tuple[np.ndarray, ...] | None:
         if not self.parts:
             return None
