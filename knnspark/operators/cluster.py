@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, smallest_k, smallest_k_l2, usable_rows
 from knnspark.functions.hashing import md5_uniform
 from knnspark.functions.stats import assemble_vectors, exact_median, explode_dims
-from knnspark.operators.blocks import check_broadcast, union_all, vector_blocks
+from knnspark.operators.blocks import check_broadcast
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bound
 
 CENTROID_SCHEMA = "cid int, c array<double>"
@@ -193,80 +193,57 @@ def silhouette_fast(assigned: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("s").alias("silhouette")))
 
 
-def _pair_sum_kernel(bc, metric):
-    """Per point of a broadcast block: sum/count of distances to base rows of its own cluster
-    (excluding itself) and of its second-nearest centroid's cluster.  Only sums leave the task."""
-    def run(batches):
-        ids_q, cid_q, sec_q, Q = bc.value
-        nq = len(ids_q)
-        sa = np.zeros(nq); na = np.zeros(nq, dtype=np.int64)
-        sb = np.zeros(nq); nb = np.zeros(nq, dtype=np.int64)
-        by_cid: dict[int, np.ndarray] = {}
-        by_sec: dict[int, np.ndarray] = {}
-        for c in np.unique(cid_q):
-            by_cid[int(c)] = np.nonzero(cid_q == c)[0]
-        for c in np.unique(sec_q[sec_q >= 0]):
-            by_sec[int(c)] = np.nonzero(sec_q == c)[0]
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            ids = rb.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            cids = rb.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            X, _ = arrow_matrix(rb.column(2), Q.shape[1])
-            for c in np.unique(cids):
-                rows = np.nonzero(cids == c)[0]
-                own = by_cid.get(int(c))
-                if own is not None:
-                    D = pairwise(Q[own], X[rows], metric)
-                    same = ids_q[own][:, None] == ids[rows][None, :]
-                    D[same] = 0.0
-                    sa[own] += D.sum(axis=1)
-                    na[own] += (~same).sum(axis=1)
-                sec = by_sec.get(int(c))
-                if sec is not None:
-                    D = pairwise(Q[sec], X[rows], metric)
-                    sb[sec] += D.sum(axis=1)
-                    nb[sec] += len(rows)
-        keep = (na > 0) | (nb > 0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids_q[keep], pa.int64()), pa.array(sa[keep]), pa.array(na[keep], pa.int64()),
-             pa.array(sb[keep]), pa.array(nb[keep], pa.int64())], names=["id", "sa", "na", "sb", "nb"])
+# Members and askers of one cluster that meet in one task (vectors held at once).
+SILHOUETTE_BLOCK = 2048
+
+
+def _pair_sum_kernel(metric: str):
+    """One block pair: for every asking point, the sum and number of its distances to the block's
+    members (not to itself).  Only those sums leave the task."""
+    def run(table: pa.Table) -> pa.Table:
+        member = table.column("member").to_numpy(zero_copy_only=False).astype(bool)
+        ids = table.column("id").to_numpy().astype(np.int64)
+        X, _ = arrow_matrix(table.column("v"))
+        D = pairwise(X[~member], X[member], metric)
+        same = ids[~member][:, None] == ids[member][None, :]
+        D[same] = 0.0
+        return pa.table({"id": pa.array(ids[~member]), "other": table.column("other").filter(pa.array(~member)),
+                         "total": pa.array(D.sum(axis=1)), "n": pa.array((~same).sum(axis=1), pa.int64())})
     return run
 
 
-def silhouette_full(points: DataFrame, assigned: DataFrame, metric: str = "l2",
-                    max_block_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+def silhouette_full(points: DataFrame, assigned: DataFrame, metric: str = "l2", block: int = SILHOUETTE_BLOCK) -> DataFrame:
     """Silhouette with ``a`` = mean distance to the other members of the own cluster and
     ``b`` = mean distance to the members of the second-nearest centroid's cluster.
 
     Singletons and points whose second cluster is empty score 0 (D12).  The work is quadratic
-    within clusters, as in the reference; no pair table is produced: points are shipped in
-    size-checked blocks and each scan task returns only per-point sums.
+    within clusters, as in the reference, but distributed: a cluster's members are dealt into blocks and
+    the points that ask about it into salts, both of about ``block`` rows, and every (cluster, block,
+    salt) is one group.  A group returns a sum for each asking point, so no pair table is produced,
+    nothing goes through the driver, and a cluster with most of the points is many groups.
     -> ``(cid, n, silhouette)`` per cluster plus the overall row with ``cid`` NULL.
     """
     metric = metric_name(metric)
-    spark = points.sparkSession
     if "v" in assigned.columns:          # assignment computed with carry=("v",): no join with the base
         table = assigned.select("id", "v", "cid", "cid2")
     else:
         table = points.select("id", "v").join(assigned.select("id", "cid", "cid2"), "id")
-    d = table.select(F.size("v")).first()
-    if d is None:
-        return spark.createDataFrame([], "cid int, n bigint, silhouette double")
-    d = int(d[0])
-    frames = []
-    blocks = vector_blocks(table.withColumn("cid2", F.coalesce("cid2", F.lit(-1))), "id", "v", d,
-                           ("cid", "cid2"), max_block_bytes)
-    for qids, Q, ex in blocks:
-        bc = spark.sparkContext.broadcast((qids, ex["cid"].astype(np.int64), ex["cid2"].astype(np.int64), Q))
-        frames.append(table.select("id", "cid", "v").mapInArrow(
-            _pair_sum_kernel(bc, metric), "id bigint, sa double, na bigint, sb double, nb bigint"))
-    if not frames:
-        return spark.createDataFrame([], "cid int, n bigint, silhouette double")
-    sums = (union_all(frames).groupBy("id")
-            .agg(F.sum("sa").alias("sa"), F.sum("na").alias("na"), F.sum("sb").alias("sb"), F.sum("nb").alias("nb")))
-    a = F.col("sa") / F.col("na")
-    b = F.col("sb") / F.col("nb")
+    members = table.select("id", "v", F.col("cid").alias("c"))
+    about = F.array(F.struct(F.col("cid").alias("c"), F.lit(0).alias("other")), F.struct(F.col("cid2").alias("c"), F.lit(1).alias("other")))
+    asks = table.select("id", "v", F.explode(about).alias("a")).select("id", "v", "a.c", "a.other").where(F.col("c").isNotNull())
+    held = members.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+    sizes = asks.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / block).alias("salts")).join(held, "c")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    here = members.join(sizes, "c").select("c", F.pmod(F.xxhash64("id"), "blocks").alias("j"), upto("salts").alias("s"),
+                                           F.lit(True).alias("member"), "id", F.lit(0).alias("other"), "v")
+    asking = asks.join(sizes, "c").select("c", upto("blocks").alias("j"), F.pmod(F.xxhash64("id", F.lit(1)), "salts").alias("s"),
+                                          F.lit(False).alias("member"), "id", "other", "v")
+    sums = (here.unionByName(asking).groupBy("c", "j", "s")
+            .applyInArrow(_pair_sum_kernel(metric), "id bigint, other int, total double, n bigint")
+            .groupBy("id").agg(*(F.sum(F.when(F.col("other") == k, F.col(c))).alias(f"{p}{x}")
+                                 for k, x in ((0, "a"), (1, "b")) for c, p in (("total", "s"), ("n", "n")))))
+    a = F.col("sa") / F.when(F.col("na") > 0, F.col("na"))
+    b = F.col("sb") / F.when(F.col("nb") > 0, F.col("nb"))
     s = (F.when((F.coalesce("na", F.lit(0)) == 0) | (F.coalesce("nb", F.lit(0)) == 0), F.lit(0.0))
          .when(F.greatest(a, b) > 0, (b - a) / F.greatest(a, b)).otherwise(F.lit(0.0)))
     per_point = assigned.select("id", "cid").join(sums, "id", "left").withColumn("s", s)
@@ -298,7 +275,8 @@ def training_sample(points: DataFrame, size: int, seed: int = 1, total: int | No
 
     The md5 order is uniform, so a filter ``u < t`` with ``t`` a little above ``size / n`` keeps
     slightly more than ``size`` rows; the exact first ``size`` are then taken from that small set.
-    This avoids a global top-k that would funnel every partition's candidates into one task.
+    This avoids a global top-k that would funnel every partition's candidates into one task; the
+    sample is a filter, so it keeps the partitions of ``points``.
     ``t`` is raised until the filter keeps enough rows (expected once).
     """
     size = int(size)
@@ -314,7 +292,13 @@ def training_sample(points: DataFrame, size: int, seed: int = 1, total: int | No
         if t >= 1.0 or kept.count() >= size:
             break
         t = min(1.0, t * 2.0)
-    return kept.orderBy("_k", "id").limit(size).drop("_k", "_u")
+    # The key of the last row to keep cuts the small set where it lies: a filter, so it stays in its partitions.
+    order = F.struct("_k", "id")
+    last = kept.select(order.alias("o")).orderBy("o").offset(size - 1).limit(1).collect()
+    if not last:
+        return kept.drop("_k", "_u")
+    k, i = last[0]["o"]
+    return kept.where((F.col("_k") < k) | ((F.col("_k") == k) & (F.col("id") <= i))).drop("_k", "_u")
 
 
 def _race_pick(sample: DataFrame, cids, C, metric: str, seed: int, rnd: int):

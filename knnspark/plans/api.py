@@ -133,12 +133,17 @@ def evaluate(method: str, base: DataFrame, queries: DataFrame, n: int, radius: f
     from pyspark.sql import functions as F
 
     index = build(method, base, config, centroids)
-    neighbors, hits = search(index, queries, n, radius)
-    truth = exact.knn(base, queries, n, index.metric)
+    found: dict[str, DataFrame | None] = {}
+
+    def approximate() -> DataFrame:
+        neighbors, found["hits"] = search(index, queries, n, radius)
+        return neighbors
+
+    row, neighbors, truth = M.throughput(approximate, lambda: exact.knn(base, queries, n, index.metric), queries, n, method)
+    hits = found["hits"]
     cfg = dataclasses.asdict(index.config) if dataclasses.is_dataclass(index.config) else {}
     cfg.update({"method": method, "N": n, "R": radius})
-    evaluation = M.throughput(neighbors, truth, queries, n, method).withColumn(
-        "config", F.lit(json.dumps(cfg, sort_keys=True)))
+    evaluation = row.withColumn("config", F.lit(json.dumps(cfg, sort_keys=True)))
     return EvaluationRun(neighbors, hits, truth, M.truth_compare(neighbors, truth), evaluation)
 
 

@@ -13,6 +13,17 @@ queries AS (
   SELECT vec_id::BIGINT AS qid, embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id % 10 = 0)"""
 
 
+# The operators that have no query side run over the whole table.
+WHOLE = """base AS (SELECT vec_id::BIGINT AS id, embedding::DOUBLE[] AS v, label FROM embeddings),
+queries AS (SELECT vec_id::BIGINT AS qid, embedding::DOUBLE[] AS qv FROM embeddings)"""
+
+
+def whole(sql: str) -> str:
+    """``sql`` over the whole table instead of the split."""
+    assert SPLIT in sql
+    return sql.replace(SPLIT, WHOLE)
+
+
 def dist(a: str, b: str, metric: str = "l2") -> str:
     if metric == "l1":
         return f"list_sum(list_transform(list_zip({a}, {b}), lambda p: abs(p[1] - p[2])))"
@@ -165,10 +176,13 @@ def masks_values(masks) -> str:
 # --------------------------------------------------------------------------- training
 
 
-def train_ctes(k: int, iters: int, seed: int = 1, metric: str = "l2", src: str = "base") -> str:
+def train_ctes(k: int, iters: int, seed: int = 1, metric: str = "l2", src: str = "base", tol: int = 1) -> str:
     """CTEs ``s`` (md5-ordered sample of floor(sqrt(n)) points), ``c{r}`` (k-means++ seeds by an
-    exponential race, one CTE per round) and ``cen{i}`` (centroids after ``i`` k-medians steps)."""
-    parts = [f"""s AS (
+    exponential race, one CTE per round) and ``cen{i}`` (centroids after ``i`` k-medians steps).
+
+    The rounds are unrolled to the limit; once a round changed at most ``tol`` assignments
+    (``go{i}`` false), the centroids stay as they are."""
+    parts = [f"""s AS MATERIALIZED (
   SELECT id, v FROM {src}
   QUALIFY row_number() OVER (ORDER BY md5(concat_ws(':', '{seed}', id::VARCHAR)), id)
           <= (SELECT floor(sqrt(count(*))) FROM {src})),
@@ -179,21 +193,26 @@ c0 AS (
         u = md5_uniform(f"concat_ws(':', '{seed}', '{r}', s.id::VARCHAR)")
         parts.append(f"""d{r} AS (
   SELECT s.id, s.v, min({dist('s.v', 'c.v', metric)}) AS d, any_value({u}) AS u FROM s, c{r - 1} c GROUP BY s.id, s.v),
-c{r} AS (
+c{r} AS MATERIALIZED (
   SELECT * FROM c{r - 1}
   UNION ALL (SELECT {r} AS cid, id, v FROM d{r} WHERE d > 0 ORDER BY -ln(u) / (d * d), id LIMIT 1))""")
     parts.append(f"seeds AS (SELECT cid, id, v FROM c{k - 1})")
-    parts.append("cen0 AS (SELECT cid::INTEGER AS cid, v AS c FROM seeds)")
+    parts.append("cen0 AS MATERIALIZED (SELECT cid::INTEGER AS cid, v AS c FROM seeds)")
+    parts.append("go0 AS MATERIALIZED (SELECT true AS go)")
     for i in range(iters):
-        parts.append(f"""a{i} AS (
+        before = f"LEFT JOIN a{i - 1} o ON o.id = a.id" if i else ""
+        old = "o.cid" if i else "0"
+        parts.append(f"""a{i} AS MATERIALIZED (
   SELECT id, cid FROM (
     SELECT s.id, c.cid, row_number() OVER (PARTITION BY s.id ORDER BY {dist('s.v', 'c.c', metric)}, c.cid) AS r
-    FROM s, cen{i} c) t WHERE r = 1),
+    FROM s, cen{i} c) t WHERE r = 1 AND (SELECT go FROM go{i})),
+go{i + 1} AS MATERIALIZED (
+  SELECT (SELECT go FROM go{i}) AND (SELECT count(*) FROM a{i} a {before} WHERE a.cid IS DISTINCT FROM {old}) > {tol} AS go),
 m{i} AS (
   SELECT a.cid, e.dim, median(e.x) AS m
   FROM a{i} a JOIN (SELECT id, unnest(v) AS x, unnest(generate_series(0, len(v) - 1)) AS dim FROM s) e ON e.id = a.id
   GROUP BY a.cid, e.dim),
-cen{i + 1} AS (
+cen{i + 1} AS MATERIALIZED (
   SELECT c.cid, coalesce(n.c, c.c) AS c FROM cen{i} c
   LEFT JOIN (SELECT cid, list(m ORDER BY dim) AS c FROM m{i} GROUP BY cid) n ON n.cid = c.cid)""")
     return ",\n".join(parts)

@@ -1,7 +1,7 @@
 """Registered queries over the driver's ``embeddings`` table and their DuckDB oracles.
 
-Every entry reads the whole table (queries = every tenth vector, base = the rest) and returns a
-DataFrame whose column names and types match the oracle SQL.  Distances are rounded to 6 places
+Every entry reads the whole table (searches: queries = every tenth vector, base = the rest; operators
+without a query side: all rows) and returns a DataFrame whose column names and types match the oracle SQL.  Distances are rounded to 6 places
 on both sides (D15); ordering ties are always broken by id (D14).
 """
 
@@ -27,8 +27,7 @@ from knnspark.plans import oracle as O
 from knnspark.session import scratch_path
 from knnspark.sources import binary as B
 from knnspark.sources import sink as SINK
-from knnspark.sources.vectors import fixture_split
-from knnspark.sources.vectors import read_embeddings, validate_vectors
+from knnspark.sources.vectors import as_queries, canonical, fixture_split, read_embeddings, validate_vectors, whole_table
 
 # Fixture parameters (FIXTURES.md §1 / SURVEY §7.4).
 N = 5
@@ -128,21 +127,21 @@ def _label_centroids(base):
     return K.label_median_matrix(base)
 
 
-@register("dim_mean", f"""WITH {O.SPLIT}
+@register("dim_mean", O.whole(f"""WITH {O.SPLIT}
 SELECT label, dim::INTEGER AS dim, round(avg(x), 6) AS mean FROM (
   SELECT label, unnest(v) AS x, unnest(generate_series(0, len(v) - 1)) AS dim FROM base) e
-GROUP BY label, dim""")
+GROUP BY label, dim"""))
 def q_dim_mean(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     return _r6(S.dim_means(base, ["label"]), "mean")
 
 
-@register("dim_median", f"""WITH {O.SPLIT}
+@register("dim_median", O.whole(f"""WITH {O.SPLIT}
 SELECT label, dim::INTEGER AS dim, round(median(x), 6) AS median FROM (
   SELECT label, unnest(v) AS x, unnest(generate_series(0, len(v) - 1)) AS dim FROM base) e
-GROUP BY label, dim""")
+GROUP BY label, dim"""))
 def q_dim_median(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     return _r6(S.dim_medians(base, ["label"]), "median")
 
 
@@ -158,10 +157,10 @@ def q_validate(spark, sf_dir):
     return validate_vectors(emb.select(F.col("embedding").alias("v")), "v", expected_dim=64)
 
 
-@register("centroids", f"""WITH {O.SPLIT}, {O.cent()}
-SELECT cid, (generate_subscripts(c, 1) - 1)::INTEGER AS dim, round(unnest(c), 6) AS c FROM cent""")
+@register("centroids", O.whole(f"""WITH {O.SPLIT}, {O.cent()}
+SELECT cid, (generate_subscripts(c, 1) - 1)::INTEGER AS dim, round(unnest(c), 6) AS c FROM cent"""))
 def q_centroids(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     cents = K.label_medians(base)
     return cents.select("cid", F.posexplode("c").alias("dim", "c")).withColumn("c", F.round("c", 6))
 
@@ -170,37 +169,37 @@ _ASSIGN_SQL = f"""WITH {O.SPLIT}, {O.cent()}
 SELECT id, cid, round(dist, 6) AS dist, cid2, round(dist2, 6) AS dist2 FROM asg"""
 
 
-@register("assign", _ASSIGN_SQL)
+@register("assign", O.whole(_ASSIGN_SQL))
 def q_assign(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     return _r6(K.assign(base, _label_centroids(base)), "dist", "dist2")
 
 
-@register("second_nearest", f"""WITH {O.SPLIT}, {O.cent()}
-SELECT id, cid2, round(dist2, 6) AS dist2 FROM asg""")
+@register("second_nearest", O.whole(f"""WITH {O.SPLIT}, {O.cent()}
+SELECT id, cid2, round(dist2, 6) AS dist2 FROM asg"""))
 def q_second_nearest(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     return _r6(K.assign(base, _label_centroids(base)).select("id", "cid2", "dist2"), "dist2")
 
 
-@register("cluster_members", f"""WITH {O.SPLIT}, {O.cent()}
-SELECT cid, count(*)::BIGINT AS n, min(id) AS min_id, max(id) AS max_id FROM asg GROUP BY cid""")
+@register("cluster_members", O.whole(f"""WITH {O.SPLIT}, {O.cent()}
+SELECT cid, count(*)::BIGINT AS n, min(id) AS min_id, max(id) AS max_id FROM asg GROUP BY cid"""))
 def q_cluster_members(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     return K.cluster_sizes(K.assign(base, _label_centroids(base)))
 
 
-@register("silhouette_fast", f"""WITH {O.SPLIT}, {O.cent()}
+@register("silhouette_fast", O.whole(f"""WITH {O.SPLIT}, {O.cent()}
 SELECT cid, count(*)::BIGINT AS n, round(avg(
   CASE WHEN dist2 IS NULL THEN 1.0 WHEN greatest(dist, dist2) > 0 THEN (dist2 - dist) / greatest(dist, dist2)
        ELSE 0.0 END), 6) AS silhouette
-FROM asg GROUP BY ROLLUP (cid)""")
+FROM asg GROUP BY ROLLUP (cid)"""))
 def q_silhouette_fast(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     return _r6(K.silhouette_fast(K.assign(base, _label_centroids(base))), "silhouette")
 
 
-@register("silhouette_full", f"""WITH {O.SPLIT}, {O.cent()},
+@register("silhouette_full", O.whole(f"""WITH {O.SPLIT}, {O.cent()},
 pts AS (SELECT asg.id, asg.cid, asg.cid2, b.v FROM asg JOIN base b ON b.id = asg.id),
 sa AS (SELECT p.id, avg({O.dist('p.v', 'o.v')}) AS a FROM pts p JOIN pts o ON o.cid = p.cid AND o.id <> p.id
        GROUP BY p.id),
@@ -209,42 +208,45 @@ s AS (SELECT p.id, p.cid,
         CASE WHEN sa.a IS NULL OR sb.b IS NULL THEN 0.0
              WHEN greatest(sa.a, sb.b) > 0 THEN (sb.b - sa.a) / greatest(sa.a, sb.b) ELSE 0.0 END AS s
       FROM pts p LEFT JOIN sa ON sa.id = p.id LEFT JOIN sb ON sb.id = p.id)
-SELECT cid, count(*)::BIGINT AS n, round(avg(s), 6) AS silhouette FROM s GROUP BY ROLLUP (cid)""")
+SELECT cid, count(*)::BIGINT AS n, round(avg(s), 6) AS silhouette FROM s GROUP BY ROLLUP (cid)"""))
 def q_silhouette_full(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     return _r6(K.silhouette_full(base, K.assign(base, _label_centroids(base), carry=("v",))), "silhouette")
 
 
-@register("squared_l2", f"""WITH {O.SPLIT}, {O.cent()}
-SELECT b.id, round({O.sqdist('b.v', 'c.c')}, 6) AS sq FROM base b JOIN asg a ON a.id = b.id JOIN cent c ON c.cid = a.cid""")
+def _with_centroid(base):
+    """``(id, v, c)``: every vector beside its nearest centroid (a checked matrix, so a bounded broadcast)."""
+    cids, C = _label_centroids(base)
+    cents = K.centroids_frame(base.sparkSession, cids, C)
+    return K.assign(base, (cids, C), carry=("v",)).select("id", "v", "cid").join(F.broadcast(cents), "cid")
+
+
+@register("squared_l2", O.whole(f"""WITH {O.SPLIT}, {O.cent()}
+SELECT b.id, round({O.sqdist('b.v', 'c.c')}, 6) AS sq FROM base b JOIN asg a ON a.id = b.id JOIN cent c ON c.cid = a.cid"""))
 def q_squared_l2(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
-    cents = K.label_medians(base)
-    asg = K.assign(base, K.centroid_matrix(cents)).select("id", "cid")
-    j = base.join(asg, "id").join(F.broadcast(cents), "cid")
+    base = whole_table(spark, sf_dir)
+    j = _with_centroid(base)
     return j.select("id", F.round(V.squared_l2("v", "c"), 6).alias("sq"))
 
 
-@register("residuals", f"""WITH {O.SPLIT}, {O.cent()}
+@register("residuals", O.whole(f"""WITH {O.SPLIT}, {O.cent()}
 SELECT id, (generate_subscripts(r, 1) - 1)::INTEGER AS dim, round(unnest(r), 6) AS r FROM (
   SELECT b.id, list_transform(list_zip(b.v, c.c), lambda p: p[1] - p[2]) AS r
-  FROM base b JOIN asg a ON a.id = b.id JOIN cent c ON c.cid = a.cid) t""")
+  FROM base b JOIN asg a ON a.id = b.id JOIN cent c ON c.cid = a.cid) t"""))
 def q_residuals(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
-    cents = K.label_medians(base)
-    asg = K.assign(base, K.centroid_matrix(cents)).select("id", "cid")
-    j = base.join(asg, "id").join(F.broadcast(cents), "cid")
+    base = whole_table(spark, sf_dir)
+    j = _with_centroid(base)
     return (j.select("id", F.posexplode(V.residual("v", "c")).alias("dim", "r"))
             .withColumn("r", F.round("r", 6)))
 
 
-@register("subvectors", f"""WITH {O.SPLIT}
+@register("subvectors", O.whole(f"""WITH {O.SPLIT}
 SELECT id, m::INTEGER AS m, round(sub[1], 6) AS first, round(list_sum(list_transform(sub, lambda x: x * x)), 6) AS ssq
 FROM (SELECT id, unnest(generate_series(0, {PQ_M} - 1)) AS m,
              unnest(list_transform(generate_series(0, {PQ_M} - 1), lambda i: v[i * 4 + 1 : i * 4 + 4])) AS sub
-      FROM base) t""")
+      FROM base) t"""))
 def q_subvectors(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     parts = base.select("id", F.posexplode(V.subvectors("v", PQ_M, 64 // PQ_M)).alias("m", "sub"))
     ssq = F.aggregate("sub", F.lit(0.0), lambda s, x: s + x * x)
     return parts.select("id", "m", F.round(F.col("sub")[0], 6).alias("first"), F.round(ssq, 6).alias("ssq"))
@@ -330,9 +332,9 @@ lpairs AS (SELECT c.qid, c.id, {O.dist('q.qv', 'b.v')} AS dist
            FROM cands c JOIN queries q ON q.qid = c.qid JOIN base b ON b.id = c.id)"""
 
 
-@register("lsh_buckets", f"WITH {_LSH_CTES}\nSELECT t, bucket, id FROM bb")
+@register("lsh_buckets", O.whole(f"WITH {_LSH_CTES}\nSELECT t, bucket, id FROM bb"))
 def q_lsh_buckets(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     return LSH.build_index(LSH_MODEL, base)
 
 
@@ -376,15 +378,15 @@ cdists_capped AS (SELECT c.qid, c.id, {O.dist('q.qv', 'b.v')} AS dist FROM cappe
            JOIN queries q ON q.qid = c.qid JOIN base b ON b.id = c.id)"""
 
 
-@register("cube_codes", f"WITH {_CUBE_CTES}\nSELECT id, code FROM bcode")
+@register("cube_codes", O.whole(f"WITH {_CUBE_CTES}\nSELECT id, code FROM bcode"))
 def q_cube_codes(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     return H.build_index(CUBE_MODEL, base).select("id", "code")
 
 
-@register("cube_probes", f"WITH {_CUBE_CTES}\nSELECT qid, prank, code FROM qprobe")
+@register("cube_probes", O.whole(f"WITH {_CUBE_CTES}\nSELECT qid, prank, code FROM qprobe"))
 def q_cube_probes(spark, sf_dir):
-    _, queries = fixture_split(spark, sf_dir)
+    queries = as_queries(whole_table(spark, sf_dir))
     return H.query_probes(CUBE_MODEL, queries)
 
 
@@ -412,11 +414,11 @@ def q_cube_range(spark, sf_dir):
     return _r6(H.range_search(CUBE_MODEL, base, queries, R), "dist")
 
 
-@register("dot_products", f"""WITH {O.SPLIT},
+@register("dot_products", O.whole(f"""WITH {O.SPLIT},
 {O.cube_codes_cte('bcode', 'base', 'id', 'v', CUBE_MODEL)}
-SELECT b.id, cp.i::INTEGER AS i, round({O.dot('b.v', 'cp.p')}, 6) AS dot FROM base b, bcode_p cp""")
+SELECT b.id, cp.i::INTEGER AS i, round({O.dot('b.v', 'cp.p')}, 6) AS dot FROM base b, bcode_p cp"""))
 def q_dot_products(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     proj = F.expr("array(" + ", ".join(double_array(row) for row in CUBE_MODEL.P) + ")")
     return (base.select("id", "v", F.posexplode(proj).alias("i", "p"))
             .select("id", "i", F.round(V.dot("v", "p"), 6).alias("dot")))
@@ -425,8 +427,8 @@ def q_dot_products(spark, sf_dir):
 # --------------------------------------------------------------------------- training
 
 TRAIN_K = 10
-TRAIN_ITERS = 3
-TRAIN_PARAMS = K.KMediansParams(k=TRAIN_K, metric="l2", seed=1, max_iter=TRAIN_ITERS, tol_changes=-1)
+TRAIN_ITERS = 50    # the round limit; training stops before it by the stop rule
+TRAIN_PARAMS = K.KMediansParams(k=TRAIN_K, metric="l2", seed=1, max_iter=TRAIN_ITERS, tol_changes=1)
 _TRAIN = O.train_ctes(TRAIN_K, TRAIN_ITERS, 1, "l2")
 
 
@@ -435,15 +437,15 @@ def _sample(base):
     return K.training_sample(base.select("id", "v"), n, 1)
 
 
-@register("train_sample", f"WITH {O.SPLIT}, {_TRAIN}\nSELECT id FROM s")
+@register("train_sample", O.whole(f"WITH {O.SPLIT}, {_TRAIN}\nSELECT id FROM s"))
 def q_train_sample(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     return _sample(base).select("id")
 
 
-@register("kmeanspp_seeds", f"WITH {O.SPLIT}, {_TRAIN}\nSELECT cid::INTEGER AS cid, id FROM seeds")
+@register("kmeanspp_seeds", O.whole(f"WITH {O.SPLIT}, {_TRAIN}\nSELECT cid::INTEGER AS cid, id FROM seeds"))
 def q_kmeanspp_seeds(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     sample = _sample(base).checkpoint(eager=True)
     cids, _, ids = K.kmeanspp_seeds(sample, TRAIN_K, "l2", 1, with_ids=True)
     chosen = spark.createDataFrame([(int(c), int(i)) for c, i in zip(cids, ids)], "cid int, id bigint")
@@ -456,20 +458,20 @@ def _centroid_rows(spark, cids, C):
             .select("cid", F.posexplode("c").alias("dim", "c")).withColumn("c", F.round("c", 6)))
 
 
-@register("kmedians_step", f"""WITH {O.SPLIT}, {_TRAIN}
-SELECT cid, (generate_subscripts(c, 1) - 1)::INTEGER AS dim, round(unnest(c), 6) AS c FROM cen1""")
+@register("kmedians_step", O.whole(f"""WITH {O.SPLIT}, {_TRAIN}
+SELECT cid, (generate_subscripts(c, 1) - 1)::INTEGER AS dim, round(unnest(c), 6) AS c FROM cen1"""))
 def q_kmedians_step(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     sample = _sample(base).checkpoint(eager=True)
     cids, C = K.kmeanspp_seeds(sample, TRAIN_K, "l2", 1)
     _, _, (cids, C) = K.kmedians_step(sample, cids, C, "l2", None)
     return _centroid_rows(spark, cids, C)
 
 
-@register("kmedians_fit", f"""WITH {O.SPLIT}, {_TRAIN}
-SELECT cid, (generate_subscripts(c, 1) - 1)::INTEGER AS dim, round(unnest(c), 6) AS c FROM cen{TRAIN_ITERS}""")
+@register("kmedians_fit", O.whole(f"""WITH {O.SPLIT}, {_TRAIN}
+SELECT cid, (generate_subscripts(c, 1) - 1)::INTEGER AS dim, round(unnest(c), 6) AS c FROM cen{TRAIN_ITERS}"""))
 def q_kmedians_fit(spark, sf_dir):
-    base, _ = fixture_split(spark, sf_dir)
+    base = whole_table(spark, sf_dir)
     cids, C, _ = K.kmedians_fit(base, TRAIN_PARAMS)
     return _centroid_rows(spark, cids, C)
 
@@ -493,7 +495,7 @@ def q_ivfflat_trained_knn(spark, sf_dir):
 
 
 PQ_NBITS = 4
-PQ_ITERS = 5
+PQ_ITERS = 20
 PQ_PARAMS = PQ.PQParams(m=PQ_M, nbits=PQ_NBITS, nprobe=NPROBE, seed=1, metric="l2", train_iters=PQ_ITERS)
 _PQ = f"""{O.SPLIT}, {O.cent()},
 {O.pq_ctes(PQ_M, 1 << PQ_NBITS, DIM // PQ_M, PQ_ITERS, NPROBE, 1)}"""
@@ -504,18 +506,18 @@ def _pq_index(spark, sf_dir):
     return PQ.build_ivfpq(base, PQ_PARAMS, _label_centroids(base)), base, queries
 
 
-@register("pq_train", f"""WITH {_PQ}
-SELECT m, h, (generate_subscripts(cw, 1) - 1)::INTEGER AS dim, round(unnest(cw), 6) AS cw FROM cbf""")
+@register("pq_train", O.whole(f"""WITH {_PQ}
+SELECT m, h, (generate_subscripts(cw, 1) - 1)::INTEGER AS dim, round(unnest(cw), 6) AS cw FROM cbf"""))
 def q_pq_train(spark, sf_dir):
-    index, _, _ = _pq_index(spark, sf_dir)
+    index = PQ.build_ivfpq(base := whole_table(spark, sf_dir), PQ_PARAMS, _label_centroids(base))
     return (PQ.codebook_table(spark, index).select("m", "h", F.posexplode("cw").alias("dim", "cw"))
             .withColumn("cw", F.round("cw", 6)))
 
 
-@register("pq_encode", f"""WITH {_PQ}
-SELECT a.cid, e.id, e.m, e.code::INTEGER AS code FROM enc e JOIN asg a ON a.id = e.id""")
+@register("pq_encode", O.whole(f"""WITH {_PQ}
+SELECT a.cid, e.id, e.m, e.code::INTEGER AS code FROM enc e JOIN asg a ON a.id = e.id"""))
 def q_pq_encode(spark, sf_dir):
-    index, _, _ = _pq_index(spark, sf_dir)
+    index = PQ.build_ivfpq(base := whole_table(spark, sf_dir), PQ_PARAMS, _label_centroids(base))
     return index.codes.select("cid", "id", F.posexplode("codes").alias("m", "code")).withColumn(
         "code", F.col("code").cast("int"))
 
@@ -552,14 +554,12 @@ _INGEST_IDX_SQL = """SELECT vec_id AS id, (generate_subscripts(embedding, 1) - 1
 
 
 def _ingest(spark, sf_dir, kind: str, transform=None, rows: int = 0, cols: int = 0):
-    from knnspark.sources.vectors import canonical
-
     vecs = canonical(read_embeddings(spark, sf_dir), keep=())
     if transform is not None:
         vecs = vecs.select("id", transform.alias("v"))
     path = scratch_path(spark, f"ingest-{kind}")
-    B.write_vectors(vecs, path, kind, partitions=4, rows=rows, cols=cols)
-    back = B.read_vectors(spark, path, kind, split_bytes=16 * 1024)
+    B.write_vectors(vecs, path, kind, rows=rows, cols=cols)
+    back = B.read_vectors(spark, path, kind)
     return back.select("id", F.posexplode("v").alias("dim", "x"))
 
 
@@ -579,51 +579,57 @@ def q_ingest_idx(spark, sf_dir):
     return _ingest(spark, sf_dir, "idx", pixels, rows=8, cols=8)
 
 
-# --------------------------------------------------------------------------- timing (M3, M4): no oracle
+# --------------------------------------------------------------------------- timing (M3, M4)
 
 
-@register("throughput")
+@register("throughput", f"""WITH {_EVAL_CTES}
+SELECT 'ivfflat' AS method, {N}::INTEGER AS n, round(avg(af), 6) AS average_af, round(avg(recall), 6) AS recall_at_n,
+       true AS timed FROM pq""")
 def q_throughput(spark, sf_dir):
-    """Evaluation row with QPS and ms/query of IVFFlat against the exact scan (timing: rows only)."""
+    """Evaluation row of IVFFlat against the exact scan; the measured times must be there and agree."""
     index, base, queries = _ivf_index(spark, sf_dir)
-    approx = IVF.search(index, queries, N, NPROBE)
-    return M.throughput(approx, exact.knn(base, queries, N), queries, N, "ivfflat")
+    row, _, _ = M.throughput(lambda: IVF.search(index, queries, N, NPROBE), lambda: exact.knn(base, queries, N), queries, N, "ivfflat")
+    agree = F.abs(F.col("qps") * F.col("ms_per_query") - 1000.0) < 1e-3
+    return _r6(row, "average_af", "recall_at_n").select(
+        "method", "n", "average_af", "recall_at_n",
+        (agree & (F.col("search_seconds") > 0) & (F.col("truth_ms_per_query") > 0)).alias("timed"))
 
 
 # --------------------------------------------------------------------------- result report
 
 
 _NL = "chr(10)"
+_REPORT_CONFIG = f"%s  N = {N}%s  R = {R}%s  nprobe = {NPROBE}"
 
 
 @register("result_report", f"""WITH {_EVAL_CTES},
 cmp AS (SELECT a.qid, a.rank, a.id, a.dist, coalesce(t.dist, a.dist) AS true_dist
         FROM approx a LEFT JOIN truth t ON t.qid = a.qid AND t.rank = a.rank),
-nbt AS (SELECT qid, string_agg(printf('Nearest neighbor-%d: %d', rank, id) || {_NL} ||
-                               printf('distanceApproximate: %.6f', dist) || {_NL} ||
-                               printf('distanceTrue: %.6f', true_dist), {_NL} ORDER BY rank) AS nb
+nbt AS (SELECT qid, string_agg(printf('  %d. id %d at %.6f (exact: %.6f)', rank, id, dist, true_dist), {_NL} ORDER BY rank) AS nb
         FROM cmp GROUP BY qid),
-rgt AS (SELECT qid, string_agg(printf('R-near neighbor: %d (%.6f)', id, dist), {_NL} ORDER BY dist, id) AS rg
+rgt AS (SELECT qid, string_agg(printf('  within radius: id %d at %.6f', id, dist), {_NL} ORDER BY dist, id) AS rg
         FROM cands WHERE dist <= {R} GROUP BY qid)
-SELECT nbt.qid AS qid, concat_ws({_NL}, repeat('=', 61), printf('Query: %d', nbt.qid), nbt.nb, rgt.rg) AS report
-FROM nbt LEFT JOIN rgt ON rgt.qid = nbt.qid""")
+SELECT nbt.qid AS qid, concat_ws({_NL}, printf('query %d', nbt.qid), nbt.nb, rgt.rg) AS report
+FROM nbt LEFT JOIN rgt ON rgt.qid = nbt.qid
+UNION ALL
+SELECT -1, printf('method: ivfflat{_REPORT_CONFIG}', chr(10), chr(10), chr(10)) ||
+           printf('%squality: approximation factor %.6f, recall %.6f', chr(10), avg(af), avg(recall)) FROM pq""")
 def q_result_report(spark, sf_dir):
     index, base, queries = _ivf_index(spark, sf_dir)
-    approx = IVF.search(index, queries, N, NPROBE)
-    cmp = M.truth_compare(approx, exact.knn(base, queries, N))
+    row, approx, truth = M.throughput(lambda: IVF.search(index, queries, N, NPROBE), lambda: exact.knn(base, queries, N), queries, N, "ivfflat")
+    cmp = M.truth_compare(approx, truth)
     hits = IVF.range_search(index, queries, R, NPROBE)
-    ev = spark.createDataFrame([], "method string, average_af double, recall_at_n double, qps double, "
-                                   "ms_per_query double, truth_ms_per_query double")
-    lines = SINK.report_lines(cmp, hits, ev, {})
-    return lines.where("key >= 0").select(F.col("key").alias("qid"), F.col("value").alias("report"))
+    lines = SINK.report_lines(cmp, hits, row, {"N": N, "R": R, "nprobe": NPROBE}, timings=False)
+    return lines.select(F.col("key").alias("qid"), F.col("value").alias("report"))
 
 
-# P7 on the whole table: every query vector is also a coarse centroid (cid 100000 + qid) and one
-# cell is probed.  A query's nearest centroid is itself; as queries are not in the base, most of
-# those cells are empty, so those queries take the exact fallback and the rest the ADC answer.
-FALLBACK_CID0 = 100000
+# P7 on the whole table: the query vectors of the ten smallest possible ids are also coarse centroids
+# (cid 100000 + qid; their number doesn't grow) and one cell is probed.  Those queries' nearest centroid
+# is itself; as queries are not in the base, most of those cells are empty, so those queries take the
+# exact fallback and the rest the ADC answer.
+FALLBACK_CID0, FALLBACK_BELOW = 100000, 100
 _PQ_FALLBACK = f"""{O.SPLIT},
-{O.cent(extra=f"SELECT ({FALLBACK_CID0} + qid)::INTEGER AS cid, qv AS c FROM queries")},
+{O.cent(extra=f"SELECT ({FALLBACK_CID0} + qid)::INTEGER AS cid, qv AS c FROM queries WHERE qid < {FALLBACK_BELOW}")},
 {O.pq_ctes(PQ_M, 1 << PQ_NBITS, DIM // PQ_M, PQ_ITERS, 1, 1)},
 lonely AS (SELECT q.qid, q.qv FROM queries q WHERE NOT EXISTS (SELECT 1 FROM adc a WHERE a.qid = q.qid)),
 fbp AS (SELECT l.qid, b.id, {O.dist('l.qv', 'b.v')} AS dist FROM lonely l, base b)"""
@@ -636,7 +642,7 @@ SELECT * FROM ({O.topn('fbp', N)}) f""")
 def q_pq_fallback(spark, sf_dir):
     base, queries = fixture_split(spark, sf_dir)
     medians = K.label_medians(base)
-    extra = queries.select((F.lit(FALLBACK_CID0) + F.col("qid")).cast("int").alias("cid"), F.col("qv").alias("c"))
+    extra = queries.where(F.col("qid") < FALLBACK_BELOW).select((F.lit(FALLBACK_CID0) + F.col("qid")).cast("int").alias("cid"), F.col("qv").alias("c"))
     cents = K.centroid_matrix(medians.unionByName(extra))
     params = PQ.PQParams(m=PQ_M, nbits=PQ_NBITS, nprobe=1, seed=1, metric="l2", train_iters=PQ_ITERS)
     index = PQ.build_ivfpq(base, params, cents)

@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition,
                                     WriterCommitMessage)
 
+from knnspark.functions.distance import arrow_matrix
+
 SCHEMA = "id bigint, v array<double>"
 FORMAT = "knnvectors"
 
@@ -157,6 +159,15 @@ def _text_lines(r: _Range) -> list[bytes]:
         return data.splitlines()
 
 
+def _text_header(path: str, line: bytes) -> tuple[int, int]:
+    """Rows and numbers a row that a text file's first line declares."""
+    try:
+        n, d = map(int, line.split())
+    except ValueError:
+        raise ValueError(f"{path}: the first line must be \"n d\"") from None
+    return n, d
+
+
 def _batch(ids: np.ndarray, mat: np.ndarray) -> pa.RecordBatch:
     n, d = mat.shape
     offsets = pa.array(np.arange(0, (n + 1) * d, d, dtype=np.int32))
@@ -170,6 +181,7 @@ class VectorFileReader(DataSourceReader):
         self.kind = options.get("kind", "fvecs").lower()
         self.split_bytes = int(options.get("splitBytes", DEFAULT_SPLIT_BYTES))
         self.first_ids = json.loads(options["firstIds"]) if "firstIds" in options else None
+        self.dims = json.loads(options["dims"]) if "dims" in options else {}
         self.count_only = options.get("countLines", "false") == "true"
         if self.kind not in ("fvecs", "idx", "text"):
             raise ValueError(f"unknown vector file kind {self.kind!r}")
@@ -182,23 +194,22 @@ class VectorFileReader(DataSourceReader):
 
     def read(self, partition: _Range):
         r = partition
+        if r is None:  # a folder without files
+            return
         if self.kind == "text":
             lines = _text_lines(r)
+            body = [ln for ln in (lines[1:] if r.start == 0 else lines) if ln.strip()]  # every file begins with "n d"
             if self.count_only:
-                data_lines = sum(1 for k, line in enumerate(lines) if line.strip() and not (k == 0 and r.start == 0))
-                yield (int(r.index), data_lines)
+                declared = _text_header(r.path, lines[0] if lines else b"") if r.start == 0 else (-1, -1)
+                yield (int(r.index), len(body), r.path, *declared)
                 return
-            first = self.first_ids[r.index]
-            skip_header = r.start == 0          # every file starts with its own "n d" line
-            body = lines[1:] if skip_header else lines
-            rows = [(first + k, [float(x) for x in line.split()])
-                    for k, line in enumerate(ln for ln in body if ln.strip())]
-            if rows:
-                ids = np.array([i for i, _ in rows], dtype=np.int64)
-                dims = {len(v) for _, v in rows}
-                if len(dims) != 1:
-                    raise ValueError(f"{r.path}: rows of unequal length {sorted(dims)}")
-                yield _batch(ids, np.array([v for _, v in rows], dtype=np.float64))
+            if body:
+                dims = {len(line.split()) for line in body}
+                if dims != {self.dims[r.path]}:
+                    raise ValueError(f"{r.path}: rows of {sorted(dims)} numbers; its header says {self.dims[r.path]}")
+                mat = np.array(b" ".join(body).split(), dtype=np.float64).reshape(len(body), -1)
+                first = self.first_ids[r.index]
+                yield _batch(np.arange(first, first + len(body), dtype=np.int64), mat)
             return
         if r.count == 0:
             return
@@ -221,62 +232,81 @@ class _Written(WriterCommitMessage):
 
 
 class VectorFileWriter(DataSourceArrowWriter):
-    def __init__(self, options):
+    def __init__(self, options, overwrite: bool = False):
         self.path = options["path"].rstrip("/")
         self.kind = options.get("kind", "fvecs").lower()
         self.rows = int(options.get("rows", 0))
         self.cols = int(options.get("cols", 0))
+        self.overwrite = overwrite
 
     def write(self, iterator):
         from pyspark import TaskContext
 
+        if self.kind not in ("fvecs", "idx", "text"):
+            raise ValueError(f"cannot write kind {self.kind!r}")
         ctx = TaskContext.get()
         pid, attempt = ctx.partitionId(), ctx.attemptNumber()
-        chunks = []
-        for rb in iterator:
-            if rb.num_rows:
-                col = rb.column(rb.schema.get_field_index("v"))
-                n = len(col)
-                flat = col.flatten().to_numpy(zero_copy_only=False)
-                chunks.append(flat.reshape(n, -1) if n else flat.reshape(0, 0))
-        mat = np.vstack(chunks) if chunks else np.zeros((0, 0))
         filesystem, p = _fs(self.path)
         filesystem.create_dir(p, recursive=True)
         # Each attempt writes its own hidden file; the driver's commit renames the winners, so a
         # retried or speculative task never leaves a torn or duplicate part file.
         name = f"{p}/.part-{pid:05d}.{self.kind}.attempt-{attempt}-{ctx.taskAttemptId()}"
         final = f"{p}/part-{pid:05d}.{self.kind}"
-        if self.kind == "fvecs":
-            n, d = mat.shape
-            rec = np.empty((n, d + 1), dtype="<i4")
-            rec[:, 0] = d
-            rec[:, 1:] = mat.astype("<f4").view("<i4")
-            payload = rec.tobytes()
-        elif self.kind == "idx":
-            n, d = mat.shape
+        # Batches are written as they arrive.  A header that needs the number of rows is written when
+        # they are known: the body goes to a second hidden file, which is then copied behind it.
+        n, d = 0, 0
+        body = name if self.kind == "fvecs" else f"{name}.body"
+        with filesystem.open_output_stream(body) as f:
+            for rb in iterator:
+                if not rb.num_rows:
+                    continue
+                mat, _ = arrow_matrix(rb.column(rb.schema.get_field_index("v")), d or None)
+                n, d = n + len(mat), mat.shape[1]
+                f.write(self._encoded(mat))
+        if n == 0:
+            filesystem.delete_file(body)
+            return _Written("", "")
+        if self.kind != "fvecs":
             rows, cols = (self.rows, self.cols) if self.rows * self.cols == d else (1, d)
-            pix = np.clip(np.rint(mat), 0, 255).astype(np.uint8)
-            payload = struct.pack(">IIII", IDX_IMAGE_MAGIC, n, rows, cols) + pix.tobytes()
-        elif self.kind == "text":
-            n, d = mat.shape
-            body = "\n".join(" ".join(repr(float(x)) for x in row) for row in mat)
-            payload = (f"{n} {d}\n" + body + ("\n" if n else "")).encode()
-        else:
-            raise ValueError(f"cannot write kind {self.kind!r}")
-        with filesystem.open_output_stream(name) as f:
-            f.write(payload)
+            head = struct.pack(">IIII", IDX_IMAGE_MAGIC, n, rows, cols) if self.kind == "idx" else f"{n} {d}\n".encode()
+            with filesystem.open_output_stream(name) as out, filesystem.open_input_stream(body) as f:
+                out.write(head)
+                while block := f.read(1 << 20):
+                    out.write(block)
+            filesystem.delete_file(body)
         return _Written(name, final)
 
+    def _encoded(self, mat: np.ndarray) -> bytes:
+        if self.kind == "fvecs":
+            rec = np.empty((len(mat), mat.shape[1] + 1), dtype="<i4")
+            rec[:, 0] = mat.shape[1]
+            rec[:, 1:] = mat.astype("<f4").view("<i4")
+            return rec.tobytes()
+        if self.kind == "idx":
+            pixels = np.rint(mat)
+            if ((pixels < 0) | (pixels > 255)).any():
+                raise ValueError("an IDX image file holds values from 0 to 255 only")
+            return pixels.astype(np.uint8).tobytes()
+        return "".join(" ".join(map(repr, row)) + "\n" for row in mat.tolist()).encode()
+
     def commit(self, messages):
-        filesystem, _ = _fs(self.path)
-        for m in messages:
-            if m is not None:
-                filesystem.move(m.tmp, m.final)
+        from pyarrow import fs
+
+        filesystem, p = _fs(self.path)
+        written = [m for m in messages if m is not None and m.tmp]
+        if self.overwrite and filesystem.get_file_info(p).type == fs.FileType.Directory:
+            # Parts of an earlier write, and what its failed attempts left, are no part of this one.
+            ours = {m.tmp for m in written}
+            for info in filesystem.get_file_info(fs.FileSelector(p, recursive=False)):
+                if info.type == fs.FileType.File and info.path not in ours and info.base_name.lstrip(".").startswith("part-"):
+                    filesystem.delete_file(info.path)
+        for m in written:
+            filesystem.move(m.tmp, m.final)
 
     def abort(self, messages):
         filesystem, _ = _fs(self.path)
         for m in messages:
-            if m is not None:
+            if m is not None and m.tmp:
                 try:
                     filesystem.delete_file(m.tmp)
                 except Exception:  # noqa: BLE001
@@ -290,14 +320,14 @@ class VectorFileDataSource(DataSource):
 
     def schema(self):
         if self.options.get("countLines", "false") == "true":
-            return "range int, lines bigint"
+            return "range int, lines bigint, path string, n bigint, d int"
         return SCHEMA
 
     def reader(self, schema):
         return VectorFileReader(self.options)
 
     def writer(self, schema, overwrite):
-        return VectorFileWriter(self.options)
+        return VectorFileWriter(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -322,12 +352,18 @@ def read_vectors(spark: SparkSession, path: str, kind: str, split_bytes: int = D
     if kind != "text":
         return reader.load(path)
     counts = (reader.option("countLines", "true").load(path).orderBy("range").collect())
-    first, acc = [], 0
+    first, acc, held, declared = [], 0, {}, {}
     for row in counts:
         first.append(acc)
         acc += int(row["lines"])
+        held[row["path"]] = held.get(row["path"], 0) + int(row["lines"])
+        if row["n"] >= 0:
+            declared[row["path"]] = (int(row["n"]), int(row["d"]))
+    for file, n in held.items():
+        if file not in declared or declared[file][0] != n:
+            raise ValueError(f"{file}: its header declares {declared.get(file, (0,))[0]} rows; it holds {n}")
     return (spark.read.format(FORMAT).option("kind", "text").option("splitBytes", str(split_bytes))
-            .option("firstIds", json.dumps(first)).load(path))
+            .option("firstIds", json.dumps(first)).option("dims", json.dumps({f: d for f, (_, d) in declared.items()})).load(path))
 
 
 def write_vectors(df: DataFrame, path: str, kind: str, partitions: int | None = None,

@@ -23,32 +23,34 @@ def write_results(out_dir: str, neighbors: DataFrame, range_hits: DataFrame | No
 
 
 def report_lines(compare: DataFrame, range_hits: DataFrame | None, evaluation: DataFrame,
-                 config: dict[str, object]) -> DataFrame:
+                 config: dict[str, object], timings: bool = True) -> DataFrame:
     """``(key BIGINT, value STRING)``: header row (key -1) then one block per query.
 
+    The header has the configuration, the quality and (with ``timings``) the execution time.
     ``compare`` is ``(qid, rank, id, dist, true_dist)`` from ``evaluate.truth_compare``.
     """
-    cfg = "\n".join(f"  {k}: {v}" for k, v in config.items())
-    ev = evaluation.select(F.format_string(
-        "=== RESULTS OF %s ===\n===== CONFIGURATION =====\n%s\n===== EVALUATION =====\n"
-        "Average AF: %.6f\nRecall@N: %.6f\nQPS: %.4f\ntApproximateAverage: %.4f\ntTrueAverage: %.4f",
-        F.upper("method"), F.lit(cfg), "average_af", "recall_at_n", "qps", "ms_per_query", "truth_ms_per_query")
-        .alias("value")).select(F.lit(-1).cast("bigint").alias("key"), "value")
+    cfg = "".join(f"\n  {k} = {v}" for k, v in sorted(config.items()))
+    timing = F.format_string(
+        "\nspeed: %.4f queries a second, %.4f ms a query (exact %.4f ms), %.3f s in all",
+        "qps", "ms_per_query", "truth_ms_per_query", "search_seconds")
+    ev = evaluation.select(F.concat(
+        F.format_string("method: %s%s\nquality: approximation factor %.6f, recall %.6f", "method", F.lit(cfg), "average_af", "recall_at_n"),
+        F.coalesce(timing, F.lit("")) if timings else F.lit("")).alias("value")).select(F.lit(-1).cast("bigint").alias("key"), "value")
     nb = (compare.groupBy("qid")
           .agg(F.array_sort(F.collect_list(F.struct("rank", F.format_string(
-              "Nearest neighbor-%d: %d\ndistanceApproximate: %.6f\ndistanceTrue: %.6f",
+              "  %d. id %d at %.6f (exact: %.6f)",
               "rank", "id", "dist", "true_dist").alias("s")))).alias("_n"))
           .select("qid", F.concat_ws("\n", F.transform("_n", lambda x: x["s"])).alias("nb")))
     if range_hits is not None:
         rg = (range_hits.groupBy("qid")
               .agg(F.array_sort(F.collect_list(F.struct("dist", "id"))).alias("_r"))
               .select("qid", F.concat_ws("\n", F.transform(
-                  "_r", lambda x: F.format_string("R-near neighbor: %d (%.6f)", x["id"], x["dist"]))).alias("rg")))
+                  "_r", lambda x: F.format_string("  within radius: id %d at %.6f", x["id"], x["dist"]))).alias("rg")))
         nb = nb.join(rg, "qid", "left")
     else:
         nb = nb.withColumn("rg", F.lit(None).cast("string"))
     body = nb.select(F.col("qid").alias("key"), F.concat_ws(
-        "\n", F.lit("=" * 61), F.format_string("Query: %d", "qid"), "nb", "rg").alias("value"))
+        "\n", F.format_string("query %d", "qid"), "nb", "rg").alias("value"))
     return ev.unionByName(body)
 
 

@@ -39,6 +39,11 @@ def fixture_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return base, queries
 
 
+def whole_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of ``embeddings`` as a base set."""
+    return canonical(read_embeddings(spark, sf_dir))
+
+
 def vector_dim(df: DataFrame, vec_col: str = "v") -> int | None:
     """Dimension taken from one row (reads a single row group, not the table)."""
     row = df.select(F.size(vec_col).alias("d")).where(F.col("d") >= 0).first()

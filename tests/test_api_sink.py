@@ -37,9 +37,10 @@ def test_report_and_result_tables(spark, split, tmp_path):
     lines = sink.report_lines(run.compare, run.range_hits, run.evaluation, {"Algorithm": "ivfflat", "N": 3})
     sink.write_report(str(tmp_path / "report"), lines)
     text = "\n".join(r["value"] for r in spark.read.text(str(tmp_path / "report")).collect())
-    assert text.startswith("=== RESULTS OF IVFFLAT ===")
-    assert text.count("Query: ") == queries.count()
-    assert "Nearest neighbor-3:" in text and "distanceTrue:" in text
+    assert text.startswith("method: ivfflat\n  Algorithm = ivfflat\n  N = 3\nquality: ")
+    assert "queries a second" in text and " s in all" in text
+    assert text.count("\nquery ") == queries.count()
+    assert "  3. id " in text and "(exact: " in text
 
 
 @pytest.mark.parametrize("method,config", [
