@@ -1,11 +1,12 @@
 """Join of near duplicates by the Jaccard similarity of word 5-grams: chosen-path search, exact links.
 
-1. Every text becomes its set of shingles (hashes of ``words`` neighbouring words) and a sketch: the
-   set embedded as ``T`` MinHash tokens, two sets sharing each with a chance of their similarity.
-   Equal texts are one node from here on, with their number.
+1. Every text becomes its set of shingles (hashes of ``words`` neighbouring words), embedded as ``T``
+   MinHash tokens, two sets sharing each with a chance of their similarity.  Its sketch keeps 8 bits of
+   each.  Equal texts are one node from here on, with their number.
 2. Chosen paths: at the root of each run, some of the T places are sampled, and a node goes down one
-   branch for each, named by the place and its token there.  Sets that share the sampled token
-   meet in a bucket.  Small buckets are brute-forced on the sketches.  In a bucket of more than
+   branch for each, named by the place and its whole token there.  Sets that share the sampled token
+   meet in a bucket.  The first run goes before the others, so that what its leaders join (see below)
+   is closed to them.  Small buckets are brute-forced on the sketches.  In a bucket of more than
    ``LIMIT`` nodes, those close to its smallest node (the leader) are joined to it and take its label;
    a bucket with one label is done, as its nodes are connected (a family of near copies ends here, with
    a row a node).  Other large buckets are split again the same way, with places sampled anew for each
@@ -14,7 +15,7 @@
    ``DEPTH`` levels.
 3. Pairs whose sketches agree (with four standard deviations to spare) connect candidate
    components.  Inside each component, all pairs are compared exactly on whole sets, in blocks of
-   about ``BLOCK`` nodes; blocks give each node's sum of links and a spanning forest, never a row
+   about ``BLOCK`` nodes and ``BLOCK_SHINGLES`` shingles; blocks give each node's sum of links and a spanning forest, never a row
    for a pair.  So a pair that the search missed is still found if its component is.
 4. The components of the exact links are the classes.
 
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,8 @@ from knnspark.llm.components import components
 from knnspark.llm.words import BASE, WordHasher, mix
 
 WORDS, SIMILARITY = 5, 0.8
-T, LIMIT, DEPTH, BLOCK, RECALL = 128, 256, 3, 256, 0.9999
+T, LIMIT, DEPTH, RECALL = 128, 256, 3, 0.9999
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
 
 
 class Shingler:
@@ -71,13 +74,17 @@ class Shingler:
             out = out * np.uint64(BASE) + words[k:len(words) - n + 1 + k]
         return np.unique(mix(out))
 
-    def sketch(self, shingles: np.ndarray) -> np.ndarray:
-        """T MinHash tokens of 16 bits."""
+    def tokens(self, shingles: np.ndarray) -> np.ndarray:
+        """T MinHash tokens of 32 bits."""
         least = np.full(T, 0xFFFFFFFF, np.uint32)
         x = (shingles >> np.uint64(32)).astype(np.uint32)
         for at in range(0, len(x), 2048):
             np.minimum(least, (self.a * x[None, at:at + 2048] + self.b).min(axis=1), out=least)
-        return (mix(least.astype(np.uint64)) >> np.uint64(48)).astype(np.uint16)
+        return (mix(least.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
+
+    def sketch(self, shingles: np.ndarray) -> np.ndarray:
+        """8 bits of each token."""
+        return (self.tokens(shingles) & np.uint32(0xFF)).astype(np.uint8)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -86,17 +93,24 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"), "doc_id", text.alias("text"))
 
 
-def sketched(docs: DataFrame) -> DataFrame:
-    """(k1, k2, doc_id, n, sketch) of every row; n is the number of distinct shingles."""
+def sketched(docs: DataFrame, runs: int, similarity: float) -> DataFrame:
+    """(k1, k2, doc_id, n, sketch, paths) of every row: n is the number of distinct shingles, paths are
+    the branches of all runs' roots, run by run."""
+    roots = [(r, place) for r in range(1, 1 + runs) for place in sampled_places(r, similarity)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler.get()
         for batch in pieces(batches, 1024):
             sets = [shingler.shingles(t) for t in batch.column(3).to_pylist()]
+            tokens = np.stack([shingler.tokens(s) for s in sets]) if sets else np.zeros((0, T), np.uint32)
+            paths = np.stack([_branch(r, int(place), tokens[:, place]) for r, place in roots], axis=1)
+            offsets = pa.array(np.arange(0, paths.size + 1, len(roots), dtype=np.int32))
+            sketches = (tokens & np.uint32(0xFF)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array([len(s) for s in sets], pa.int32()),
-                 pa.array([shingler.sketch(s).tobytes() for s in sets], pa.binary())], names=["k1", "k2", "doc_id", "n", "sketch"])
+                [*batch.columns[:3], pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sketches], pa.binary()),
+                 pa.ListArray.from_arrays(offsets, pa.array(paths.ravel()))], names=["k1", "k2", "doc_id", "n", "sketch", "paths"])
 
-    return keyed(docs).mapInArrow(run, "k1 long, k2 long, doc_id long, n int, sketch binary")
+    return keyed(docs).mapInArrow(run, "k1 long, k2 long, doc_id long, n int, sketch binary, paths array<bigint>")
 
 
 def runs_for(recall: float, similarity: float, depth: int = DEPTH) -> int:
@@ -114,7 +128,7 @@ def sampled_places(node: int, similarity: float) -> np.ndarray:
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     values = column.to_pylist()
-    return np.frombuffer(b"".join(values), "<u2").reshape(len(values), T)
+    return np.frombuffer(b"".join(values), np.uint8).reshape(len(values), T)
 
 
 def _branch(node: int, place: int, tokens: np.ndarray) -> np.ndarray:
@@ -122,17 +136,17 @@ def _branch(node: int, place: int, tokens: np.ndarray) -> np.ndarray:
     return mix(mix(np.full(len(tokens), seed)) + tokens.astype(np.uint64)).view(np.int64)
 
 
-def _paths(rows: DataFrame, roots: list[int] | None, similarity: float) -> DataFrame:
-    """(path, k1, k2, label): the branches of each row's node (or of every root in ``roots``).
+def _paths(rows: DataFrame, similarity: float) -> DataFrame:
+    """(path, k1, k2, label): the branches of each row's node, by the sketch's 8 bits of the token.
 
-    ``rows``: (path, k1, k2, label, sketch), the path ignored for roots.
+    ``rows``: (path, k1, k2, label, sketch).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 8192):
             sketches, nodes = _matrix(batch.column(4)), batch.column(0).to_numpy()
             rest = [c.to_numpy() for c in batch.columns[1:4]]
-            groups = [(r, slice(None)) for r in roots] if roots is not None else [(int(p), nodes == p) for p in np.unique(nodes)]
-            for node, which in groups:
+            for node in np.unique(nodes).tolist():
+                which = nodes == node
                 for place in sampled_places(node, similarity):
                     path = _branch(node, int(place), sketches[which, place])
                     yield pa.RecordBatch.from_arrays([pa.array(path), *(pa.array(c[which]) for c in rest)],
@@ -168,11 +182,10 @@ def _led(large: DataFrame, similarity: float) -> DataFrame:
 
 
 class Forest:
-    """Union-find over the rows of one group, with the edges that joined two trees."""
+    """Union-find over the rows of one group."""
 
     def __init__(self, n: int):
         self.parent = list(range(n))
-        self.edges: list[tuple[int, int]] = []
 
     def root(self, a: int) -> int:
         parent = self.parent
@@ -186,7 +199,10 @@ class Forest:
             x, y = self.root(a), self.root(b)
             if x != y:
                 self.parent[max(x, y)] = min(x, y)
-                self.edges.append((a, b))
+
+    def stars(self) -> list[tuple[int, int]]:
+        """(row, first row of its tree) for all other rows of a tree."""
+        return [(a, r) for a in range(len(self.parent)) if (r := self.root(a)) != a]
 
 
 def _close(left: np.ndarray, right: np.ndarray | None, least: int) -> np.ndarray:
@@ -217,13 +233,14 @@ def _bucket_edges(members: DataFrame, similarity: float) -> DataFrame:
                 split = start + int((side[start:end] == 0).sum())
                 forest = Forest(end - start)
                 forest.link(_close(sketches[start:split], sketches[split:end] if split < end else None, least))
-                out += [(start + a, start + b) for a, b in forest.edges]
+                out += [(start + a, start + b) for a, b in forest.stars()]
             if out:
                 at = np.array(out)
                 cols = [keys[at[:, 0], 0], keys[at[:, 0], 1], keys[at[:, 1], 0], keys[at[:, 1], 1]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["a1", "a2", "b1", "b2"])
 
-    dealt = members.select("path", "part", "side", "k1", "k2", "sketch").repartition("path", "part").sortWithinPartitions("path", "part", "side")
+    dealt = members.select("path", "part", "side", "k1", "k2", "sketch").repartition("path", "part") \
+        .sortWithinPartitions("path", "part", "side", "k1", "k2")
     return dealt.mapInArrow(run, "a1 long, a2 long, b1 long, b2 long")
 
 
@@ -235,32 +252,44 @@ def _in_blocks(df: DataFrame, block: str, blocks: str) -> DataFrame:
         .withColumn("side", (F.col(block) > low).cast("int")).drop("__other")
 
 
-def candidate_edges(nodes: DataFrame, similarity: float, recall: float) -> DataFrame:
+def candidate_edges(nodes: DataFrame, similarity: float) -> DataFrame:
     """(a, b): pairs of nodes that connect every bucket's pairs of close sketches.
 
-    ``nodes``: (k1, k2, sketch), one row a node.
+    ``nodes``: (k1, k2, sketch, paths), one row a node.
     """
     def still_open(rows: DataFrame) -> DataFrame:
         sizes = rows.groupBy("path").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
         return rows.drop("size").join(sizes.where("size > 1 AND low < high").select("path", "size"), "path")
 
-    rows = nodes.select(F.lit(0).cast("long").alias("path"), "k1", "k2", F.col("k1").alias("label"), "sketch")
-    roots: list[int] | None = list(range(1, 1 + runs_for(recall, similarity)))
-    found = None
-    for level in range(1, DEPTH + 1):
-        members = written(still_open(_paths(rows, roots, similarity)).join(nodes, ["k1", "k2"]), f"paths-{level}")
-        small = members.where(F.col("size") <= LIMIT)
-        edges = _bucket_edges(small.withColumns({"part": F.lit(0).cast("long"), "side": F.lit(0)}), similarity)
-        found = edges if found is None else found.unionAll(edges)
-        large = members.where(F.col("size") > LIMIT)
-        if large.isEmpty():
-            break
-        rows, roots = written(_led(large, similarity), f"led-{level}"), None
-        found = found.unionAll(rows.where("b1 IS NOT NULL").select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), "b1", "b2"))
-    else:
+    found: list[DataFrame] = []
+
+    def descend(paths: DataFrame, name: str) -> DataFrame | None:
+        """Collects the edges of all buckets below ``paths``; the rows of large first buckets, with labels."""
+        first = None
+        for level in range(1, DEPTH + 1):
+            members = written(still_open(paths).join(nodes.select("k1", "k2", "sketch"), ["k1", "k2"]), f"paths-{name}-{level}")
+            small = members.where(F.col("size") <= LIMIT)
+            found.append(_bucket_edges(small.withColumns({"part": F.lit(0).cast("long"), "side": F.lit(0)}), similarity))
+            large = members.where(F.col("size") > LIMIT)
+            if large.isEmpty():
+                return first
+            rows = written(_led(large, similarity), f"led-{name}-{level}")
+            first = first or rows
+            found.append(rows.where("b1 IS NOT NULL").select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), "b1", "b2"))
+            paths = _paths(rows, similarity)
         dense = still_open(rows).withColumn("blocks", F.ceil(F.col("size") / LIMIT)).withColumn("block", F.pmod(F.xxhash64("k2"), F.col("blocks")))
-        found = found.unionAll(_bucket_edges(_in_blocks(dense, "block", "blocks"), similarity))
-    return found.select(F.struct(F.col("a1").alias("k1"), F.col("a2").alias("k2")).alias("a"),
+        found.append(_bucket_edges(_in_blocks(dense, "block", "blocks"), similarity))
+        return first
+
+    n_first = len(sampled_places(1, similarity))
+    led = descend(nodes.select(F.explode(F.slice("paths", 1, n_first)).alias("path"), "k1", "k2", F.col("k1").alias("label")), "first")
+    rest = nodes.select("k1", "k2", F.slice("paths", n_first + 1, F.size("paths")).alias("paths"), F.col("k1").alias("label"))
+    if led is not None:
+        labels = led.groupBy("k1", "k2").agg(F.min("label").alias("new"))
+        rest = rest.join(labels, ["k1", "k2"], "left").withColumn("label", F.coalesce("new", "label"))
+    descend(rest.select(F.explode("paths").alias("path"), "k1", "k2", "label"), "rest")
+    edges = reduce(DataFrame.unionAll, found)
+    return edges.select(F.struct(F.col("a1").alias("k1"), F.col("a2").alias("k2")).alias("a"),
                         F.struct(F.col("b1").alias("k1"), F.col("b2").alias("k2")).alias("b"))
 
 
@@ -279,10 +308,10 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     out = np.zeros((n, n), np.float32)
-    width = max(256, (1 << 23) // n)
-    for low in range(0, int(shared.sum()), width):
+    total, width = int(shared.sum()), max(256, (1 << 22) // n)
+    for low in range(0, total, width):
         a, b = np.searchsorted(column, [low, low + width])
-        dense = np.zeros((n, width), np.float32)
+        dense = np.zeros((n, min(width, total - low)), np.float32)
         dense[row[a:b], column[a:b] - low] = 1
         out += dense @ dense.T
     return out.astype(np.int64)
@@ -314,14 +343,13 @@ def exact_links(sets: DataFrame, similarity: float) -> DataFrame:
                 links = linked @ size[one]
                 forest = Forest(len(one))
                 forest.link(np.argwhere(np.triu(linked)))
-                edges = np.array(forest.edges, dtype=np.int64).reshape(-1, 2)
-                a = np.concatenate([one, one[edges[:, 0]]])
-                b = one[edges[:, 1]]
-                none = np.concatenate([np.ones(len(one), bool), np.zeros(len(edges), bool)])
-                other = [np.concatenate([np.zeros(len(one), np.int64), k[b]]) for k in (k1, k2)]
+                # A row for each node with a link: its sum, and the first node of its tree if that is another.
+                some = np.flatnonzero(links)
+                root = np.array([forest.root(int(a)) for a in some], dtype=np.int64)
+                other = one[root]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k1[a]), pa.array(k2[a]), pa.array(np.concatenate([links, np.zeros(len(edges), np.int64)])),
-                     *(pa.array(o, mask=none) for o in other)], names=["k1", "k2", "links", "b1", "b2"])
+                    [pa.array(k1[one[some]]), pa.array(k2[one[some]]), pa.array(links[some]),
+                     *(pa.array(k[other], mask=root == some) for k in (k1, k2))], names=["k1", "k2", "links", "b1", "b2"])
 
     dealt = sets.select("r1", "r2", "part", "side", "k1", "k2", "size", "shingles").repartition("r1", "r2", "part") \
         .sortWithinPartitions("r1", "r2", "part", "side", "k1", "k2")
@@ -346,15 +374,15 @@ def _with_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """(k1, k2, doc_id, class_id, class_key, n_links) of every row; (k1, k2) names the row's text."""
-    rows = written(sketched(docs), "shingle-sketches")
+    rows = written(sketched(docs, runs_for(recall, similarity), similarity), "shingle-sketches")
     nodes = written(rows.groupBy("k1", "k2").agg(F.count("*").alias("size"), F.min("doc_id").alias("rep_id"), F.first("n").alias("n"),
-                                                 F.first("sketch").alias("sketch")), "shingle-nodes")
-    edges = candidate_edges(nodes.where("n > 0").select("k1", "k2", "sketch"), similarity, recall)
-    groups = components(edges, "near-candidates")
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    chosen = groups.join(sizes, "root").select(
-        F.col("root.k1").alias("r1"), F.col("root.k2").alias("r2"), F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"), "blocks")
-    chosen = written(chosen.join(nodes.select("k1", "k2", "size", "rep_id"), ["k1", "k2"]), "near-chosen")
+                                                 F.first("sketch").alias("sketch"), F.first("paths").alias("paths")), "shingle-nodes")
+    edges = candidate_edges(nodes.where("n > 0").select("k1", "k2", "sketch", "paths"), similarity)
+    groups = components(edges, "near-candidates").select(
+        F.col("root.k1").alias("r1"), F.col("root.k2").alias("r2"), F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"))
+    members = groups.join(nodes.select("k1", "k2", "size", "rep_id", "n"), ["k1", "k2"])
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks")
+    chosen = written(members.join(members.groupBy("r1", "r2").agg(blocks), ["r1", "r2"]).drop("n"), "near-chosen")
     sets = _with_sets(docs, chosen).withColumn("block", F.pmod(F.xxhash64("k2"), F.col("blocks")))
     found = written(exact_links(_in_blocks(sets, "block", "blocks"), similarity), "near-links")
     links = found.groupBy("k1", "k2").agg(F.sum("links").alias("links"))
