@@ -39,6 +39,7 @@ def vector_blocks(df: DataFrame, key: str, vec: str, dim: int, extra: tuple[str,
         if first.num_rows == 0:
             return []
         mat, _ = arrow_matrix(first.column(1), dim)
+        check_distinct(first, [first.column_names[0]])
         return [(first.column(0).to_numpy().astype(np.int64), np.ascontiguousarray(mat),
                  {c: first.column(c).to_numpy(zero_copy_only=False) for c in extra})]
     del first
@@ -57,6 +58,7 @@ def vector_blocks(df: DataFrame, key: str, vec: str, dim: int, extra: tuple[str,
             return
         if tbl.num_rows == 0:
             return
+        check_distinct(tbl, [tbl.column_names[0]])  # equal keys are in one block
         keys = tbl.column(0).to_numpy().astype(np.int64)
         mat, _ = arrow_matrix(tbl.column(1), dim)
         extras = {c: tbl.column(c).to_numpy(zero_copy_only=False) for c in extra}
@@ -67,6 +69,13 @@ def vector_blocks(df: DataFrame, key: str, vec: str, dim: int, extra: tuple[str,
     return out
 
 
+def check_distinct(tbl, keys: list[str]) -> None:
+    """Raise if a query id is there more than once: its answers would be mixed up."""
+    n = tbl.group_by(keys).aggregate([]).num_rows
+    if n != tbl.num_rows:
+        raise ValueError(f"{tbl.num_rows - n} query rows repeat the id of another")
+
+
 def query_blocks(queries: DataFrame, dim: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                  qid: str = "qid", qv: str = "qv") -> list[tuple[np.ndarray, np.ndarray]]:
     """Valid queries (length ``dim``) as broadcastable ``(qids, Q)`` blocks.

@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, smallest_k
+from knnspark.functions.distance import arrow_matrix, metric_name, pairwise
+from knnspark.functions.hashing import md5_uniform
 from knnspark.operators import cluster, exact
 from knnspark.operators.blocks import check_broadcast
 from knnspark.operators.exact import RANGE_SCHEMA, top_n
-from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn, match_chunks,
+from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn,
                                      run_blocks)
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
@@ -66,6 +67,13 @@ class PQIndex:
     C: np.ndarray                 # coarse centroids (k x d)
     codebooks: np.ndarray         # (M, 2^nbits, d/M)
     codes: DataFrame              # (cid, id, codes)
+    filled: list[int] | None = None
+
+    def filled_cells(self) -> list[int]:
+        """The cells that hold a point (k at most); the codes are read for it once."""
+        if self.filled is None:
+            self.filled = sorted(r["cid"] for r in self.codes.select("cid").distinct().collect())
+        return self.filled
 
     @property
     def dim(self) -> int:
@@ -93,19 +101,17 @@ def residual_parts(points: DataFrame, cids, C, m: int, metric: str) -> DataFrame
 # --------------------------------------------------------------------------- P2 / P3
 
 
-def _race_kernel(books: dict[int, np.ndarray], ds: int, seed: int, rnd: int):
+def _race_kernel(books: dict[int, np.ndarray], ds: int):
     """One k-means++ round on a batch: per part, the point with the smallest race key
-    ``-ln(u)/d2`` (``d2`` = squared L2 to the nearest chosen centre, ``u`` from
-    ``md5(seed:m:round:id)`` as in ``functions.hashing.md5_uniform``); only those local winners
-    leave the task."""
-    import hashlib
-
+    ``-ln(u)/d2`` (``d2`` = squared L2 to the nearest chosen centre, ``u`` a column from
+    ``md5(seed:m:round:id)``); only those local winners leave the task."""
     def run(batches):
         for rb in batches:
             if rb.num_rows == 0:
                 continue
             ms = rb.column("m").to_numpy(zero_copy_only=False)
             ids = rb.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+            uniform = rb.column("u").to_numpy(zero_copy_only=False)
             X, _ = arrow_matrix(rb.column("sub"), ds)
             out_m, out_id, out_key, out_rows = [], [], [], []
             for mm in np.unique(ms):
@@ -117,8 +123,7 @@ def _race_kernel(books: dict[int, np.ndarray], ds: int, seed: int, rnd: int):
                 if not keep.any():
                     continue
                 rows, d2 = rows[keep], d2[keep]
-                hexes = [hashlib.md5(f"{seed}:{int(mm)}:{rnd}:{int(i)}".encode()).hexdigest()[:13] for i in ids[rows]]
-                u = (np.array([int(h, 16) for h in hexes], dtype=np.float64) + 0.5) / float(1 << 52)
+                u = uniform[rows]
                 key = np.where(np.isinf(d2), -np.log(u), -np.log(u) / d2)
                 best = np.lexsort((ids[rows], key))[0]
                 out_m.append(int(mm))
@@ -148,8 +153,9 @@ def seed_codebooks(parts: DataFrame, M: int, ksub: int, ds: int, seed: int) -> d
             break
         mats = {mm: np.vstack(b) for mm, b in books.items() if b}
         picks = (parts.where(F.col("m").isin(sorted(active)))
-                 .select("m", "id", "sub")
-                 .mapInArrow(_race_kernel(mats, ds, seed, r), schema)
+                 .select("m", "id", "sub", md5_uniform(F.concat_ws(":", F.lit(str(seed)), F.col("m").cast("string"), F.lit(str(r)),
+                                                                   F.col("id").cast("string"))).alias("u"))
+                 .mapInArrow(_race_kernel(mats, ds), schema)
                  .groupBy("m").agg(F.min_by(F.col("sub"), F.struct("key", "id")).alias("sub"))
                  .collect())
         got = set()
@@ -273,17 +279,14 @@ def _random_points(parts: DataFrame, empties: list[tuple[int, int]], seed: int,
 def _encode_kernel(cids, C, books, metric):
     check_broadcast(C.nbytes + books.nbytes, "centroids and codebooks")
     M, ksub, ds = books.shape
-    pos = {int(c): i for i, c in enumerate(cids)}
 
     def run(batches):
         for rb in batches:
             if rb.num_rows == 0:
                 continue
             X, _ = arrow_matrix(rb.column("v"), C.shape[1])
-            D = pairwise(X, C, metric)
-            _, near = smallest_k(D, np.broadcast_to(cids.astype(np.int64), D.shape), 1)
-            cid = near[:, 0].astype(np.int32)
-            R = X - C[[pos[int(c)] for c in cid]]
+            cid = cluster.nearest_cid(X, cids, C, metric).astype(np.int32)
+            R = X - C[np.searchsorted(cids, cid)]
             codes = np.empty((len(X), M), dtype=np.int16)
             for mm in range(M):
                 sub = R[:, mm * ds:(mm + 1) * ds]
@@ -340,7 +343,6 @@ def codebook_table(spark, index: PQIndex) -> DataFrame:
 def _lut_kernel(cids, C, books):
     check_broadcast(C.nbytes + books.nbytes, "centroids and codebooks")
     M, ksub, ds = books.shape
-    pos = {int(c): i for i, c in enumerate(cids)}
 
     def run(batches):
         for rb in batches:
@@ -348,7 +350,7 @@ def _lut_kernel(cids, C, books):
                 continue
             Q, _ = arrow_matrix(rb.column("qv"), C.shape[1])
             cid = rb.column("cid").to_numpy(zero_copy_only=False)
-            R = Q - C[[pos[int(c)] for c in cid]]
+            R = Q - C[np.searchsorted(cids, cid)]
             lut = np.empty((len(Q), M * ksub))
             for mm in range(M):
                 lut[:, mm * ksub:(mm + 1) * ksub] = pairwise(R[:, mm * ds:(mm + 1) * ds], books[mm], "l2", squared=True)
@@ -366,35 +368,69 @@ def lookup_tables(index: PQIndex, queries: DataFrame) -> DataFrame:
                                                     "qid bigint, cid int, lut array<double>")
 
 
-def _adc_payload(tbl: pa.Table, M: int, ksub: int):
-    """Broadcast value from collected ``(qid, cid, lut)`` rows, sorted by cell."""
+def _adc_payload(tbl: pa.Table, index: PQIndex):
+    """Broadcast value from collected ``(qid, prank, cid, qv)`` rows: each query once, probes by cell."""
     qid = tbl.column("qid").to_numpy()
-    uq, inv = np.unique(qid, return_inverse=True)
+    uq, first, inv = np.unique(qid, return_index=True, return_inverse=True)
+    Q, _ = arrow_matrix(tbl.column("qv").take(pa.array(first)))
     cell = tbl.column("cid").to_numpy().astype(np.int64)
-    lut = tbl.column("lut").combine_chunks() if isinstance(tbl.column("lut"), pa.ChunkedArray) else tbl.column("lut")
-    L = lut.flatten().to_numpy(zero_copy_only=False).reshape(len(cell), M, ksub)
     order = np.argsort(cell, kind="stable")
-    return uq.astype(np.int64), cell[order], inv[order], np.ascontiguousarray(L[order])
+    return uq.astype(np.int64), np.ascontiguousarray(Q), cell[order], inv[order], index.cids, index.C, index.codebooks
+
+
+# Tables of recently met cells that a task keeps (a cell's table: 8 x M x 2^nbits bytes a probing query).
+_TABLE_BYTES = 64 << 20
+
+
+class _CellTables:
+    """P5 inside the task: the tables of the queries that probe a cell, built when the cell is met."""
+
+    def __init__(self, payload):
+        self.qids, self.Q, self.cells, self.owners, self.cids, self.C, self.books = payload
+        self.held: dict[tuple[int, int], np.ndarray] = {}
+        M, ksub, _ = self.books.shape
+        self.step = max(1, _TABLE_BYTES // 4 // (8 * M * ksub))
+
+    def of(self, cell: int):
+        """(queries, their tables (queries, M, 2^nbits)) in pieces of bounded size."""
+        low, high = np.searchsorted(self.cells, [cell, cell + 1])
+        M, ksub, ds = self.books.shape
+        for at in range(low, high, self.step):
+            owners = self.owners[at:min(at + self.step, high)]
+            table = self.held.get((cell, at))
+            if table is None:
+                R = self.Q[owners] - self.C[np.searchsorted(self.cids, cell)]
+                table = np.stack([pairwise(R[:, m * ds:(m + 1) * ds], self.books[m], "l2", squared=True) for m in range(M)], axis=1)
+                if sum(t.nbytes for t in self.held.values()) + table.nbytes > _TABLE_BYTES:
+                    self.held.clear()
+                self.held[cell, at] = table
+            yield owners, table
 
 
-def _adc_kernel(M: int, n: int, radius: float | None):
+def _adc_kernel(n: int, radius: float | None):
     def kernel(bc):
         def run(batches):
-            qids, cells, owners, L = bc.value
+            tables = _CellTables(bc.value)
+            qids = tables.qids
+            M = tables.books.shape[0]
             state = GroupTopN(n) if n else None
-            mm = np.arange(M)[None, :]
             for rb in batches:
                 if rb.num_rows == 0:
                     continue
                 cell = rb.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 ids = rb.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
                 codes = rb.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, M)
-                for rows, pos in match_chunks(cells, cell):
-                    dist = np.empty(len(rows))
-                    for s0 in range(0, len(rows), 1 << 16):
-                        r, p_ = rows[s0:s0 + (1 << 16)], pos[s0:s0 + (1 << 16)]
-                        dist[s0:s0 + len(r)] = np.sqrt(L[p_[:, None], mm, codes[r]].sum(axis=1))
-                    yield from emit_scored(state, qids, owners[pos], ids[rows], dist, radius)
+                for c in np.unique(cell).tolist():
+                    rows = np.flatnonzero(cell == c)
+                    for owners, table in tables.of(c):
+                        step = max(1, (1 << 20) // len(owners))
+                        for at in range(0, len(rows), step):
+                            r = rows[at:at + step]
+                            dist = np.zeros((len(owners), len(r)))
+                            for m in range(M):
+                                dist += table[:, m, codes[r, m]]
+                            yield from emit_scored(state, qids, np.repeat(owners, len(r)), np.tile(ids[r], len(owners)),
+                                                   np.sqrt(dist).ravel(), radius)
             yield from finish_topn(state, qids)
         return run
     return kernel
@@ -402,31 +438,33 @@ def _adc_kernel(M: int, n: int, radius: float | None):
 
 def adc_scan(index: PQIndex, queries: DataFrame, n: int, radius: float | None,
              max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame | None:
-    """P5 + P6: the query LUTs are computed by Spark and broadcast in size-checked blocks; one
-    pass over the codes table scores every point of a probed cell with ``sqrt(sum_m lut[m][code_m])``
-    and keeps a local top-N (or the radius hits)."""
+    """P5 + P6: the queries and their probes are broadcast in size-checked blocks (vectors, not tables:
+    10,000 queries with 5 probes fit one block); one pass over the codes builds a cell's tables when it
+    meets the cell, scores every point with ``sqrt(sum_m lut[m][code_m])`` and keeps a local top-N (or
+    the radius hits)."""
     p = index.params
-    tables = collect_blocks(queries, lambda q: lookup_tables(index, q), p.nprobe, 8 * p.m * p.ksub + 64, max_bytes)
-    payloads = [_adc_payload(t, p.m, p.ksub) for t in tables]
+    check_broadcast(index.C.nbytes + index.codebooks.nbytes, "centroids and codebooks")
+    probing = lambda q: cluster.nearest_probes(q, (index.cids, index.C), p.nprobe, p.metric)
+    tables = collect_blocks(queries, probing, p.nprobe, 8 * index.dim + 64, max_bytes)
+    payloads = [_adc_payload(t, index) for t in tables]
     if not payloads:
         return None
     # only probed cells are read (partition pruning when the codes are stored by cid)
-    probed = sorted({int(c) for pl in payloads for c in np.unique(pl[1])})
+    probed = sorted({int(c) for pl in payloads for c in np.unique(pl[2])})
     codes = index.codes.where(F.col("cid").isin(probed))
-    return run_blocks(codes, ["cid", "id", "codes"], payloads, _adc_kernel(p.m, n, radius), PAIR_SCHEMA, n)
+    return run_blocks(codes, ["cid", "id", "codes"], payloads, _adc_kernel(n, radius), PAIR_SCHEMA, n)
 
 
 def _with_fallback(index: PQIndex, base: DataFrame, queries: DataFrame, n: int | None,
                    radius: float | None) -> DataFrame:
     """Queries whose probed cells are all empty get an exact answer with the run's metric.
 
-    "No candidate" is decided from the probes and the per-cell counts of the codes table (a small
-    aggregate), not from the candidate pairs themselves.
+    "No candidate" is decided from the probes and the index's filled cells, found once, not from the
+    candidate pairs themselves.
     """
     probes = cluster.nearest_probes(queries, (index.cids, index.C), index.params.nprobe, index.params.metric,
                                     carry=())
-    filled = index.codes.groupBy("cid").agg(F.count(F.lit(1)).alias("n"))
-    served = probes.join(F.broadcast(filled), "cid").select("qid").distinct()
+    served = probes.where(F.col("cid").isin(index.filled_cells())).select("qid").distinct()
     lonely = queries.where(F.size("qv") == index.dim).join(served, "qid", "left_anti")
     if n is not None:
         return exact.knn(base, lonely, n, index.params.metric)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knnspark.operators.blocks import union_all
+from knnspark.operators.blocks import check_distinct, union_all
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bound, scan_source
 
 PAIR_SCHEMA = "qid bigint, id bigint, dist double, top boolean, hit boolean"
@@ -175,7 +175,9 @@ def collect_blocks(queries: DataFrame, make: Callable[[DataFrame], DataFrame], r
     max_bytes = broadcast_bound(max_bytes)
     cap = max(1, max_bytes // max(row_bytes, 1))
     first = make(queries).limit(cap + 1).toArrow()
+    keys = ["qid", *(c for c in ("t", "prank") if c in first.column_names)]
     if first.num_rows <= cap:
+        check_distinct(first, keys)
         return [first] if first.num_rows else []
     del first
     nq = queries.count()
@@ -191,6 +193,7 @@ def collect_blocks(queries: DataFrame, make: Callable[[DataFrame], DataFrame], r
             for h in range(2):
                 take(part.where(F.pmod(F.xxhash64("qid", F.lit(level)), F.lit(2)) == h), level + 1)
         elif tbl.num_rows:
+            check_distinct(tbl, keys)
             out.append(tbl)
 
     for b in range(nblocks):

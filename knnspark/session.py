@@ -116,6 +116,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="knnspark-ckpt-", dir="/tmp")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -123,3 +123,12 @@ def test_full_silhouette_in_blocks_equals_one_block(spark, vectors):
     assigned = cluster.assign(_base(spark, vectors), cents, carry=("v",))
     order = lambda df: sorted((r.cid is None, r.cid, r.n, round(r.silhouette, 9)) for r in df.collect())
     assert order(cluster.silhouette_full(None, assigned, block=13)) == order(cluster.silhouette_full(None, assigned))
+
+
+@pytest.mark.parametrize("method", CONFIGS)
+def test_a_repeated_query_id_raises(spark, vectors, method):
+    cents = cluster.centroids_frame(spark, np.arange(4, dtype=np.int32), vectors[:4])
+    index = api.build(method, _base(spark, vectors), CONFIGS[method], cents if method.startswith("ivf") else None)
+    queries = _queries(spark, vectors[:5]).unionAll(_queries(spark, vectors[9:10]))
+    with pytest.raises(Exception, match="repeat"):
+        api.search(index, queries, 3)[0].collect()
