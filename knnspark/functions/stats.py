@@ -6,14 +6,14 @@ few values remain around the middle ranks, and only those are sorted (see its do
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MEDIAN_ACCURACY = 10_000          # sketch size of the bracket passes (Spark's usual setting)
 MEDIAN_MAX_COLLECT = 100_000      # most values of one group ever gathered into one array
-MAX_BROADCAST_GROUPS = 200_000    # bracket state per group is broadcast
 _NARROW_QUANTILES = 1_000
-_MAX_PASSES = 8
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out: str = "median",
@@ -21,128 +21,81 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out: str
                  side_sum: str | None = None, side_out: dict | None = None) -> DataFrame:
     """Exact per-group median of ``value_col`` -> ``(*group_cols, out)``; nulls are ignored.
 
-    No group is ever buffered whole:
+    Any number of groups of any size: the state of the search is a table (a row for each group) that the
+    passes join, and no group is ever buffered whole:
 
     1. one aggregate gives each group's count and a bracket ``[lo, hi]`` around the median ranks
-       (``percentile_approx``, rank error <= n/accuracy);
-    2. a group of at most ``max_collect`` values is finished directly; a larger one alternates
-       a counting pass (values below / inside the bracket, over the whole group) with a narrowing
-       pass (1,000 quantiles of the values inside the bracket, so ~500x narrower each time) until
-       at most ``max_collect`` values remain inside, or the bracket is a single value;
-    3. the values inside each final bracket are sorted per group and the one or two middle ranks
-       are read (mean of the two middle values for an even count).
-
-    Only per-group bracket state (a few numbers) goes through the driver, broadcast back to the
-    passes; every pass is a partial aggregation before its shuffle.
-
-    ``side_sum`` names a numeric column of ``df`` summed per group in the first pass (so a caller
-    gets e.g. a change count without another job); the sums land in ``side_out[group key]``.
+       (``percentile_approx``, rank error <= n/accuracy; everything for groups of at most
+       ``max_collect`` values);
+    2. while a bracket of a larger group is open, a counting pass gives the values below and inside it,
+       those equal to its ends and its next values inwards.  Ends that the ranks are past are dropped,
+       so every pass narrows; a missed bracket goes back to the one before it with a wider margin.  A
+       second pass over what is inside narrows it by 1,000 quantiles;
+    3. a bracket of one or two distinct values gives the median from its counts; the others hold at most
+       ``max_collect`` values by then, which are sorted and read at the one or two middle ranks.
+
+    ``side_sum`` names a numeric column of ``df`` that the first pass also sums, into ``side_out["sum"]``.
     """
-    spark = df.sparkSession
     side = [F.col(side_sum).alias("_side")] if side_sum else []
     src = df.select(*group_cols, F.col(value_col).cast("double").alias("_x"), *side).where(F.col("_x").isNotNull())
     vals = src.select(*group_cols, "_x")
+    x, n, below, inside = F.col("_x"), F.col("_n"), F.col("_below"), F.col("_inside")
+    k1, k2 = F.floor((n + 1) / 2), F.floor(n / 2) + 1
     eps = 4.0 / accuracy
-    side_agg = [F.sum("_side").alias("_side")] if side_sum else []
-    first = (src.groupBy(*group_cols)
-             .agg(F.count(F.lit(1)).alias("_n"),
-                  F.percentile_approx("_x", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_b"),
-                  *side_agg)
-             .limit(MAX_BROADCAST_GROUPS + 1).collect())
+    state = src.groupBy(*group_cols).agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_x", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_b"),
+        *([F.sum("_side").alias("_side")] if side_sum else [])).checkpoint(eager=True)
     if side_sum and side_out is not None:
-        for r in first:
-            side_out[tuple(r[c] for c in group_cols)] = r["_side"]
-    if len(first) > MAX_BROADCAST_GROUPS:
-        raise MemoryError("too many median groups for a broadcast bracket table")
-    state = []
-    for r in first:
-        n = int(r["_n"])
-        big = n > max_collect
-        state.append({"key": tuple(r[c] for c in group_cols), "n": n, "k1": (n + 1) // 2, "k2": n // 2 + 1,
-                      "lo": float(r["_b"][0]) if big else float("-inf"),
-                      "hi": float(r["_b"][1]) if big else float("inf"),
-                      "below": 0, "inside": n, "big": big, "prev": (float("-inf"), float("inf"))})
-    key_schema = [f for f in vals.schema.fields if f.name in group_cols]
-
-    def table(rows, extra):
-        from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-
-        fields = list(key_schema) + [StructField(c, LongType() if c in ("_below", "_k1", "_k2") else DoubleType())
-                                     for c in extra]
-        data = [tuple(r["key"]) + tuple(r[c.lstrip("_")] for c in extra) for r in rows]
-        return F.broadcast(spark.createDataFrame(data, StructType(fields)))
-
-    big = [st for st in state if st["big"]]
-    for _ in range(_MAX_PASSES):
-        if not big:
-            break
-        counts = (vals.join(table(big, ["_lo", "_hi"]), group_cols).groupBy(*group_cols)
-                  .agg(F.sum(F.when(F.col("_x") < F.col("_lo"), 1).otherwise(0)).alias("below"),
-                       F.sum(F.when((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")), 1)
-                             .otherwise(0)).alias("inside")).collect())
-        by_key = {tuple(r[c] for c in group_cols): r for r in counts}
-        narrow = []
-        for st in big:
-            c = by_key[st["key"]]
-            st["below"], st["inside"] = int(c["below"]), int(c["inside"])
-            if not (st["below"] < st["k1"] and st["k2"] <= st["below"] + st["inside"]):
-                st["lo"], st["hi"] = st["prev"]          # bracket missed the ranks: step back
-                narrow.append(st)
-            elif st["lo"] == st["hi"] or st["inside"] <= max_collect:
-                st["big"] = False                       # final bracket
-            else:
-                narrow.append(st)
-        if not narrow:
-            big = []
-            break
+        side_out["sum"] = state.agg(F.sum("_side")).first()[0]
+    least, most = F.lit(float("-inf")), F.lit(float("inf"))
+    small = n <= max_collect
+    # _p*: the bracket before, for a miss; _m: margin in quantiles.
+    state = state.select(
+        *group_cols, "_n", F.when(small, least).otherwise(F.col("_b")[0]).alias("_lo"), F.when(small, most).otherwise(F.col("_b")[1]).alias("_hi"),
+        least.alias("_plo"), most.alias("_phi"), F.lit(3).alias("_m"), F.lit(0).cast("bigint").alias("_below"), n.alias("_inside"))
+    closed = [state.where(small).select(*group_cols, "_lo", "_hi", k1.alias("_k1"), k2.alias("_k2"))]
+    known: list[DataFrame] = []
+    todo = state.where(~small)
+    while not todo.isEmpty():
+        lo, hi = F.col("_lo"), F.col("_hi")
+        within = (x >= lo) & (x <= hi)
+        seen = vals.join(todo.select(*group_cols, "_lo", "_hi"), group_cols).groupBy(*group_cols).agg(
+            F.count(F.when(x < lo, 1)).alias("_below"), F.count(F.when(within, 1)).alias("_inside"),
+            F.count(F.when(x == lo, 1)).alias("_at_lo"), F.count(F.when(x == hi, 1)).alias("_at_hi"),
+            F.min(F.when(within & (x > lo), x)).alias("_next"), F.max(F.when(within & (x < hi), x)).alias("_last"))
+        now = todo.drop("_below", "_inside").join(seen, group_cols)
+        hit = (below < k1) & (k2 <= below + inside)
+        # Past the ties at an end: leave them out.
+        up, down = hit & (k1 > below + F.col("_at_lo")), hit & (k2 <= below + inside - F.col("_at_hi"))
+        now = now.withColumns({
+            "_hit": hit, "_two": hit & ((lo == hi) | (F.col("_next") == hi)),
+            "_v1": F.when(k1 <= below + F.col("_at_lo"), lo).otherwise(hi), "_v2": F.when(k2 <= below + F.col("_at_lo"), lo).otherwise(hi),
+            "_nlo": F.when(up, F.col("_next")).otherwise(lo), "_nhi": F.when(down, F.col("_last")).otherwise(hi),
+            "_nbelow": below + F.when(up, F.col("_at_lo")).otherwise(0),
+            "_ninside": inside - F.when(up, F.col("_at_lo")).otherwise(0) - F.when(down, F.col("_at_hi")).otherwise(0)}).checkpoint(eager=True)
+        known.append(now.where("_two").select(*group_cols, ((F.col("_v1") + F.col("_v2")) / 2.0).alias(out)))
+        ends = (F.col("_ninside") <= max_collect) & F.col("_hit") & ~F.col("_two")
+        closed.append(now.where(ends).select(*group_cols, F.col("_nlo").alias("_lo"), F.col("_nhi").alias("_hi"),
+                                             (k1 - F.col("_nbelow")).alias("_k1"), (k2 - F.col("_nbelow")).alias("_k2")))
+        open_ = now.where(~F.col("_two") & ~ends)
+        missed = open_.where(~F.col("_hit")).select(
+            *group_cols, "_n", F.col("_plo").alias("_lo"), F.col("_phi").alias("_hi"), "_plo", "_phi", (F.col("_m") * 10).alias("_m"), "_below", "_inside")
+        held = open_.where("_hit").select(*group_cols, "_n", F.col("_nlo").alias("_lo"), F.col("_nhi").alias("_hi"), "_m",
+                                          F.col("_nbelow").alias("_below"), F.col("_ninside").alias("_inside"))
         qs = [i / _NARROW_QUANTILES for i in range(_NARROW_QUANTILES + 1)]
-        marks = (vals.join(table(narrow, ["_lo", "_hi"]), group_cols)
-                 .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
-                 .groupBy(*group_cols).agg(F.percentile_approx("_x", qs, 10 * _NARROW_QUANTILES).alias("_q"))
-                 .collect())
-        by_key = {tuple(r[c] for c in group_cols): list(r["_q"]) for r in marks}
-        for st in narrow:
-            q = by_key[st["key"]]
-            if st["prev"] == (st["lo"], st["hi"]) and st["inside"] == st["n"]:
-                st["below"] = 0
-            inside = max(st["inside"], 1)
-            i = max(0, int((st["k1"] - st["below"] - 1) / inside * _NARROW_QUANTILES) - 3)
-            j = min(_NARROW_QUANTILES, int((st["k2"] - st["below"]) / inside * _NARROW_QUANTILES) + 3)
-            st["prev"] = (st["lo"], st["hi"])
-            st["lo"], st["hi"] = float(q[i]), float(q[j])
-        big = narrow
-    if big:
-        raise RuntimeError("median brackets did not converge")
-
-    single = [st for st in state if st["lo"] == st["hi"] and st["inside"] > max_collect]
-    rest = [st for st in state if not (st["lo"] == st["hi"] and st["inside"] > max_collect)]
-    for st in rest:
-        st["k1"], st["k2"] = st["k1"] - st["below"], st["k2"] - st["below"]
-    parts = []
-    if rest:
-        br = table(rest, ["_lo", "_hi", "_k1", "_k2"])
-        inner = (vals.join(br, group_cols)
-                 .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
-                 .groupBy(*group_cols)
-                 .agg(F.first("_k1").alias("_k1"), F.first("_k2").alias("_k2"),
-                      F.array_sort(F.collect_list("_x")).alias("_in")))
-        v1 = F.try_element_at("_in", F.col("_k1").cast("int"))
-        v2 = F.try_element_at("_in", F.col("_k2").cast("int"))
-        med = F.when(v1.isNull() | v2.isNull(), F.raise_error(F.lit("median bracket missed"))).otherwise(
-            (v1 + v2) / 2.0)
-        parts.append(inner.select(*group_cols, med.cast("double").alias(out)))
-    if single:                                          # the middle ranks lie in a run of one value
-        for st in single:
-            st["m"] = st["lo"]
-        from pyspark.sql.types import DoubleType, StructField, StructType
-
-        data = [tuple(st["key"]) + (st["m"],) for st in single]
-        parts.append(spark.createDataFrame(data, StructType(list(key_schema) + [StructField(out, DoubleType())])))
-    if not parts:
-        from pyspark.sql.types import DoubleType, StructField, StructType
-
-        return spark.createDataFrame([], StructType(list(key_schema) + [StructField(out, DoubleType())]))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        marks = vals.join(held.select(*group_cols, "_lo", "_hi"), group_cols).where(within).groupBy(*group_cols).agg(
+            F.percentile_approx("_x", qs, 10 * _NARROW_QUANTILES).alias("_q"))
+        low = F.greatest(F.floor((k1 - below - 1) / inside * _NARROW_QUANTILES) - F.col("_m"), F.lit(0)).cast("int")
+        high = F.least(F.ceil((k2 - below) / inside * _NARROW_QUANTILES) + F.col("_m"), F.lit(_NARROW_QUANTILES)).cast("int")
+        narrower = held.join(marks, group_cols).select(
+            *group_cols, "_n", F.get("_q", low).alias("_lo"), F.get("_q", high).alias("_hi"), F.col("_lo").alias("_plo"), F.col("_hi").alias("_phi"),
+            "_m", "_below", "_inside")
+        todo = narrower.unionByName(missed).checkpoint(eager=True)
+    inner = vals.join(reduce(DataFrame.unionByName, closed), group_cols).where((x >= F.col("_lo")) & (x <= F.col("_hi"))).groupBy(*group_cols).agg(
+        F.first("_k1").alias("_k1"), F.first("_k2").alias("_k2"), F.array_sort(F.collect_list("_x")).alias("_in"))
+    at = lambda k: F.try_element_at("_in", F.col(k).cast("int"))
+    read = inner.select(*group_cols, ((at("_k1") + at("_k2")) / 2.0).alias(out))
+    return reduce(DataFrame.unionByName, known, read)
 
 
 def explode_dims(df: DataFrame, vec_col: str = "v", keep: list[str] | None = None) -> DataFrame:

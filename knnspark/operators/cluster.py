@@ -361,9 +361,9 @@ def kmedians_step(sample: DataFrame, cids, C, metric: str, prev: tuple | None =
     # the change count rides on the median's first pass (counted once per point: dimension 0)
     long = explode_dims(cur.withColumn("_chg", changed), "v", ["cid", "_chg"])
     long = long.withColumn("_chg", F.when(F.col("dim") == 0, F.col("_chg")).otherwise(0))
-    per_group: dict = {}
-    med = exact_median(long, ["cid", "dim"], "x", "m", side_sum="_chg", side_out=per_group)
-    changes = int(sum(v or 0 for v in per_group.values()))
+    sums: dict = {}
+    med = exact_median(long, ["cid", "dim"], "x", "m", side_sum="_chg", side_out=sums)
+    changes = int(sums["sum"] or 0)
     ncids, nC = long_to_matrix(med, "cid", "dim", "m")
     C2 = C.copy()
     pos = {int(c): i for i, c in enumerate(cids)}

@@ -132,3 +132,24 @@ def test_a_repeated_query_id_raises(spark, vectors, method):
     queries = _queries(spark, vectors[:5]).unionAll(_queries(spark, vectors[9:10]))
     with pytest.raises(Exception, match="repeat"):
         api.search(index, queries, 3)[0].collect()
+
+
+def test_medians_of_any_number_of_groups(spark):
+    from pyspark.sql import functions as F
+
+    from knnspark.functions.stats import exact_median
+
+    df = spark.range(0, 420_000, 1, 8).select((F.col("id") % 210_000).alias("g"), F.col("id").cast("double").alias("x"))
+    got = exact_median(df, ["g"], "x").agg(F.count("*"), F.sum((F.col("median") != F.col("g") + 105_000).cast("int"))).first()
+    assert tuple(got) == (210_000, 0)
+
+
+def test_medians_between_two_runs_of_one_value(spark):
+    """Large groups whose middle ranks lie on, between and beside long runs."""
+    from knnspark.functions.stats import exact_median
+
+    groups = {0: [1.0] * 500 + [2.0] * 500, 1: [1.0] * 501 + [2.0] * 499, 2: [1.0] * 499 + [1.5, 1.6] + [2.0] * 499,
+              3: list(np.random.default_rng(1).standard_normal(3000)), 4: [float("-1e300")] * 400 + list(range(700)), 5: [3.0] * 999}
+    df = spark.createDataFrame([(g, float(v)) for g, values in groups.items() for v in values], "g int, x double").repartition(5)
+    got = {r.g: r.median for r in exact_median(df, ["g"], "x", accuracy=20, max_collect=50).collect()}
+    assert got == {g: float(np.median(v)) for g, v in groups.items()}
