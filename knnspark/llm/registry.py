@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from knnspark.llm import decontaminate, histogram, jaccard, langid, packing, pseudo_lm, secrets, syncmers, urls, warc
+from knnspark.llm import decontaminate, histogram, jaccard, langid, oracles, packing, pseudo_lm, secrets, syncmers, urls, warc
 from knnspark.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -99,6 +99,9 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_decontaminate": oracles.contaminated(),
+    "op4_jaccard_join": oracles.near_duplicates(),
+    "op9_warc": oracles.warc_records(),
     "op3_secret_scan": secrets.sql(),
     "op10_url_filter": _url_sql(),
 }
