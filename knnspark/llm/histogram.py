@@ -4,7 +4,8 @@ Each task encodes its documents and counts them by length; the counts are summed
 shuffle carries at most one row for each length and batch.  Suffix and prefix sums over the
 histogram then answer totals, quantiles and truncated totals for any context limit without reading
 the documents again.  The sums go by blocks of lengths: block totals first (a few rows), then sums
-inside each block, so no task holds more than one block.
+inside each block, so no task holds more than one block.  The counts are written to the shared folder
+first, as the sums read them twice.
 
 Defined results: a null text counts as empty (length 0); an empty table gives an empty histogram;
 repeated rows count each time; ids and other columns are not read.
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from knnspark.llm.common import pieces
+from knnspark.llm.common import pieces, written
 from knnspark.llm.encoder import BatchEncoder
 
 BLOCK = 4096
@@ -44,7 +45,7 @@ def histogram(docs: DataFrame, tokenizer: str, ranks: str | None = None) -> Data
     sums), ``docs_over`` and ``tokens_over`` of more (suffix sums), ``truncated_total`` (tokens left
     when every document is cut at it) and ``quantile`` (the share of documents within it).
     """
-    counts = length_counts(docs, tokenizer, ranks).withColumn("block", F.floor(F.col("length") / BLOCK)) \
+    counts = written(length_counts(docs, tokenizer, ranks), "length-counts").withColumn("block", F.floor(F.col("length") / BLOCK)) \
         .withColumn("tokens", F.col("length") * F.col("docs"))
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
