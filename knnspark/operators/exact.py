@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from knnspark.functions.distance import arrow_matrix, gemm_error_bound, metric_name, not_above, pairwise, smallest_k
 from knnspark.operators.blocks import query_blocks, union_all
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scan_source
+from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scan_source, scratch_path
 from knnspark.sources.vectors import vector_dim
 
 PAIR_SCHEMA = "qid bigint, id bigint, dist double, top boolean, hit boolean"
@@ -172,18 +172,22 @@ def range_search(base: DataFrame, queries: DataFrame, radius: float, metric: str
 def knn_and_range(base: DataFrame, queries: DataFrame, n: int, radius: float, metric: str = "l2",
                   max_block_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                   persist: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Neighbours and radius hits from one scan of the base.
-
-    With ``persist`` the pair set is kept (memory and disk, recomputed from lineage if an
-    executor is lost) so both outputs share one scan; without it each output scans again."""
+    """Neighbours and radius hits from one scan of the base (see ``both``)."""
     _check_n(n)
     r = float(radius) if radius is not None and radius > 0 else None
-    pairs = scan_pairs(base, queries, n=n, radius=r, metric=metric, max_block_bytes=max_block_bytes)
-    if persist:
-        pairs = pairs.persist()
-    neighbors = top_n(pairs.where("top"), n)
-    hits = pairs.where("hit").select("qid", "id", "dist")
-    return neighbors, hits
+    return both(scan_pairs(base, queries, n=n, radius=r, metric=metric, max_block_bytes=max_block_bytes), n, persist)
+
+
+def both(pairs: DataFrame, n: int, keep: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Neighbours and radius hits of one scan's pairs.
+
+    With ``keep`` the pairs are written to the shared folder once, so that both outputs share the scan
+    and no executor's memory is held; without it each output scans again (for streams)."""
+    if keep:
+        spark, path = pairs.sparkSession, scratch_path(pairs.sparkSession, "pairs")
+        pairs.write.parquet(path)
+        pairs = spark.read.schema(pairs.schema).parquet(path)
+    return top_n(pairs.where("top"), n), pairs.where("hit").select("qid", "id", "dist")
 
 
 def nested_result(neighbors: DataFrame, hits: DataFrame) -> DataFrame:

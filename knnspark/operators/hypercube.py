@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from knnspark.functions.distance import arrow_matrix, metric_name, usable_rows
 from knnspark.functions.hashing import cube_codes
-from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
+from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, both, top_n
 from knnspark.operators.rerank import bounded_broadcast
 from knnspark.operators.scan import (ORDERED_SCHEMA, PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored,
                                      finish_topn, match_chunks, pair_distances, run_blocks)
@@ -164,7 +164,7 @@ def _payload(tbl: pa.Table):
             tbl.column("prank").to_numpy()[order].astype(np.int64))
 
 
-def _scan_kernel(model: CubeModel, n: int, radius: float | None):
+def _scan_kernel(model: CubeModel, n: int, radius: float | None, stored: bool = False):
     p = model.params
     P, t, d, cap = model.P, model.t, model.dim, p.max_candidates
 
@@ -178,7 +178,7 @@ def _scan_kernel(model: CubeModel, n: int, radius: float | None):
                 sub = rb
                 ids = sub.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 X, _ = arrow_matrix(sub.column(1), d)
-                codes = cube_codes(X, P, t, p.w, p.seed)
+                codes = sub.column(2).to_numpy(zero_copy_only=False) if stored else cube_codes(X, P, t, p.w, p.seed)
                 for rows, pos in match_chunks(pcodes, codes):
                     q, pr = powner[pos], prank[pos]
                     if cap > 0:
@@ -206,20 +206,37 @@ def _scan_kernel(model: CubeModel, n: int, radius: float | None):
 
 
 def _scan(model: CubeModel, base: DataFrame, queries: DataFrame, n: int, radius: float | None,
-          max_bytes: int) -> DataFrame | None:
+          max_bytes: int, lists: DataFrame | None = None) -> DataFrame | None:
     tables = collect_blocks(queries, lambda q: query_probes(model, q, True), model.params.probes,
                             8 * model.dim + 64, max_bytes)
     schema = ORDERED_SCHEMA if model.params.max_candidates > 0 else PAIR_SCHEMA
     keep = model.params.max_candidates if model.params.max_candidates > 0 else n
-    return run_blocks(base, ["id", "v"], [_payload(t) for t in tables], _scan_kernel(model, n, radius), schema, keep)
+    payloads = [_payload(t) for t in tables]
+    if lists is None or not payloads:
+        return run_blocks(base, ["id", "v"], payloads, _scan_kernel(model, n, radius), schema, keep)
+    probed = sorted({int(c) for p in payloads for c in p[2]})
+    return run_blocks(lists.where(F.col("code").isin(probed)), ["id", "v", "code"], payloads, _scan_kernel(model, n, radius, True),
+                      schema, keep)
+
+
+def write_lists(model: CubeModel, base: DataFrame, path: str) -> DataFrame:
+    """H5 with the vectors: ``cube_lists(code, id, v)`` sorted by code, so that a search reads the probed
+    vertices' row groups only.  A large vertex is many tasks' rows."""
+    spark = base.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = with_codes(model, base, "v", ("id", "v")).repartitionByRange(n, "code", "id")
+    rows.sortWithinPartitions("code").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def search(model: CubeModel, base: DataFrame, queries: DataFrame, n: int,
-           max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """H8: top-N of the examined points by ``(dist, id)``."""
+           max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, lists: DataFrame | None = None) -> DataFrame:
+    """H8: top-N of the examined points by ``(dist, id)``.
+
+    ``lists`` (from ``write_lists``): only the probed vertices are read, not the base."""
     if n <= 0:
         raise ValueError("N must be a positive integer")
-    pairs = _scan(model, base, queries, n, None, max_bytes)
+    pairs = _scan(model, base, queries, n, None, max_bytes, lists)
     if pairs is None:
         return queries.sparkSession.createDataFrame([], NEIGHBOR_SCHEMA)
     if model.params.max_candidates > 0:
@@ -227,6 +244,18 @@ def search(model: CubeModel, base: DataFrame, queries: DataFrame, n: int,
     return top_n(pairs.where("top"), n)
 
 
+def search_and_range(model: CubeModel, base: DataFrame, queries: DataFrame, n: int, radius: float, keep: bool = True,
+                     lists: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """H8 + H9 from one scan."""
+    pairs = _scan(model, base, queries, n, float(radius), DEFAULT_MAX_BROADCAST_BYTES, lists)
+    if pairs is None:
+        pairs = queries.sparkSession.createDataFrame([], PAIR_SCHEMA)
+    elif model.params.max_candidates > 0:  # what is examined is the same for both
+        pairs = _cap(pairs, model.params.max_candidates).select(
+            "qid", "id", "dist", F.lit(True).alias("top"), (F.col("dist") <= float(radius)).alias("hit"))
+    return both(pairs, n, keep)
+
+
 def range_search(model: CubeModel, base: DataFrame, queries: DataFrame, radius: float,
                  max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """H9: examined points with ``dist <= radius``."""

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from knnspark.functions.distance import arrow_matrix, metric_name
 from knnspark.operators import cluster
-from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
+from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, both, top_n
 from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn,
                                      match_chunks, pair_distances, run_blocks)
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
@@ -136,6 +136,13 @@ def search(index: IVFFlatIndex, queries: DataFrame, n: int, nprobe: int,
     return top_n(pairs.where("top"), n)
 
 
+def search_and_range(index: IVFFlatIndex, queries: DataFrame, n: int, radius: float, nprobe: int,
+                     keep: bool = True) -> tuple[DataFrame, DataFrame]:
+    """I3 + I4 from one scan."""
+    pairs = _scan(index, queries, nprobe, n, float(radius), DEFAULT_MAX_BROADCAST_BYTES)
+    return both(pairs if pairs is not None else queries.sparkSession.createDataFrame([], PAIR_SCHEMA), n, keep)
+
+
 def range_search(index: IVFFlatIndex, queries: DataFrame, radius: float, nprobe: int,
                  max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """I4: every candidate with ``dist <= radius`` (all of them, not only the first N; D4)."""

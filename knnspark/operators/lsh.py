@@ -15,14 +15,17 @@ keeps a local top-N, so only <= N rows per query and task are shuffled.  ``candi
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from knnspark.functions.distance import arrow_matrix, metric_name, usable_rows
 from knnspark.functions.hashing import LSH_TABLE_SIZE, lsh_amplify, lsh_buckets_np, lsh_coefficients, lsh_hash
-from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, top_n
+from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, both, top_n
 from knnspark.operators.rerank import bounded_broadcast
 from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn,
                                      match_chunks, pair_distances, run_blocks)
@@ -151,7 +154,8 @@ def _payload(tbl: pa.Table, L: int):
     return uq.astype(np.int64), np.ascontiguousarray(Q), keys, owners, QB
 
 
-def _scan_kernel(model: LSHModel, n: int, radius: float | None):
+def _scan_kernel(model: LSHModel, n: int, radius: float | None, stored: bool = False):
+    """``stored``: rows are those of one table each (column ``t``), else of all tables."""
     p = model.params
     offsets, coef, d = model.offsets, np.asarray(model.coef, dtype=np.int64), model.dim
 
@@ -166,9 +170,11 @@ def _scan_kernel(model: LSHModel, n: int, radius: float | None):
                 ids = sub.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 X, _ = arrow_matrix(sub.column(1), d)
                 B = lsh_buckets_np(X, offsets, coef, p.w, p.k, p.table_size)
+                own = sub.column(2).to_numpy(zero_copy_only=False) if stored else None
                 for t in range(p.L):
-                    for r, pos in match_chunks(keys[t], B[:, t]):
-                        q = owners[t][pos]
+                    here = np.arange(len(ids)) if own is None else np.flatnonzero(own == t)
+                    for r, pos in match_chunks(keys[t], B[here, t]):
+                        r, q = here[r], owners[t][pos]
                         if t:
                             # a pair found in several tables is scored once, in its first table (D3)
                             first = ~(B[r, :t] == QB[q, :t]).any(axis=1)
@@ -183,24 +189,47 @@ def _scan_kernel(model: LSHModel, n: int, radius: float | None):
 
 
 def _scan(model: LSHModel, base: DataFrame, queries: DataFrame, n: int, radius: float | None,
-          max_bytes: int) -> DataFrame | None:
+          max_bytes: int, lists: DataFrame | None = None) -> DataFrame | None:
     tables = collect_blocks(queries, lambda q: query_buckets(model, q, True), model.params.L,
                             8 * model.dim + 64, max_bytes)
     payloads = [_payload(t, model.params.L) for t in tables]
-    return run_blocks(base, ["id", "v"], payloads, _scan_kernel(model, n, radius), PAIR_SCHEMA, n)
+    if lists is None or not payloads:
+        return run_blocks(base, ["id", "v"], payloads, _scan_kernel(model, n, radius), PAIR_SCHEMA, n)
+    probed = [sorted({int(b) for p in payloads for b in p[2][t]}) for t in range(model.params.L)]
+    wanted = reduce(or_, ((F.col("t") == t) & F.col("bucket").isin(b) for t, b in enumerate(probed)))
+    return run_blocks(lists.where(wanted), ["id", "v", "t"], payloads, _scan_kernel(model, n, radius, True), PAIR_SCHEMA, n)
+
+
+def write_lists(model: LSHModel, base: DataFrame, path: str) -> DataFrame:
+    """L4 with the vectors: ``lsh_lists(t, bucket, id, v)``, a folder for each table and sorted by bucket,
+    so that a search reads the probed buckets' row groups only.  A large bucket is many tasks' rows."""
+    spark = base.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = with_buckets(model, base, "id", "v", ("v",)).repartitionByRange(n, "t", "bucket", "id")
+    rows.sortWithinPartitions("t", "bucket").write.mode("overwrite").partitionBy("t").parquet(path)
+    return spark.read.parquet(path)
 
 
 def search(model: LSHModel, base: DataFrame, queries: DataFrame, n: int,
-           max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """L5 + L6: top-N distinct candidates by ``(dist, id)``; fewer when there are fewer."""
+           max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, lists: DataFrame | None = None) -> DataFrame:
+    """L5 + L6: top-N distinct candidates by ``(dist, id)``; fewer when there are fewer.
+
+    ``lists`` (from ``write_lists``): only the probed buckets are read, not the base."""
     if n <= 0:
         raise ValueError("N must be a positive integer")
-    pairs = _scan(model, base, queries, n, None, max_bytes)
+    pairs = _scan(model, base, queries, n, None, max_bytes, lists)
     if pairs is None:
         return queries.sparkSession.createDataFrame([], NEIGHBOR_SCHEMA)
     return top_n(pairs.where("top"), n)
 
 
+def search_and_range(model: LSHModel, base: DataFrame, queries: DataFrame, n: int, radius: float, keep: bool = True,
+                     lists: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """L6 + L7 from one scan."""
+    pairs = _scan(model, base, queries, n, float(radius), DEFAULT_MAX_BROADCAST_BYTES, lists)
+    return both(pairs if pairs is not None else queries.sparkSession.createDataFrame([], PAIR_SCHEMA), n, keep)
+
+
 def range_search(model: LSHModel, base: DataFrame, queries: DataFrame, radius: float,
                  max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Every distinct candidate with ``dist <= radius`` (not only the first N; D4)."""

@@ -455,9 +455,8 @@ def adc_scan(index: PQIndex, queries: DataFrame, n: int, radius: float | None,
     return run_blocks(codes, ["cid", "id", "codes"], payloads, _adc_kernel(n, radius), PAIR_SCHEMA, n)
 
 
-def _with_fallback(index: PQIndex, base: DataFrame, queries: DataFrame, n: int | None,
-                   radius: float | None) -> DataFrame:
-    """Queries whose probed cells are all empty get an exact answer with the run's metric.
+def _lonely(index: PQIndex, queries: DataFrame) -> DataFrame:
+    """Queries whose probed cells are all empty; they get an exact answer with the run's metric.
 
     "No candidate" is decided from the probes and the index's filled cells, found once, not from the
     candidate pairs themselves.
@@ -465,10 +464,15 @@ def _with_fallback(index: PQIndex, base: DataFrame, queries: DataFrame, n: int |
     probes = cluster.nearest_probes(queries, (index.cids, index.C), index.params.nprobe, index.params.metric,
                                     carry=())
     served = probes.where(F.col("cid").isin(index.filled_cells())).select("qid").distinct()
-    lonely = queries.where(F.size("qv") == index.dim).join(served, "qid", "left_anti")
-    if n is not None:
-        return exact.knn(base, lonely, n, index.params.metric)
-    return exact.range_search(base, lonely, radius, index.params.metric)
+    return queries.where(F.size("qv") == index.dim).join(served, "qid", "left_anti")
+
+
+def search_and_range(index: PQIndex, base: DataFrame, queries: DataFrame, n: int, radius: float,
+                     keep: bool = True) -> tuple[DataFrame, DataFrame]:
+    """P8 with both outputs from one scan of the codes (and one of the base for fallback queries)."""
+    pairs = adc_scan(index, queries, n, float(radius))
+    rest = exact.scan_pairs(base, _lonely(index, queries), n=n, radius=float(radius), metric=index.params.metric)
+    return exact.both(rest if pairs is None else pairs.unionByName(rest), n, keep)
 
 
 def search(index: PQIndex, base: DataFrame, queries: DataFrame, n: int,
@@ -477,7 +481,7 @@ def search(index: PQIndex, base: DataFrame, queries: DataFrame, n: int,
     if n <= 0:
         raise ValueError("N must be a positive integer")
     pairs = adc_scan(index, queries, n, None, max_bytes)
-    fallback = _with_fallback(index, base, queries, n, None)
+    fallback = exact.knn(base, _lonely(index, queries), n, index.params.metric)
     return fallback if pairs is None else top_n(pairs.where("top"), n).unionByName(fallback)
 
 
@@ -487,5 +491,5 @@ def range_search(index: PQIndex, base: DataFrame, queries: DataFrame, radius: fl
     if radius is None or radius <= 0:
         return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
     pairs = adc_scan(index, queries, 0, float(radius), max_bytes)
-    fallback = _with_fallback(index, base, queries, None, radius)
+    fallback = exact.range_search(base, _lonely(index, queries), radius, index.params.metric)
     return fallback if pairs is None else pairs.where("hit").select("qid", "id", "dist").unionByName(fallback)

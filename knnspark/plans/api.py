@@ -58,6 +58,7 @@ class Index:
     metric: str
     model: Any = None
     config: Any = field(default=None, repr=False)
+    lists: DataFrame | None = field(default=None, repr=False)  # stored vectors by bucket or vertex
 
 
 def _default_config(method: str):
@@ -92,25 +93,29 @@ def build(method: str, base: DataFrame, config=None, centroids=None) -> Index:
 
 def search(index: Index, queries: DataFrame, n: int, radius: float | None = None,
            persist: bool = True) -> tuple[DataFrame, DataFrame | None]:
-    """Top-``n`` neighbours and, when ``radius > 0``, radius hits of every query.
+    """Top-``n`` neighbours and, when ``radius > 0``, radius hits of every query, from one scan.
 
-    ``persist=False`` keeps nothing cached (for long-running callers such as streams)."""
+    ``persist=False`` writes nothing between them: each output scans again (for long-running callers such
+    as streams)."""
     base, m = index.base, index.model
     want_range = radius is not None and radius > 0
     if index.method == "brute":
         if want_range:
             return exact.knn_and_range(base, queries, n, radius, index.metric, persist=persist)
         return exact.knn(base, queries, n, index.metric), None
-    if index.method == "lsh":
-        return lsh.search(m, base, queries, n), (lsh.range_search(m, base, queries, radius) if want_range else None)
-    if index.method == "hypercube":
-        return (hypercube.search(m, base, queries, n),
-                hypercube.range_search(m, base, queries, radius) if want_range else None)
+    if index.method in ("lsh", "hypercube"):
+        buckets = lsh if index.method == "lsh" else hypercube
+        if want_range:
+            return buckets.search_and_range(m, base, queries, n, radius, persist, index.lists)
+        return buckets.search(m, base, queries, n, lists=index.lists), None
     if index.method == "ivfflat":
         nprobe = index.config.nprobe
-        return (ivfflat.search(m, queries, n, nprobe),
-                ivfflat.range_search(m, queries, radius, nprobe) if want_range else None)
-    return pq.search(m, base, queries, n), (pq.range_search(m, base, queries, radius) if want_range else None)
+        if want_range:
+            return ivfflat.search_and_range(m, queries, n, radius, nprobe, persist)
+        return ivfflat.search(m, queries, n, nprobe), None
+    if want_range:
+        return pq.search_and_range(m, base, queries, n, radius, persist)
+    return pq.search(m, base, queries, n), None
 
 
 @dataclass
@@ -150,8 +155,8 @@ def evaluate(method: str, base: DataFrame, queries: DataFrame, n: int, radius: f
 # --------------------------------------------------------------------------- persistence
 #
 # An index is saved as the tables of FIXTURES §4 plus a small JSON file of its configuration:
-#   lsh:       lsh_params(t, j, s, r), lsh_index(t, bucket, id)
-#   hypercube: cube_params(i, p, t), probe_masks(prank, mask), cube_index(code, id)
+#   lsh:       lsh_params(t, j, s, r), lsh_lists(t, bucket, id, v) partitioned by t, sorted by bucket
+#   hypercube: cube_params(i, p, t), probe_masks(prank, mask), cube_lists(code, id, v) sorted by code
 #   ivfflat:   centroids(cid, c), ivf_lists(cid, id, v) partitioned by cid
 #   ivfpq:     centroids(cid, c), codebooks(m, h, cw), pq_codes(cid, id, codes) partitioned by cid
 
@@ -169,11 +174,11 @@ def save(index: Index, path: str) -> None:
     m = index.model
     if index.method == "lsh":
         lsh.params_table(spark, m).write.mode("overwrite").parquet(f"{out}/lsh_params")
-        lsh.build_index(m, index.base).write.mode("overwrite").parquet(f"{out}/lsh_index")
+        index.lists = lsh.write_lists(m, index.base, f"{out}/lsh_lists")
     elif index.method == "hypercube":
         hypercube.params_table(spark, m).write.mode("overwrite").parquet(f"{out}/cube_params")
         hypercube.masks_table(spark, m).write.mode("overwrite").parquet(f"{out}/probe_masks")
-        hypercube.build_index(m, index.base).write.mode("overwrite").parquet(f"{out}/cube_index")
+        index.lists = hypercube.write_lists(m, index.base, f"{out}/cube_lists")
     elif index.method == "ivfflat":
         m.centroids(spark).write.mode("overwrite").parquet(f"{out}/centroids")
         ivfflat.write_lists(m, f"{out}/ivf_lists")
@@ -202,13 +207,14 @@ def load(spark, path: str, base: DataFrame) -> Index:
         params = lsh.LSHParams(**cfg)
         rows = spark.read.parquet(f"{src}/lsh_params").orderBy("t", "j").collect()
         offsets = np.array([r["s"] for r in rows], dtype=np.float64).reshape(params.L, params.k, -1)
-        return Index(method, base, metric, lsh.LSHModel(params, offsets, list(rows[0]["r"])), params)
+        model = lsh.LSHModel(params, offsets, list(rows[0]["r"]))
+        return Index(method, base, metric, model, params, spark.read.parquet(f"{src}/lsh_lists"))
     if method == "hypercube":
         params = hypercube.CubeParams(**cfg)
         rows = spark.read.parquet(f"{src}/cube_params").orderBy("i").collect()
         P = np.array([r["p"] for r in rows], dtype=np.float64)
         t = np.array([r["t"] for r in rows], dtype=np.float64)
-        return Index(method, base, metric, hypercube.CubeModel(params, P, t), params)
+        return Index(method, base, metric, hypercube.CubeModel(params, P, t), params, spark.read.parquet(f"{src}/cube_lists"))
     cids, C = cluster.centroid_matrix(spark.read.parquet(f"{src}/centroids"))
     if method == "ivfflat":
         config = IVFFlatConfig(**cfg)

@@ -52,8 +52,27 @@ def test_report_and_result_tables(spark, split, tmp_path):
 def test_save_and_load_give_same_answers(spark, split, tmp_path, method, config):
     base, queries = split
     index = api.build(method, base, config)
-    want = sorted(tuple(r) for r in api.search(index, queries, 5)[0].collect())
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    want, hits = (rows(df) for df in api.search(index, queries, 5, 1.2))
+    assert rows(api.search(index, queries, 5)[0]) == want  # one scan for both, or for the neighbours alone
+    assert [rows(df) for df in api.search(index, queries, 5, 1.2, persist=False)] == [want, hits]
     api.save(index, str(tmp_path / method))
     again = api.load(spark, str(tmp_path / method), base)
-    got = sorted(tuple(r) for r in api.search(again, queries, 5)[0].collect())
-    assert got == want
+    found = api.search(again, queries, 5)[0]
+    assert rows(found) == want
+    assert [rows(df) for df in api.search(again, queries, 5, 1.2)] == [want, hits]
+    # A stored index is read by probed cell, bucket or vertex: the filter reaches the scan.
+    plan = api.search(again, queries.where("qid < 20"), 5)[0]._jdf.queryExecution().toString()
+    pushed = {"lsh": "PushedFilters: [Or(", "hypercube": "PushedFilters: [In(code", "ivfflat": "PartitionFilters: [cid", "ivfpq": "PartitionFilters: [cid"}
+    assert pushed[method] in plan, plan[-3000:]
+
+
+def test_capped_cube_gives_both_outputs_from_what_it_examined(split):
+    from knnspark.operators import hypercube
+
+    base, queries = split
+    model = hypercube.draw_cube(hypercube.CubeParams(kproj=5, probes=4, max_candidates=40), 64)
+    near, hits = hypercube.search_and_range(model, base, queries, 5, 1.3)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(near) == rows(hypercube.search(model, base, queries, 5))
+    assert rows(hits) == rows(hypercube.range_search(model, base, queries, 1.3))
