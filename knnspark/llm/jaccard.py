@@ -5,10 +5,10 @@
    each.  Equal texts are one node from here on, with their number.
 2. Chosen paths: at the root of each run, some of the T places are sampled, and a node goes down one
    branch for each, named by the place and its whole token there.  Sets that share the sampled token
-   meet in a bucket.  The first run goes before the others, so that what its leaders join (see below)
-   is closed to them.  Small buckets are brute-forced on the sketches.  In a bucket of more than
-   ``LIMIT`` nodes, those close to its smallest node (the leader) are joined to it and take its label;
-   a bucket with one label is done, as its nodes are connected (a family of near copies ends here, with
+   meet in a bucket.  Small buckets are brute-forced on the sketches.  In a bucket of more than
+   ``LIMIT`` nodes, those close to its smallest node (the leader) are joined to it and take its label.
+   The first run goes before the others; what it joins takes labels too, as equal labels mean connected
+   nodes: a bucket with one label is done, as its nodes are connected (a family of near copies ends here, with
    a row a node).  Other large buckets are split again the same way, with places sampled anew for each
    bucket; what is still large after ``DEPTH`` levels is brute-forced block by block.  Runs are repeated
    until a pair at the threshold has met with a chance of ``recall``, even if its buckets go down
@@ -217,29 +217,32 @@ def _close(left: np.ndarray, right: np.ndarray | None, least: int) -> np.ndarray
 
 
 def _bucket_edges(members: DataFrame, similarity: float) -> DataFrame:
-    """Candidate edges inside groups: ``members`` (path, part, side, k1, k2, sketch); the sides of a part
-    are compared with each other, or side 0 with itself if it has no side 1."""
+    """Candidate edges inside groups: ``members`` (path, part, side, k1, k2, label, sketch); the sides of a
+    part are compared with each other, or side 0 with itself if it has no side 1.  Nodes of one label
+    are connected already, so there is an edge for each label that joins another."""
     least = _least_agreement(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, starts in whole_groups(batches, 2):
             side = rows.column(2).to_numpy()
             keys = np.stack([rows.column(3).to_numpy(), rows.column(4).to_numpy()], axis=1)
-            sketches = _matrix(rows.column(5))
+            label, sketches = rows.column(5).to_numpy(), _matrix(rows.column(6))
             out = []
             for start, end in zip(starts[:-1], starts[1:]):
                 if end - start < 2:
                     continue
                 split = start + int((side[start:end] == 0).sum())
-                forest = Forest(end - start)
-                forest.link(_close(sketches[start:split], sketches[split:end] if split < end else None, least))
-                out += [(start + a, start + b) for a, b in forest.stars()]
+                _, first, which = np.unique(label[start:end], return_index=True, return_inverse=True)
+                pairs = which[_close(sketches[start:split], sketches[split:end] if split < end else None, least)]
+                forest = Forest(len(first))
+                forest.link(pairs[pairs[:, 0] != pairs[:, 1]])
+                out += [(start + first[a], start + first[b]) for a, b in forest.stars()]
             if out:
                 at = np.array(out)
                 cols = [keys[at[:, 0], 0], keys[at[:, 0], 1], keys[at[:, 1], 0], keys[at[:, 1], 1]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["a1", "a2", "b1", "b2"])
 
-    dealt = members.select("path", "part", "side", "k1", "k2", "sketch").repartition("path", "part") \
+    dealt = members.select("path", "part", "side", "k1", "k2", "label", "sketch").repartition("path", "part") \
         .sortWithinPartitions("path", "part", "side", "k1", "k2")
     return dealt.mapInArrow(run, "a1 long, a2 long, b1 long, b2 long")
 
@@ -263,30 +266,27 @@ def candidate_edges(nodes: DataFrame, similarity: float) -> DataFrame:
 
     found: list[DataFrame] = []
 
-    def descend(paths: DataFrame, name: str) -> DataFrame | None:
-        """Collects the edges of all buckets below ``paths``; the rows of large first buckets, with labels."""
-        first = None
+    def descend(paths: DataFrame, name: str) -> None:
+        """Collects the edges of all buckets below ``paths``."""
         for level in range(1, DEPTH + 1):
             members = written(still_open(paths).join(nodes.select("k1", "k2", "sketch"), ["k1", "k2"]), f"paths-{name}-{level}")
             small = members.where(F.col("size") <= LIMIT)
             found.append(_bucket_edges(small.withColumns({"part": F.lit(0).cast("long"), "side": F.lit(0)}), similarity))
             large = members.where(F.col("size") > LIMIT)
             if large.isEmpty():
-                return first
+                return
             rows = written(_led(large, similarity), f"led-{name}-{level}")
-            first = first or rows
             found.append(rows.where("b1 IS NOT NULL").select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), "b1", "b2"))
             paths = _paths(rows, similarity)
         dense = still_open(rows).withColumn("blocks", F.ceil(F.col("size") / LIMIT)).withColumn("block", F.pmod(F.xxhash64("k2"), F.col("blocks")))
         found.append(_bucket_edges(_in_blocks(dense, "block", "blocks"), similarity))
-        return first
 
     n_first = len(sampled_places(1, similarity))
-    led = descend(nodes.select(F.explode(F.slice("paths", 1, n_first)).alias("path"), "k1", "k2", F.col("k1").alias("label")), "first")
+    descend(nodes.select(F.explode(F.slice("paths", 1, n_first)).alias("path"), "k1", "k2", F.col("k1").alias("label")), "first")
+    found = [written(reduce(DataFrame.unionAll, found).distinct(), "first-edges")]
+    labels = found[0].groupBy(F.col("a1").alias("k1"), F.col("a2").alias("k2")).agg(F.min("b1").alias("new"))
     rest = nodes.select("k1", "k2", F.slice("paths", n_first + 1, F.size("paths")).alias("paths"), F.col("k1").alias("label"))
-    if led is not None:
-        labels = led.groupBy("k1", "k2").agg(F.min("label").alias("new"))
-        rest = rest.join(labels, ["k1", "k2"], "left").withColumn("label", F.coalesce("new", "label"))
+    rest = rest.join(labels, ["k1", "k2"], "left").withColumn("label", F.coalesce("new", "label"))
     descend(rest.select(F.explode("paths").alias("path"), "k1", "k2", "label"), "rest")
     edges = reduce(DataFrame.unionAll, found)
     return edges.select(F.struct(F.col("a1").alias("k1"), F.col("a2").alias("k2")).alias("a"),
