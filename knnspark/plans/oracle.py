@@ -6,6 +6,8 @@ list functions) over the same parquet tables; it is only used to check results a
 
 from __future__ import annotations
 
+from knnspark.functions.hashing import SPLITMIX_GAMMA, SPLITMIX_MUL1, SPLITMIX_MUL2
+
 # Fixed split of ``embeddings`` (FIXTURES.md §1), same as ``sources.vectors.fixture_split``.
 SPLIT = """base AS (
   SELECT vec_id::BIGINT AS id, embedding::DOUBLE[] AS v, label FROM embeddings WHERE vec_id % 10 <> 0),
@@ -160,10 +162,10 @@ def cube_codes_cte(name: str, src: str, key: str, vec: str, model) -> str:
   SELECT key, i, xor(xor((i::UBIGINT << 32),
                         CASE WHEN cell < 0 THEN (cell::HUGEINT + 18446744073709551616)::UBIGINT ELSE cell::UBIGINT END),
                     {seed}::UBIGINT) AS x FROM {name}_c),
-{name}_k1 AS (SELECT key, i, ((x::UHUGEINT + 11400714819323198485::UHUGEINT) % {_U64})::UBIGINT AS x FROM {name}_k0),
-{name}_k2 AS (SELECT key, i, ((xor(x, x >> 30)::UHUGEINT * 13787848793156543929::UHUGEINT) % {_U64})::UBIGINT AS x
+{name}_k1 AS (SELECT key, i, ((x::UHUGEINT + {SPLITMIX_GAMMA}::UHUGEINT) % {_U64})::UBIGINT AS x FROM {name}_k0),
+{name}_k2 AS (SELECT key, i, ((xor(x, x >> 30)::UHUGEINT * {SPLITMIX_MUL1}::UHUGEINT) % {_U64})::UBIGINT AS x
   FROM {name}_k1),
-{name}_k3 AS (SELECT key, i, ((xor(x, x >> 27)::UHUGEINT * 10723151780598845931::UHUGEINT) % {_U64})::UBIGINT AS x
+{name}_k3 AS (SELECT key, i, ((xor(x, x >> 27)::UHUGEINT * {SPLITMIX_MUL2}::UHUGEINT) % {_U64})::UBIGINT AS x
   FROM {name}_k2),
 {name} AS (
   SELECT key AS {key}, sum(((xor(x, x >> 31) & 1::UBIGINT)::BIGINT) << i)::BIGINT AS code FROM {name}_k3 GROUP BY key)"""

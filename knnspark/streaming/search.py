@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from knnspark.plans import api
-from knnspark.session import scratch_path
 
 
 def query_stream(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -27,9 +26,11 @@ def query_stream(spark, path: str, max_files_per_trigger: int | None = None) ->
 
 def start_search(index: api.Index, queries: DataFrame, n: int, sink: str, radius: float | None = None,
                  checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Answer every micro-batch of ``queries`` with ``index``; returns the running query."""
-    spark = queries.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
+    """Answer every micro-batch of ``queries`` with ``index``; returns the running query.
+
+    The stream's progress is kept beside its results unless ``checkpoint`` names another folder, so a
+    stream that is started again with the same sink goes on where it stopped."""
+    checkpoint = checkpoint or f"{sink.rstrip('/')}/_checkpoint"
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         neighbors, hits = api.search(index, batch, n, radius, persist=False)   # nothing cached per batch
