@@ -1,7 +1,8 @@
 """First-fit-decreasing packing of token sequences with a tournament tree of bin capacities.
 
 Every document is encoded whole, closed with an end id, and cut into pieces of at most ``capacity``
-tokens.  Pieces go to random groups of bounded size; within a group, the longest first, each piece is
+tokens.  Each document has at most one piece shorter than a sequence; it goes to a random group of
+documents of bounded size, as do full pieces on their own.  Within a group, the longest first, each piece is
 put into the first sequence that still has room.  A tournament tree over the sequences' free room
 (each node holds the larger of its two children) finds that sequence in O(log n).  Groups are packed
 independently, so they run in parallel, and only ids, lengths and checksums are shuffled (token ids

@@ -1,6 +1,9 @@
 """The pipeline's stages on planted documents, and the registered queries."""
 
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import corpus_pipeline
 import pytest
@@ -76,3 +79,10 @@ def test_one_query_for_each_operator_and_the_pipeline():
     assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{k}" for k in range(1, 11)}
     assert set(registry.QUERIES) | {"pipeline"} <= names and set(registry.ORACLE) <= set(registry.QUERIES)
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_the_entry_hides_no_other_missing_module():
+    code = "import sys; sys.modules['public_tokenizers'] = None; sys.path.insert(0, '.')\nimport __spark_entry__"
+    root = Path(entry.__file__).resolve().parent
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode != 0 and "public_tokenizers" in done.stderr
