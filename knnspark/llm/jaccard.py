@@ -136,8 +136,9 @@ def _branch(node: int, place: int, tokens: np.ndarray) -> np.ndarray:
     return mix(mix(np.full(len(tokens), seed)) + tokens.astype(np.uint64)).view(np.int64)
 
 
-def _paths(rows: DataFrame, similarity: float) -> DataFrame:
-    """(path, k1, k2, label): the branches of each row's node, by the sketch's 8 bits of the token.
+def _paths(rows: DataFrame) -> DataFrame:
+    """(path, k1, k2, label): the branch of each row's node at the one place sampled for its bucket, by the
+    sketch's 8 bits of the token.
 
     ``rows``: (path, k1, k2, label, sketch).
     """
@@ -147,10 +148,10 @@ def _paths(rows: DataFrame, similarity: float) -> DataFrame:
             rest = [c.to_numpy() for c in batch.columns[1:4]]
             for node in np.unique(nodes).tolist():
                 which = nodes == node
-                for place in sampled_places(node, similarity):
-                    path = _branch(node, int(place), sketches[which, place])
-                    yield pa.RecordBatch.from_arrays([pa.array(path), *(pa.array(c[which]) for c in rest)],
-                                                     names=["path", "k1", "k2", "label"])
+                place = int(np.random.default_rng(node & 0xFFFFFFFFFFFFFFFF).integers(T))
+                path = _branch(node, place, sketches[which, place])
+                yield pa.RecordBatch.from_arrays([pa.array(path), *(pa.array(c[which]) for c in rest)],
+                                                 names=["path", "k1", "k2", "label"])
 
     return rows.select("path", "k1", "k2", "label", "sketch").mapInArrow(run, "path long, k1 long, k2 long, label long")
 
@@ -277,8 +278,11 @@ def candidate_edges(nodes: DataFrame, similarity: float) -> DataFrame:
                 return
             rows = written(_led(large, similarity), f"led-{name}-{level}")
             found.append(rows.where("b1 IS NOT NULL").select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), "b1", "b2"))
-            paths = _paths(rows, similarity)
-        dense = still_open(rows).withColumn("blocks", F.ceil(F.col("size") / LIMIT)).withColumn("block", F.pmod(F.xxhash64("k2"), F.col("blocks")))
+            rows = still_open(rows)  # what the leader joined to one label is done
+            if level == DEPTH:
+                break
+            paths = written(_paths(rows), f"down-{name}-{level}")  # read twice: for the sizes and the rows
+        dense = rows.withColumn("blocks", F.ceil(F.col("size") / LIMIT)).withColumn("block", F.pmod(F.xxhash64("k2"), F.col("blocks")))
         found.append(_bucket_edges(_in_blocks(dense, "block", "blocks"), similarity))
 
     n_first = len(sampled_places(1, similarity))
