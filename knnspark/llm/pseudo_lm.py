@@ -9,7 +9,7 @@ to 1.  A document's score is the sum of the conditional log-probabilities of its
 
 Training is data-parallel: in each of ``rounds`` rounds, every task starts from the same weights and
 takes gradient steps on windows of all of its documents (every ``stride``-th word, another offset each
-round), and the weights are averaged, weighted by windows, in two levels on Spark.  What the rounds
+round; by default as many as rounds, so every word is a target once), and the weights are averaged, weighted by windows, in two levels on Spark.  What the rounds
 gather grows with the number of tasks, thus with the input; the driver only holds one set of weights
 and the ids' counts.
 
@@ -37,7 +37,7 @@ SINGLE, SHARED = 192, 64  # classes of one id, and classes of equal mass for the
 SIDE, DIM, HIDDEN = 2, 16, 32
 INPUTS, EDGE, CLASSES, WIDTH = FREQUENT + HASHED + 1, FREQUENT + HASHED, SINGLE + SHARED, 2 * SIDE
 SHAPES = {"embed": (INPUTS, DIM), "mid": (WIDTH * DIM, HIDDEN), "mid_bias": (HIDDEN,), "out": (HIDDEN, CLASSES), "out_bias": (CLASSES,)}
-CHUNK = 1 << 14
+CHUNK = 1 << 9  # rows whose class layer stays in a core's cache
 
 
 @dataclass
@@ -95,11 +95,6 @@ def windows(texts: list[np.ndarray], vocabulary: Vocabulary) -> tuple[np.ndarray
 _OFFSETS = np.array([o for o in range(-SIDE, SIDE + 1) if o])
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
 class Trainer:
     """Adagrad on minibatches of windows."""
 
@@ -118,23 +113,28 @@ class Trainer:
             w[rows] -= self.rate * grad / np.sqrt(s[rows])
 
     def learn(self, contexts: np.ndarray, targets: np.ndarray) -> None:
+        room = np.empty((min(self.batch, len(targets)), CLASSES), np.float32)
         for low in range(0, len(targets), self.batch):
             x, y = contexts[low:low + self.batch], targets[low:low + self.batch]
             n = len(y)
             e = self.w["embed"][x].reshape(n, WIDTH * DIM)
             h = np.tanh(e @ self.w["mid"] + self.w["mid_bias"])
-            delta = np.exp(_log_softmax(h @ self.w["out"] + self.w["out_bias"]))
-            delta[np.arange(n), y] -= 1
-            delta /= n
+            delta = np.matmul(h, self.w["out"], out=room[:n])
+            delta += self.w["out_bias"]
+            delta -= delta.max(axis=1, keepdims=True)
+            np.exp(delta, out=delta)
+            delta /= n * delta.sum(axis=1, keepdims=True)
+            delta[np.arange(n), y] -= np.float32(1 / n)
             back = (delta @ self.w["out"].T) * (1 - h * h)
             flat, grad_e = x.ravel(), (back @ self.w["mid"].T).reshape(n * WIDTH, DIM)
             order = np.argsort(flat, kind="stable")
-            rows, first = np.unique(flat[order], return_index=True)
+            ranked = flat[order]
+            first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
             self._step("out", h.T @ delta)
             self._step("out_bias", delta.sum(axis=0))
             self._step("mid", e.T @ back)
             self._step("mid_bias", back.sum(axis=0))
-            self._step("embed", np.add.reduceat(grad_e[order], first, axis=0), rows)
+            self._step("embed", np.add.reduceat(grad_e[order], first, axis=0), ranked[first])
             self.seen += n
 
 
@@ -153,11 +153,12 @@ class Scorer:
         for low in range(0, len(ids), CHUNK):
             here = at[low:low + CHUNK]
             mid = self.weights["mid_bias"] + sum(t[rows[here + o]] for t, o in zip(self.tables, _OFFSETS))
-            logits = np.tanh(mid) @ self.weights["out"] + self.weights["out_bias"]
+            logits = np.tanh(mid) @ self.weights["out"]
+            logits += self.weights["out_bias"]
             target = ids[low:low + CHUNK]
             logits -= logits.max(axis=1, keepdims=True)
             own = logits[np.arange(len(here)), self.vocabulary.classes[target]]
-            out[low:low + CHUNK] = own - np.log(np.exp(logits).sum(axis=1)) + self.vocabulary.share[target]
+            out[low:low + CHUNK] = own - np.log(np.exp(logits, out=logits).sum(axis=1)) + self.vocabulary.share[target]
         return out
 
 
@@ -233,7 +234,7 @@ def train_round(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: Voc
     return _shaped(np.concatenate([np.frombuffer(r["sums"], "<f4") / r["windows"] for r in rows]))
 
 
-def train(docs: DataFrame, rounds: int = 2, stride: int = 16, rate: float = 0.2, batch: int = 128) -> tuple[dict[str, np.ndarray], Vocabulary]:
+def train(docs: DataFrame, rounds: int = 2, stride: int = 2, rate: float = 0.2, batch: int = 128) -> tuple[dict[str, np.ndarray], Vocabulary]:
     vocabulary = Vocabulary.of(count_ids(docs))
     weights = start_weights(vocabulary)
     for k in range(rounds):

@@ -1,6 +1,7 @@
 """Language identification, pseudo-likelihood scores and fingerprints."""
 
 import hashlib
+import inspect
 import random
 import zlib
 
@@ -72,6 +73,25 @@ def test_scores_equal_the_forward_formula_and_beat_unigrams(spark):
     assert model > sum(unigram[pseudo_lm.ids_of(t)].sum() for t in texts.values()) + 0.05 * sum(r.n_words for r in rows)
 
 
+def test_default_training_reads_every_word(spark):
+    cycle = ["one", "two", "three", "four", "five", "six", "seven", "eight"]  # a stride of 8 or 16 meets one of them
+    docs = spark.createDataFrame([(1, " ".join(cycle * 2000))], DOCS)
+    (row,) = pseudo_lm.score(docs, *pseudo_lm.train(docs)).collect()
+    assert row.mean_log_prob > -0.5
+    defaults = {k: p.default for k, p in inspect.signature(pseudo_lm.train).parameters.items()}
+    assert defaults["stride"] <= defaults["rounds"]
+
+
+def test_default_training_beats_unigrams(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text")
+    weights, vocabulary = pseudo_lm.train(docs)
+    counts = pseudo_lm.count_ids(docs)
+    unigram = np.log((counts + 0.5) / (counts + 0.5).sum())
+    rows = pseudo_lm.score(docs, weights, vocabulary).collect()
+    base = sum(unigram[pseudo_lm.ids_of(r.text)].sum() for r in docs.collect())
+    assert sum(r.log_prob for r in rows) > base + 0.05 * sum(r.n_words for r in rows)
+
+
 def test_probabilities_sum_to_one():
     vocabulary = pseudo_lm.Vocabulary.of(np.random.default_rng(0).integers(0, 50, pseudo_lm.BUCKETS))
     weights = pseudo_lm.start_weights(vocabulary)
