@@ -5,10 +5,11 @@ first or last place.  Whether it is chosen depends on its own characters alone,
 gives the same anchors wherever it stands, and an edit only changes the anchors that overlap it.  On
 average 2 of (k - s + 1) k-mers are chosen, and at least one in every window of that many.
 
-A fingerprint keeps the ``size`` anchors with the smallest k-mer hashes (each with its first position),
-as base64 of little-endian uint32 pairs (hash, position) in the order of the hashes.  Two fingerprints
-are compared on the smallest hashes of their union: an anchor counts if both have it and it is part of
-the longest chain whose positions rise in both texts.  The share of those that count is the likeness.
+A fingerprint keeps every anchor (each distinct k-mer hash with its first position), as base64 of
+little-endian uint32 pairs (hash, position) in the order of the hashes, so it grows with the text.  Two
+fingerprints are compared on the union of their hashes: an anchor counts if both have it and it is part
+of the longest chain whose positions rise in both texts.  The share of those that count is the likeness.
+``anchors`` and ``likeness`` also make and compare sketches of the ``size`` smallest hashes.
 
 Defined results: null and empty texts have the fingerprint "" (two of them are alike 1, one and a
 non-empty text 0); a text shorter than k has one anchor, the hash of all of it; equal texts have equal
@@ -78,11 +79,11 @@ def syncmers(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.
     return (_mix(whole) >> np.uint64(32)).astype(np.uint32), at.astype(np.uint32)
 
 
-def anchors(text: str, size: int = SIZE) -> np.ndarray:
-    """The ``size`` anchors of smallest hash: rows (hash, first position), by hash."""
+def anchors(text: str, size: int | None = SIZE) -> np.ndarray:
+    """The ``size`` anchors of smallest hash (None: all): rows (hash, first position), by hash."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     hashes, at = syncmers(codes)
-    if len(hashes) > 4 * size:  # the rest cannot be among the smallest distinct ones, unless hashes repeat
+    if size is not None and len(hashes) > 4 * size:  # the rest cannot be among the smallest distinct ones, unless hashes repeat
         bound = np.partition(hashes, 4 * size - 1)[4 * size - 1]
         few = hashes <= bound
         if len(np.unique(hashes[few])) >= size:
@@ -99,8 +100,8 @@ def from_text(fingerprint: str) -> np.ndarray:
     return np.frombuffer(base64.b64decode(fingerprint), "<u4").reshape(-1, 2)
 
 
-def likeness(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
-    """Share of the smallest anchors of both that match in rising order of position (0 to 1)."""
+def likeness(a: np.ndarray, b: np.ndarray, size: int | None = SIZE) -> float:
+    """Share of the smallest anchors of both (None: of all) that match in rising order of position (0 to 1)."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
     union = np.union1d(a[:, 0], b[:, 0])[:size]
@@ -165,13 +166,13 @@ def fingerprints(docs: DataFrame, blocks: int | None = None) -> DataFrame:
         for batch in pieces(batches, 256):
             out = []
             for block, doc_id, text, copy in zip(*(c.to_pylist() for c in batch.columns)):
-                found = anchors(text)
+                found = anchors(text, None)
                 if held is not None and held[0] == block:
                     _, last_id, last, last_found = held
                     changed = edited(last, text)
-                    changed_found = anchors(changed)
+                    changed_found = anchors(changed, None)
                     out.append((last_id, len(last), hashlib.sha256(changed.encode()).hexdigest(), to_text(last_found),
-                                to_text(changed_found), likeness(last_found, changed_found), likeness(last_found, found)))
+                                to_text(changed_found), likeness(last_found, changed_found, None), likeness(last_found, found, None)))
                 held = None if copy else (block, doc_id, text, found)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)

@@ -175,6 +175,20 @@ def test_rows_follow_each_other_over_all_blocks(spark):
     assert syncmers.fingerprints(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_fingerprints_keep_every_anchor(spark):
+    rng = random.Random(16)
+    passage, *long = ("".join(rng.choices("abcdefg hé", k=n)) for n in (300, 40_000, 30_000))
+    first, second = (t[:9_000] + passage + t[9_000:] for t in long)
+    rows = {r.doc_id: r for r in syncmers.fingerprints(docs_df(spark, [(2, first), (1, second)]), 1).collect()}
+    for doc_id, text in ((2, first), (1, second)):
+        hashes, at = syncmers.syncmers(np.frombuffer(text.encode("utf-32-le"), "<u4"))
+        found = syncmers.from_text(rows[doc_id].fingerprint)
+        assert len(found) > 3_000 and dict(found.tolist()) == dict(zip(hashes[::-1].tolist(), at[::-1].tolist()))
+    inside = len(syncmers.syncmers(np.frombuffer(passage.encode("utf-32-le"), "<u4"))[0])
+    union = len(np.union1d(*(syncmers.from_text(rows[k].fingerprint)[:, 0] for k in (1, 2))))
+    assert inside > 20 and inside <= rows[2].near_next * union + 1e-6 < inside + 5
+
+
 def test_null_doc_ids_are_in_no_fold(spark):
     df = docs_df(spark, [(None, "x"), (3, "y")])
     assert langid.learned_from(df).where(F.col("doc_id").isNull()).count() == 0
