@@ -65,6 +65,7 @@ class Model:
             self._word = {w: k for k, w in enumerate(self.words)}
             self._gram = {g: k for k, g in enumerate(self.grams)}
             self._unseen: dict[str, np.ndarray] = {}
+            self._share: dict[str, float] = {}
             self._ready = True
 
     def unseen(self, word: str) -> np.ndarray:
@@ -83,6 +84,28 @@ class Model:
                 self._unseen[word] = found
         return found
 
+    def familiar(self, text: str | None) -> float:
+        """Share of a text's letters in known words; of an unseen word, the share of its longest n-grams that are known.
+
+        It doesn't depend on a text's length: near 1 in learned languages, near 0 in other scripts and junk.
+        """
+        self._prepare()
+        n, letters, known = ORDERS[0], 0, 0.0
+        for word, times in Counter(words_of(text or "")).items():
+            letters += times * len(word)
+            if word in self._word:
+                known += times * len(word)
+            elif len(word) > 1:
+                share = self._share.get(word)
+                if share is None:
+                    marked = f"<{word}>"
+                    ends = range(n, len(marked) + 1)
+                    share = sum(marked[end - n:end] in self._gram for end in ends) / len(ends)
+                    if len(self._share) < self.memory:
+                        self._share[word] = share
+                known += times * len(word) * share
+        return known / letters if letters else 0.0
+
     def predict(self, text: str | None) -> tuple[str, float]:
         self._prepare()
         counts = Counter(words_of(text or ""))
@@ -168,17 +191,21 @@ def learned_from(docs: DataFrame, folds: int = 5) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull() & ~held_out(folds))
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs``, ``lang_pred`` and ``score`` (columns of these names are replaced)."""
-    kept = docs.drop("lang_pred", "score")
+def identify(docs: DataFrame, model: Model, familiar: str | None = None) -> DataFrame:
+    """All columns of ``docs``, ``lang_pred`` and ``score`` (columns of these names are replaced), and
+    ``Model.familiar`` of the text in a column named ``familiar`` if that is given."""
+    kept = docs.drop("lang_pred", "score", *([familiar] if familiar else []))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     at = kept.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1024):
-            found = [shipped.value.predict(t) for t in batch.column(at).to_pylist()]
+            texts = batch.column(at).to_pylist()
+            found = [shipped.value.predict(t) for t in texts]
+            more = [pa.array([shipped.value.familiar(t) for t in texts], pa.float64())] if familiar else []
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"])
+                [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), *more],
+                names=[*batch.schema.names, "lang_pred", "score", *([familiar] if familiar else [])])
 
-    return kept.mapInArrow(run, StructType(list(kept.schema.fields)).add("lang_pred", StringType()).add("score", DoubleType()))
+    schema = StructType(list(kept.schema.fields)).add("lang_pred", StringType()).add("score", DoubleType())
+    return kept.mapInArrow(run, schema.add(familiar, DoubleType()) if familiar else schema)

@@ -66,6 +66,19 @@ def test_each_stage_does_its_whole_job(spark, planted):
     assert again.columns == results["packing"].columns and again.count() == results["packing"].count()
 
 
+def test_junk_and_unlearned_scripts_go(spark, planted):
+    folder, rows = planted
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rng = random.Random(3)
+    cyrillic = "Этот документ написан на языке которому никто не учил " * 5
+    chinese = "这是 一个 中文 文档 没有 人 教过 这种 语言 " * 5
+    letters = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 10))) for _ in range(80))
+    junk = spark.createDataFrame([(200, cyrillic), (201, chinese), (202, letters), (203, "Привет"), (204, "the cat under the green stone")], "doc_id long, text string")
+    mixed = docs.unionByName(junk, allowMissingColumns=True)
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, mixed, folder).select("doc_id").collect()}
+    assert kept == {d for d, _ in rows if d not in (130, 131, 132, 133)} | {204}
+
+
 def test_empty_table_passes_every_stage(spark, planted):
     folder, _ = planted
     docs = spark.read.parquet(f"{folder}/documents.parquet").where("false")
