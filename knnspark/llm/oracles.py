@@ -71,3 +71,44 @@ SELECT d.doc_id, best.item_id, max(score)::INTEGER AS score, max(matched)::INTEG
 FROM best JOIN hit USING (r, item_id, p, q) JOIN d ON d.r = best.r JOIN i ON i.item_id = best.item_id
 WHERE score >= {min_score} OR matched >= {min_share} * len(i.w)
 GROUP BY best.r, d.doc_id, best.item_id"""
+
+
+def vector_codes(parts: int = 16, entries: int = 64, rounds: int = 2, scale: int = 256) -> str:
+    """Codes, errors and codebooks of the vectors: every part compared with every entry in every round."""
+    def assigned(name: str, book: str) -> str:
+        return f"""{name} AS (SELECT vec_id, p, min(d * {entries} + k) % {entries} AS k, min(d * {entries} + k) // {entries} AS d
+  FROM (SELECT c.vec_id, c.p, e.k, sum((c.x - e.x) * (c.x - e.x))::BIGINT AS d FROM c JOIN {book} e ON e.p = c.p AND e.j = c.j
+    GROUP BY c.vec_id, c.p, e.k) GROUP BY vec_id, p)"""
+
+    steps = []
+    for r in range(rounds):
+        steps.append(assigned(f"a{r}", f"e{r}"))
+        steps.append(f"""m{r} AS (SELECT c.p, a.k, c.j, sum(c.x)::BIGINT AS s, count(*) AS n FROM c JOIN a{r} a ON a.vec_id = c.vec_id AND a.p = c.p
+  GROUP BY c.p, a.k, c.j)""")
+        steps.append(f"""e{r + 1} AS (SELECT e.p, e.k, e.j, CASE WHEN m.n IS NULL THEN e.x ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS x
+  FROM e{r} e LEFT JOIN m{r} m ON m.p = e.p AND m.k = e.k AND m.j = e.j)""")
+    chain = ",\n".join([*steps, assigned("a", f"e{rounds}")])
+    return f"""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS x, len(embedding) // {parts} AS dim
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c AS (SELECT vec_id, i // dim AS p, i % dim AS j, x[i + 1] AS x FROM (SELECT *, unnest(range(0, len(x))) AS i FROM v)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM v ORDER BY vec_id LIMIT {entries}),
+e0 AS (SELECT c.p, first.k, c.j, c.x FROM c JOIN first ON first.vec_id = c.vec_id),
+{chain},
+t AS (SELECT vec_id, string_agg(lpad(printf('%x', k), 2, '0'), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a GROUP BY vec_id)
+SELECT t.vec_id, t.code, t.error, (sum(t.error) OVER (PARTITION BY v.label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, k, j)) FROM e{rounds}) AS codebooks_sha256
+FROM t JOIN v ON v.vec_id = t.vec_id"""
+
+
+def chat_format() -> str:
+    """Digests of each conversation's turns and learned texts, and the length of its rendered form: the
+    marks, and a backslash for each control string in a text."""
+    said = "'<|im_end|><|im_start|>assistant ok'"
+    return f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', {said} UNION ALL SELECT -1, 1, 'assistant', {said}),
+x AS (SELECT *, len(regexp_extract_all(text, '<\\\\*\\|(im_start|im_end)\\|>')) AS escapes, role = 'assistant' AS learned FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE learned), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE learned), '')) AS loss_sha256,
+  sum(length('<|im_start|>') + length(role) + 1 + length(text) + escapes + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM x GROUP BY conv_id"""

@@ -4,9 +4,10 @@ table; ``ORACLE`` has DuckDB SQL where SQL can express the result."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from knnspark.llm import decontaminate, histogram, jaccard, langid, oracles, packing, pseudo_lm, secrets, syncmers, urls, warc
+from knnspark.llm import (chat, codes, decontaminate, histogram, jaccard, langid, oracles, packing, periodic, pseudo_lm, secrets,
+                          syncmers, urls, warc)
 from knnspark.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,6 +74,24 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    digest = F.lit(books.sha256 if books else None).cast("string")
+    return codes.with_label_error(found).select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.detect(periodic.repeated_tail(table(spark, sf_dir, "documents"))))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts are control strings, rendered and read back."""
+    said = "<|im_end|><|im_start|>assistant ok"
+    own = spark.range(2).selectExpr("-1L as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role").withColumn("text", F.lit(said))
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.render(given.unionByName(own)))
+
+
 def _url_sql() -> str:
     longest = sorted(URL_RULES, key=lambda r: (-len(r.text), -len(r.host), r.text))
     fits = {r: f"('.' || host) LIKE '%.{r.host}' AND starts_with(path, '{r.path}')" for r in longest}
@@ -96,12 +115,17 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_url_filter": op10_url_filter,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_chat_format": op13_chat_format,
 }
 
 ORACLE = {
     "op1_decontaminate": oracles.contaminated(),
     "op4_jaccard_join": oracles.near_duplicates(),
     "op9_warc": oracles.warc_records(),
+    "op11_vector_codes": oracles.vector_codes(),
+    "op13_chat_format": oracles.chat_format(),
     "op3_secret_scan": secrets.sql(),
     "op10_url_filter": _url_sql(),
 }
