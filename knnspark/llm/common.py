@@ -27,6 +27,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names`` with two underscores before them, and as many after them as keep them apart from ``df``'s columns."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        name = f"__{name}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to at most ``rows`` rows, so that a task holds few Python texts at once."""
     for batch in batches:

@@ -42,33 +42,31 @@ FROM p JOIN x ON x.payload = p.payload"""
 
 def contaminated(min_score: int = 10, min_share: float = 0.75, penalty: int = 3) -> str:
     """Items found in documents: words on the seeds' positions joined as text, then the best run of each
-    alignment as the largest rise of its running score."""
-    around, shortest = decontaminate.AROUND, decontaminate.SHORTEST
+    whole diagonal as the largest rise of its running score."""
+    shortest, lengthy = decontaminate.SHORTEST, decontaminate.LENGTHY
     word = _WORDS.format("\\p{L}\\p{N}")
-    span = min(s[-1] + 1 for s in decontaminate.SEEDS)
-    masks = [*decontaminate.SEEDS, *(tuple(range(n)) for n in range(shortest, span))]
 
     def windows(name: str, source: str, extra: str) -> str:
-        parts = [f"SELECT {extra}, p, '{k}:' || " + " || ' ' || ".join(f"w[p + {o + 1}]" for o in m) +
-                 f" AS h FROM (SELECT *, unnest(range(0, len(w) - {m[-1]})) AS p FROM {source} WHERE len(w) >= {m[-1] + 1})"
-                 + (f" WHERE len(w) = {m[-1] + 1}" if name == "iw" and k >= len(decontaminate.SEEDS) else "")
-                 for k, m in enumerate(masks)]
+        parts = []
+        for k, m in enumerate(decontaminate.SEEDS):
+            own = f" AND len(w) {'>=' if m in decontaminate.LONG else '<'} {lengthy}" if name == "iw" else ""
+            parts.append(f"SELECT {extra}, p, '{k}:' || " + " || ' ' || ".join(f"w[p + {o + 1}]" for o in m) +
+                         f" AS h FROM (SELECT *, unnest(range(0, len(w) - {m[-1]})) AS p FROM {source} WHERE len(w) >= {m[-1] + 1}{own})")
         return f"{name} AS (" + " UNION ALL ".join(parts) + ")"
 
     return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {word} AS w FROM documents),
 i AS (SELECT item_id, {word} AS w FROM benchmark WHERE len({word}) >= {shortest}),
 {windows('dw', 'd', 'r')}, {windows('iw', 'i', 'item_id')},
-hit AS (SELECT DISTINCT dw.r, iw.item_id, dw.p, iw.p AS q, least(dw.p, iw.p, {around}) AS before
-  FROM dw JOIN iw ON dw.h = iw.h),
-word_ AS (SELECT hit.r, hit.item_id, hit.p, hit.q, k, CASE WHEN d.w[hit.p - before + k + 1] = i.w[hit.q - before + k + 1] THEN 1 ELSE 0 END AS same
-  FROM (SELECT *, unnest(range(0, before + {2 * around})) AS k FROM hit) hit JOIN d ON d.r = hit.r JOIN i ON i.item_id = hit.item_id
-  WHERE hit.p - before + k < len(d.w) AND hit.q - before + k < len(i.w)),
-run AS (SELECT *, sum(CASE same WHEN 1 THEN 1 ELSE -{penalty} END) OVER (PARTITION BY r, item_id, p, q ORDER BY k) AS up FROM word_),
-rise AS (SELECT *, up - least(0, min(up) OVER (PARTITION BY r, item_id, p, q ORDER BY k)) AS gain FROM run),
-best AS (SELECT r, item_id, p, q, max(gain) AS score, sum(same) AS matched FROM rise GROUP BY r, item_id, p, q)
+hit AS (SELECT DISTINCT dw.r, iw.item_id, dw.p - iw.p AS g FROM dw JOIN iw ON dw.h = iw.h),
+word_ AS (SELECT hit.r, hit.item_id, hit.g, k, CASE WHEN d.w[hit.g + k + 1] = hit.w[k + 1] THEN 1 ELSE 0 END AS same
+  FROM (SELECT hit.*, i.w, unnest(range(0, len(i.w))) AS k FROM hit JOIN i ON i.item_id = hit.item_id) hit JOIN d ON d.r = hit.r
+  WHERE hit.g + k >= 0 AND hit.g + k < len(d.w)),
+run AS (SELECT *, sum(CASE same WHEN 1 THEN 1 ELSE -{penalty} END) OVER (PARTITION BY r, item_id, g ORDER BY k) AS up FROM word_),
+rise AS (SELECT *, up - least(0, min(up) OVER (PARTITION BY r, item_id, g ORDER BY k)) AS gain FROM run),
+best AS (SELECT r, item_id, g, max(gain) AS score, sum(same) AS matched FROM rise GROUP BY r, item_id, g)
 SELECT d.doc_id, best.item_id, max(score)::INTEGER AS score, max(matched)::INTEGER AS matched, max(len(i.w))::INTEGER AS item_words,
-  min(best.p - hit.before)::INTEGER AS doc_start
-FROM best JOIN hit USING (r, item_id, p, q) JOIN d ON d.r = best.r JOIN i ON i.item_id = best.item_id
+  min(greatest(best.g, 0))::INTEGER AS doc_start
+FROM best JOIN d ON d.r = best.r JOIN i ON i.item_id = best.item_id
 WHERE score >= {min_score} OR matched >= {min_share} * len(i.w)
 GROUP BY best.r, d.doc_id, best.item_id"""
 

@@ -1,6 +1,9 @@
+import itertools
 import random
 import re
 
+import pytest
+
 from knnspark.llm import decontaminate
 from tests.llm.helpers import AWKWARD, DOCS, EXTRA, docs_df
 
@@ -32,7 +35,9 @@ def _rows():
     dirty[300] = 5
     rows += [(400 + k, _noise(120)) for k in range(40)]
     rows.append((500, _noise(20) + " " + " ".join(ITEMS[3][1].split()[:7]) + " " + _noise(20)))  # too little of an item
-    rows.append((501, "a b c d f"))
+    rows.append((501, "a b c d f"))  # four of five words: 0.8 of the item
+    dirty[501] = 53
+    rows.append((502, "a b c x f"))
     return rows, dirty
 
 
@@ -64,11 +69,33 @@ def test_hits_equal_brute_force_alignment(spark):
                 for s in same:
                     run = max(0, run + (1 if s else -3))
                     best = max(best, run)
-                if sum(same) == len(i) if len(i) < 7 else best >= 10 or sum(same) >= 0.75 * len(i):
+                if best >= 10 or sum(same) >= 0.75 * len(i):
                     want.add((doc_id, item))
     assert got == want
 
 
+def test_no_substitution_hides_an_item():
+    """Every pattern of a quarter of the words, of every item length that the proof rests on."""
+    for n in range(decontaminate.SHORTEST, 25):
+        seeds = decontaminate.LONG if n >= decontaminate.LENGTHY else decontaminate.SHORT
+        windows = [sum(1 << (p + o) for o in s) for s in seeds for p in range(n - s[-1])]
+        for changed in itertools.combinations(range(n), n // 4):
+            bits = sum(1 << k for k in changed)
+            assert any(not bits & w for w in windows), (n, changed)
+
+
+@pytest.mark.parametrize("n,every", [(10, 5), (12, 4), (16, 4), (20, 4), (59, 4), (400, 4), (400, 5), (1000, 4)])
+def test_items_at_the_edge_are_scored_whole(spark, n, every):
+    item = [f"w{k}" for k in range(n)]
+    changed = ["x" if k % every == every - 1 else w for k, w in enumerate(item)]
+    rows = [(1, " ".join(["a"] * 7 + item + ["b"] * 5)), (2, " ".join(["a"] * 3 + changed + ["b"])), (3, " ".join(changed)),
+            (4, " ".join(item[n // 10:])), (5, " ".join(["a"] * 4 + item[:n - n // 10]))]
+    bench = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: (r.matched, r.item_words, r.doc_start) for r in decontaminate.find(docs_df(spark, rows), bench).collect()}
+    left = n - n // every
+    assert got == {1: (n, n, 7), 2: (left, n, 3), 3: (left, n, 0), 4: (n - n // 10, n, 0), 5: (n - n // 10, n, 4)}
+
+
 def test_blocks_of_a_large_benchmark_give_the_same(spark):
     rows, _ = _rows()
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
