@@ -32,7 +32,9 @@ from knnspark.llm.common import pieces, written
 
 UNKNOWN = "und"
 ORDERS = (4, 3, 2, 1)
-_WORD = re.compile(r"[^\W\d_]+")
+#: Characters that regular expressions count as part of a word, but that are numbers and no letters.
+_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(rf"[^\W\d_{re.escape(_NUMBERS)}]+")
 _SMOOTH = 0.1
 
 
@@ -191,10 +193,10 @@ def learned_from(docs: DataFrame, folds: int = 5) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull() & ~held_out(folds))
 
 
-def identify(docs: DataFrame, model: Model, familiar: str | None = None) -> DataFrame:
-    """All columns of ``docs``, ``lang_pred`` and ``score`` (columns of these names are replaced), and
-    ``Model.familiar`` of the text in a column named ``familiar`` if that is given."""
-    kept = docs.drop("lang_pred", "score", *([familiar] if familiar else []))
+def identify(docs: DataFrame, model: Model, familiar: str | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All columns of ``docs``, the predicted language and its score in columns of the given ``names`` (columns of
+    these names are replaced), and ``Model.familiar`` of the text in a column named ``familiar`` if that is given."""
+    kept = docs.drop(*names, *([familiar] if familiar else []))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     at = kept.columns.index("text")
 
@@ -205,7 +207,7 @@ def identify(docs: DataFrame, model: Model, familiar: str | None = None) -> Data
             more = [pa.array([shipped.value.familiar(t) for t in texts], pa.float64())] if familiar else []
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), *more],
-                names=[*batch.schema.names, "lang_pred", "score", *([familiar] if familiar else [])])
+                names=[*batch.schema.names, *names, *([familiar] if familiar else [])])
 
-    schema = StructType(list(kept.schema.fields)).add("lang_pred", StringType()).add("score", DoubleType())
+    schema = StructType(list(kept.schema.fields)).add(names[0], StringType()).add(names[1], DoubleType())
     return kept.mapInArrow(run, schema.add(familiar, DoubleType()) if familiar else schema)
