@@ -25,7 +25,7 @@ from re import _constants as sre, _parser
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from knnspark.llm.common import written
+from knnspark.llm.common import unused, written
 
 ANYTHING = frozenset({frozenset()})
 _MOST_STRINGS, _MOST_CLAUSES = 64, 64
@@ -212,25 +212,27 @@ def _spans(rule: SecretRule, rank: int) -> Column:
     return F.aggregate(zipped, state, step, lambda acc: acc["out"])
 
 
-def scan(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
-    """``docs`` with ``spans``: array of (start, rank, kind, end), by start, then the rules' order."""
+def scan(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, spans: str = "spans") -> DataFrame:
+    """``docs`` with a column ``spans`` (replaced if there): array of (start, rank, kind, end), by start, then the
+    rules' order."""
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if q != ANYTHING}
     rows = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    key, kinds = unused(docs, "key", "kinds")
     if indexed:
         grams = sorted({g for q in indexed.values() for c in q for g in c})
         index = written(postings(rows, grams), "trigram-postings")
-        found = written(candidates(index, indexed), "secret-candidates").withColumnRenamed("key", "__key")
-        rows = rows.withColumn("__key", row_key()).join(found.withColumnRenamed("kinds", "__kinds"), "__key", "left").drop("__key")
+        found = written(candidates(index, indexed), "secret-candidates").withColumnsRenamed({"key": key, "kinds": kinds})
+        rows = rows.withColumn(key, row_key()).join(found, key, "left").drop(key)
     none = F.array().cast(_SPANS)
 
     def of(rule: SecretRule, rank: int) -> Column:
         test = F.col("text").rlike(rule.java)
         if rule.kind in indexed:
-            test = F.coalesce(F.array_contains("__kinds", rule.kind), F.lit(False)) & test
+            test = F.coalesce(F.array_contains(kinds, rule.kind), F.lit(False)) & test
         return F.when(test, _spans(rule, rank)).otherwise(none)
 
-    return rows.withColumn("spans", F.array_sort(F.concat(*(of(r, k) for k, r in enumerate(rules))))).drop("__kinds")
+    return rows.withColumn(spans, F.array_sort(F.concat(*(of(r, k) for k, r in enumerate(rules))))).drop(kinds)
 
 
 def joined(spans: Column) -> Column:
@@ -246,17 +248,17 @@ def digest(scanned: DataFrame) -> DataFrame:
                           joined(F.col("spans")).alias("spans"))
 
 
-def mask(scanned: DataFrame, with_: str = "*") -> DataFrame:
+def mask(scanned: DataFrame, with_: str = "*", spans: str = "spans") -> DataFrame:
     """``scanned`` with every character inside a span replaced in ``text``, lengths kept."""
     inside = F.aggregate(
-        "spans", F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
+        spans, F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
             F.concat(acc["out"],
                      F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int")),
                      F.repeat(F.lit(with_), F.greatest(s["end"] - F.greatest(acc["at"], s["start"]), F.lit(0)).cast("int"))).alias("out")),
         lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))))
-    return scanned.withColumn("text", F.when(F.size("spans") > 0, inside).otherwise(F.col("text")))
+    return scanned.withColumn("text", F.when(F.size(spans) > 0, inside).otherwise(F.col("text")))
 
 
 def sql(rules: tuple[SecretRule, ...] = RULES) -> str:
