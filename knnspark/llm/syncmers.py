@@ -5,11 +5,10 @@ first or last place.  Whether it is chosen depends on its own characters alone,
 gives the same anchors wherever it stands, and an edit only changes the anchors that overlap it.  On
 average 2 of (k - s + 1) k-mers are chosen, and at least one in every window of that many.
 
-A fingerprint keeps every anchor (each distinct k-mer hash with its first position), as base64 of
-little-endian uint32 pairs (hash, position) in the order of the hashes, so it grows with the text.  Two
-fingerprints are compared on the union of their hashes: an anchor counts if both have it and it is part
-of the longest chain whose positions rise in both texts.  The share of those that count is the likeness.
-``anchors`` and ``likeness`` also make and compare sketches of the ``size`` smallest hashes.
+A fingerprint keeps every anchor, also each place of a repeated one, as base64 of little-endian uint32 pairs
+(hash, position) by position, so it grows with the text.  Two fingerprints are compared by the longest
+chain of anchors that both have, with positions that rise in both texts.  The likeness is its length over the number of
+anchors that either has (a hash that occurs m and n times counts max(m, n)).
 
 Defined results: null and empty texts have the fingerprint "" (two of them are alike 1, one and a
 non-empty text 0); a text shorter than k has one anchor, the hash of all of it; equal texts have equal
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from knnspark.llm.common import pieces, written
 
-K, S, SIZE = 24, 8, 64
+K, S = 24, 8
 _B = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of the rolling hashes (2^64 over the golden ratio)
 
 
@@ -79,17 +78,10 @@ def syncmers(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.
     return (_mix(whole) >> np.uint64(32)).astype(np.uint32), at.astype(np.uint32)
 
 
-def anchors(text: str, size: int | None = SIZE) -> np.ndarray:
-    """The ``size`` anchors of smallest hash (None: all): rows (hash, first position), by hash."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    hashes, at = syncmers(codes)
-    if size is not None and len(hashes) > 4 * size:  # the rest cannot be among the smallest distinct ones, unless hashes repeat
-        bound = np.partition(hashes, 4 * size - 1)[4 * size - 1]
-        few = hashes <= bound
-        if len(np.unique(hashes[few])) >= size:
-            hashes, at = hashes[few], at[few]
-    hashes, first = np.unique(hashes, return_index=True)  # the first place of each, as positions rise
-    return np.stack([hashes[:size], at[first[:size]]], axis=1).astype("<u4")
+def anchors(text: str) -> np.ndarray:
+    """Rows (hash, position) of all anchors, by position."""
+    hashes, at = syncmers(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"))
+    return np.stack([hashes, at], axis=1).astype("<u4")
 
 
 def to_text(found: np.ndarray) -> str:
@@ -100,20 +92,54 @@ def from_text(fingerprint: str) -> np.ndarray:
     return np.frombuffer(base64.b64decode(fingerprint), "<u4").reshape(-1, 2)
 
 
-def likeness(a: np.ndarray, b: np.ndarray, size: int | None = SIZE) -> float:
-    """Share of the smallest anchors of both (None: of all) that match in rising order of position (0 to 1)."""
+def _rising(values: list[int]) -> int:
+    """Length of the longest rising chain."""
+    chain: list[int] = []
+    for v in values:
+        k = bisect_left(chain, v)
+        chain[k:k + 1] = [v]
+    return len(chain)
+
+
+def _common(a: list[int], b: list[int]) -> int:
+    """Length of the longest common subsequence, with a bit for each element of ``b`` (a number of machine words at a time,
+    so that texts of one repeated passage don't need their pairs of places)."""
+    start = next((k for k, (v, w) in enumerate(zip(a, b)) if v != w), min(len(a), len(b)))
+    a, b = a[start:], b[start:]
+    places: dict[int, list[int]] = {}
+    for k, v in enumerate(b):
+        places.setdefault(v, []).append(k)
+    often = {v: sum(1 << k for k in at) for v, at in places.items() if len(at) > 64}  # the masks of rarer ones are made anew
+    full = row = (1 << len(b)) - 1
+    for v in a:
+        mask = often.get(v)
+        if mask is None:
+            mask = 0
+            for k in places.get(v, ()):
+                mask |= 1 << k
+        hit = row & mask
+        row = (row + hit | row - hit) & full
+    return start + len(b) - row.bit_count()
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of the anchors of both that match in rising order of position (0 to 1)."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    union = np.union1d(a[:, 0], b[:, 0])[:size]
-    shared, i, j = np.intersect1d(a[:, 0], b[:, 0], assume_unique=True, return_indices=True)
-    among = shared <= union[-1]
-    i, j = i[among], j[among]
-    by_place = np.lexsort((b[j, 1], a[i, 1]))
-    chain: list[int] = []
-    for at in b[j[by_place], 1].tolist():  # longest rising chain
-        k = bisect_left(chain, at)
-        chain[k:k + 1] = [at]
-    return len(chain) / len(union)
+    kinds, which, n = np.unique(np.concatenate([a[:, 0], b[:, 0]]), return_inverse=True, return_counts=True)
+    in_a = np.bincount(which[:len(a)], minlength=len(kinds))
+    in_b = n - in_a
+    shared = np.minimum(in_a, in_b)
+    if not shared.any():
+        return 0.0
+    left, right = (w[shared[w] > 0] for w in (which[:len(a)], which[len(a):]))
+    if len(left) == len(right) == np.count_nonzero(shared):  # no hash is repeated: the places in b, in a's order
+        place = np.empty(len(kinds), np.int64)
+        place[right] = np.arange(len(right))
+        chain = _rising(place[left].tolist())
+    else:
+        chain = _common(left.tolist(), right.tolist())
+    return chain / int(np.maximum(in_a, in_b).sum())
 
 
 def edited(text: str, following: str) -> str:
@@ -166,13 +192,13 @@ def fingerprints(docs: DataFrame, blocks: int | None = None) -> DataFrame:
         for batch in pieces(batches, 256):
             out = []
             for block, doc_id, text, copy in zip(*(c.to_pylist() for c in batch.columns)):
-                found = anchors(text, None)
+                found = anchors(text)
                 if held is not None and held[0] == block:
                     _, last_id, last, last_found = held
                     changed = edited(last, text)
-                    changed_found = anchors(changed, None)
+                    changed_found = anchors(changed)
                     out.append((last_id, len(last), hashlib.sha256(changed.encode()).hexdigest(), to_text(last_found),
-                                to_text(changed_found), likeness(last_found, changed_found, None), likeness(last_found, found, None)))
+                                to_text(changed_found), likeness(last_found, changed_found), likeness(last_found, found)))
                 held = None if copy else (block, doc_id, text, found)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
