@@ -10,13 +10,14 @@ too, if they are asked for).
 
 Defined results: a null text is empty (only the end id is packed); an empty table gives no rows;
 repeated rows, repeated or null ids are packed row by row; ties in length go by document id, then
-start; other columns are ignored.  The random group of a row depends on its partition and place in
-it, so a task that runs again gives the same rows.
+start; other columns are ignored.  The random group of a piece is a hash of the piece and of how many equal ones
+its task had before, so a task that runs again gives the same rows and groups, in whatever order it reads them.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from knnspark.llm.common import pieces
 from knnspark.llm.encoder import BatchEncoder
+from knnspark.llm.words import mix
 
 SEQUENCE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -75,7 +77,8 @@ def cut(docs: DataFrame, tokenizer: str, ranks: str | None, capacity: int, end_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = BatchEncoder.at(tokenizer, ranks)
-        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
+        start_seed = mix(np.array([seed * 1_000_003 + TaskContext.get().partitionId()], np.uint64))
+        seen: Counter = Counter()  # pieces of the task by their hash
         for batch in pieces(batches, 4096):
             ids, ends = encoder.encode(batch.column(1).fill_null(""))
             ids = np.insert(ids, ends, end_id).astype("<u4")
@@ -90,9 +93,16 @@ def cut(docs: DataFrame, tokenizer: str, ranks: str | None, capacity: int, end_i
             data = memoryview(ids.tobytes())
             at = ((starts[doc] + start) * 4).tolist()
             cuts = [data[a:a + 4 * n] for a, n in zip(at, length.tolist())]
-            cols = [pa.array(rng.integers(groups, size=len(doc))), batch.column(0).cast(pa.int64()).take(pa.array(doc)),
-                    pa.array(start), pa.array(length), pa.array([zlib.crc32(c) for c in cuts], pa.int64()),
-                    pa.array(total[doc])]
+            crc = np.array([zlib.crc32(c) for c in cuts], np.int64)
+            doc_id = batch.column(0).cast(pa.int64()).take(pa.array(doc))
+            piece = mix(doc_id.fill_null(-1).to_numpy().view(np.uint64) + start_seed)
+            piece = mix(piece + (crc.astype(np.uint64) << np.uint64(32)) + start.astype(np.uint64))
+            before = []
+            for h in piece.tolist():
+                before.append(seen[h])
+                seen[h] += 1
+            grp = mix(piece + np.array(before, np.uint64)) % np.uint64(groups)
+            cols = [pa.array(grp.astype(np.int64)), doc_id, pa.array(start), pa.array(length), pa.array(crc), pa.array(total[doc])]
             names = ["grp", "doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             if keep_ids:
                 cols.append(pa.array([bytes(c) for c in cuts], pa.binary()))
