@@ -2,9 +2,10 @@
 
 Writing: Spark finds the payloads that occur more than once (by SHA-1 and length); the record with the
 largest page id is the response, the others are revisit records that refer to it.  Each task writes
-its records, one gzip member per record, into archives of bounded size in the shared folder: under a
-name of its own first, then renamed, so a task that runs again replaces the same archives.  Paths go to
-a manifest table, not to the driver.
+its records, one gzip member per record, into archives of bounded size in the shared folder, under names that
+hold the attempt.  Their paths go to a manifest table, not to the driver; only the rows of attempts that Spark commits
+are in it, so an attempt that was lost, repeated or overtaken leaves archives that nobody reads, and touches
+no other's.
 
 Reading: a task opens an archive, inflates it block by block with zlib (a record is one member; the
 bytes after its end begin the next), frames the record by Content-Length, and checks the block's and
@@ -97,7 +98,6 @@ def write(pages: DataFrame, folder: str, archive_bytes: int = 32 << 20, revisit_
 
         def close():
             out.close()
-            store.move(f"{root}/{name}.{context.taskAttemptId()}", f"{root}/{name}")
             return pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([count], pa.int64())],
                                               names=["path", "records"])
 
@@ -105,8 +105,8 @@ def write(pages: DataFrame, folder: str, archive_bytes: int = 32 << 20, revisit_
             for page_id, url, html, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     store.create_dir(root, recursive=True)
-                    name = f"part-{context.partitionId():06d}-{nth:04d}.warc.gz"
-                    out = store.open_output_stream(f"{root}/{name}.{context.taskAttemptId()}", compression=None)
+                    name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}-{nth:04d}.warc.gz"
+                    out = store.open_output_stream(f"{root}/{name}", compression=None)
                     info = b"software: page archive writer\r\nformat: WARC File Format 1.1\r\n"
                     size = out.write(member([("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(None, "", name)),
                                              ("WARC-Date", date), ("WARC-Filename", name),
