@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, smallest_k, smallest_k_l2, usable_rows
 from knnspark.functions.hashing import md5_uniform
 from knnspark.functions.stats import assemble_vectors, exact_median, explode_dims
-from knnspark.operators.blocks import check_broadcast
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bound
+from knnspark.operators.blocks import CHUNK_BYTES, check_broadcast, chunks, shared_batches
+from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bound, scratch_path
+from knnspark.sources.vectors import vector_dim
 
 CENTROID_SCHEMA = "cid int, c array<double>"
 
@@ -193,22 +194,33 @@ def silhouette_fast(assigned: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("s").alias("silhouette")))
 
 
-# Members and askers of one cluster that meet in one task (vectors held at once).
+# Asking points of a cluster, and members of it, that are compared at once.
 SILHOUETTE_BLOCK = 2048
 
 
-def _pair_sum_kernel(metric: str):
-    """One block pair: for every asking point, the sum and number of its distances to the block's
-    members (not to itself).  Only those sums leave the task."""
-    def run(table: pa.Table) -> pa.Table:
-        member = table.column("member").to_numpy(zero_copy_only=False).astype(bool)
-        ids = table.column("id").to_numpy().astype(np.int64)
-        X, _ = arrow_matrix(table.column("v"))
-        D = pairwise(X[~member], X[member], metric)
-        same = ids[~member][:, None] == ids[member][None, :]
-        D[same] = 0.0
-        return pa.table({"id": pa.array(ids[~member]), "other": table.column("other").filter(pa.array(~member)),
-                         "total": pa.array(D.sum(axis=1)), "n": pa.array((~same).sum(axis=1), pa.int64())})
+def _asked_kernel(members: str, dim: int, metric: str, block: int):
+    """For every asking point (c, id, other, v), the sum and number of its distances to the members of cluster
+    ``c`` (not to itself): the cluster's members are streamed past a block of the points that ask about it."""
+    def run(batches):
+        for chunk in chunks(batches, CHUNK_BYTES):
+            asks = pa.Table.from_batches(chunk)
+            cluster, ids = asks.column("c").to_numpy(), asks.column("id").to_numpy()
+            for c in np.unique(cluster).tolist():
+                at = np.flatnonzero(cluster == c)
+                for lo in range(0, len(at), block):
+                    rows = at[lo:lo + block]
+                    X, _ = arrow_matrix(asks.column("v").take(pa.array(rows)), dim)
+                    total, n = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
+                    for held in shared_batches(f"{members}/cid={c}", ["id", "v"], block):
+                        Y, _ = arrow_matrix(held.column(1), dim)
+                        same = ids[rows][:, None] == held.column(0).to_numpy()[None, :]
+                        D = pairwise(X, Y, metric)
+                        D[same] = 0.0
+                        total += D.sum(axis=1)
+                        n += (~same).sum(axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[rows]), asks.column("other").take(pa.array(rows)).combine_chunks(), pa.array(total), pa.array(n)],
+                        names=["id", "other", "total", "n"])
     return run
 
 
@@ -217,36 +229,31 @@ def silhouette_full(points: DataFrame, assigned: DataFrame, metric: str = "l2",
     ``b`` = mean distance to the members of the second-nearest centroid's cluster.
 
     Singletons and points whose second cluster is empty score 0 (D12).  The work is quadratic
-    within clusters, as in the reference, but distributed: a cluster's members are dealt into blocks and
-    the points that ask about it into salts, both of about ``block`` rows, and every (cluster, block,
-    salt) is one group.  A group returns a sum for each asking point, so no pair table is produced,
-    nothing goes through the driver, and a cluster with most of the points is many groups.
-    -> ``(cid, n, silhouette)`` per cluster plus the overall row with ``cid`` NULL.
+    within clusters, as in the reference, but neither shuffle nor disk is: the members are written once, in a folder
+    for each cluster, and every point is shuffled twice, as it asks about two clusters.  A task owns some asking points,
+    sorted by cluster, and streams that cluster's folder past each block of them; a cluster with most of the points is
+    many tasks' asking points.  -> ``(cid, n, silhouette)`` per cluster plus the overall row with ``cid`` NULL.
     """
-    metric = metric_name(metric)
+    metric, spark = metric_name(metric), assigned.sparkSession
     if "v" in assigned.columns:          # assignment computed with carry=("v",): no join with the base
         table = assigned.select("id", "v", "cid", "cid2")
     else:
         table = points.select("id", "v").join(assigned.select("id", "cid", "cid2"), "id")
-    members = table.select("id", "v", F.col("cid").alias("c"))
+    path, n = scratch_path(spark, "silhouette-members"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table.repartitionByRange(n, "cid", "id").write.partitionBy("cid").parquet(path)
+    table = spark.read.schema("id bigint, v array<double>, cid2 int, cid int").parquet(path)
+    dim = vector_dim(table) or 0
     about = F.array(F.struct(F.col("cid").alias("c"), F.lit(0).alias("other")), F.struct(F.col("cid2").alias("c"), F.lit(1).alias("other")))
-    asks = table.select("id", "v", F.explode(about).alias("a")).select("id", "v", "a.c", "a.other").where(F.col("c").isNotNull())
-    held = members.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
-    sizes = asks.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / block).alias("salts")).join(held, "c")
-    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    here = members.join(sizes, "c").select("c", F.pmod(F.xxhash64("id"), "blocks").alias("j"), upto("salts").alias("s"),
-                                           F.lit(True).alias("member"), "id", F.lit(0).alias("other"), "v")
-    asking = asks.join(sizes, "c").select("c", upto("blocks").alias("j"), F.pmod(F.xxhash64("id", F.lit(1)), "salts").alias("s"),
-                                          F.lit(False).alias("member"), "id", "other", "v")
-    sums = (here.unionByName(asking).groupBy("c", "j", "s")
-            .applyInArrow(_pair_sum_kernel(metric), "id bigint, other int, total double, n bigint")
+    asks = table.select("id", "v", F.explode(about).alias("a")).select("a.c", "id", "a.other", "v").where(F.col("c").isNotNull())
+    dealt = asks.repartitionByRange(n, "c", "id").sortWithinPartitions("c", "id")
+    sums = (dealt.mapInArrow(_asked_kernel(path, dim, metric, block), "id bigint, other int, total double, n bigint")
             .groupBy("id").agg(*(F.sum(F.when(F.col("other") == k, F.col(c))).alias(f"{p}{x}")
                                  for k, x in ((0, "a"), (1, "b")) for c, p in (("total", "s"), ("n", "n")))))
     a = F.col("sa") / F.when(F.col("na") > 0, F.col("na"))
     b = F.col("sb") / F.when(F.col("nb") > 0, F.col("nb"))
     s = (F.when((F.coalesce("na", F.lit(0)) == 0) | (F.coalesce("nb", F.lit(0)) == 0), F.lit(0.0))
          .when(F.greatest(a, b) > 0, (b - a) / F.greatest(a, b)).otherwise(F.lit(0.0)))
-    per_point = assigned.select("id", "cid").join(sums, "id", "left").withColumn("s", s)
+    per_point = table.select("id", "cid").join(sums, "id", "left").withColumn("s", s)
     return (per_point.rollup("cid")
             .agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("s").alias("silhouette")))
 
@@ -292,55 +299,88 @@ def training_sample(points: DataFrame, size: int, seed: int = 1, total: int | No
         if t >= 1.0 or kept.count() >= size:
             break
         t = min(1.0, t * 2.0)
-    # The key of the last row to keep cuts the small set where it lies: a filter, so it stays in its partitions.
-    order = F.struct("_k", "id")
-    last = kept.select(order.alias("o")).orderBy("o").offset(size - 1).limit(1).collect()
-    if not last:
-        return kept.drop("_k", "_u")
-    k, i = last[0]["o"]
+    k, i = _nth_key(kept, size, float(t))
     return kept.where((F.col("_k") < k) | ((F.col("_k") == k) & (F.col("id") <= i))).drop("_k", "_u")
 
 
-def _race_pick(sample: DataFrame, cids, C, metric: str, seed: int, rnd: int):
-    """One k-means++ draw by an exponential race: argmin ``-ln(u)/D^2`` over points with D^2 > 0.
+# Rows whose keys are sorted to find one of them.
+_FEW_KEYS = 10_000
 
-    ``D`` is the metric distance to the nearest chosen centre; ``u`` comes from md5, so the choice
-    is a plain aggregate (no global window) and reproducible.  Returns None when every D^2 is 0.
-    """
-    u = md5_uniform(F.concat_ws(":", F.lit(str(seed)), F.lit(str(rnd)), F.col("id").cast("string")))
-    d = assign(sample, (cids, C), metric, carry=("v",)) if len(cids) else None
-    if d is None:
-        scored = sample.select("id", "v", (-F.log(u)).alias("key"))
-    else:
-        scored = (d.where(F.col("dist") > 0)
-                  .select("id", "v", (-F.log(u) / (F.col("dist") * F.col("dist"))).alias("key")))
-    best = scored.agg(F.min_by(F.struct("id", "v"), F.struct("key", "id")).alias("b")).first()["b"]
-    return None if best is None else (int(best["id"]), np.asarray(best["v"], dtype=np.float64))
+
+def _nth_key(keyed: DataFrame, n: int, top: float) -> tuple[str, int]:
+    """The ``(_k, id)`` of the n-th row (1-based) in order of them, or of the last row if there are fewer.
+
+    ``_u`` is the key's beginning as a number from 0 to ``top``.  Counts of 1,024 ranges of it (one aggregate, a row for
+    each) narrow it down to the range that holds the row, until that has few rows; those are sorted."""
+    low, high, rows = 0.0, min(top, 1.0), keyed.select("_k", "id", "_u")
+    while True:
+        width = (high - low) / 1024
+        at = F.least(F.floor((F.col("_u") - F.lit(low)) / F.lit(width)), F.lit(1023)).cast("int").alias("at")
+        counts = sorted(rows.groupBy(at).agg(F.count(F.lit(1)).alias("n")).collect())
+        before = 0
+        for at_, here in counts:
+            if before + here >= n or at_ == counts[-1][0]:
+                break
+            before += here
+        # Range bounds as the aggregate saw them: rows are chosen by the same expression.
+        rows, n = rows.where(at == at_), min(n - before, here)
+        if here <= _FEW_KEYS or width < 1e-15:
+            last = rows.select(F.struct("_k", "id").alias("o")).orderBy("o").offset(n - 1).limit(1).collect()[0]["o"]
+            return last["_k"], last["id"]
+        low, high = low + at_ * width, low + (at_ + 1) * width
+
+
+# Rounds of seeding after which the points' distances are written.
+SEED_STATE_ROUNDS = 8
+
+
+def _nearer_kernel(C: np.ndarray, metric: str):
+    """Distances ``d`` to the nearest centre so far (null: none yet), brought up to date with new centres."""
+    def run(batches):
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            X, _ = arrow_matrix(rb.column("v"), C.shape[1])
+            d = rb.column("d").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([rb.column("id"), rb.column("v"), pa.array(np.fmin(d, pairwise(X, C, metric).min(axis=1)))],
+                                             names=["id", "v", "d"])
+    return run
 
 
 def kmeanspp_seeds(sample: DataFrame, k: int, metric: str = "l2", seed: int = 1,
-                   with_ids: bool = False) -> tuple[np.ndarray, ...]:
+                   with_ids: bool = False, state_rounds: int = SEED_STATE_ROUNDS) -> tuple[np.ndarray, ...]:
     """K2: k-means++ seeding; stops early when all remaining distances are 0.
 
+    A draw is an exponential race: argmin ``-ln(u)/d^2`` over the points with d > 0, with ``d`` the metric distance to
+    the nearest centre so far and ``u`` from md5, so a draw is a plain aggregate (no global window) and reproducible.
+    ``d`` is a running minimum: a round compares the points with the centres since the state table was written, which
+    happens every ``state_rounds`` rounds, and never with all of them.
+
     Returns ``(cids, C)`` -- plus the chosen points' ids with ``with_ids`` -- where seed ``r``
     gets cid ``r`` (0-based).
     """
     metric = metric_name(metric)
-    cids: list[int] = []
     ids: list[int] = []
     rows: list[np.ndarray] = []
+    state, written = sample.select("id", "v", F.lit(None).cast("double").alias("d")), 0
     for r in range(int(k)):
-        C = np.vstack(rows) if rows else np.empty((0, 0))
-        pick = _race_pick(sample, np.array(cids, dtype=np.int32), C, metric, seed, r)
-        if pick is None:
+        now = state
+        if len(rows) > written:
+            now = state.mapInArrow(_nearer_kernel(np.vstack(rows[written:]), metric), "id bigint, v array<double>, d double")
+            if len(rows) - written >= state_rounds:
+                state = now = now.checkpoint(eager=True)
+                written = len(rows)
+        u = md5_uniform(F.concat_ws(":", F.lit(str(seed)), F.lit(str(r)), F.col("id").cast("string")))
+        key = F.when(F.col("d").isNull(), -F.log(u)).when(F.col("d") > 0, -F.log(u) / (F.col("d") * F.col("d")))
+        scored = now.select("id", "v", key.alias("key")).where(F.col("key").isNotNull())
+        best = scored.agg(F.min_by(F.struct("id", "v"), F.struct("key", "id")).alias("b")).first()["b"]
+        if best is None:
             break
-        cids.append(r)
-        ids.append(pick[0])
-        rows.append(pick[1])
+        ids.append(int(best["id"]))
+        rows.append(np.asarray(best["v"], dtype=np.float64))
     C = np.vstack(rows) if rows else np.empty((0, 0))
-    if with_ids:
-        return np.array(cids, dtype=np.int32), C, np.array(ids, dtype=np.int64)
-    return np.array(cids, dtype=np.int32), C
+    cids = np.arange(len(rows), dtype=np.int32)
+    return (cids, C, np.array(ids, dtype=np.int64)) if with_ids else (cids, C)
 
 
 def kmedians_step(sample: DataFrame, cids, C, metric: str, prev: tuple | None = None):

@@ -1,6 +1,6 @@
 """Exact search: kNN join (E1), radius join (E2), both from one pass.
 
-Plan: base scan -> ``mapInArrow`` against a broadcast query block (NumPy, local top-N per task)
+Plan: base scan -> ``mapInArrow`` past the query side's blocks (NumPy, local top-N per task)
 -> shuffle of at most ``N`` rows per (query, task) on ``qid`` -> windowed final top-N ordered by
 ``(dist, id)``.  The base side is never shuffled or replicated.  For L2 the task kernel filters
 with one BLAS matrix product and a proven rounding bound, then scores the few survivors from
@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from knnspark.functions.distance import arrow_matrix, gemm_error_bound, metric_name, not_above, pairwise, smallest_k
-from knnspark.operators.blocks import query_blocks, union_all
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scan_source, scratch_path
+from knnspark.operators.blocks import query_side
+from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scratch_path
 from knnspark.sources.vectors import vector_dim
 
 PAIR_SCHEMA = "qid bigint, id bigint, dist double, top boolean, hit boolean"
@@ -35,7 +35,7 @@ def _pair_batch(qid, ids, dist, top: bool, hit: bool) -> pa.RecordBatch:
         names=["qid", "id", "dist", "top", "hit"])
 
 
-def _gemm_kernel(bc, n: int, radius: float | None):
+def _gemm_kernel(payload, n: int, radius: float | None):
     """Exact L2 search with a GEMM pre-filter.
 
     One matrix product gives every squared distance up to a proven error bound for the pair.  A
@@ -47,7 +47,7 @@ def _gemm_kernel(bc, n: int, radius: float | None):
     from knnspark.operators.scan import GroupTopN, pair_distances
 
     def run(batches):
-        qids, Q = bc.value
+        qids, Q = payload
         nq, d = Q.shape
         qn = np.einsum("ij,ij->i", Q, Q)
         state = GroupTopN(n) if n > 0 else None
@@ -85,12 +85,12 @@ def _gemm_kernel(bc, n: int, radius: float | None):
     return run
 
 
-def _scan_kernel(bc, metric: str, n: int, radius: float | None):
+def _scan_kernel(payload, metric: str, n: int, radius: float | None):
     if metric == "l2":
-        return _gemm_kernel(bc, n, radius)
+        return _gemm_kernel(payload, n, radius)
 
     def run(batches):
-        qids, Q = bc.value
+        qids, Q = payload
         nq, d = Q.shape
         best_d = np.empty((nq, 0))
         best_i = np.empty((nq, 0), dtype=np.int64)
@@ -120,19 +120,16 @@ def _scan_kernel(bc, metric: str, n: int, radius: float | None):
 def scan_pairs(base: DataFrame, queries: DataFrame, n: int = 0, radius: float | None = None,
                metric: str = "l2", max_block_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Candidate pairs from a dense scan: per task top-``n`` rows (``top``) and radius hits (``hit``)."""
+    from knnspark.operators.scan import run_blocks
+
     metric = metric_name(metric)
-    spark = base.sparkSession
     d = vector_dim(base)
-    blocks = [] if d is None else query_blocks(queries, d, max_block_bytes)
-    if not blocks:
-        return spark.createDataFrame([], PAIR_SCHEMA)
-    frames = []
-    for qids, Q in blocks:
-        bc = spark.sparkContext.broadcast((qids, Q))
-        src = base.select(F.col("id").cast("bigint"), F.col("v").cast("array<double>"))
-        frames.append(scan_source(src, len(qids) * n if n > 0 else None)
-                      .mapInArrow(_scan_kernel(bc, metric, n, radius), PAIR_SCHEMA))
-    return union_all(frames)
+    side = None if d is None else query_side(queries, d, max_block_bytes)
+    if side is None:
+        return base.sparkSession.createDataFrame([], PAIR_SCHEMA)
+    src = base.select(F.col("id").cast("bigint"), F.col("v").cast("array<double>"))
+    return run_blocks(src, ["id", "v"], side, lambda block: (block.qids, block.Q),
+                      lambda payload: _scan_kernel(payload, metric, n, radius), PAIR_SCHEMA, n)
 
 
 def top_n(pairs: DataFrame, n: int, dist_col: str = "dist") -> DataFrame:
@@ -190,20 +187,58 @@ def both(pairs: DataFrame, n: int, keep: bool = True) -> tuple[DataFrame, DataFr
     return top_n(pairs.where("top"), n), pairs.where("hit").select("qid", "id", "dist")
 
 
-def nested_result(neighbors: DataFrame, hits: DataFrame) -> DataFrame:
-    """Nested form per query: ``neighbors`` and ``range`` as ``ARRAY<STRUCT<id, dist>>``.
-
-    Neighbours are ordered by rank, range hits by ``(dist, id)``.  Arrays are bounded by N and
-    by the size of the answer itself.
-    """
+# Radius hits of a query in one row of the nested form.
+RUN_HITS = 100_000
+
+
+def hit_runs(hits: DataFrame, size: int = RUN_HITS) -> DataFrame:
+    """``hits`` with ``run``: which run of ``size`` hits of its query, by ``(dist, id)``, a hit is in.
+
+    Hits are range-partitioned and sorted by ``(qid, dist, id)``, so a query of any number of hits is many tasks', each of
+    which numbers its own rows one by one; the counts of the tasks before (a table of a row for each query and task) say where its
+    numbers begin.  Nothing is gathered for a query."""
+    spark = hits.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "sorted-hits")
+    order = ["qid", "dist", "id"]
+    placed = hits.select(*order).repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("task", F.spark_partition_id())
+    placed.mapInArrow(_number_rows, "qid bigint, dist double, id bigint, task int, place bigint").write.parquet(path)
+    placed = spark.read.schema("qid bigint, dist double, id bigint, task int, place bigint").parquet(path)
+    counts = placed.groupBy("qid", "task").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("qid").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("qid", "task", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("start"))
+    run = F.floor((F.col("start") + F.col("place")) / size).cast("int").alias("run")
+    return placed.join(starts, ["qid", "task"]).select("qid", run, "dist", "id")
+
+
+def _number_rows(batches):
+    """``place``: a row's number among those of its query in the task, in the order they come."""
+    last, n = None, 0
+    for rb in batches:
+        qid = rb.column(0).to_numpy(zero_copy_only=False)
+        if not len(qid):
+            continue
+        starts = np.flatnonzero(np.r_[True, qid[1:] != qid[:-1]])
+        place = np.arange(len(qid)) - np.repeat(starts, np.diff(np.r_[starts, len(qid)]))
+        if last == qid[0]:
+            place[:starts[1] if len(starts) > 1 else len(qid)] += n
+        last, n = qid[-1], int(place[-1]) + 1
+        yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(place)], names=[*rb.schema.names, "place"])
+
+
+def nested_result(neighbors: DataFrame, hits: DataFrame, run_hits: int = RUN_HITS) -> DataFrame:
+    """Nested form ``(qid, run, neighbors, range)`` with ``ARRAY<STRUCT<id, dist>>`` columns.
+
+    Neighbours are ordered by rank, range hits by ``(dist, id)``.  A row holds at most ``run_hits`` hits: a query with
+    more has further rows, run by run, with no neighbours in them."""
     nb = (neighbors.groupBy("qid")
           .agg(F.array_sort(F.collect_list(F.struct("rank", "id", "dist"))).alias("_n"))
-          .select("qid", F.transform("_n", lambda s: F.struct(s["id"].alias("id"), s["dist"].alias("dist")))
+          .select("qid", F.lit(0).alias("run"), F.transform("_n", lambda s: F.struct(s["id"].alias("id"), s["dist"].alias("dist")))
                   .alias("neighbors")))
-    rg = (hits.groupBy("qid")
+    rg = (hit_runs(hits, run_hits).groupBy("qid", "run")
           .agg(F.array_sort(F.collect_list(F.struct("dist", "id"))).alias("_r"))
-          .select("qid", F.transform("_r", lambda s: F.struct(s["id"].alias("id"), s["dist"].alias("dist")))
+          .select("qid", "run", F.transform("_r", lambda s: F.struct(s["id"].alias("id"), s["dist"].alias("dist")))
                   .alias("range")))
     empty = F.array().cast("array<struct<id:bigint,dist:double>>")
-    return (nb.join(rg, "qid", "full")
-            .select("qid", F.coalesce("neighbors", empty).alias("neighbors"), F.coalesce("range", empty).alias("range")))
+    return (nb.join(rg, ["qid", "run"], "full")
+            .select("qid", "run", F.coalesce("neighbors", empty).alias("neighbors"), F.coalesce("range", empty).alias("range")))

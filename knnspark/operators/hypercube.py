@@ -4,8 +4,7 @@ Vertex codes are computed on Arrow batches (NumPy ``X @ P.T`` and the splitmix c
 The probe sequence of a query is its code XOR a fixed list of masks ordered by
 ``(popcount, ascending bit tuple)`` -- the order in which a breadth-first walk that flips bits in
 ascending order reaches the vertices -- so probing is one equi-join of the base codes with the
-broadcast ``(qid, prank, code)`` table, done inside one candidate scan of the base
-(``operators.scan``).  The candidate cap keeps the first ``M`` points in ``(prank, id)`` order:
+queries' ``(prank, code)``, done inside one candidate scan of the base (``operators.scan``).  The candidate cap keeps the first ``M`` points in ``(prank, id)`` order:
 each task keeps its local first ``M`` per query, and a ``row_number`` window over the <= M rows
 per (query, task) finishes the cap before the top-N window.
 """
@@ -24,9 +23,9 @@ from knnspark.functions.distance import arrow_matrix, metric_name, usable_rows
 from knnspark.functions.hashing import cube_codes
 from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, both, top_n
 from knnspark.operators.rerank import bounded_broadcast
-from knnspark.operators.scan import (ORDERED_SCHEMA, PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored,
-                                     finish_topn, match_chunks, pair_distances, run_blocks)
-from knnspark.operators.blocks import check_broadcast
+from knnspark.operators.blocks import Block, check_broadcast, probed_only, query_side
+from knnspark.operators.scan import (ORDERED_SCHEMA, PAIR_SCHEMA, GroupTopN, emit_scored, finish_topn, match_chunks,
+                                     pair_distances, run_blocks)
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
@@ -153,24 +152,29 @@ def candidates(model: CubeModel, index: DataFrame, queries: DataFrame,
     return _cap(pairs, model.params.max_candidates)
 
 
-def _payload(tbl: pa.Table):
-    """Broadcast value from collected ``(qid, prank, code, qv)`` rows, sorted by probe code."""
-    qid = tbl.column("qid").to_numpy()
-    uq, first, inv = np.unique(qid, return_index=True, return_inverse=True)
-    Q, _ = arrow_matrix(tbl.column("qv").take(pa.array(first)))
-    code = tbl.column("code").to_numpy()
-    order = np.argsort(code, kind="stable")
-    return (uq.astype(np.int64), np.ascontiguousarray(Q), code[order], inv[order],
-            tbl.column("prank").to_numpy()[order].astype(np.int64))
+def _payload(model: CubeModel):
+    """What a scan needs of a block of queries: their probes, sorted by code (those before the column ``upto``, if given)."""
+    p, P, t = model.params, model.P, model.t
+    masks = np.array(probe_masks(p.kproj, p.probes), dtype=np.int64)
+
+    def make(block: Block):
+        codes = (cube_codes(block.Q, P, t, p.w, p.seed)[:, None] ^ masks[None, :]).ravel()
+        owner, prank = np.divmod(np.arange(len(codes)), len(masks))
+        if "upto" in block.extra:
+            kept = prank < block.extra["upto"][owner]
+            codes, owner, prank = codes[kept], owner[kept], prank[kept]
+        order = np.argsort(codes, kind="stable")
+        return block.qids, block.Q, codes[order], owner[order], prank[order] + 1
+    return make
 
 
 def _scan_kernel(model: CubeModel, n: int, radius: float | None, stored: bool = False):
     p = model.params
     P, t, d, cap = model.P, model.t, model.dim, p.max_candidates
 
-    def kernel(bc):
+    def kernel(payload):
         def run(batches):
-            qids, Q, pcodes, powner, prank = bc.value
+            qids, Q, pcodes, powner, prank = payload
             state = GroupTopN(cap) if cap > 0 else (GroupTopN(n) if n else None)
             for rb in batches:
                 if rb.num_rows == 0:
@@ -205,38 +209,74 @@ def _scan_kernel(model: CubeModel, n: int, radius: float | None, stored: bool =
     return kernel
 
 
+# Folders of vertices in the stored lists.
+LIST_PARTS = 64
+
+
+def _part(code: str = "code"):
+    return F.pmod(F.col(code), F.lit(LIST_PARTS)).cast("int").alias("part")
+
+
+def vertex_sizes(lists: DataFrame) -> DataFrame:
+    """``(code, n)``: the number of points of every filled vertex."""
+    return lists.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+
+
+def planned_probes(model: CubeModel, queries: DataFrame, sizes: DataFrame) -> DataFrame:
+    """H7 planned from the vertex sizes: ``(qid, prank, code)`` of the probes that a capped search examines, which
+    are those before whom fewer than the cap's points lie."""
+    before = Window.partitionBy("qid").orderBy("prank").rowsBetween(Window.unboundedPreceding, -1)
+    probes = query_probes(model, queries).join(sizes, "code", "left")
+    seen = F.coalesce(F.sum(F.coalesce("n", F.lit(0))).over(before), F.lit(0))
+    return probes.withColumn("_s", seen).where(F.col("_s") < model.params.max_candidates).select("qid", "prank", "code")
+
+
 def _scan(model: CubeModel, base: DataFrame, queries: DataFrame, n: int, radius: float | None,
-          max_bytes: int, lists: DataFrame | None = None) -> DataFrame | None:
-    tables = collect_blocks(queries, lambda q: query_probes(model, q, True), model.params.probes,
-                            8 * model.dim + 64, max_bytes)
+          max_bytes: int, lists: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame | None:
     schema = ORDERED_SCHEMA if model.params.max_candidates > 0 else PAIR_SCHEMA
     keep = model.params.max_candidates if model.params.max_candidates > 0 else n
-    payloads = [_payload(t) for t in tables]
-    if lists is None or not payloads:
-        return run_blocks(base, ["id", "v"], payloads, _scan_kernel(model, n, radius), schema, keep)
-    probed = sorted({int(c) for p in payloads for c in p[2]})
-    return run_blocks(lists.where(F.col("code").isin(probed)), ["id", "v", "code"], payloads, _scan_kernel(model, n, radius, True),
-                      schema, keep)
+    side = query_side(queries, model.dim, max_bytes)
+    if side is None:
+        return None
+    if lists is None:
+        return run_blocks(base, ["id", "v"], side, _payload(model), _scan_kernel(model, n, radius), schema, keep)
+    frame = side.frame(base.sparkSession)
+    if sizes is not None and model.params.max_candidates > 0:
+        planned = planned_probes(model, frame, sizes)
+        upto = frame.join(planned.groupBy("qid").agg(F.max("prank").alias("upto")), "qid")
+        side = query_side(upto, model.dim, max_bytes, extra=("upto",))
+        probed = planned_probes(model, side.frame(base.sparkSession), sizes).select(_part())
+    else:
+        probed = query_probes(model, frame).select(_part())
+    return run_blocks(probed_only(lists, probed, ["part"], max_bytes), ["id", "v", "code"], side, _payload(model),
+                      _scan_kernel(model, n, radius, True), schema, keep)
 
 
 def write_lists(model: CubeModel, base: DataFrame, path: str) -> DataFrame:
-    """H5 with the vectors: ``cube_lists(code, id, v)`` sorted by code, so that a search reads the probed
-    vertices' row groups only.  A large vertex is many tasks' rows."""
+    """H5 with the vectors: ``cube_lists(part, code, id, v)``, a folder for each part of the vertices, so that a search
+    opens the probed vertices' folders only.  A large vertex is many tasks' rows."""
     spark = base.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = with_codes(model, base, "v", ("id", "v")).repartitionByRange(n, "code", "id")
-    rows.sortWithinPartitions("code").write.mode("overwrite").parquet(path)
+    rows = with_codes(model, base, "v", ("id", "v")).select(_part(), "code", "id", "v").repartitionByRange(n, "part", "code", "id")
+    rows.sortWithinPartitions("part", "code").write.mode("overwrite").partitionBy("part").parquet(path)
     return spark.read.parquet(path)
 
 
+def write_sizes(lists: DataFrame, path: str) -> DataFrame:
+    """The vertex sizes of stored lists as a table, for capped searches."""
+    vertex_sizes(lists).write.mode("overwrite").parquet(path)
+    return lists.sparkSession.read.parquet(path)
+
+
 def search(model: CubeModel, base: DataFrame, queries: DataFrame, n: int,
-           max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, lists: DataFrame | None = None) -> DataFrame:
+           max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, lists: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """H8: top-N of the examined points by ``(dist, id)``.
 
-    ``lists`` (from ``write_lists``): only the probed vertices are read, not the base."""
+    ``lists`` (from ``write_lists``): only the probed vertices are read, not the base; with their ``sizes`` a capped
+    search reads those only that it reaches before the cap."""
     if n <= 0:
         raise ValueError("N must be a positive integer")
-    pairs = _scan(model, base, queries, n, None, max_bytes, lists)
+    pairs = _scan(model, base, queries, n, None, max_bytes, lists, sizes)
     if pairs is None:
         return queries.sparkSession.createDataFrame([], NEIGHBOR_SCHEMA)
     if model.params.max_candidates > 0:
@@ -245,9 +285,9 @@ def search(model: CubeModel, base: DataFrame, queries: DataFrame, n: int,
 
 
 def search_and_range(model: CubeModel, base: DataFrame, queries: DataFrame, n: int, radius: float, keep: bool = True,
-                     lists: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                     lists: DataFrame | None = None, sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """H8 + H9 from one scan."""
-    pairs = _scan(model, base, queries, n, float(radius), DEFAULT_MAX_BROADCAST_BYTES, lists)
+    pairs = _scan(model, base, queries, n, float(radius), DEFAULT_MAX_BROADCAST_BYTES, lists, sizes)
     if pairs is None:
         pairs = queries.sparkSession.createDataFrame([], PAIR_SCHEMA)
     elif model.params.max_candidates > 0:  # what is examined is the same for both
@@ -257,11 +297,13 @@ def search_and_range(model: CubeModel, base: DataFrame, queries: DataFrame, n: i
 
 
 def range_search(model: CubeModel, base: DataFrame, queries: DataFrame, radius: float,
-                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """H9: examined points with ``dist <= radius``."""
+                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, lists: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame:
+    """H9: examined points with ``dist <= radius``.
+
+    ``lists`` and ``sizes``: as in ``search``."""
     if radius is None or radius <= 0:
         return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
-    pairs = _scan(model, base, queries, 0, float(radius), max_bytes)
+    pairs = _scan(model, base, queries, 0, float(radius), max_bytes, lists, sizes)
     if pairs is None:
         return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
     if model.params.max_candidates > 0:

@@ -1,9 +1,9 @@
 """IVFFlat (I1-I4): coarse probe -> list scan -> top-N / radius.
 
-Inverted lists are the table ``(cid, id, v)``.  Search is one candidate scan (``operators.scan``):
-the probes ``(qid, cid)`` are computed by Spark and broadcast in size-checked blocks; each task
-matches its rows' cells to the probes and scores only those pairs.  Lists written with
-``partitionBy("cid")`` are filtered to the probed cells, so Spark reads only those partitions;
+Inverted lists are the table ``(cid, id, v)``.  Search is one candidate scan (``operators.scan``): each task
+streams the queries in blocks of bounded size, finds their probed cells, matches its rows' cells to them and
+scores only those pairs.  Lists written with ``partitionBy("cid")`` are joined with the probed cells, so Spark
+reads only those partitions (dynamic partition pruning);
 without stored lists the cell of every base row is computed in the scan (K8), so the lists are
 never materialised or shuffled.
 """
@@ -13,15 +13,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from knnspark.functions.distance import arrow_matrix, metric_name
 from knnspark.operators import cluster
 from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, both, top_n
-from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn,
-                                     match_chunks, pair_distances, run_blocks)
+from knnspark.operators.blocks import Block, check_broadcast, probed_only, query_side
+from knnspark.operators.scan import PAIR_SCHEMA, GroupTopN, emit_scored, finish_topn, match_chunks, pair_distances, run_blocks
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
@@ -71,19 +69,19 @@ def probes(index: IVFFlatIndex, queries: DataFrame, nprobe: int) -> DataFrame:
     return cluster.nearest_probes(queries, (index.cids, index.C), nprobe, index.metric)
 
 
-def _payload(tbl: pa.Table, cids: np.ndarray, C: np.ndarray):
-    qid = tbl.column("qid").to_numpy()
-    uq, first, inv = np.unique(qid, return_index=True, return_inverse=True)
-    Q, _ = arrow_matrix(tbl.column("qv").take(pa.array(first)))
-    cell = tbl.column("cid").to_numpy().astype(np.int64)
-    order = np.argsort(cell, kind="stable")
-    return uq.astype(np.int64), np.ascontiguousarray(Q), cell[order], inv[order], cids, C
+def _payload(cids: np.ndarray, C: np.ndarray, nprobe: int, metric: str):
+    """What a scan needs of a block of queries: who probes which cell, by cell."""
+    def make(block: Block):
+        _, cells = cluster.nearest_centroids(block.Q, cids, C, metric, min(nprobe, len(cids)))
+        order = np.argsort(cells.ravel(), kind="stable")
+        return block.qids, block.Q, cells.ravel()[order].astype(np.int64), order // cells.shape[1], cids, C
+    return make
 
 
 def _scan_kernel(metric: str, n: int, radius: float | None, has_cid: bool):
-    def kernel(bc):
+    def kernel(payload):
         def run(batches):
-            qids, Q, cells, owners, cids, C = bc.value
+            qids, Q, cells, owners, cids, C = payload
             d = Q.shape[1]
             state = GroupTopN(n) if n else None
             for rb in batches:
@@ -111,18 +109,17 @@ def _scan(index: IVFFlatIndex, queries: DataFrame, nprobe: int, n: int, radius:
     """Every point of the probed lists scored against its queries, in one pass."""
     if nprobe <= 0 or len(index.cids) == 0:
         return None
-    d = index.C.shape[1]
-    tables = collect_blocks(queries, lambda q: probes(index, q, nprobe), nprobe, 8 * d + 64, max_bytes)
-    payloads = [_payload(t, index.cids, index.C) for t in tables]
-    if not payloads:
+    side = query_side(queries, index.C.shape[1], max_bytes)
+    if side is None:
         return None
+    check_broadcast(index.C.nbytes, "centroid matrix")
+    payload = _payload(index.cids, index.C, nprobe, index.metric)
     if index.stored:
-        probed = sorted({int(c) for p in payloads for c in np.unique(p[2])})
-        source = index.lists.where(F.col("cid").isin(probed))       # static partition pruning
-        return run_blocks(source, ["cid", "id", "v"], payloads, _scan_kernel(index.metric, n, radius, True),
-                          PAIR_SCHEMA, n)
+        probed = cluster.nearest_probes(side.frame(queries.sparkSession), (index.cids, index.C), nprobe, index.metric, carry=())
+        return run_blocks(probed_only(index.lists, probed, ["cid"], max_bytes), ["cid", "id", "v"], side, payload,
+                          _scan_kernel(index.metric, n, radius, True), PAIR_SCHEMA, n)
     source = index.base if index.base is not None else index.lists
-    return run_blocks(source, ["id", "v"], payloads, _scan_kernel(index.metric, n, radius, False), PAIR_SCHEMA, n)
+    return run_blocks(source, ["id", "v"], side, payload, _scan_kernel(index.metric, n, radius, False), PAIR_SCHEMA, n)
 
 
 def search(index: IVFFlatIndex, queries: DataFrame, n: int, nprobe: int,

@@ -5,8 +5,8 @@ dimension, not the data); the index ``(t, bucket, id)`` is one narrow ``mapInArr
 hashes Arrow batches with NumPy and emits one row per table.  ``LSHModel.bucket_columns`` gives
 the same buckets as plain columns for use inside other projections.
 
-Search (L5-L7) is one candidate scan of the base (``operators.scan``): the query buckets are
-computed by Spark and broadcast in size-checked blocks; each base task hashes its rows, matches
+Search (L5-L7) is one candidate scan of the base (``operators.scan``): each base task streams the queries
+in blocks of bounded size, hashes them and its rows, matches
 them to the query buckets table by table, scores each distinct (query, point) pair once (D3) and
 keeps a local top-N, so only <= N rows per query and task are shuffled.  ``candidates`` and
 ``search_index`` give the same answers from a stored ``lsh_index`` table by equi-joins.
@@ -15,8 +15,6 @@ keeps a local top-N, so only <= N rows per query and task are shuffled.  ``candi
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +25,8 @@ from knnspark.functions.distance import arrow_matrix, metric_name, usable_rows
 from knnspark.functions.hashing import LSH_TABLE_SIZE, lsh_amplify, lsh_buckets_np, lsh_coefficients, lsh_hash
 from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, both, top_n
 from knnspark.operators.rerank import bounded_broadcast
-from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn,
-                                     match_chunks, pair_distances, run_blocks)
-from knnspark.operators.blocks import check_broadcast
+from knnspark.operators.blocks import Block, check_broadcast, probed_only, query_side
+from knnspark.operators.scan import PAIR_SCHEMA, GroupTopN, emit_scored, finish_topn, match_chunks, pair_distances, run_blocks
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
@@ -119,6 +116,15 @@ def with_buckets(model: LSHModel, df: DataFrame, key: str, vec: str, carry: tupl
     return df.select(*cols).mapInArrow(_bucket_kernel(model, key, vec, carry, strict), schema)
 
 
+# Folders of each table's buckets in the stored lists.
+LIST_PARTS = 16
+
+
+def _slot():
+    """One folder column for table and part of its buckets, so that pruning is by both at once."""
+    return (F.col("t") * LIST_PARTS + F.pmod(F.col("bucket"), F.lit(LIST_PARTS))).cast("int").alias("slot")
+
+
 def build_index(model: LSHModel, base: DataFrame) -> DataFrame:
     """L4: ``lsh_index(t, bucket, id)``."""
     return with_buckets(model, base, "id", "v").select("t", "bucket", "id")
@@ -129,29 +135,35 @@ def query_buckets(model: LSHModel, queries: DataFrame, with_vectors: bool = True
     return with_buckets(model, queries, "qid", "qv", carry, strict=False)
 
 
+def write_index(model: LSHModel, base: DataFrame, path: str) -> DataFrame:
+    """L4 with ids only: ``lsh_index(slot, t, bucket, id)``, a folder for each table and part of its buckets.  The vectors
+    stay in the base, once; ``search_index`` fetches those of the candidates."""
+    spark = base.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = build_index(model, base).select(_slot(), "t", "bucket", "id").repartitionByRange(n, "slot", "bucket", "id")
+    rows.sortWithinPartitions("slot", "bucket").write.mode("overwrite").partitionBy("slot").parquet(path)
+    return spark.read.parquet(path)
+
+
 def candidates(model: LSHModel, index: DataFrame, queries: DataFrame,
                max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """L5 from a stored index: distinct ``(qid, id)`` sharing a bucket in at least one table."""
+    """L5 from a stored index: distinct ``(qid, id)`` sharing a bucket in at least one table.  Of an index in folders
+    (``write_index``) only those of probed buckets are opened."""
+    if "slot" in index.columns:
+        index = probed_only(index, query_buckets(model, queries, False).select(_slot()), ["slot"], max_bytes)
     qb = bounded_broadcast(query_buckets(model, queries, False), queries, model.params.L, 24, max_bytes)
     return index.join(qb, ["t", "bucket"]).select("qid", "id").distinct()
 
 
-def _payload(tbl: pa.Table, L: int):
-    """Broadcast value from collected ``(qid, qv, t, bucket)`` rows: queries + per-table sorted keys."""
-    qid = tbl.column("qid").to_numpy()
-    uq, first, inv = np.unique(qid, return_index=True, return_inverse=True)
-    Q, _ = arrow_matrix(tbl.column("qv").take(pa.array(first)))
-    t = tbl.column("t").to_numpy()
-    bucket = tbl.column("bucket").to_numpy()
-    QB = np.zeros((len(uq), L), dtype=np.int64)
-    QB[inv, t] = bucket
-    keys, owners = [], []
-    for tt in range(L):
-        m = t == tt
-        order = np.argsort(bucket[m], kind="stable")
-        keys.append(bucket[m][order])
-        owners.append(inv[m][order])
-    return uq.astype(np.int64), np.ascontiguousarray(Q), keys, owners, QB
+def _payload(model: LSHModel):
+    """What a scan needs of a block of queries: their buckets, sorted table by table."""
+    p, offsets, coef = model.params, model.offsets, np.asarray(model.coef, dtype=np.int64)
+
+    def make(block: Block):
+        QB = lsh_buckets_np(block.Q, offsets, coef, p.w, p.k, p.table_size)
+        order = [np.argsort(QB[:, t], kind="stable") for t in range(p.L)]
+        return block.qids, block.Q, [QB[o, t] for t, o in enumerate(order)], order, QB
+    return make
 
 
 def _scan_kernel(model: LSHModel, n: int, radius: float | None, stored: bool = False):
@@ -159,9 +171,9 @@ def _scan_kernel(model: LSHModel, n: int, radius: float | None, stored: bool = F
     p = model.params
     offsets, coef, d = model.offsets, np.asarray(model.coef, dtype=np.int64), model.dim
 
-    def kernel(bc):
+    def kernel(payload):
         def run(batches):
-            qids, Q, keys, owners, QB = bc.value
+            qids, Q, keys, owners, QB = payload
             state = GroupTopN(n) if n else None
             for rb in batches:
                 if rb.num_rows == 0:
@@ -190,23 +202,24 @@ def _scan_kernel(model: LSHModel, n: int, radius: float | None, stored: bool = F
 
 def _scan(model: LSHModel, base: DataFrame, queries: DataFrame, n: int, radius: float | None,
           max_bytes: int, lists: DataFrame | None = None) -> DataFrame | None:
-    tables = collect_blocks(queries, lambda q: query_buckets(model, q, True), model.params.L,
-                            8 * model.dim + 64, max_bytes)
-    payloads = [_payload(t, model.params.L) for t in tables]
-    if lists is None or not payloads:
-        return run_blocks(base, ["id", "v"], payloads, _scan_kernel(model, n, radius), PAIR_SCHEMA, n)
-    probed = [sorted({int(b) for p in payloads for b in p[2][t]}) for t in range(model.params.L)]
-    wanted = reduce(or_, ((F.col("t") == t) & F.col("bucket").isin(b) for t, b in enumerate(probed)))
-    return run_blocks(lists.where(wanted), ["id", "v", "t"], payloads, _scan_kernel(model, n, radius, True), PAIR_SCHEMA, n)
+    side = query_side(queries, model.dim, max_bytes)
+    if side is None:
+        return None
+    if lists is None:
+        return run_blocks(base, ["id", "v"], side, _payload(model), _scan_kernel(model, n, radius), PAIR_SCHEMA, n)
+    probed = query_buckets(model, side.frame(base.sparkSession), False).select(_slot())
+    return run_blocks(probed_only(lists, probed, ["slot"], max_bytes), ["id", "v", "t"], side, _payload(model),
+                      _scan_kernel(model, n, radius, True), PAIR_SCHEMA, n)
 
 
 def write_lists(model: LSHModel, base: DataFrame, path: str) -> DataFrame:
-    """L4 with the vectors: ``lsh_lists(t, bucket, id, v)``, a folder for each table and sorted by bucket,
-    so that a search reads the probed buckets' row groups only.  A large bucket is many tasks' rows."""
+    """L4 with the vectors: ``lsh_lists(slot, t, bucket, id, v)``, a folder for each table and part of its buckets, so
+    that a search opens the probed buckets' folders only.  A large bucket is many tasks' rows."""
     spark = base.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = with_buckets(model, base, "id", "v", ("v",)).repartitionByRange(n, "t", "bucket", "id")
-    rows.sortWithinPartitions("t", "bucket").write.mode("overwrite").partitionBy("t").parquet(path)
+    rows = with_buckets(model, base, "id", "v", ("v",)).select(_slot(), "t", "bucket", "id", "v")
+    rows.repartitionByRange(n, "slot", "bucket", "id").sortWithinPartitions("slot", "bucket").write.mode(
+        "overwrite").partitionBy("slot").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -231,11 +244,13 @@ def search_and_range(model: LSHModel, base: DataFrame, queries: DataFrame, n: in
 
 
 def range_search(model: LSHModel, base: DataFrame, queries: DataFrame, radius: float,
-                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Every distinct candidate with ``dist <= radius`` (not only the first N; D4)."""
+                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, lists: DataFrame | None = None) -> DataFrame:
+    """Every distinct candidate with ``dist <= radius`` (not only the first N; D4).
+
+    ``lists`` (from ``write_lists``): only the probed buckets are read, not the base."""
     if radius is None or radius <= 0:
         return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
-    pairs = _scan(model, base, queries, 0, float(radius), max_bytes)
+    pairs = _scan(model, base, queries, 0, float(radius), max_bytes, lists)
     if pairs is None:
         return queries.sparkSession.createDataFrame([], RANGE_SCHEMA)
     return pairs.where("hit").select("qid", "id", "dist")

@@ -1,7 +1,7 @@
 """IVFPQ (P1-P8): coarse cells + product-quantised residuals, asymmetric distance search.
 
 Build
-  P1  residual training set ``(m, id, sub)``: assignment pass, ``v - c(v)``, split in M parts.
+  P1  residual training set ``(id, r)``: assignment pass, ``v - c(v)``, one row a point; part ``m`` is a slice of ``r``.
   P2  codebook seeding: k-means++ per part by an exponential race keyed by ``m`` -- one job per
       round trains all M sub-spaces together.
   P3  Lloyd with mean updates per part (<= ``train_iters`` rounds, a part stops when no point
@@ -11,8 +11,8 @@ Build
 
 Search
   P5  lookup tables per probed ``(qid, cid)``: squared L2 from each residual part to each code word.
-  P6  ADC: one candidate scan of the codes table (``operators.scan``) against the LUT blocks
-      (size-checked, broadcast); the codes table is streamed, never shuffled.
+  P6  ADC: one candidate scan of the codes table (``operators.scan``) past the queries' blocks; the codes
+      table is streamed, never shuffled.
   P7  queries with no candidate at all fall back to an exact scan (``left_anti`` + exact kNN).
   P8  top-N / radius on the approximate distance.
 """
@@ -29,10 +29,9 @@ from pyspark.sql import functions as F
 from knnspark.functions.distance import arrow_matrix, metric_name, pairwise
 from knnspark.functions.hashing import md5_uniform
 from knnspark.operators import cluster, exact
-from knnspark.operators.blocks import check_broadcast
+from knnspark.operators.blocks import Block, check_broadcast, probed_only, query_side
 from knnspark.operators.exact import RANGE_SCHEMA, top_n
-from knnspark.operators.scan import (PAIR_SCHEMA, GroupTopN, collect_blocks, emit_scored, finish_topn,
-                                     run_blocks)
+from knnspark.operators.scan import PAIR_SCHEMA, GroupTopN, emit_scored, finish_topn, run_blocks
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
 
 
@@ -83,87 +82,106 @@ class PQIndex:
 # --------------------------------------------------------------------------- P1
 
 
-def residual_parts(points: DataFrame, cids, C, m: int, metric: str) -> DataFrame:
-    """``(cid, id, m, sub)``: the residual to the nearest coarse centroid, split in ``m`` parts."""
-    d = C.shape[1]
-    if d % m:
-        raise ValueError("vector dimension must be divisible by M")
-    ds = d // m
-    spark = points.sparkSession
+def residuals(points: DataFrame, cids, C, metric: str) -> DataFrame:
+    """``(id, r ARRAY<DOUBLE>)``: the residual to the nearest coarse centroid, one row a point; its parts are
+    consecutive slices of it."""
     check_broadcast(C.nbytes, "centroid matrix")
-    cents = F.broadcast(cluster.centroids_frame(spark, cids, C))
-    asg = cluster.assign(points, (cids, C), metric, carry=("v",)).select("cid", "id", "v")
-    res = asg.join(cents, "cid").select("cid", "id", F.zip_with("v", "c", lambda x, y: x - y).alias("r"))
-    parts = F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: F.slice("r", i * ds + 1, ds))
-    return res.select("cid", "id", F.posexplode(parts).alias("m", "sub"))
+
+    def run(batches):
+        for rb in batches:
+            if rb.num_rows:
+                X, _ = arrow_matrix(rb.column("v"), C.shape[1])
+                cid = cluster.nearest_cid(X, cids, C, metric)
+                yield _rows_batch(rb.column("id"), r=X - C[np.searchsorted(cids, cid)])
+
+    return points.select("id", "v").mapInArrow(run, "id bigint, r array<double>")
 
 
 # --------------------------------------------------------------------------- P2 / P3
 
 
-def _race_kernel(books: dict[int, np.ndarray], ds: int):
-    """One k-means++ round on a batch: per part, the point with the smallest race key
-    ``-ln(u)/d2`` (``d2`` = squared L2 to the nearest chosen centre, ``u`` a column from
-    ``md5(seed:m:round:id)``); only those local winners leave the task."""
+def _rows_batch(ids: pa.Array, **matrices: np.ndarray) -> pa.RecordBatch:
+    """A batch of ids and, for each matrix, a list column with its rows."""
+    lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, m.size + 1, m.shape[1], dtype=np.int32)), pa.array(m.ravel())) for m in matrices.values()]
+    return pa.RecordBatch.from_arrays([ids, *lists], names=["id", *matrices])
+
+
+# Rounds of codebook seeding after which the parts' distances are written.
+SEED_STATE_ROUNDS = 8
+
+
+def _distances(rb: pa.RecordBatch, M: int, ds: int, new: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Residuals of a batch, and each part's squared distance to its nearest code word so far: the stored
+    minimum (not a number: none yet), brought up to date with the words chosen since."""
+    R, _ = arrow_matrix(rb.column("r"), M * ds)
+    d2 = rb.column("d2").flatten().to_numpy(zero_copy_only=False).reshape(len(R), M).copy()
+    for m, words in new.items():
+        d2[:, m] = np.fmin(d2[:, m], pairwise(R[:, m * ds:(m + 1) * ds], words, "l2", squared=True).min(axis=1))
+    return R, d2
+
+
+def _race_kernel(M: int, ds: int, active: list[int], new: dict[int, np.ndarray]):
+    """One k-means++ round: per part, the task's point with the smallest race key ``-ln(u)/d2`` (``u`` a column
+    with a uniform for every part); only those winners leave the task."""
     def run(batches):
+        best: dict[int, tuple[float, int, np.ndarray]] = {}
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            ms = rb.column("m").to_numpy(zero_copy_only=False)
-            ids = rb.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            uniform = rb.column("u").to_numpy(zero_copy_only=False)
-            X, _ = arrow_matrix(rb.column("sub"), ds)
-            out_m, out_id, out_key, out_rows = [], [], [], []
-            for mm in np.unique(ms):
-                rows = np.nonzero(ms == mm)[0]
-                book = books.get(int(mm))
-                d2 = (pairwise(X[rows], book, "l2", squared=True).min(axis=1) if book is not None and len(book)
-                      else np.full(len(rows), np.inf))
-                keep = d2 > 0
-                if not keep.any():
+            ids = rb.column("id").to_numpy(zero_copy_only=False)
+            R, d2 = _distances(rb, M, ds, new)
+            u = rb.column("u").flatten().to_numpy(zero_copy_only=False).reshape(len(R), M)
+            for m in active:
+                d = d2[:, m]
+                rows = np.flatnonzero(~(d <= 0))
+                if not len(rows):
                     continue
-                rows, d2 = rows[keep], d2[keep]
-                u = uniform[rows]
-                key = np.where(np.isinf(d2), -np.log(u), -np.log(u) / d2)
-                best = np.lexsort((ids[rows], key))[0]
-                out_m.append(int(mm))
-                out_id.append(int(ids[rows[best]]))
-                out_key.append(float(key[best]))
-                out_rows.append(int(rows[best]))
-            if out_m:
-                sub = rb.column("sub").take(pa.array(out_rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out_m, pa.int32()), pa.array(out_id, pa.int64()), pa.array(out_key), sub],
-                    names=["m", "id", "key", "sub"])
+                key = -np.log(u[rows, m]) / np.where(np.isnan(d[rows]), 1.0, d[rows])
+                k = np.lexsort((ids[rows], key))[0]
+                won = (float(key[k]), int(ids[rows[k]]))
+                if m not in best or won < best[m][:2]:
+                    best[m] = (*won, R[rows[k], m * ds:(m + 1) * ds].copy())
+        if best:
+            rows = np.stack([b[2] for b in best.values()])
+            subs = pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, ds, dtype=np.int32)), pa.array(rows.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int32()), pa.array([b[1] for b in best.values()], pa.int64()),
+                                              pa.array([b[0] for b in best.values()]), subs], names=["m", "id", "key", "sub"])
     return run
 
 
-def seed_codebooks(parts: DataFrame, M: int, ksub: int, ds: int, seed: int) -> dict[int, np.ndarray]:
-    """K-means++ per part; a part stops early when every remaining distance is 0.
+def seed_codebooks(points: DataFrame, M: int, ksub: int, ds: int, seed: int, state_rounds: int = SEED_STATE_ROUNDS) -> dict[int, np.ndarray]:
+    """K-means++ per part of ``points(id, r)``; a part stops early when every remaining distance is 0.
 
-    Round ``r`` picks, for every part still seeding, ``argmin -ln(u)/d2`` with ``u`` from
-    ``md5(seed:m:r:id)``: each task keeps its local winner per part and one small aggregation
-    per round finishes the choice for all parts.
+    Round ``k`` picks, for every part still seeding, ``argmin -ln(u)/d2`` with ``u`` from
+    ``md5(seed:m:k:id)``: each task keeps its winner per part and one small aggregation
+    per round finishes the choice for all parts.  ``d2`` is a running minimum: a round compares the parts with the words
+    chosen since the state table was written, which happens every ``state_rounds`` rounds, and never with all.
     """
-    books: dict[int, list[np.ndarray]] = {mm: [] for mm in range(M)}
-    active = set(range(M))
-    schema = "m int, id bigint, key double, sub array<double>"
-    for r in range(ksub):
+    books: dict[int, list[np.ndarray]] = {m: [] for m in range(M)}
+    active, written = set(range(M)), 0
+    state = points.select("id", "r", F.array_repeat(F.lit(float("nan")), M).alias("d2"))
+    for k in range(ksub):
         if not active:
             break
-        mats = {mm: np.vstack(b) for mm, b in books.items() if b}
-        picks = (parts.where(F.col("m").isin(sorted(active)))
-                 .select("m", "id", "sub", md5_uniform(F.concat_ws(":", F.lit(str(seed)), F.col("m").cast("string"), F.lit(str(r)),
-                                                                   F.col("id").cast("string"))).alias("u"))
-                 .mapInArrow(_race_kernel(mats, ds), schema)
+        new = {m: np.vstack(b[written:]) for m, b in books.items() if len(b) > written}
+        if k - written >= state_rounds:
+            def update(batches, new=new):
+                for rb in batches:
+                    if rb.num_rows:
+                        R, d2 = _distances(rb, M, ds, new)
+                        yield _rows_batch(rb.column("id"), r=R, d2=d2)
+            state = state.mapInArrow(update, "id bigint, r array<double>, d2 array<double>").checkpoint(eager=True)
+            written, new = k, {}
+        u = F.transform(F.sequence(F.lit(0), F.lit(M - 1)), lambda m: md5_uniform(
+            F.concat_ws(":", F.lit(str(seed)), m.cast("string"), F.lit(str(k)), F.col("id").cast("string"))))
+        picks = (state.select("id", "r", "d2", u.alias("u"))
+                 .mapInArrow(_race_kernel(M, ds, sorted(active), new), "m int, id bigint, key double, sub array<double>")
                  .groupBy("m").agg(F.min_by(F.col("sub"), F.struct("key", "id")).alias("sub"))
                  .collect())
-        got = set()
         for row in picks:
             books[int(row["m"])].append(np.asarray(row["sub"], dtype=np.float64))
-            got.add(int(row["m"]))
-        active &= got                  # parts with no positive distance stop seeding
-    return {mm: np.vstack(b) if b else np.zeros((0, ds)) for mm, b in books.items()}
+        active &= {int(row["m"]) for row in picks}   # parts with no positive distance stop seeding
+    return {m: np.vstack(b) if b else np.zeros((0, ds)) for m, b in books.items()}
 
 
 def _pad(book: np.ndarray, ksub: int, ds: int) -> np.ndarray:
@@ -176,58 +194,42 @@ def _pad(book: np.ndarray, ksub: int, ds: int) -> np.ndarray:
     return book[idx].copy()
 
 
-def _assign_kernel(prev: list | None, cur: list, ds: int):
-    """One Lloyd round on a batch: nearest code word (lowest index on ties) under the current
+def _assign_kernel(prev: list | None, cur: list, active: list[int], ds: int):
+    """One Lloyd round of a task: nearest code word (lowest index on ties) of every part under the current
     codebooks, whether it differs from the one under the previous codebooks, and per
-    (part, code word, dimension) partial sums -- only those partial aggregates leave the task."""
+    (part, code word, dimension) sums -- only those leave the task."""
     def run(batches):
+        sums = {m: np.zeros((len(cur[m]), ds)) for m in active}
+        count, change = ({m: np.zeros(len(cur[m]), np.int64) for m in active} for _ in range(2))
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            ms = rb.column("m").to_numpy(zero_copy_only=False)
-            X, _ = arrow_matrix(rb.column("sub"), ds)
-            out_m, out_h, out_dim, out_s, out_c, out_ch = [], [], [], [], [], []
-            for mm in np.unique(ms):
-                rows = np.nonzero(ms == mm)[0]
-                book = cur[int(mm)]
-                h = np.argmin(pairwise(X[rows], book, "l2", squared=True), axis=1)
-                if prev is not None:
-                    old = np.argmin(pairwise(X[rows], prev[int(mm)], "l2", squared=True), axis=1)
-                    changed = (old != h).astype(np.int64)
-                else:
-                    changed = np.ones(len(rows), dtype=np.int64)
-                k = len(book)
-                cnt = np.bincount(h, minlength=k)
-                chg = np.bincount(h, weights=changed, minlength=k)
-                sums = np.zeros((k, ds))
-                np.add.at(sums, h, X[rows])
-                used = np.nonzero(cnt)[0]
-                for dim in range(ds):
-                    out_m.append(np.full(len(used), mm))
-                    out_h.append(used)
-                    out_dim.append(np.full(len(used), dim))
-                    out_s.append(sums[used, dim])
-                    out_c.append(cnt[used])
-                    out_ch.append(chg[used] if dim == 0 else np.zeros(len(used)))
-            if out_m:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out_m), pa.int32()), pa.array(np.concatenate(out_h), pa.int32()),
-                     pa.array(np.concatenate(out_dim), pa.int32()), pa.array(np.concatenate(out_s)),
-                     pa.array(np.concatenate(out_c), pa.int64()), pa.array(np.concatenate(out_ch).astype(np.int64))],
-                    names=["m", "h", "dim", "s", "c", "ch"])
+            R, _ = arrow_matrix(rb.column("r"), len(cur) * ds)
+            for m in active:
+                X, k = R[:, m * ds:(m + 1) * ds], len(cur[m])
+                h = np.argmin(pairwise(X, cur[m], "l2", squared=True), axis=1)
+                moved = np.ones(len(h), bool) if prev is None else np.argmin(pairwise(X, prev[m], "l2", squared=True), axis=1) != h
+                count[m] += np.bincount(h, minlength=k)
+                change[m] += np.bincount(h[moved], minlength=k)
+                for j in range(ds):
+                    sums[m][:, j] += np.bincount(h, weights=X[:, j], minlength=k)
+        rows = [(m, h, j, sums[m][h, j], count[m][h], change[m][h] if j == 0 else 0) for m in active for h in np.flatnonzero(count[m]).tolist()
+                for j in range(ds)]
+        if rows:
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["m", "h", "dim", "s", "c", "ch"])
     return run
 
 
-def train_codebooks(parts: DataFrame, M: int, ksub: int, ds: int, seed: int, iters: int) -> np.ndarray:
-    """P2 + P3: ``(M, ksub, ds)`` codebooks from the residual parts ``(m, id, sub)``.
+def train_codebooks(points: DataFrame, M: int, ksub: int, ds: int, seed: int, iters: int) -> np.ndarray:
+    """P2 + P3: ``(M, ksub, ds)`` codebooks from the residuals ``(id, r)``.
 
     Part ``m`` runs k-means with ``min(ksub, points)`` centres; seeds missing after an early stop
     are copies (D11).  A part stops when an assignment round changes nothing; otherwise its
     centres become the member means and empty centres take a random point of the part.
     """
-    counts = {int(r["m"]): int(r["n"]) for r in parts.groupBy("m").agg(F.count(F.lit(1)).alias("n")).collect()}
-    seeds = seed_codebooks(parts, M, ksub, ds, seed)
-    kact = [min(ksub, counts.get(mm, 0)) for mm in range(M)]
+    kact = [min(ksub, points.count())] * M
+    seeds = seed_codebooks(points, M, ksub, ds, seed)
     cur = [_pad(seeds[mm], kact[mm], ds) if kact[mm] else np.zeros((0, ds)) for mm in range(M)]
     check_broadcast(8 * M * ksub * ds, "PQ codebooks")
     active = {mm for mm in range(M) if kact[mm] > 0}
@@ -236,8 +238,7 @@ def train_codebooks(parts: DataFrame, M: int, ksub: int, ds: int, seed: int, ite
     for it in range(iters):
         if not active:
             break
-        stats = (parts.where(F.col("m").isin(sorted(active))).select("m", "id", "sub")
-                 .mapInArrow(_assign_kernel(prev, cur, ds), schema)
+        stats = (points.select("r").mapInArrow(_assign_kernel(prev, cur, sorted(active), ds), schema)
                  .groupBy("m", "h", "dim")
                  .agg((F.sum("s") / F.sum("c")).alias("mean"), F.sum("ch").alias("ch"))
                  .collect())
@@ -253,7 +254,7 @@ def train_codebooks(parts: DataFrame, M: int, ksub: int, ds: int, seed: int, ite
         updating = {mm for mm in active if changes[mm] > 0}
         empties = [(mm, h) for mm in sorted(updating) for h in range(kact[mm]) if (mm, h) not in seen]
         if empties:
-            for (mm, h), vec in _random_points(parts, empties, seed, it).items():
+            for (mm, h), vec in _random_points(points, empties, ds, seed, it).items():
                 means[mm][h] = vec
         prev = [c.copy() for c in cur]
         for mm in updating:
@@ -262,15 +263,14 @@ def train_codebooks(parts: DataFrame, M: int, ksub: int, ds: int, seed: int, ite
     return np.stack([_pad(cur[mm], ksub, ds) for mm in range(M)])
 
 
-def _random_points(parts: DataFrame, empties: list[tuple[int, int]], seed: int, it: int) -> dict:
+def _random_points(points: DataFrame, empties: list[tuple[int, int]], ds: int, seed: int, it: int) -> dict:
     """An empty centre ``(m, h)`` takes the point of part ``m`` with the smallest md5 key."""
-    spark = parts.sparkSession
-    e = F.broadcast(spark.createDataFrame(empties, "m int, h int"))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("empty"), F.lit(str(it)), F.col("m").cast("string"),
-                            F.col("h").cast("string"), F.col("id").cast("string")))
-    rows = (parts.join(e, "m").groupBy("m", "h")
-            .agg(F.min_by("sub", F.struct(key.alias("k"), F.col("id"))).alias("sub")).collect())
-    return {(int(r["m"]), int(r["h"])): np.asarray(r["sub"], dtype=np.float64) for r in rows}
+    each = F.array(*(F.struct(F.lit(m).alias("m"), F.lit(h).alias("h")) for m, h in empties))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("empty"), F.lit(str(it)), F.col("e.m").cast("string"),
+                            F.col("e.h").cast("string"), F.col("id").cast("string")))
+    rows = (points.select("id", "r", F.explode(each).alias("e")).groupBy("e.m", "e.h")
+            .agg(F.min_by("r", F.struct(key.alias("k"), F.col("id"))).alias("r")).collect())
+    return {(int(r["m"]), int(r["h"])): np.asarray(r["r"][r["m"] * ds:(r["m"] + 1) * ds], dtype=np.float64) for r in rows}
 
 
 # --------------------------------------------------------------------------- P4
@@ -324,8 +324,7 @@ def build_ivfpq(base: DataFrame, params: PQParams, centroids=None) -> PQIndex:
         # Bounded training set for very large bases: every seeding round and Lloyd round is a
         # pass over the residual parts, so this caps build cost; encoding still covers all points.
         train = cluster.training_sample(base.select("id", "v"), params.codebook_train_size, params.seed)
-    parts = residual_parts(train, cids, C, params.m, metric).select("m", "id", "sub").checkpoint(eager=True)
-    books = train_codebooks(parts, params.m, params.ksub, ds, params.seed, params.train_iters)
+    books = train_codebooks(residuals(train, cids, C, metric).checkpoint(eager=True), params.m, params.ksub, ds, params.seed, params.train_iters)
     codes = encode(base, cids, C, books, metric)
     return PQIndex(params, cids, C, books, codes)
 
@@ -368,14 +367,15 @@ def lookup_tables(index: PQIndex, queries: DataFrame) -> DataFrame:
                                                     "qid bigint, cid int, lut array<double>")
 
 
-def _adc_payload(tbl: pa.Table, index: PQIndex):
-    """Broadcast value from collected ``(qid, prank, cid, qv)`` rows: each query once, probes by cell."""
-    qid = tbl.column("qid").to_numpy()
-    uq, first, inv = np.unique(qid, return_index=True, return_inverse=True)
-    Q, _ = arrow_matrix(tbl.column("qv").take(pa.array(first)))
-    cell = tbl.column("cid").to_numpy().astype(np.int64)
-    order = np.argsort(cell, kind="stable")
-    return uq.astype(np.int64), np.ascontiguousarray(Q), cell[order], inv[order], index.cids, index.C, index.codebooks
+def _adc_payload(index: PQIndex):
+    """What a scan needs of a block of queries: each query once, probes by cell, centroids and codebooks."""
+    cids, C, books, p = index.cids, index.C, index.codebooks, index.params
+
+    def make(block: Block):
+        _, cells = cluster.nearest_centroids(block.Q, cids, C, p.metric, min(p.nprobe, len(cids)))
+        order = np.argsort(cells.ravel(), kind="stable")
+        return block.qids, block.Q, cells.ravel()[order].astype(np.int64), order // cells.shape[1], cids, C, books
+    return make
 
 
 # Tables of recently met cells that a task keeps (a cell's table: 8 x M x 2^nbits bytes a probing query).
@@ -408,9 +408,9 @@ class _CellTables:
 
 
 def _adc_kernel(n: int, radius: float | None):
-    def kernel(bc):
+    def kernel(payload):
         def run(batches):
-            tables = _CellTables(bc.value)
+            tables = _CellTables(payload)
             qids = tables.qids
             M = tables.books.shape[0]
             state = GroupTopN(n) if n else None
@@ -438,21 +438,18 @@ def _adc_kernel(n: int, radius: float | None):
 
 def adc_scan(index: PQIndex, queries: DataFrame, n: int, radius: float | None,
              max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame | None:
-    """P5 + P6: the queries and their probes are broadcast in size-checked blocks (vectors, not tables:
-    10,000 queries with 5 probes fit one block); one pass over the codes builds a cell's tables when it
-    meets the cell, scores every point with ``sqrt(sum_m lut[m][code_m])`` and keeps a local top-N (or
-    the radius hits)."""
+    """P5 + P6: every task streams the queries in blocks of bounded size (vectors, not tables) past the codes
+    it has read, builds a cell's tables when it meets the cell, scores every point with
+    ``sqrt(sum_m lut[m][code_m])`` and keeps a local top-N (or the radius hits)."""
     p = index.params
     check_broadcast(index.C.nbytes + index.codebooks.nbytes, "centroids and codebooks")
-    probing = lambda q: cluster.nearest_probes(q, (index.cids, index.C), p.nprobe, p.metric)
-    tables = collect_blocks(queries, probing, p.nprobe, 8 * index.dim + 64, max_bytes)
-    payloads = [_adc_payload(t, index) for t in tables]
-    if not payloads:
+    side = query_side(queries, index.dim, max_bytes) if len(index.cids) and p.nprobe > 0 else None
+    if side is None:
         return None
     # only probed cells are read (partition pruning when the codes are stored by cid)
-    probed = sorted({int(c) for pl in payloads for c in np.unique(pl[2])})
-    codes = index.codes.where(F.col("cid").isin(probed))
-    return run_blocks(codes, ["cid", "id", "codes"], payloads, _adc_kernel(n, radius), PAIR_SCHEMA, n)
+    probed = cluster.nearest_probes(side.frame(queries.sparkSession), (index.cids, index.C), p.nprobe, p.metric, carry=())
+    return run_blocks(probed_only(index.codes, probed, ["cid"], max_bytes), ["cid", "id", "codes"], side, _adc_payload(index),
+                      _adc_kernel(n, radius), PAIR_SCHEMA, n)
 
 
 def _lonely(index: PQIndex, queries: DataFrame) -> DataFrame:

@@ -1,11 +1,10 @@
 """Candidate scans: one vectorised pass over the base for the bucket methods.
 
-The query side of a search (bucket keys, probe codes, probed cells, lookup tables) is computed
-by Spark, collected in blocks whose size is bounded before collection, and broadcast.  Every base
-task then
+The query side of a search is a table in the shared folder (``operators.blocks``).  Every base task
+streams it in blocks of bounded size and
 
-1. computes its rows' keys (hash buckets, vertex codes, cells) on the Arrow batch,
-2. matches them to the broadcast query keys with a sort + ``searchsorted`` equi-join,
+1. computes the block's keys (hash buckets, vertex codes, probed cells) and its rows' keys on the Arrow batch,
+2. matches them with a sort + ``searchsorted`` equi-join,
 3. scores the candidate pairs with NumPy (gathered differences, no pair table in Spark),
 4. keeps a local top-N per query (or the radius hits, or the first ``M`` by probe order),
 
@@ -15,16 +14,14 @@ or replicated and no vector crosses a shuffle; a hot bucket or cell is split acr
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from knnspark.operators.blocks import check_distinct, union_all
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bound, scan_source
+from knnspark.operators.blocks import QuerySide
+from knnspark.session import scan_source
 
 PAIR_SCHEMA = "qid bigint, id bigint, dist double, top boolean, hit boolean"
 ORDERED_SCHEMA = "qid bigint, id bigint, prank int, dist double"
@@ -165,54 +162,13 @@ def finish_topn(state: GroupTopN | None, qids: np.ndarray):
         yield pair_batch(qids[qi], ids, dist, True, False)
 
 
-def collect_blocks(queries: DataFrame, make: Callable[[DataFrame], DataFrame], rows_per_query: int,
-                   row_bytes: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> list[pa.Table]:
-    """Query-side key tables in broadcastable blocks.
-
-    ``make(queries)`` computes the per-query rows in Spark; at most ``cap + 1`` rows are collected
-    to learn whether one block is enough, otherwise the queries are counted and hash-split.
-    """
-    max_bytes = broadcast_bound(max_bytes)
-    cap = max(1, max_bytes // max(row_bytes, 1))
-    first = make(queries).limit(cap + 1).toArrow()
-    keys = ["qid", *(c for c in ("t", "prank") if c in first.column_names)]
-    if first.num_rows <= cap:
-        check_distinct(first, keys)
-        return [first] if first.num_rows else []
-    del first
-    nq = queries.count()
-    nblocks = max(1, math.ceil(nq * rows_per_query * row_bytes / max_bytes))
-    out: list[pa.Table] = []
-
-    def take(part: DataFrame, level: int) -> None:
-        tbl = make(part).toArrow()
-        if tbl.nbytes > 2 * max_bytes:             # uneven hash split: halve this block again
-            if tbl.num_rows <= rows_per_query or level >= 12:
-                raise MemoryError(f"one query needs {tbl.nbytes} bytes, above the broadcast bound")
-            del tbl
-            for h in range(2):
-                take(part.where(F.pmod(F.xxhash64("qid", F.lit(level)), F.lit(2)) == h), level + 1)
-        elif tbl.num_rows:
-            check_distinct(tbl, keys)
-            out.append(tbl)
-
-    for b in range(nblocks):
-        take(queries.where(F.pmod(F.xxhash64("qid"), F.lit(nblocks)) == b), 1)
-    return out
-
-
-def run_blocks(base: DataFrame, cols: list[str], payloads: list, kernel: Callable, schema: str,
-               keep_per_query: int = 0) -> DataFrame | None:
-    """One ``mapInArrow`` scan of ``base[cols]`` per broadcast payload, unioned.
-
-    ``keep_per_query`` (N, or M for a capped scan) sizes the scan's task count for the top-N
-    shuffle; the number of queries of a payload is the length of its first element."""
-    spark = base.sparkSession
-    frames = []
-    for payload in payloads:
-        bc = spark.sparkContext.broadcast(payload)
-        rows = len(payload[0]) * keep_per_query if keep_per_query else None
-        frames.append(scan_source(base.select(*cols), rows).mapInArrow(kernel(bc), schema))
-    return union_all(frames) if frames else None
+def run_blocks(base: DataFrame, cols: list[str], side: QuerySide, payload: Callable, kernel: Callable, schema: str,
+               keep_per_query: int = 0) -> DataFrame:
+    """One ``mapInArrow`` scan of ``base[cols]`` past all blocks of the query side.
 
+    ``payload(block)`` is what ``kernel`` needs of a block, made in the task.  ``keep_per_query`` (N, or M for a
+    capped scan) sizes the scan's task count for the top-N shuffle."""
+    def run(batches):
+        yield from side.scan(batches, lambda block: kernel(payload(block)))
 
+    return scan_source(base.select(*cols), side.rows * keep_per_query or None).mapInArrow(run, schema)

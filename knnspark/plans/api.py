@@ -17,7 +17,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from knnspark.functions.distance import metric_name
-from knnspark.operators import cluster, evaluate as M, exact, hypercube, ivfflat, lsh, pq
+from knnspark.operators import cluster, evaluate as M, exact, hypercube, ivfflat, lsh, pivot, pq
 from knnspark.sources.vectors import vector_dim
 
 METHODS = ("brute", "lsh", "hypercube", "ivfflat", "ivfpq")
@@ -26,6 +26,8 @@ METHODS = ("brute", "lsh", "hypercube", "ivfflat", "ivfpq")
 @dataclass
 class BruteConfig:
     metric: str = "l2"
+    pivots: int = 0          # above 0: a pivot index is built, and exact searches skip what it rules out
+    block_rows: int = 1 << 18
 
 
 @dataclass
@@ -59,6 +61,7 @@ class Index:
     model: Any = None
     config: Any = field(default=None, repr=False)
     lists: DataFrame | None = field(default=None, repr=False)  # stored vectors by bucket or vertex
+    sizes: DataFrame | None = field(default=None, repr=False)  # points of each vertex (hypercube)
 
 
 def _default_config(method: str):
@@ -74,7 +77,8 @@ def build(method: str, base: DataFrame, config=None, centroids=None) -> Index:
     config = config or _default_config(method)
     metric = metric_name(getattr(config, "metric", "l2"))
     if method == "brute":
-        return Index(method, base, metric, None, config)
+        model = pivot.build(base, None, config.pivots, config.block_rows, metric) if config.pivots > 0 else None
+        return Index(method, base, metric, model, config)
     d = vector_dim(base)
     if method == "lsh":
         return Index(method, base, metric, lsh.draw_lsh(config, d or 0), config)
@@ -99,15 +103,18 @@ def search(index: Index, queries: DataFrame, n: int, radius: float | None = None
     as streams)."""
     base, m = index.base, index.model
     want_range = radius is not None and radius > 0
+    if index.method == "brute" and m is not None:
+        return pivot.knn(m, queries, n), pivot.range_search(m, queries, radius) if want_range else None
     if index.method == "brute":
         if want_range:
             return exact.knn_and_range(base, queries, n, radius, index.metric, persist=persist)
         return exact.knn(base, queries, n, index.metric), None
     if index.method in ("lsh", "hypercube"):
         buckets = lsh if index.method == "lsh" else hypercube
+        stored = {"lists": index.lists} | ({"sizes": index.sizes} if index.method == "hypercube" else {})
         if want_range:
-            return buckets.search_and_range(m, base, queries, n, radius, persist, index.lists)
-        return buckets.search(m, base, queries, n, lists=index.lists), None
+            return buckets.search_and_range(m, base, queries, n, radius, persist, **stored)
+        return buckets.search(m, base, queries, n, **stored), None
     if index.method == "ivfflat":
         nprobe = index.config.nprobe
         if want_range:
@@ -155,8 +162,10 @@ def evaluate(method: str, base: DataFrame, queries: DataFrame, n: int, radius: f
 # --------------------------------------------------------------------------- persistence
 #
 # An index is saved as the tables of FIXTURES §4 plus a small JSON file of its configuration:
-#   lsh:       lsh_params(t, j, s, r), lsh_lists(t, bucket, id, v) partitioned by t, sorted by bucket
-#   hypercube: cube_params(i, p, t), probe_masks(prank, mask), cube_lists(code, id, v) sorted by code
+#   brute:     with pivots, pivot_index: pivots(k, p), rows(id, v, near, block) partitioned by block, blocks(block, n, lo, hi)
+#   lsh:       lsh_params(t, j, s, r), lsh_lists(slot, t, bucket, id, v) partitioned by slot, sorted by bucket
+#   hypercube: cube_params(i, p, t), probe_masks(prank, mask), cube_lists(part, code, id, v) partitioned by part, sorted
+#              by code, cube_sizes(code, n)
 #   ivfflat:   centroids(cid, c), ivf_lists(cid, id, v) partitioned by cid
 #   ivfpq:     centroids(cid, c), codebooks(m, h, cw), pq_codes(cid, id, codes) partitioned by cid
 
@@ -172,13 +181,16 @@ def save(index: Index, path: str) -> None:
     meta = {"method": index.method, "metric": index.metric, "config": cfg}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").text(f"{out}/meta")
     m = index.model
-    if index.method == "lsh":
+    if index.method == "brute" and m is not None:
+        pivot.save(m, f"{out}/pivot_index")
+    elif index.method == "lsh":
         lsh.params_table(spark, m).write.mode("overwrite").parquet(f"{out}/lsh_params")
         index.lists = lsh.write_lists(m, index.base, f"{out}/lsh_lists")
     elif index.method == "hypercube":
         hypercube.params_table(spark, m).write.mode("overwrite").parquet(f"{out}/cube_params")
         hypercube.masks_table(spark, m).write.mode("overwrite").parquet(f"{out}/probe_masks")
         index.lists = hypercube.write_lists(m, index.base, f"{out}/cube_lists")
+        index.sizes = hypercube.write_sizes(index.lists, f"{out}/cube_sizes")
     elif index.method == "ivfflat":
         m.centroids(spark).write.mode("overwrite").parquet(f"{out}/centroids")
         ivfflat.write_lists(m, f"{out}/ivf_lists")
@@ -202,7 +214,8 @@ def load(spark, path: str, base: DataFrame) -> Index:
     meta = json.loads(spark.read.text(f"{src}/meta").first()[0])
     method, metric, cfg = meta["method"], meta["metric"], meta["config"]
     if method == "brute":
-        return Index(method, base, metric, None, BruteConfig(**cfg))
+        config = BruteConfig(**cfg)
+        return Index(method, base, metric, pivot.load(spark, f"{src}/pivot_index", metric) if config.pivots > 0 else None, config)
     if method == "lsh":
         params = lsh.LSHParams(**cfg)
         rows = spark.read.parquet(f"{src}/lsh_params").orderBy("t", "j").collect()
@@ -214,7 +227,8 @@ def load(spark, path: str, base: DataFrame) -> Index:
         rows = spark.read.parquet(f"{src}/cube_params").orderBy("i").collect()
         P = np.array([r["p"] for r in rows], dtype=np.float64)
         t = np.array([r["t"] for r in rows], dtype=np.float64)
-        return Index(method, base, metric, hypercube.CubeModel(params, P, t), params, spark.read.parquet(f"{src}/cube_lists"))
+        return Index(method, base, metric, hypercube.CubeModel(params, P, t), params, spark.read.parquet(f"{src}/cube_lists"),
+                     spark.read.parquet(f"{src}/cube_sizes"))
     cids, C = cluster.centroid_matrix(spark.read.parquet(f"{src}/centroids"))
     if method == "ivfflat":
         config = IVFFlatConfig(**cfg)

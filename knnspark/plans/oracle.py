@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from knnspark.functions.hashing import SPLITMIX_GAMMA, SPLITMIX_MUL1, SPLITMIX_MUL2
 
-# Fixed split of ``embeddings`` (FIXTURES.md §1), same as ``sources.vectors.fixture_split``.
-SPLIT = """base AS (
-  SELECT vec_id::BIGINT AS id, embedding::DOUBLE[] AS v, label FROM embeddings WHERE vec_id % 10 <> 0),
+# Base and queries of ``embeddings`` (FIXTURES.md §1), same as ``sources.vectors.fixture_split``.
+SPLIT = """base AS (SELECT vec_id::BIGINT AS id, embedding::DOUBLE[] AS v, label FROM embeddings),
 queries AS (
-  SELECT vec_id::BIGINT AS qid, embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id % 10 = 0)"""
+  SELECT vec_id::BIGINT AS qid, embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id % 20 = 0)"""
 
 
 # The operators that have no query side run over the whole table.
@@ -89,8 +88,9 @@ def probes(nprobe: int, metric: str = "l2", cents: str = "cent") -> str:
   WHERE prank <= {nprobe})"""
 
 
-def exact_pairs(metric: str = "l2") -> str:
-    return f"pairs AS (SELECT q.qid, b.id, {dist('q.qv', 'b.v', metric)} AS dist FROM queries q, base b)"
+def other_pairs(metric: str = "l2") -> str:
+    """All pairs but those of a query with its own row."""
+    return f"pairs AS (SELECT q.qid, b.id, {dist('q.qv', 'b.v', metric)} AS dist FROM queries q, base b WHERE b.id <> q.qid)"
 
 
 def ranked(name: str, pairs: str, n: int) -> str:

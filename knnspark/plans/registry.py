@@ -1,7 +1,7 @@
 """Registered queries over the driver's ``embeddings`` table and their DuckDB oracles.
 
-Every entry reads the whole table (searches: queries = every tenth vector, base = the rest; operators
-without a query side: all rows) and returns a DataFrame whose column names and types match the oracle SQL.  Distances are rounded to 6 places
+Every entry reads the whole table (searches: queries = the rows whose id is divisible by 20, base = all rows;
+operators without a query side: all rows) and returns a DataFrame whose column names and types match the oracle SQL.  Distances are rounded to 6 places
 on both sides (D15); ordering ties are always broken by id (D14).
 """
 
@@ -22,12 +22,13 @@ from knnspark.operators import exact
 from knnspark.operators import hypercube as H
 from knnspark.operators import ivfflat as IVF
 from knnspark.operators import lsh as LSH
+from knnspark.operators import pivot as PIVOT
 from knnspark.operators import pq as PQ
 from knnspark.plans import oracle as O
 from knnspark.session import scratch_path
 from knnspark.sources import binary as B
 from knnspark.sources import sink as SINK
-from knnspark.sources.vectors import as_queries, canonical, fixture_split, read_embeddings, validate_vectors, whole_table
+from knnspark.sources.vectors import as_queries, canonical, fixture_split, others, read_embeddings, validate_vectors, whole_table
 
 # Fixture parameters (FIXTURES.md §1 / SURVEY §7.4).
 N = 5
@@ -94,6 +95,39 @@ def q_range_l1(spark, sf_dir):
     return _r6(exact.range_search(base, queries, R_L1, "l1"), "dist")
 
 
+# The same searches over a pivot index, which skips blocks and rows by the triangle inequality.
+
+
+def _pivot_search(spark, sf_dir, metric, radius=None):
+    base, queries = fixture_split(spark, sf_dir)
+    index = PIVOT.build(base, metric=metric, block_rows=PIVOT_ROWS)
+    found = PIVOT.knn(index, queries, N) if radius is None else PIVOT.range_search(index, queries, radius)
+    return _r6(found, "dist")
+
+
+PIVOT_ROWS = 1 << 16
+
+
+@register("pivot_knn_l2", _knn_sql("l2"))
+def q_pivot_knn_l2(spark, sf_dir):
+    return _pivot_search(spark, sf_dir, "l2")
+
+
+@register("pivot_knn_l1", _knn_sql("l1"))
+def q_pivot_knn_l1(spark, sf_dir):
+    return _pivot_search(spark, sf_dir, "l1")
+
+
+@register("pivot_range_l2", _range_sql("l2", R))
+def q_pivot_range_l2(spark, sf_dir):
+    return _pivot_search(spark, sf_dir, "l2", R)
+
+
+@register("pivot_range_l1", _range_sql("l1", R_L1))
+def q_pivot_range_l1(spark, sf_dir):
+    return _pivot_search(spark, sf_dir, "l1", R_L1)
+
+
 _NESTED_SQL = f"""WITH {O.SPLIT},
 pairs AS (SELECT q.qid, b.id, {O.dist('q.qv', 'b.v')} AS dist FROM queries q, base b),
 nb AS (SELECT qid, string_agg(printf('%d:%.6f', id, dist), ';' ORDER BY rank) AS neighbors FROM (
@@ -286,15 +320,16 @@ def q_ivfflat_range(spark, sf_dir):
 
 # --------------------------------------------------------------------------- evaluation
 
-_EVAL_CTES = f"""{_IVF_CANDS}, {O.exact_pairs()},
+# A query's own row is no neighbour in evaluations: its distance 0 would be every first distance.
+_EVAL_CTES = f"""{_IVF_CANDS}, {O.other_pairs()},
 {O.ranked('truth', 'pairs', N)},
-{O.ranked('approx', 'cands', N)},
+{O.ranked('approx', '(SELECT * FROM cands WHERE id <> qid)', N)},
 {O.eval_per_query(N)}"""
 
 
 def _ivf_vs_exact(spark, sf_dir):
     index, base, queries = _ivf_index(spark, sf_dir)
-    return IVF.search(index, queries, N, NPROBE), exact.knn(base, queries, N), queries
+    return others(IVF.search(index, queries, N + 1, NPROBE), N), others(exact.knn(base, queries, N + 1), N), queries
 
 
 @register("average_af", f"WITH {_EVAL_CTES}\nSELECT round(avg(af), 6) AS average_af FROM pq")
@@ -577,6 +612,20 @@ def q_cube_stored_knn(spark, sf_dir):
     return _r6(H.search(CUBE_MODEL, base, queries, N, lists=lists), "dist")
 
 
+@register("lsh_stored_range", ORACLE["lsh_range"])
+def q_lsh_stored_range(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    lists = LSH.write_lists(LSH_MODEL, base, scratch_path(spark, "lsh-lists"))
+    return _r6(LSH.range_search(LSH_MODEL, base, queries, R, lists=lists), "dist")
+
+
+@register("cube_stored_range", ORACLE["cube_range"])
+def q_cube_stored_range(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    lists = H.write_lists(CUBE_MODEL, base, scratch_path(spark, "cube-lists"))
+    return _r6(H.range_search(CUBE_MODEL, base, queries, R, lists=lists), "dist")
+
+
 # One coefficient for each dimension that occurs, by repeated remainders in SQL.
 @register("lsh_coefficients", """WITH RECURSIVE power(l, r) AS (
   SELECT 0, 1 UNION ALL SELECT l + 1, ((r * -5) % 256 + 256) % 256 FROM power WHERE l + 1 < (SELECT max(len(embedding)) FROM embeddings))
@@ -631,7 +680,8 @@ SELECT 'ivfflat' AS method, {N}::INTEGER AS n, round(avg(af), 6) AS average_af,
 def q_throughput(spark, sf_dir):
     """Evaluation row of IVFFlat against the exact scan; the measured times must be there and agree."""
     index, base, queries = _ivf_index(spark, sf_dir)
-    row, _, _ = M.throughput(lambda: IVF.search(index, queries, N, NPROBE), lambda: exact.knn(base, queries, N), queries, N, "ivfflat")
+    row, _, _ = M.throughput(lambda: others(IVF.search(index, queries, N + 1, NPROBE), N),
+                             lambda: others(exact.knn(base, queries, N + 1), N), queries, N, "ivfflat")
     agree = F.abs(F.col("qps") * F.col("ms_per_query") - 1000.0) < 1e-3
     return _r6(row, "average_af", "recall_at_n").select(
         "method", "n", "average_af", "recall_at_n",
@@ -651,7 +701,7 @@ cmp AS (SELECT a.qid, a.rank, a.id, a.dist, coalesce(t.dist, a.dist) AS true_dis
 nbt AS (SELECT qid, string_agg(printf('  %d. id %d at %.6f (exact: %.6f)', rank, id, dist, true_dist), {_NL} ORDER BY rank) AS nb
         FROM cmp GROUP BY qid),
 rgt AS (SELECT qid, string_agg(printf('  within radius: id %d at %.6f', id, dist), {_NL} ORDER BY dist, id) AS rg
-        FROM cands WHERE dist <= {R} GROUP BY qid)
+        FROM cands WHERE dist <= {R} AND id <> qid GROUP BY qid)
 SELECT nbt.qid AS qid, concat_ws({_NL}, printf('query %d', nbt.qid), nbt.nb, rgt.rg) AS report
 FROM nbt LEFT JOIN rgt ON rgt.qid = nbt.qid
 UNION ALL
@@ -659,19 +709,21 @@ SELECT -1, printf('method: ivfflat{_REPORT_CONFIG}', chr(10), chr(10), chr(10))
            printf('%squality: approximation factor %.6f, recall %.6f', chr(10), avg(af), avg(recall)) FROM pq""")
 def q_result_report(spark, sf_dir):
     index, base, queries = _ivf_index(spark, sf_dir)
-    row, approx, truth = M.throughput(lambda: IVF.search(index, queries, N, NPROBE), lambda: exact.knn(base, queries, N), queries, N, "ivfflat")
+    row, approx, truth = M.throughput(lambda: others(IVF.search(index, queries, N + 1, NPROBE), N),
+                                      lambda: others(exact.knn(base, queries, N + 1), N), queries, N, "ivfflat")
     cmp = M.truth_compare(approx, truth)
-    hits = IVF.range_search(index, queries, R, NPROBE)
+    hits = IVF.range_search(index, queries, R, NPROBE).where("id <> qid")
     lines = SINK.report_lines(cmp, hits, row, {"N": N, "R": R, "nprobe": NPROBE}, timings=False)
     return lines.select(F.col("key").alias("qid"), F.col("value").alias("report"))
 
 
-# P7 on the whole table: the query vectors of the ten smallest possible ids are also coarse centroids
-# (cid 100000 + qid; their number doesn't grow) and one cell is probed.  Those queries' nearest centroid
-# is itself; as queries are not in the base, most of those cells are empty, so those queries take the
-# exact fallback and the rest the ADC answer.
-FALLBACK_CID0, FALLBACK_BELOW = 100000, 100
-_PQ_FALLBACK = f"""{O.SPLIT},
+# P7 on the whole table: the queries of the five smallest ids are moved out to three times their length, where no row
+# is near, and are also coarse centroids (cid 100000 + qid; their number doesn't grow); one cell is probed.
+# Those queries' nearest centroid is themselves, with an empty cell, so they take the exact fallback and the
+# others the ADC answer.
+FALLBACK_CID0, FALLBACK_BELOW, FALLBACK_OUT = 100000, 100, 3.0
+_PQ_FALLBACK = f"""{O.SPLIT.replace('queries AS', 'given AS')},
+queries AS (SELECT qid, CASE WHEN qid < {FALLBACK_BELOW} THEN list_transform(qv, lambda x: x * {FALLBACK_OUT}::DOUBLE) ELSE qv END AS qv FROM given),
 {O.cent(extra=f"SELECT ({FALLBACK_CID0} + qid)::INTEGER AS cid, qv AS c FROM queries WHERE qid < {FALLBACK_BELOW}")},
 {O.pq_ctes(PQ_M, 1 << PQ_NBITS, DIM // PQ_M, PQ_ITERS, 1, 1)},
 lonely AS (SELECT q.qid, q.qv FROM queries q WHERE NOT EXISTS (SELECT 1 FROM adc a WHERE a.qid = q.qid)),
@@ -684,6 +736,8 @@ UNION ALL
 SELECT * FROM ({O.topn('fbp', N)}) f""")
 def q_pq_fallback(spark, sf_dir):
     base, queries = fixture_split(spark, sf_dir)
+    far = F.transform("qv", lambda x: x * FALLBACK_OUT)
+    queries = queries.withColumn("qv", F.when(F.col("qid") < FALLBACK_BELOW, far).otherwise(F.col("qv")))
     medians = K.label_medians(base)
     extra = queries.where(F.col("qid") < FALLBACK_BELOW).select((F.lit(FALLBACK_CID0) + F.col("qid")).cast("int").alias("cid"), F.col("qv").alias("c"))
     cents = K.centroid_matrix(medians.unionByName(extra))

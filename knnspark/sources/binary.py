@@ -9,8 +9,8 @@ Files are cut into byte-range partitions at plan time from their sizes and heade
 task opens its own range, so ingest is parallel and nothing passes through the driver.  The id
 is the record's position over all files in path order (the reference's implicit row number).
 A bad magic, a record of another dimension or a truncated file raises instead of stopping early.
-Text files need one extra distributed pass that counts lines per range so every range knows the
-id of its first line.
+Text rows carry their range and their place in it; one extra distributed pass counts the lines of each range into a
+table, whose prefix sums (made in Spark, in blocks of ranges) are joined to the rows and give their ids.
 
 ``df.write.format("knnvectors").option("kind", K).save(dir)`` writes one part file per partition,
 named by partition index, so ``repartitionByRange`` + ``sortWithinPartitions`` on ``id`` gives files
@@ -19,17 +19,17 @@ whose positions equal the ids.
 
 from __future__ import annotations
 
-import json
 import struct
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition,
                                     WriterCommitMessage)
 
 from knnspark.functions.distance import arrow_matrix
+from knnspark.session import scratch_path
 
 SCHEMA = "id bigint, v array<double>"
 FORMAT = "knnvectors"
@@ -180,8 +180,6 @@ class VectorFileReader(DataSourceReader):
         self.path = options["path"]
         self.kind = options.get("kind", "fvecs").lower()
         self.split_bytes = int(options.get("splitBytes", DEFAULT_SPLIT_BYTES))
-        self.first_ids = json.loads(options["firstIds"]) if "firstIds" in options else None
-        self.dims = json.loads(options["dims"]) if "dims" in options else {}
         self.count_only = options.get("countLines", "false") == "true"
         if self.kind not in ("fvecs", "idx", "text"):
             raise ValueError(f"unknown vector file kind {self.kind!r}")
@@ -205,11 +203,11 @@ class VectorFileReader(DataSourceReader):
                 return
             if body:
                 dims = {len(line.split()) for line in body}
-                if dims != {self.dims[r.path]}:
-                    raise ValueError(f"{r.path}: rows of {sorted(dims)} numbers; its header says {self.dims[r.path]}")
+                if len(dims) > 1:
+                    raise ValueError(f"{r.path}: rows of {sorted(dims)} numbers near byte {r.start}")
                 mat = np.array(b" ".join(body).split(), dtype=np.float64).reshape(len(body), -1)
-                first = self.first_ids[r.index]
-                yield _batch(np.arange(first, first + len(body), dtype=np.int64), mat)
+                rows = _batch(np.arange(len(body), dtype=np.int64), mat)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(body), r.index), pa.int32()), *rows.columns], names=["range", "pos", "v"])
             return
         if r.count == 0:
             return
@@ -321,7 +319,7 @@ class VectorFileDataSource(DataSource):
     def schema(self):
         if self.options.get("countLines", "false") == "true":
             return "range int, lines bigint, path string, n bigint, d int"
-        return SCHEMA
+        return "range int, pos bigint, v array<double>" if self.options.get("kind", "").lower() == "text" else SCHEMA
 
     def reader(self, schema):
         return VectorFileReader(self.options)
@@ -351,19 +349,38 @@ def read_vectors(spark: SparkSession, path: str, kind: str, split_bytes: int = D
     reader = spark.read.format(FORMAT).option("kind", kind).option("splitBytes", str(split_bytes))
     if kind != "text":
         return reader.load(path)
-    counts = (reader.option("countLines", "true").load(path).orderBy("range").collect())
-    first, acc, held, declared = [], 0, {}, {}
-    for row in counts:
-        first.append(acc)
-        acc += int(row["lines"])
-        held[row["path"]] = held.get(row["path"], 0) + int(row["lines"])
-        if row["n"] >= 0:
-            declared[row["path"]] = (int(row["n"]), int(row["d"]))
-    for file, n in held.items():
-        if file not in declared or declared[file][0] != n:
-            raise ValueError(f"{file}: its header declares {declared.get(file, (0,))[0]} rows; it holds {n}")
-    return (spark.read.format(FORMAT).option("kind", "text").option("splitBytes", str(split_bytes))
-            .option("firstIds", json.dumps(first)).option("dims", json.dumps({f: d for f, (_, d) in declared.items()})).load(path))
+    return _text_rows(spark, reader, path)
+
+
+# Ranges whose line counts are summed in one window.
+_RANGE_BLOCK = 4096
+
+
+def _text_rows(spark: SparkSession, reader, path: str) -> DataFrame:
+    """The rows of text files with ids by prefix sums over the ranges' line counts.
+
+    The sums are made in blocks of ranges, then over the blocks, so no task orders all ranges; the driver gets
+    a file whose header is wrong, if any."""
+    at = scratch_path(spark, "text-ranges")
+    kind = "range int, lines bigint, path string, n bigint, d int"
+    reader.option("countLines", "true").load(path).write.parquet(at)
+    counts = spark.read.schema(kind).parquet(at).withColumn("block", (F.col("range") / _RANGE_BLOCK).cast("int"))
+    files = counts.groupBy("path").agg(F.sum("lines").alias("held"), F.max("n").alias("n"), F.max("d").alias("dim"))
+    wrong = files.where("held <> n").first()
+    if wrong is not None:
+        raise ValueError(f"{wrong['path']}: its header declares {wrong['n']} rows; it holds {wrong['held']}")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    in_block = F.coalesce(F.sum("lines").over(before(Window.partitionBy("block").orderBy("range"))), F.lit(0))
+    blocks = counts.groupBy("block").agg(F.sum("lines").alias("lines"))
+    of_blocks = blocks.select("block", F.coalesce(F.sum("lines").over(before(Window.orderBy("block"))), F.lit(0)).alias("start"))
+    first = (counts.select("range", "path", "block", in_block.alias("inside")).join(of_blocks, "block").join(files.select("path", "dim"), "path")
+             .select("range", (F.col("start") + F.col("inside")).alias("first"), "dim", "path"))
+    first_at = scratch_path(spark, "text-first-ids")
+    first.write.parquet(first_at)  # written, so that Spark broadcasts it if it is small and joins it otherwise
+    first = spark.read.schema("range int, first bigint, dim int, path string").parquet(first_at)
+    rows = reader.option("countLines", "false").load(path).join(first, "range")
+    odd = F.raise_error(F.format_string("%s: a row of %d numbers; its header says %d", "path", F.size("v"), "dim"))
+    return rows.select((F.col("first") + F.col("pos")).alias("id"), F.when(F.size("v") != F.col("dim"), odd).otherwise(F.col("v")).alias("v"))
 
 
 def write_vectors(df: DataFrame, path: str, kind: str, partitions: int | None = None,

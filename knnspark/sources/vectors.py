@@ -6,7 +6,7 @@ Ids are explicit columns, never positions or ``monotonically_increasing_id``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -27,16 +27,22 @@ def as_queries(df: DataFrame, id_col: str = "id", vec_col: str = "v") -> DataFra
     return df.select(F.col(id_col).cast("bigint").alias("qid"), F.col(vec_col).cast("array<double>").alias("qv"))
 
 
-# Fixed split of the driver's ``embeddings`` table (FIXTURES.md §1): every tenth vector is a
-# query, the rest form the base set.  Both sides are read in full.
-QUERY_EVERY = 10
+# Query set of the driver's ``embeddings`` table (FIXTURES.md §1): the rows whose id is divisible by 20 are
+# the queries, and all rows are the base set.  So a query's own row is in the base, and is its nearest neighbour
+# in a search; evaluations leave it out (``others``).
+QUERY_EVERY = 20
 
 
 def fixture_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     emb = read_embeddings(spark, sf_dir)
-    base = canonical(emb.where(F.col("vec_id") % QUERY_EVERY != 0))
-    queries = as_queries(canonical(emb.where(F.col("vec_id") % QUERY_EVERY == 0), keep=()))
-    return base, queries
+    return canonical(emb), as_queries(canonical(emb.where(F.col("vec_id") % QUERY_EVERY == 0), keep=()))
+
+
+def others(neighbors: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` neighbours beside the query's own row, of a search for ``n + 1``."""
+    w = Window.partitionBy("qid").orderBy("rank")
+    left = neighbors.where(F.col("id") != F.col("qid")).withColumn("rank", F.row_number().over(w))
+    return left.where(F.col("rank") <= n).select("qid", "rank", "id", "dist")
 
 
 def whole_table(spark: SparkSession, sf_dir: str) -> DataFrame:

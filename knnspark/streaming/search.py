@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from knnspark.plans import api
+from knnspark.session import scratch_scope
 
 
 def query_stream(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -33,11 +34,12 @@ def start_search(index: api.Index, queries: DataFrame, n: int, sink: str, radius
     checkpoint = checkpoint or f"{sink.rstrip('/')}/_checkpoint"
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        neighbors, hits = api.search(index, batch, n, radius, persist=False)   # nothing cached per batch
-        out = f"{sink.rstrip('/')}/neighbors/batch_id={batch_id}"
-        neighbors.write.mode("overwrite").parquet(out)
-        if hits is not None:
-            hits.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/range_hits/batch_id={batch_id}")
+        with scratch_scope(batch.sparkSession):  # the batch's query table goes when its results are written
+            neighbors, hits = api.search(index, batch, n, radius, persist=False)   # nothing cached per batch
+            out = f"{sink.rstrip('/')}/neighbors/batch_id={batch_id}"
+            neighbors.write.mode("overwrite").parquet(out)
+            if hits is not None:
+                hits.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/range_hits/batch_id={batch_id}")
 
     writer = queries.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

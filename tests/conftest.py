@@ -19,9 +19,11 @@ def spark():
 
 @pytest.fixture(scope="session")
 def split(spark):
-    from knnspark.sources.vectors import fixture_split
+    """Every tenth vector as queries, the others as base: no query's own row is in the base."""
+    from knnspark.sources.vectors import as_queries, whole_table
 
-    return fixture_split(spark, SF_SMALL)
+    rows = whole_table(spark, SF_SMALL)
+    return rows.where("id % 10 <> 0"), as_queries(rows.where("id % 10 = 0"))
 
 
 @pytest.fixture(scope="session")

@@ -78,7 +78,7 @@ def test_running_threshold_keeps_exact_answers(spark, vectors, monkeypatch):
     monkeypatch.setattr(exact, "_TASK_ELEMS", 128)
     X = np.round(np.random.default_rng(5).standard_normal((700, 3)), 1)  # many ties
     Q = X[:8]
-    run = exact._gemm_kernel(type("B", (), {"value": (np.arange(8), Q)}), 6, None)
+    run = exact._gemm_kernel((np.arange(8), Q), 6, None)
     import pyarrow as pa
 
     batches = [pa.RecordBatch.from_arrays([pa.array(np.arange(a, a + 50)), pa.array(X[a:a + 50].tolist())], names=["id", "v"]) for a in range(0, 700, 50)]

@@ -76,11 +76,6 @@ def test_lsh_numpy_hash_matches_definition():
             assert got[i, t] == g % 256
 
 
-class _BC:
-    def __init__(self, value):
-        self.value = value
-
-
 def _run_exact_kernel(Q, X, ids, n, radius, metric="l2"):
     import pyarrow as pa
 
@@ -93,7 +88,7 @@ def _run_exact_kernel(Q, X, ids, n, radius, metric="l2"):
         offs = pa.array(np.arange(0, (len(xs) + 1) * X.shape[1], X.shape[1], dtype=np.int32))
         batches.append(pa.RecordBatch.from_arrays(
             [pa.array(ids[s:s + 7]), pa.ListArray.from_arrays(offs, pa.array(xs.ravel()))], names=["id", "v"]))
-    out = list(_scan_kernel(_BC((qids, Q)), metric, n, radius)(iter(batches)))
+    out = list(_scan_kernel((qids, Q), metric, n, radius)(iter(batches)))
     rows = [r for b in out for r in zip(*[b.column(i).to_pylist() for i in range(5)])]
     return qids, rows
 

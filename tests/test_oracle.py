@@ -40,4 +40,4 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["qid", "rank", "id", "dist"]
-    assert df.count() == 250
+    assert df.count() == 125
