@@ -32,7 +32,8 @@ from knnspark.operators import cluster, exact
 from knnspark.operators.blocks import Block, check_broadcast, probed_only, query_side
 from knnspark.operators.exact import RANGE_SCHEMA, top_n
 from knnspark.operators.scan import PAIR_SCHEMA, GroupTopN, emit_scored, finish_topn, run_blocks
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
+from knnspark.operators.rerank import rerank
+from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scratch_path
 
 
 @dataclass
@@ -473,13 +474,23 @@ def search_and_range(index: PQIndex, base: DataFrame, queries: DataFrame, n: int
 
 
 def search(index: PQIndex, base: DataFrame, queries: DataFrame, n: int,
-           max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Top-N by approximate distance (ties by id) -> ``(qid, rank, id, dist)``."""
-    if n <= 0:
-        raise ValueError("N must be a positive integer")
-    pairs = adc_scan(index, queries, n, None, max_bytes)
+           max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, refine: int = 0) -> DataFrame:
+    """Top-N by approximate distance (ties by id) -> ``(qid, rank, id, dist)``.
+
+    ``refine``: the ``refine`` approximately nearest points of a query are ranked again by their true distance;
+    only their vectors are fetched, by a join on ``id`` with the written candidates (broadcast if they are few)."""
+    if n <= 0 or 0 < refine < n:
+        raise ValueError("N must be a positive integer, and not above refine")
+    pairs = adc_scan(index, queries, max(n, refine), None, max_bytes)
     fallback = exact.knn(base, _lonely(index, queries), n, index.params.metric)
-    return fallback if pairs is None else top_n(pairs.where("top"), n).unionByName(fallback)
+    if pairs is None:
+        return fallback
+    if not refine:
+        return top_n(pairs.where("top"), n).unionByName(fallback)
+    path = scratch_path(base.sparkSession, "refined")
+    top_n(pairs.where("top"), refine).select("qid", "id").write.parquet(path)
+    cands = base.sparkSession.read.schema("qid bigint, id bigint").parquet(path)
+    return rerank(cands, base, queries, n, metric=index.params.metric, max_bytes=max_bytes).unionByName(fallback)
 
 
 def range_search(index: PQIndex, base: DataFrame, queries: DataFrame, radius: float,

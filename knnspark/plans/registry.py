@@ -626,6 +626,77 @@ def q_cube_stored_range(spark, sf_dir):
     return _r6(H.range_search(CUBE_MODEL, base, queries, R, lists=lists), "dist")
 
 
+@register("lsh_ids_knn", ORACLE["lsh_knn"])
+def q_lsh_ids_knn(spark, sf_dir):
+    """The stored index holds ids only; the candidates' vectors are fetched from the base."""
+    base, queries = fixture_split(spark, sf_dir)
+    index = LSH.write_index(LSH_MODEL, base, scratch_path(spark, "lsh-index"))
+    return _r6(LSH.search_index(LSH_MODEL, index, base, queries, N), "dist")
+
+
+@register("cube_stored_knn_capped", ORACLE["cube_knn_capped"])
+def q_cube_stored_knn_capped(spark, sf_dir):
+    """The vertex sizes plan the probes that a capped search reaches; no others are read."""
+    base, queries = fixture_split(spark, sf_dir)
+    lists = H.write_lists(CUBE_MODEL_CAPPED, base, scratch_path(spark, "cube-lists"))
+    sizes = H.write_sizes(lists, scratch_path(spark, "cube-sizes"))
+    return _r6(H.search(CUBE_MODEL_CAPPED, base, queries, N, lists=lists, sizes=sizes), "dist")
+
+
+# --------------------------------------------------------------------------- settings of high recall
+#
+# The same searches with settings that find nine tenths of the true neighbours (README).  The table's vectors have
+# no clusters, so every method has to look at most of them for that.
+
+RECALL_NPROBE = 9
+RECALL_LSH = LSH.draw_lsh(LSH.LSHParams(k=2, L=6, w=8.0, seed=1), DIM)
+RECALL_CUBE = H.draw_cube(H.CubeParams(kproj=7, w=4.0, max_candidates=0, probes=32, seed=1), DIM)
+RECALL_REFINE = 200
+RECALL_PQ = PQ.PQParams(m=PQ_M, nbits=PQ_NBITS, nprobe=RECALL_NPROBE, seed=1, metric="l2", train_iters=PQ_ITERS)
+
+
+@register("ivfflat_recall_knn", ORACLE["ivfflat_knn"].replace(O.probes(NPROBE), O.probes(RECALL_NPROBE)))
+def q_ivfflat_recall_knn(spark, sf_dir):
+    index, _, queries = _ivf_index(spark, sf_dir)
+    return _r6(IVF.search(index, queries, N, RECALL_NPROBE), "dist")
+
+
+@register("lsh_recall_knn", f"""WITH {O.SPLIT},
+{O.lsh_buckets_cte('bb', 'base', 'id', 'v', RECALL_LSH)},
+{O.lsh_buckets_cte('qb', 'queries', 'qid', 'qv', RECALL_LSH)},
+cands AS (SELECT DISTINCT qb.qid, bb.id FROM qb JOIN bb ON bb.t = qb.t AND bb.bucket = qb.bucket),
+lpairs AS (SELECT c.qid, c.id, {O.dist('q.qv', 'b.v')} AS dist
+           FROM cands c JOIN queries q ON q.qid = c.qid JOIN base b ON b.id = c.id)
+{O.topn('lpairs', N)}""")
+def q_lsh_recall_knn(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    return _r6(LSH.search(RECALL_LSH, base, queries, N), "dist")
+
+
+@register("cube_recall_knn", f"""WITH {O.SPLIT},
+{O.cube_codes_cte('bcode', 'base', 'id', 'v', RECALL_CUBE)},
+{O.cube_codes_cte('qcode', 'queries', 'qid', 'qv', RECALL_CUBE)},
+qprobe AS (SELECT q.qid, xor(q.code, mk.mask) AS code FROM qcode q, {O.masks_values(H.probe_masks(7, 32))}),
+cdists AS (SELECT p.qid, b.id, {O.dist('q.qv', 'b.v')} AS dist FROM qprobe p JOIN bcode c ON c.code = p.code
+           JOIN queries q ON q.qid = p.qid JOIN base b ON b.id = c.id)
+{O.topn('cdists', N)}""")
+def q_cube_recall_knn(spark, sf_dir):
+    base, queries = fixture_split(spark, sf_dir)
+    return _r6(H.search(RECALL_CUBE, base, queries, N), "dist")
+
+
+@register("pq_recall_knn", f"""WITH {O.SPLIT}, {O.cent()},
+{O.pq_ctes(PQ_M, 1 << PQ_NBITS, DIM // PQ_M, PQ_ITERS, RECALL_NPROBE, 1)},
+near AS (SELECT qid, id FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, id) AS r FROM adc) t WHERE r <= {RECALL_REFINE}),
+refined AS (SELECT n.qid, n.id, {O.dist('q.qv', 'b.v')} AS dist FROM near n JOIN queries q ON q.qid = n.qid JOIN base b ON b.id = n.id)
+{O.topn('refined', N)}""")
+def q_pq_recall_knn(spark, sf_dir):
+    """Asymmetric distances choose the candidates, true distances rank them."""
+    base, queries = fixture_split(spark, sf_dir)
+    index = PQ.build_ivfpq(base, RECALL_PQ, _label_centroids(base))
+    return _r6(PQ.search(index, base, queries, N, refine=RECALL_REFINE), "dist")
+
+
 # One coefficient for each dimension that occurs, by repeated remainders in SQL.
 @register("lsh_coefficients", """WITH RECURSIVE power(l, r) AS (
   SELECT 0, 1 UNION ALL SELECT l + 1, ((r * -5) % 256 + 256) % 256 FROM power WHERE l + 1 < (SELECT max(len(embedding)) FROM embeddings))
