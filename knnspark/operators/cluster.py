@@ -18,7 +18,7 @@ from knnspark.functions.distance import arrow_matrix, metric_name, pairwise, sma
 from knnspark.functions.hashing import md5_uniform
 from knnspark.functions.stats import assemble_vectors, exact_median, explode_dims
 from knnspark.operators.blocks import CHUNK_BYTES, check_broadcast, chunks, shared_batches
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bound, scratch_path
+from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, StateTable, broadcast_bound, scratch_path
 from knnspark.sources.vectors import vector_dim
 
 CENTROID_SCHEMA = "cid int, c array<double>"
@@ -383,41 +383,107 @@ def kmeanspp_seeds(sample: DataFrame, k: int, metric: str = "l2", seed: int = 1,
     return (cids, C, np.array(ids, dtype=np.int64)) if with_ids else (cids, C)
 
 
+LLOYD_STATE = "id bigint, v array<double>, cid int, u double, l double, changed int, compared int"
+# Above the rounding of distances and of their sums.
+_SLACK = 1e-9
+
+
+def moves(before: np.ndarray, after: np.ndarray, metric: str) -> np.ndarray:
+    """How far each centroid went."""
+    d = after - before
+    return np.abs(d).sum(axis=1) if metric == "l1" else np.sqrt(np.einsum("ij,ij->i", d, d))
+
+
+def moved_bounds(u: np.ndarray, l: np.ndarray, own: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Upper bound on the distance to the own centre (a row number) and lower bound on those to the others, after the
+    centres moved: the own one's move comes on top, the largest move of another goes off."""
+    order = np.argsort(-move, kind="stable")
+    most = np.where(own == order[0], move[order[1]] if len(move) > 1 else 0.0, move[order[0]])
+    return u + move[own], l - most
+
+
+def _lloyd_kernel(cids: np.ndarray, C: np.ndarray, before: np.ndarray | None, metric: str):
+    """Assignment with its bounds: ``u`` at least the distance to the own centroid, ``l`` at most that to any other.
+
+    With a state (``before``: the centroids it was made under) only points whose moved bounds cross are compared
+    with all centroids again, after their own distance was computed anew; ``changed`` and ``compared`` (the number of
+    centroids a point was compared with) say what happened."""
+    check_broadcast(2 * C.nbytes, "centroid matrix")
+
+    def run(batches):
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            X, _ = arrow_matrix(rb.column("v"), C.shape[1])
+            n = len(X)
+            if before is None:
+                old, row = np.zeros(n, np.int64), np.zeros(n, np.int64)
+                u, l, compared = np.full(n, np.inf), np.full(n, -np.inf), np.zeros(n, np.int64)
+            else:
+                old = rb.column("cid").to_numpy().astype(np.int64)
+                row = np.searchsorted(cids, old)
+                u, l = moved_bounds(rb.column("u").to_numpy(), rb.column("l").to_numpy(), row, moves(before, C, metric))
+                compared = np.zeros(n, np.int64)
+                near = np.flatnonzero(~(u * (1 + _SLACK) < l))
+                d = X[near] - C[row[near]]
+                u[near] = np.abs(d).sum(axis=1) if metric == "l1" else np.sqrt(np.einsum("ij,ij->i", d, d))
+                compared[near] = 1
+            cid = old.copy()
+            at = np.flatnonzero(~(u * (1 + _SLACK) < l))
+            if len(at):
+                dist, found = nearest_centroids(X[at], cids, C, metric, min(2, len(cids)))
+                cid[at], u[at], compared[at] = found[:, 0], dist[:, 0], len(cids)
+                l[at] = dist[:, 1] if dist.shape[1] > 1 else np.inf
+            yield pa.RecordBatch.from_arrays(
+                [rb.column("id"), rb.column("v"), pa.array(cid, pa.int32()), pa.array(u), pa.array(l),
+                 pa.array((cid != old).astype(np.int32)), pa.array(compared, pa.int32())],
+                names=["id", "v", "cid", "u", "l", "changed", "compared"])
+    return run
+
+
+def lloyd_assign(points: DataFrame, cids, C, metric: str, before: np.ndarray | None = None) -> DataFrame:
+    """K5: the state ``(id, v, cid, u, l, changed, compared)`` of ``points(id, v)``, or of the state made under the
+    centroids ``before``.  ``changed`` is against that state's cluster, at first against cluster 0 as in the reference."""
+    cols = ["id", "v"] if before is None else ["id", "v", "cid", "u", "l"]
+    return points.select(*cols).mapInArrow(_lloyd_kernel(np.asarray(cids), C, before, metric), LLOYD_STATE)
+
+
 def kmedians_step(sample: DataFrame, cids, C, metric: str, prev: tuple | None = None):
     """K5 + K6: assign, count changes against the assignment under ``prev`` centroids (initially
     cluster 0, as in the reference), median update.
 
-    Both assignments are narrow passes over the (checkpointed) sample, so no join or stored
-    previous assignment is needed.  Empty clusters keep their old centroid (D8).
-    Returns (assigned, changes, new (cids, C)).
+    ``sample`` is ``(id, v)``, or the state that ``lloyd_assign`` made under ``prev``.  Empty clusters keep their old
+    centroid (D8).  Returns (state, changes, new (cids, C)).
     """
-    if prev is None:
-        cur = assign(sample, (cids, C), metric, carry=("v",))
-        changed = (F.col("cid") != 0).cast("int")
-    else:
-        old = assign(sample, prev, metric, carry=("v",)).select("id", "v", F.col("cid").alias("old"))
-        cur = assign(old, (cids, C), metric, carry=("v", "old"))
-        changed = (F.col("cid") != F.col("old")).cast("int")
+    if prev is not None and "u" not in sample.columns:
+        sample = lloyd_assign(sample, *prev, metric)
+    cur = lloyd_assign(sample, cids, C, metric, None if prev is None else prev[1])
+    return (cur, *_median_update(cur, cids, C))
+
+
+def _median_update(state: DataFrame, cids, C) -> tuple[int, tuple[np.ndarray, np.ndarray]]:
+    """K6: the number of changes in a state, and its clusters' medians."""
     # the change count rides on the median's first pass (counted once per point: dimension 0)
-    long = explode_dims(cur.withColumn("_chg", changed), "v", ["cid", "_chg"])
-    long = long.withColumn("_chg", F.when(F.col("dim") == 0, F.col("_chg")).otherwise(0))
+    long = explode_dims(state.select("v", "cid", "changed"), "v", ["cid", "changed"])
+    long = long.withColumn("changed", F.when(F.col("dim") == 0, F.col("changed")).otherwise(0))
     sums: dict = {}
-    med = exact_median(long, ["cid", "dim"], "x", "m", side_sum="_chg", side_out=sums)
+    med = exact_median(long, ["cid", "dim"], "x", "m", side_sum="changed", side_out=sums)
     changes = int(sums["sum"] or 0)
     ncids, nC = long_to_matrix(med, "cid", "dim", "m")
     C2 = C.copy()
     pos = {int(c): i for i, c in enumerate(cids)}
     for c, row in zip(ncids, nC):
         C2[pos[int(c)]] = row
-    return cur, changes, (cids, C2)
+    return changes, (cids, C2)
 
 
 def kmedians_fit(points: DataFrame, params: KMediansParams) -> tuple[np.ndarray, np.ndarray, int]:
     """K1 -> K2 -> Lloyd loop (K5, K6) until changes <= tol or ``max_iter``.  Returns (cids, C, iters).
 
-    The sample is written once to the shared checkpoint folder (reliable ``checkpoint``), so each
-    iteration reads it back instead of re-ranking the full table; every round's plan is that
-    checkpoint plus literal centroids, so lineage does not grow.  Only ``k x d`` centroid values
+    The sample is written once to the shared checkpoint folder (reliable ``checkpoint``).  Every round writes one state
+    table (the points with their cluster and bounds) from the one before, which then goes: a round's plan is that
+    table plus literal centroids, so lineage does not grow, every point is assigned once a round, and only those whose
+    bounds cross are compared with all centroids.  Only ``k x d`` centroid values
     go through the driver per iteration.
     """
     metric = metric_name(params.metric)
@@ -429,13 +495,13 @@ def kmedians_fit(points: DataFrame, params: KMediansParams) -> tuple[np.ndarray,
     cids, C = kmeanspp_seeds(sample, params.k, metric, params.seed)
     if len(cids) == 0:
         return cids, C, 0
-    prev = None
-    it = 0
+    table, state, before, it = StateTable(points.sparkSession, "lloyd-state"), sample, None, 0
     while it < params.max_iter:
-        _, changes, (ncids, nC) = kmedians_step(sample, cids, C, metric, prev)
-        prev = (cids, C)
-        cids, C = ncids, nC
+        state = table.put(lloyd_assign(state, cids, C, metric, before))
+        before = C
+        changes, (cids, C) = _median_update(state, cids, C)
         it += 1
         if changes <= params.tol_changes:
             break
+    table.drop()
     return cids, C, it

@@ -33,7 +33,7 @@ from knnspark.operators.blocks import Block, check_broadcast, probed_only, query
 from knnspark.operators.exact import RANGE_SCHEMA, top_n
 from knnspark.operators.scan import PAIR_SCHEMA, GroupTopN, emit_scored, finish_topn, run_blocks
 from knnspark.operators.rerank import rerank
-from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scratch_path
+from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, StateTable, scratch_path
 
 
 @dataclass
@@ -195,36 +195,87 @@ def _pad(book: np.ndarray, ksub: int, ds: int) -> np.ndarray:
     return book[idx].copy()
 
 
-def _assign_kernel(prev: list | None, cur: list, active: list[int], ds: int):
+# Lloyd rounds of the codebooks after which the parts' words and bounds are written.
+LLOYD_STATE_ROUNDS = 4
+
+
+def _words(X: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nearest word of each row (lowest number on ties), its distance, and the distance to the next."""
+    d2 = pairwise(X, book, "l2", squared=True)
+    h = np.argmin(d2, axis=1)
+    at = np.arange(len(h))
+    u = np.sqrt(d2[at, h])
+    d2[at, h] = np.inf
+    return h, u, np.sqrt(d2.min(axis=1))
+
+
+def _same_word(u: np.ndarray, l: np.ndarray, h: np.ndarray, at_state: np.ndarray, book: np.ndarray) -> np.ndarray:
+    """Whether a row's word is still ``h``, by its bounds of the state and the words' moves since."""
+    up, low = cluster.moved_bounds(u, l, h, cluster.moves(at_state, book, "l2"))
+    return up * (1 + 1e-9) < low
+
+
+def _assign_kernel(prev: list | None, cur: list, active: list[int], ds: int, at_state: list | None = None):
     """One Lloyd round of a task: nearest code word (lowest index on ties) of every part under the current
     codebooks, whether it differs from the one under the previous codebooks, and per
-    (part, code word, dimension) sums -- only those leave the task."""
+    (part, code word, dimension) sums -- only those leave the task.
+
+    With a state (columns ``h, u, l``, made under ``at_state``) only parts whose bounds cross under either of the two codebooks
+    are compared with words; ``cmp`` counts those comparisons."""
     def run(batches):
         sums = {m: np.zeros((len(cur[m]), ds)) for m in active}
         count, change = ({m: np.zeros(len(cur[m]), np.int64) for m in active} for _ in range(2))
+        compared = dict.fromkeys(active, 0)
         for rb in batches:
             if rb.num_rows == 0:
                 continue
             R, _ = arrow_matrix(rb.column("r"), len(cur) * ds)
+            if at_state is not None:
+                H, U, L = (rb.column(c).flatten().to_numpy(zero_copy_only=False).reshape(len(R), -1) for c in ("h", "u", "l"))
             for m in active:
                 X, k = R[:, m * ds:(m + 1) * ds], len(cur[m])
-                h = np.argmin(pairwise(X, cur[m], "l2", squared=True), axis=1)
-                moved = np.ones(len(h), bool) if prev is None else np.argmin(pairwise(X, prev[m], "l2", squared=True), axis=1) != h
+                if at_state is None:
+                    doubt, h, old = np.arange(len(X)), np.zeros(len(X), np.int64), np.full(len(X), -1)
+                else:
+                    h = H[:, m].astype(np.int64)
+                    sure = _same_word(U[:, m], L[:, m], h, at_state[m], cur[m]) & _same_word(U[:, m], L[:, m], h, at_state[m], prev[m])
+                    doubt, old = np.flatnonzero(~sure), h.copy()
+                if len(doubt):
+                    compared[m] += len(doubt) * k * (1 if prev is None else 2)
+                    h[doubt] = _words(X[doubt], cur[m])[0]
+                    if prev is not None:
+                        old[doubt] = _words(X[doubt], prev[m])[0]
                 count[m] += np.bincount(h, minlength=k)
-                change[m] += np.bincount(h[moved], minlength=k)
+                change[m] += np.bincount(h[h != old], minlength=k)
                 for j in range(ds):
                     sums[m][:, j] += np.bincount(h, weights=X[:, j], minlength=k)
-        rows = [(m, h, j, sums[m][h, j], count[m][h], change[m][h] if j == 0 else 0) for m in active for h in np.flatnonzero(count[m]).tolist()
-                for j in range(ds)]
+        rows = [(m, h, j, sums[m][h, j], count[m][h], *((change[m][h], compared[m] if h == used[0] else 0) if j == 0 else (0, 0)))
+                for m in active for used in [np.flatnonzero(count[m]).tolist()] for h in used for j in range(ds)]
         if rows:
-            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["m", "h", "dim", "s", "c", "ch"])
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["m", "h", "dim", "s", "c", "ch", "cmp"])
     return run
 
 
-def train_codebooks(points: DataFrame, M: int, ksub: int, ds: int, seed: int, iters: int) -> np.ndarray:
+def _word_state(points: DataFrame, books: list, ds: int) -> DataFrame:
+    """``(id, r, h, u, l)``: each part's word, its distance, and the distance to the next word."""
+    def run(batches):
+        for rb in batches:
+            if rb.num_rows:
+                R, _ = arrow_matrix(rb.column("r"), len(books) * ds)
+                found = [_words(R[:, m * ds:(m + 1) * ds], b) for m, b in enumerate(books)]
+                h, u, l = (np.stack([f[k] for f in found], axis=1) for k in range(3))
+                yield _rows_batch(rb.column("id"), r=R, h=h.astype(np.int16), u=u, l=l)
+    return points.select("id", "r").mapInArrow(run, "id bigint, r array<double>, h array<smallint>, u array<double>, l array<double>")
+
+
+def train_codebooks(points: DataFrame, M: int, ksub: int, ds: int, seed: int, iters: int, state_rounds: int = LLOYD_STATE_ROUNDS,
+                    compared: list[int] | None = None) -> np.ndarray:
     """P2 + P3: ``(M, ksub, ds)`` codebooks from the residuals ``(id, r)``.
 
+    Every ``state_rounds`` rounds the parts' words are written with bounds; the rounds after that compare only
+    parts whose bounds cross as the words move on.  ``compared`` gets the comparisons of each round.
+
     Part ``m`` runs k-means with ``min(ksub, points)`` centres; seeds missing after an early stop
     are copies (D11).  A part stops when an assignment round changes nothing; otherwise its
     centres become the member means and empty centres take a random point of the part.
@@ -234,15 +285,20 @@ def train_codebooks(points: DataFrame, M: int, ksub: int, ds: int, seed: int, it
     cur = [_pad(seeds[mm], kact[mm], ds) if kact[mm] else np.zeros((0, ds)) for mm in range(M)]
     check_broadcast(8 * M * ksub * ds, "PQ codebooks")
     active = {mm for mm in range(M) if kact[mm] > 0}
-    prev = None
-    schema = "m int, h int, dim int, s double, c bigint, ch bigint"
+    prev = at_state = None
+    table, state = StateTable(points.sparkSession, "codebook-state"), points.select("r")
+    schema = "m int, h int, dim int, s double, c bigint, ch bigint, cmp bigint"
     for it in range(iters):
         if not active:
             break
-        stats = (points.select("r").mapInArrow(_assign_kernel(prev, cur, sorted(active), ds), schema)
+        if it % state_rounds == state_rounds - 1 and ksub > 1:
+            state, at_state = table.put(_word_state(points, prev, ds)).select("r", "h", "u", "l"), prev
+        stats = (state.mapInArrow(_assign_kernel(prev, cur, sorted(active), ds, at_state), schema)
                  .groupBy("m", "h", "dim")
-                 .agg((F.sum("s") / F.sum("c")).alias("mean"), F.sum("ch").alias("ch"))
+                 .agg((F.sum("s") / F.sum("c")).alias("mean"), F.sum("ch").alias("ch"), F.sum("cmp").alias("cmp"))
                  .collect())
+        if compared is not None:
+            compared.append(sum(int(r["cmp"]) for r in stats))
         changes = {mm: 0 for mm in active}
         means = {mm: cur[mm].copy() for mm in active}
         seen = set()
@@ -261,6 +317,7 @@ def train_codebooks(points: DataFrame, M: int, ksub: int, ds: int, seed: int, it
         for mm in updating:
             cur[mm] = means[mm]
         active = updating
+    table.drop()
     return np.stack([_pad(cur[mm], ksub, ds) for mm in range(M)])
 
 

@@ -139,6 +139,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Deletes an intermediate table whose last reader is done."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class StateTable:
+    """A table that a loop writes anew in every round; the round before's goes once the new one is whole."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.path = spark, name, None
+
+    def put(self, df):
+        path = scratch_path(self.spark, self.name)
+        df.write.parquet(path)
+        self.drop()
+        self.path = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        if self.path is not None:
+            delete_scratch(self.spark, self.path)
+            self.path = None
+
+
 @contextlib.contextmanager
 def scratch_scope(spark: SparkSession):
     """Deletes the intermediate tables made inside it at its end: for callers that have written or collected
@@ -148,5 +173,4 @@ def scratch_scope(spark: SparkSession):
         yield
     finally:
         for path in _SCOPES.pop():
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            delete_scratch(spark, path)

@@ -164,6 +164,21 @@ def test_radius_search_over_stored_lists_equals_the_scan(spark, split, tmp_path)
         assert rows(hypercube.range_search(cube, base, queries, 1.25, lists=lists)) == rows(hypercube.range_search(cube, base, queries, 1.25))
 
 
+def test_refined_pq_is_exact_where_every_point_is_a_candidate(spark, split):
+    from knnspark.operators import pq
+
+    base, queries = split
+    cents = cluster.label_median_matrix(base)
+    index = pq.build_ivfpq(base, pq.PQParams(m=8, nbits=2, nprobe=len(cents[0]), train_iters=2), cents)
+    near = lambda df: sorted((r["qid"], r["rank"], r["id"], round(r["dist"], 9)) for r in df.collect())
+    want = near(exact.knn(base, queries, N))
+    assert near(pq.search(index, base, queries, N, refine=450)) == want != near(pq.search(index, base, queries, N))
+    some = near(pq.search(index, base, queries, N, refine=60))
+    assert len(set((q, i) for q, _, i, _ in some) & set((q, i) for q, _, i, _ in want)) > 0.3 * len(want)
+    with pytest.raises(ValueError):
+        pq.search(index, base, queries, N, refine=2)
+
+
 def test_repeated_ids_raise_and_no_valid_query_gives_no_rows(spark, split):
     base, queries = split
     with pytest.raises(ValueError, match="repeat the id"):

@@ -120,3 +120,32 @@ def test_seeding_compares_with_new_centres_only(spark, split, monkeypatch):
     monkeypatch.setattr(cluster, "_nearer_kernel", lambda C, metric: seen.append(len(C)) or kernel(C, metric))
     cluster.kmeanspp_seeds(base.select("id", "v"), 20, state_rounds=4)
     assert max(seen) == 4
+
+
+@pytest.mark.parametrize("metric", ["l2", "l1"])
+def test_bounds_never_change_an_assignment(spark, split, metric):
+    base, _ = split
+    sample = base.select("id", "v")
+    cids, C = cluster.kmeanspp_seeds(sample, 7, metric, 3)
+    rng = np.random.default_rng(0)
+    state, before, compared = sample, None, []
+    for scale in (0.3, 0.1, 0.02, 0.002, 0.0):
+        state = cluster.lloyd_assign(state, cids, C, metric, before).checkpoint(eager=True)
+        want = {r["id"]: r["cid"] for r in cluster.assign(sample, (cids, C), metric).collect()}
+        assert {r["id"]: r["cid"] for r in state.collect()} == want
+        compared.append(state.agg(F.sum("compared")).first()[0])
+        before, C = C, C + rng.normal(size=C.shape) * scale / 8
+    assert compared[0] == 450 * 7 and compared[-1] < 0.5 * compared[0] and sorted(compared[2:], reverse=True) == compared[2:]
+
+
+def test_later_codebook_rounds_compare_fewer_words(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(8, 12)) * 5
+    R = centres[np.arange(1500) % 8] + rng.normal(size=(1500, 12)) * 0.3
+    points = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(R)], "id long, r array<double>").repartition(3).cache()
+    plain, bounded = [], []
+    want = pq.train_codebooks(points, 3, 8, 4, 1, 12, state_rounds=100, compared=plain)
+    got = pq.train_codebooks(points, 3, 8, 4, 1, 12, state_rounds=2, compared=bounded)
+    assert np.allclose(got, want, atol=1e-12) and len(plain) == len(bounded)
+    assert sum(bounded) < 0.7 * sum(plain) and bounded[-1] < 0.5 * plain[-1]
+    points.unpersist()
