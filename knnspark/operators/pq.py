@@ -7,7 +7,8 @@ Build
   P3  Lloyd with mean updates per part (<= ``train_iters`` rounds, a part stops when no point
       changes); an empty centre takes a random point of its part (md5 order).  Each round is one
       aggregation over the parts; only the ``M x 2^nbits x d/M`` codebook goes through the driver.
-  P4  encoding: one narrow pass -> ``pq_codes(cid, id, codes ARRAY<SMALLINT>)``.
+  P4  encoding: one narrow pass -> ``pq_blocks(cid, n, ids, codes)``, a row for some points of a cell with their codes
+      part by part (``pq_codes`` has a row a point).
 
 Search
   P5  lookup tables per probed ``(qid, cid)``: squared L2 from each residual part to each code word.
@@ -66,13 +67,18 @@ class PQIndex:
     cids: np.ndarray
     C: np.ndarray                 # coarse centroids (k x d)
     codebooks: np.ndarray         # (M, 2^nbits, d/M)
-    codes: DataFrame              # (cid, id, codes)
+    blocks: DataFrame             # (cid, n, ids, codes): some points of a cell a row
     filled: list[int] | None = None
 
+    @property
+    def codes(self) -> DataFrame:
+        """``(cid, id, codes)``, a row a point."""
+        return code_rows(self.blocks, self.codebooks.shape[0])
+
     def filled_cells(self) -> list[int]:
         """The cells that hold a point (k at most); the codes are read for it once."""
         if self.filled is None:
-            self.filled = sorted(r["cid"] for r in self.codes.select("cid").distinct().collect())
+            self.filled = sorted(r["cid"] for r in self.blocks.select("cid").distinct().collect())
         return self.filled
 
     @property
@@ -334,33 +340,96 @@ def _random_points(points: DataFrame, empties: list[tuple[int, int]], ds: int, s
 # --------------------------------------------------------------------------- P4
 
 
-def _encode_kernel(cids, C, books, metric):
+# Points of a stored block of codes.
+BLOCK_POINTS = 4096
+BLOCKS = "cid int, n int, ids binary, codes binary"
+
+
+def _encoded(rb: pa.RecordBatch, cids, C, books: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Cell and codes (points, M) of a batch's points."""
+    M, _, ds = books.shape
+    X, _ = arrow_matrix(rb.column("v"), C.shape[1])
+    cid = cluster.nearest_cid(X, cids, C, metric).astype(np.int32)
+    R = X - C[np.searchsorted(cids, cid)]
+    codes = np.empty((len(X), M), dtype=np.uint8)
+    for m in range(M):
+        codes[:, m] = np.argmin(pairwise(R[:, m * ds:(m + 1) * ds], books[m], "l2", squared=True), axis=1)
+    return cid, codes
+
+
+def _blocks_of(cid: np.ndarray, ids: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
+    """One row for up to ``BLOCK_POINTS`` points of a cell: their ids, and their codes part by part."""
+    order = np.argsort(cid, kind="stable")
+    cid, ids, codes = cid[order], ids[order], codes[order]
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(cid)) + 1, [len(cid)]])
+    cuts = [(s, min(s + BLOCK_POINTS, b)) for a, b in zip(edges, edges[1:]) for s in range(a, b, BLOCK_POINTS)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(cid[a]) for a, _ in cuts], pa.int32()), pa.array([b - a for a, b in cuts], pa.int32()),
+         pa.array([ids[a:b].astype("<i8").tobytes() for a, b in cuts], pa.binary()),
+         pa.array([np.ascontiguousarray(codes[a:b].T).tobytes() for a, b in cuts], pa.binary())], names=["cid", "n", "ids", "codes"])
+
+
+def encode(points: DataFrame, cids, C, books: np.ndarray, metric: str) -> DataFrame:
+    """``pq_codes(cid, id, codes ARRAY<SMALLINT>)``."""
+    return code_rows(encode_blocks(points, cids, C, books, metric), books.shape[0])
+
+
+def encode_blocks(points: DataFrame, cids, C, books: np.ndarray, metric: str) -> DataFrame:
+    """P4 in blocks: ``pq_blocks(cid, n, ids, codes)``, a row for some points of a cell with their ids (64 bits each) and
+    codes (a byte each, part by part).  A search looks up a part's codes of a whole block at once."""
     check_broadcast(C.nbytes + books.nbytes, "centroids and codebooks")
-    M, ksub, ds = books.shape
 
     def run(batches):
         for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            X, _ = arrow_matrix(rb.column("v"), C.shape[1])
-            cid = cluster.nearest_cid(X, cids, C, metric).astype(np.int32)
-            R = X - C[np.searchsorted(cids, cid)]
-            codes = np.empty((len(X), M), dtype=np.int16)
-            for mm in range(M):
-                sub = R[:, mm * ds:(mm + 1) * ds]
-                codes[:, mm] = np.argmin(pairwise(sub, books[mm], "l2", squared=True), axis=1)
-            offsets = pa.array(np.arange(0, (len(X) + 1) * M, M, dtype=np.int32))
-            arr = pa.ListArray.from_arrays(offsets, pa.array(codes.ravel(), pa.int16()))
-            yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int32()), rb.column("id"), arr],
-                                             names=["cid", "id", "codes"])
-    return run
+            if rb.num_rows:
+                cid, codes = _encoded(rb, cids, C, books, metric)
+                yield _blocks_of(cid, rb.column("id").to_numpy(zero_copy_only=False).astype(np.int64), codes)
 
+    return points.select("id", "v").mapInArrow(run, BLOCKS)
 
-def encode(points: DataFrame, cids, C, books: np.ndarray, metric: str) -> DataFrame:
-    """``pq_codes(cid, id, codes ARRAY<SMALLINT>)``."""
-    d = C.shape[1]
-    return (points.select("id", "v")
-            .mapInArrow(_encode_kernel(cids, C, books, metric), "cid int, id bigint, codes array<smallint>"))
+
+def code_rows(blocks: DataFrame, M: int) -> DataFrame:
+    """``(cid, id, codes)`` of the points of blocks."""
+    def run(batches):
+        for rb in batches:
+            for cid, n, ids, codes in zip(*(c.to_pylist() for c in rb.columns)):
+                rows = np.frombuffer(codes, np.uint8).reshape(M, n).T.astype(np.int16)
+                offsets = pa.array(np.arange(0, n * M + 1, M, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, cid), pa.int32()), pa.array(np.frombuffer(ids, "<i8")),
+                                                  pa.ListArray.from_arrays(offsets, pa.array(rows.ravel()))], names=["cid", "id", "codes"])
+    return blocks.select("cid", "n", "ids", "codes").mapInArrow(run, "cid int, id bigint, codes array<smallint>")
+
+
+def write_blocks(index: "PQIndex", path: str) -> DataFrame:
+    """P4 stored: the blocks in a folder for each cell, large ones made of the tasks' small ones.  A cell with a large share of
+    the points is many tasks' blocks, as rows are dealt by cell and a number of their own."""
+    spark, M = index.blocks.sparkSession, index.codebooks.shape[0]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches):
+        held, points, of = [], 0, None
+        for rb in batches:
+            for cid, k, ids, codes in zip(*(c.to_pylist() for c in rb.columns)):
+                if held and (cid != of or points + k > BLOCK_POINTS):
+                    yield joined(of, held)
+                    held, points = [], 0
+                held.append((np.frombuffer(ids, "<i8"), np.frombuffer(codes, np.uint8).reshape(M, k)))
+                points, of = points + k, cid
+        if held:
+            yield joined(of, held)
+
+    def joined(cid, held):
+        ids, codes = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held], axis=1).T
+        return _blocks_of(np.full(len(ids), cid, np.int32), ids, codes)
+
+    dealt = index.blocks.select("cid", "n", "ids", "codes").repartitionByRange(n, "cid", F.xxhash64("ids")).sortWithinPartitions("cid")
+    dealt.mapInArrow(run, BLOCKS).write.mode("overwrite").partitionBy("cid").parquet(path)
+    index.blocks = read_blocks(spark, path)
+    return index.blocks
+
+
+def read_blocks(spark, path: str) -> DataFrame:
+    return spark.read.schema("n int, ids binary, codes binary, cid int").parquet(path).select("cid", "n", "ids", "codes")
 
 
 def build_ivfpq(base: DataFrame, params: PQParams, centroids=None) -> PQIndex:
@@ -383,8 +452,7 @@ def build_ivfpq(base: DataFrame, params: PQParams, centroids=None) -> PQIndex:
         # pass over the residual parts, so this caps build cost; encoding still covers all points.
         train = cluster.training_sample(base.select("id", "v"), params.codebook_train_size, params.seed)
     books = train_codebooks(residuals(train, cids, C, metric).checkpoint(eager=True), params.m, params.ksub, ds, params.seed, params.train_iters)
-    codes = encode(base, cids, C, books, metric)
-    return PQIndex(params, cids, C, books, codes)
+    return PQIndex(params, cids, C, books, encode_blocks(base, cids, C, books, metric))
 
 
 def codebook_table(spark, index: PQIndex) -> DataFrame:
@@ -441,16 +509,22 @@ _TABLE_BYTES = 64 << 20
 
 
 class _CellTables:
-    """P5 inside the task: the tables of the queries that probe a cell, built when the cell is met."""
+    """P5 inside the task: the tables of the queries that probe a cell, built when the cell is met.
+
+    Where a pair of parts has no more than ``_PAIR_WORDS`` words, its table has the sums of both, and a point is
+    half as many look-ups."""
 
     def __init__(self, payload):
         self.qids, self.Q, self.cells, self.owners, self.cids, self.C, self.books = payload
         self.held: dict[tuple[int, int], np.ndarray] = {}
         M, ksub, _ = self.books.shape
-        self.step = max(1, _TABLE_BYTES // 4 // (8 * M * ksub))
+        self.paired = M % 2 == 0 and ksub * ksub <= _PAIR_WORDS
+        self.words = ksub * ksub if self.paired else ksub
+        self.parts = M // 2 if self.paired else M
+        self.step = max(1, _TABLE_BYTES // 4 // (8 * self.parts * self.words))
 
     def of(self, cell: int):
-        """(queries, their tables (queries, M, 2^nbits)) in pieces of bounded size."""
+        """(queries, their tables (parts, queries, words)) in pieces of bounded size."""
         low, high = np.searchsorted(self.cells, [cell, cell + 1])
         M, ksub, ds = self.books.shape
         for at in range(low, high, self.step):
@@ -458,37 +532,50 @@ class _CellTables:
             table = self.held.get((cell, at))
             if table is None:
                 R = self.Q[owners] - self.C[np.searchsorted(self.cids, cell)]
-                table = np.stack([pairwise(R[:, m * ds:(m + 1) * ds], self.books[m], "l2", squared=True) for m in range(M)], axis=1)
+                table = np.stack([pairwise(R[:, m * ds:(m + 1) * ds], self.books[m], "l2", squared=True) for m in range(M)])
+                if self.paired:
+                    table = (table[::2, :, :, None] + table[1::2, :, None, :]).reshape(self.parts, len(owners), self.words)
                 if sum(t.nbytes for t in self.held.values()) + table.nbytes > _TABLE_BYTES:
                     self.held.clear()
                 self.held[cell, at] = table
             yield owners, table
 
+    def codes(self, stored: bytes, n: int) -> np.ndarray:
+        """(parts, points) look-up numbers of a block."""
+        codes = np.frombuffer(stored, np.uint8).reshape(-1, n)
+        if not self.paired:
+            return codes
+        return codes[::2].astype(np.uint16) * np.uint16(self.books.shape[1]) + codes[1::2]
+
+
+_PAIR_WORDS = 4096
+
 
 def _adc_kernel(n: int, radius: float | None):
     def kernel(payload):
         def run(batches):
             tables = _CellTables(payload)
             qids = tables.qids
-            M = tables.books.shape[0]
             state = GroupTopN(n) if n else None
+            best = np.full(len(qids), np.inf)  # squared distance that a query's next neighbour is not above
             for rb in batches:
-                if rb.num_rows == 0:
-                    continue
-                cell = rb.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                ids = rb.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-                codes = rb.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, M)
-                for c in np.unique(cell).tolist():
-                    rows = np.flatnonzero(cell == c)
-                    for owners, table in tables.of(c):
-                        step = max(1, (1 << 20) // len(owners))
-                        for at in range(0, len(rows), step):
-                            r = rows[at:at + step]
-                            dist = np.zeros((len(owners), len(r)))
-                            for m in range(M):
-                                dist += table[:, m, codes[r, m]]
-                            yield from emit_scored(state, qids, np.repeat(owners, len(r)), np.tile(ids[r], len(owners)),
-                                                   np.sqrt(dist).ravel(), radius)
+                for cell, points, stored, codes in zip(*(c.to_pylist() for c in rb.columns)):
+                    ids, codes = np.frombuffer(stored, "<i8"), tables.codes(codes, points)
+                    for owners, table in tables.of(cell):
+                        step = max(1, (1 << 20) // points)
+                        for at in range(0, len(owners), step):
+                            who = owners[at:at + step]
+                            d2 = np.take(table[0, at:at + step], codes[0], axis=1)
+                            for m in range(1, tables.parts):
+                                d2 += np.take(table[m, at:at + step], codes[m], axis=1)
+                            if radius is not None:
+                                qi, r = np.nonzero(d2 <= radius * radius * (1 + 1e-12))
+                                yield from emit_scored(None, qids, who[qi], ids[r], np.sqrt(d2[qi, r]), radius)
+                            if state is not None:
+                                if points > n:  # the block's own n-th distance bounds what can be a neighbour
+                                    best[who] = np.fmin(best[who], np.partition(d2, n - 1, axis=1)[:, n - 1])
+                                qi, r = np.nonzero(d2 <= best[who, None] * (1 + 1e-12))
+                                state.add(who[qi], np.sqrt(d2[qi, r]), ids[r])
             yield from finish_topn(state, qids)
         return run
     return kernel
@@ -506,7 +593,7 @@ def adc_scan(index: PQIndex, queries: DataFrame, n: int, radius: float | None,
         return None
     # only probed cells are read (partition pruning when the codes are stored by cid)
     probed = cluster.nearest_probes(side.frame(queries.sparkSession), (index.cids, index.C), p.nprobe, p.metric, carry=())
-    return run_blocks(probed_only(index.codes, probed, ["cid"], max_bytes), ["cid", "id", "codes"], side, _adc_payload(index),
+    return run_blocks(probed_only(index.blocks, probed, ["cid"], max_bytes), ["cid", "n", "ids", "codes"], side, _adc_payload(index),
                       _adc_kernel(n, radius), PAIR_SCHEMA, n)
 
 

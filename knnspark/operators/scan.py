@@ -86,25 +86,34 @@ def pair_distances(Q: np.ndarray, X: np.ndarray, qi: np.ndarray, ri: np.ndarray,
 
 
 class GroupTopN:
-    """Per group (query index), the ``n`` smallest rows by a composite key; exact on ties."""
+    """Per group (query index), the ``n`` smallest rows by a composite key; exact on ties.
+
+    After a cut, rows whose first key is above the group's ``n``-th one are dropped as they come."""
 
     def __init__(self, n: int):
         self.n = n
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.kept = 0             # rows left by the last cut: the next one waits for as many new ones
         self.size = 0
-        self.cut = False          # whether the first part is a sorted, cut set
+        self.limit = np.empty(0)  # the n-th best first key of each group as of the last cut
 
     def add(self, group: np.ndarray, *cols: np.ndarray) -> None:
         """``cols`` are sort keys in priority order followed by payload columns."""
+        if len(group) and len(self.limit):
+            near = ~(cols[0] > self.worst(int(group.max()) + 1)[group])
+            group, cols = group[near], tuple(c[near] for c in cols)
         if len(group) == 0:
             return
         self.parts.append((group, *cols))
         self.size += len(group)
         if self.size > max(_PAIR_BUFFER, 2 * self.kept):
             self.parts = [self._reduce()]
-            self.size = self.kept = len(self.parts[0][0])
-            self.cut = True
+            g, key = self.parts[0][:2]
+            self.size = self.kept = len(g)
+            last = np.flatnonzero(np.r_[g[1:] != g[:-1], True])
+            full = np.diff(np.r_[-1, last]) >= self.n
+            self.limit = np.full(int(g.max(initial=-1)) + 1, np.inf)
+            self.limit[g[last[full]]] = key[last[full]]
 
     def _reduce(self, nkeys: int = 2) -> tuple[np.ndarray, ...]:
         cols = [np.concatenate(c) for c in zip(*self.parts)]
@@ -120,13 +129,9 @@ class GroupTopN:
 
     def worst(self, groups: int) -> np.ndarray:
         """The ``n``-th best first key of each group as of the last cut (infinite where there are fewer)."""
-        out = np.full(groups, np.inf)
-        if self.cut and len(self.parts[0][0]):
-            g, key = self.parts[0][0], self.parts[0][1]
-            last = np.flatnonzero(np.r_[g[1:] != g[:-1], True])
-            full = np.diff(np.r_[-1, last]) >= self.n
-            out[g[last[full]]] = key[last[full]]
-        return out
+        if groups <= len(self.limit):
+            return self.limit[:groups]
+        return np.concatenate([self.limit, np.full(groups - len(self.limit), np.inf)])
 
     def result(self, nkeys: int = 2) -> tuple[np.ndarray, ...] | None:
         if not self.parts:

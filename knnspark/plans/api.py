@@ -167,7 +167,7 @@ def evaluate(method: str, base: DataFrame, queries: DataFrame, n: int, radius: f
 #   hypercube: cube_params(i, p, t), probe_masks(prank, mask), cube_lists(part, code, id, v) partitioned by part, sorted
 #              by code, cube_sizes(code, n)
 #   ivfflat:   centroids(cid, c), ivf_lists(cid, id, v) partitioned by cid
-#   ivfpq:     centroids(cid, c), codebooks(m, h, cw), pq_codes(cid, id, codes) partitioned by cid
+#   ivfpq:     centroids(cid, c), codebooks(m, h, cw), pq_blocks(cid, n, ids, codes) partitioned by cid
 
 
 def save(index: Index, path: str) -> None:
@@ -197,10 +197,7 @@ def save(index: Index, path: str) -> None:
     elif index.method == "ivfpq":
         cluster.centroids_frame(spark, m.cids, m.C).write.mode("overwrite").parquet(f"{out}/centroids")
         pq.codebook_table(spark, m).write.mode("overwrite").parquet(f"{out}/codebooks")
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (m.codes.repartitionByRange(n, "cid", "id").write.mode("overwrite").partitionBy("cid")
-         .parquet(f"{out}/pq_codes"))
-        m.codes = spark.read.parquet(f"{out}/pq_codes").select("cid", "id", "codes")
+        pq.write_blocks(m, f"{out}/pq_blocks")
 
 
 def load(spark, path: str, base: DataFrame) -> Index:
@@ -208,7 +205,6 @@ def load(spark, path: str, base: DataFrame) -> Index:
     import json
 
     import numpy as np
-    from pyspark.sql import functions as F
 
     src = path.rstrip("/")
     meta = json.loads(spark.read.text(f"{src}/meta").first()[0])
@@ -240,5 +236,4 @@ def load(spark, path: str, base: DataFrame) -> Index:
     cb = np.array([r["cw"] for r in books], dtype=np.float64).reshape(config.m, 1 << config.nbits, -1)
     pp = pq.PQParams(m=config.m, nbits=config.nbits, nprobe=config.nprobe, seed=config.seed, metric=metric,
                      train_iters=config.train_iters)
-    codes = spark.read.parquet(f"{src}/pq_codes").select(F.col("cid").cast("int"), "id", "codes")
-    return Index(method, base, metric, pq.PQIndex(pp, cids, C, cb, codes), config)
+    return Index(method, base, metric, pq.PQIndex(pp, cids, C, cb, pq.read_blocks(spark, f"{src}/pq_blocks")), config)
