@@ -3,12 +3,13 @@
 1. Every text becomes its set of shingles (hashes of ``words`` neighbouring words), embedded as ``T``
    MinHash tokens, two sets sharing each with a chance of their similarity.  Its sketch keeps 8 bits of
    each.  Equal texts are one node from here on, with their number.
-2. Chosen paths: at the root of each run, some of the T places are sampled, and a node goes down one
-   branch for each, named by the place and its whole token there.  Sets that share the sampled token
-   meet in a bucket.  Small buckets are brute-forced on the sketches.  In a bucket of more than
-   ``LIMIT`` nodes, those close to its smallest node (the leader) are joined to it and take its label.
-   The first run goes before the others; what it joins takes labels too, as equal labels mean connected
-   nodes: a bucket with one label is done, as its nodes are connected (a family of near copies ends here, with
+2. Chosen paths: at the root of each run, some of the T places are sampled, and for each another ``ROOT`` - 1;
+   a node goes down one branch for each, named by these places and its whole tokens there.  Sets that share the
+   sampled tokens meet in a bucket (taking the first ``ROOT`` levels at once keeps sets apart that share no more than
+   a common passage, and no node is written for the levels between).  A bucket with no more than ``PAIRS`` pairs of different labels to compare (and ``ROWS`` nodes) is brute-forced on the
+   sketches.  In a larger one, the nodes close to its smallest node (the leader) are joined to it and take its label.
+   The first ``ALONE`` runs go one before the other; each component of what they have joined has one label from there on, as
+   equal labels mean connected nodes: a bucket with one label is done, as its nodes are connected (a family of near copies ends here, with
    a row a node).  Other large buckets are split again the same way, with places sampled anew for each
    bucket; what is still large after ``DEPTH`` levels is brute-forced block by block.  Runs are repeated
    until a pair at the threshold has met with a chance of ``recall``, even if its buckets go down
@@ -38,12 +39,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from knnspark.llm.common import pieces, whole_groups, written
+from knnspark.llm.common import pieces, unused, whole_groups, written
 from knnspark.llm.components import components
 from knnspark.llm.words import BASE, WordHasher, mix
 
 WORDS, SIMILARITY = 5, 0.8
-T, LIMIT, DEPTH, RECALL = 128, 256, 3, 0.9999
+T, LIMIT, ROOT, DEPTH, ALONE, RECALL = 128, 1024, 2, 3, 1, 0.9999
+PAIRS, ROWS = LIMIT * LIMIT, 16 * LIMIT  # of a small bucket at most: pairs to compare, nodes
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
 
 
@@ -103,7 +105,7 @@ def sketched(docs: DataFrame, runs: int, similarity: float) -> DataFrame:
         for batch in pieces(batches, 1024):
             sets = [shingler.shingles(t) for t in batch.column(3).to_pylist()]
             tokens = np.stack([shingler.tokens(s) for s in sets]) if sets else np.zeros((0, T), np.uint32)
-            paths = np.stack([_branch(r, int(place), tokens[:, place]) for r, place in roots], axis=1)
+            paths = np.stack([_root_path(r, int(place), tokens) for r, place in roots], axis=1)
             offsets = pa.array(np.arange(0, paths.size + 1, len(roots), dtype=np.int32))
             sketches = (tokens & np.uint32(0xFF)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
@@ -136,6 +138,15 @@ def _branch(node: int, place: int, tokens: np.ndarray) -> np.ndarray:
     return mix(mix(np.full(len(tokens), seed)) + tokens.astype(np.uint64)).view(np.int64)
 
 
+def _root_path(run: int, place: int, tokens: np.ndarray) -> np.ndarray:
+    """The path of each row (T tokens) that begins at ``place`` and goes through ``ROOT`` places."""
+    path = _branch(run, place, tokens[:, place])
+    others = [k for k in range(T) if k != place]
+    for k in np.random.default_rng([run, place]).choice(others, ROOT - 1, replace=False):
+        path = mix(path.view(np.uint64) + mix(tokens[:, k].astype(np.uint64) + np.uint64(BASE))).view(np.int64)
+    return path
+
+
 def _paths(rows: DataFrame) -> DataFrame:
     """(path, k1, k2, label): the branch of each row's node at the one place sampled for its bucket, by the
     sketch's 8 bits of the token.
@@ -206,21 +217,31 @@ class Forest:
         return [(a, r) for a in range(len(self.parent)) if (r := self.root(a)) != a]
 
 
-def _close(left: np.ndarray, right: np.ndarray | None, least: int) -> np.ndarray:
-    """Pairs of rows whose sketches agree in ``least`` places: of left alone, or (left, len(left) + right)."""
+def _close(left: np.ndarray, right: np.ndarray, least: int) -> np.ndarray:
+    """Pairs of rows (left, len(left) + right) whose sketches agree in ``least`` places."""
     found = []
-    for k in range(len(left) - (right is None)):
-        others = left[k + 1:] if right is None else right
-        hits = np.flatnonzero((others == left[k]).sum(axis=1) >= least)
+    for k in range(len(left)):
+        hits = np.flatnonzero((right == left[k]).sum(axis=1) >= least)
         if len(hits):
-            found.append(np.stack([np.full(len(hits), k), hits + (k + 1 if right is None else len(left))], axis=1))
+            found.append(np.stack([np.full(len(hits), k), hits + len(left)], axis=1))
+    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+
+
+def _across(sketches: np.ndarray, which: np.ndarray, most: int, least: int) -> np.ndarray:
+    """Pairs of different labels (numbers ``which``) that have rows whose sketches agree in ``least`` places.  Rows of
+    the commonest label, ``most``, are only compared with those of others."""
+    found = []
+    for k in np.flatnonzero(which != most).tolist():
+        other = which[(which != which[k]) & ((sketches == sketches[k]).sum(axis=1) >= least)]
+        if len(other):
+            found.append(np.stack([np.full(len(other), which[k]), other], axis=1))
     return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
 
 def _bucket_edges(members: DataFrame, similarity: float) -> DataFrame:
     """Candidate edges inside groups: ``members`` (path, part, side, k1, k2, label, sketch); the sides of a
     part are compared with each other, or side 0 with itself if it has no side 1.  Nodes of one label
-    are connected already, so there is an edge for each label that joins another."""
+    are connected already, so only nodes of different labels are compared, and there is an edge for each label that joins another."""
     least = _least_agreement(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,10 +254,14 @@ def _bucket_edges(members: DataFrame, similarity: float) -> DataFrame:
                 if end - start < 2:
                     continue
                 split = start + int((side[start:end] == 0).sum())
-                _, first, which = np.unique(label[start:end], return_index=True, return_inverse=True)
-                pairs = which[_close(sketches[start:split], sketches[split:end] if split < end else None, least)]
+                _, first, which, counts = np.unique(label[start:end], return_index=True, return_inverse=True, return_counts=True)
+                if split < end:
+                    pairs = which[_close(sketches[start:split], sketches[split:end], least)]
+                    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+                else:
+                    pairs = _across(sketches[start:end], which, int(counts.argmax()), least)
                 forest = Forest(len(first))
-                forest.link(pairs[pairs[:, 0] != pairs[:, 1]])
+                forest.link(np.unique(pairs, axis=0))
                 out += [(start + first[a], start + first[b]) for a, b in forest.stars()]
             if out:
                 at = np.array(out)
@@ -262,18 +287,22 @@ def candidate_edges(nodes: DataFrame, similarity: float) -> DataFrame:
     ``nodes``: (k1, k2, sketch, paths), one row a node.
     """
     def still_open(rows: DataFrame) -> DataFrame:
-        sizes = rows.groupBy("path").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-        return rows.drop("size").join(sizes.where("size > 1 AND low < high").select("path", "size"), "path")
+        # A bucket's size, and the pairs in it that are of different labels, which are those left to compare.
+        counts = rows.groupBy("path", "label").agg(F.count("*").alias("n"))
+        sizes = counts.groupBy("path").agg(F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("same"))
+        left = ((F.col("size") * F.col("size") - F.col("same")) / 2).cast("long").alias("pairs")
+        return rows.drop("size", "pairs").join(sizes.select("path", "size", left).where("pairs > 0"), "path")
 
     found: list[DataFrame] = []
 
     def descend(paths: DataFrame, name: str) -> None:
         """Collects the edges of all buckets below ``paths``."""
-        for level in range(1, DEPTH + 1):
+        for level in range(ROOT, DEPTH + 1):
             members = written(still_open(paths).join(nodes.select("k1", "k2", "sketch"), ["k1", "k2"]), f"paths-{name}-{level}")
-            small = members.where(F.col("size") <= LIMIT)
+            is_small = (F.col("pairs") <= PAIRS) & (F.col("size") <= ROWS)
+            small = members.where(is_small)
             found.append(_bucket_edges(small.withColumns({"part": F.lit(0).cast("long"), "side": F.lit(0)}), similarity))
-            large = members.where(F.col("size") > LIMIT)
+            large = members.where(~is_small)
             if large.isEmpty():
                 return
             rows = written(_led(large, similarity), f"led-{name}-{level}")
@@ -285,15 +314,30 @@ def candidate_edges(nodes: DataFrame, similarity: float) -> DataFrame:
         dense = rows.withColumn("blocks", F.ceil(F.col("size") / LIMIT)).withColumn("block", F.pmod(F.xxhash64("k2"), F.col("blocks")))
         found.append(_bucket_edges(_in_blocks(dense, "block", "blocks"), similarity))
 
-    n_first = len(sampled_places(1, similarity))
-    descend(nodes.select(F.explode(F.slice("paths", 1, n_first)).alias("path"), "k1", "k2", F.col("k1").alias("label")), "first")
-    found = [written(reduce(DataFrame.unionAll, found).distinct(), "first-edges")]
-    labels = found[0].groupBy(F.col("a1").alias("k1"), F.col("a2").alias("k2")).agg(F.min("b1").alias("new"))
-    rest = nodes.select("k1", "k2", F.slice("paths", n_first + 1, F.size("paths")).alias("paths"), F.col("k1").alias("label"))
-    rest = rest.join(labels, ["k1", "k2"], "left").withColumn("label", F.coalesce("new", "label"))
-    descend(rest.select(F.explode("paths").alias("path"), "k1", "k2", "label"), "rest")
-    edges = reduce(DataFrame.unionAll, found)
-    return edges.select(F.struct(F.col("a1").alias("k1"), F.col("a2").alias("k2")).alias("a"),
+    labels, low = None, 0
+    for k, high in enumerate(_stages(nodes, similarity)):
+        own = nodes.select("k1", "k2", F.slice("paths", low + 1, high - low).alias("paths"), F.col("k1").alias("label"))
+        if labels is not None:
+            own = own.join(labels, ["k1", "k2"], "left").withColumn("label", F.coalesce("new", "label"))
+        descend(own.select(F.explode("paths").alias("path"), "k1", "k2", "label"), str(k))
+        low = high
+        if k < ALONE:
+            found = [written(reduce(DataFrame.unionAll, found).distinct(), f"edges-{k}")]
+            # What is connected by now, over any number of edges, has one label in the runs that follow.
+            labels = components(_edges(found[0]), f"labels-{k}").select("node.k1", "node.k2", F.col("root.k1").alias("new"))
+    return _edges(reduce(DataFrame.unionAll, found))
+
+
+def _stages(nodes: DataFrame, similarity: float) -> list[int]:
+    """Ends of the paths of each of the first ``ALONE`` runs, and of all."""
+    first = nodes.select(F.size("paths").alias("n")).first()
+    ends = np.cumsum([len(sampled_places(r, similarity)) for r in range(1, 1 + ALONE)]).tolist()
+    return [e for e in ends if first and e < first["n"]] + ([first["n"]] if first else [])
+
+
+def _edges(pairs: DataFrame) -> DataFrame:
+    """(a, b) of (a1, a2, b1, b2)."""
+    return pairs.select(F.struct(F.col("a1").alias("k1"), F.col("a2").alias("k2")).alias("a"),
                         F.struct(F.col("b1").alias("k1"), F.col("b2").alias("k2")).alias("b"))
 
 
@@ -410,8 +454,9 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
     """One row of each class: that with the smallest id (then the smallest text hash), once if repeated."""
     found = classes(docs, similarity, recall)
     own = F.struct(F.col("k1"), F.col("k2")) == F.col("class_key")
-    kept = written(found.where(own).groupBy("k1", "k2").agg(F.min("doc_id").alias("__id")).withColumnsRenamed({"k1": "__k1", "k2": "__k2"}), "near-kept")
+    k1, k2, doc_id, h1, h2 = unused(docs, "k1", "k2", "id", "h1", "h2")
+    kept = written(found.where(own).groupBy("k1", "k2").agg(F.min("doc_id").alias(doc_id)).withColumnsRenamed({"k1": k1, "k2": k2}), "near-kept")
     text = F.coalesce("text", F.lit(""))
-    keyed_docs = docs.withColumns({"__h1": F.xxhash64(text), "__h2": F.xxhash64(text, F.lit(1))})
-    same = (F.col("__h1") == F.col("__k1")) & (F.col("__h2") == F.col("__k2")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    return keyed_docs.join(kept, same).dropDuplicates(["__k1", "__k2"]).select(*docs.columns)
+    keyed_docs = docs.withColumns({h1: F.xxhash64(text), h2: F.xxhash64(text, F.lit(1))})
+    same = (F.col(h1) == F.col(k1)) & (F.col(h2) == F.col(k2)) & F.col("doc_id").eqNullSafe(F.col(doc_id))
+    return keyed_docs.join(kept, same).dropDuplicates([k1, k2]).select(*docs.columns)
