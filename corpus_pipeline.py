@@ -2,8 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes every stage's result as
 Parquet into the shared folder and reads it again as the next stage's docs.  All stages but the last
-return the columns of ``docs``.  Null and empty texts go in the first stage (they have no language);
-an empty table passes every stage; columns beyond those of documents are kept.
+return the columns of ``docs``, whatever their names (the stages' own columns take names that ``docs`` doesn't have),
+and change none of them but ``text`` (secrets).  Null and empty texts go in the first stage (they have no language);
+an empty table passes every stage.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from knnspark.llm import decontaminate, jaccard, langid, packing, registry, secrets
-from knnspark.llm.common import table, written
+from knnspark.llm.common import table, unused, written
 from knnspark.session import prepare
 
 #: Least share of the predicted language.
@@ -19,16 +20,16 @@ LEAST_SCORE = 0.5
 #: Least share of a text's letters in known words and n-grams, whatever its length.  Up to 1,500 held-out
 #: texts each of sf0.01 and sf0.1 have 0.91 or more, their first six words 0.73; random letters 0.07 at most, other scripts 0.
 LEAST_FAMILIAR = 0.5
-FAMILIAR = "__familiar"
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: rows without a recognisable language go, and so do texts of unfamiliar words."""
     prepare(spark)
     model = langid.learn(langid.learned_from(docs))
-    found = langid.identify(docs, model, FAMILIAR)
-    sure = (found["lang_pred"] != langid.UNKNOWN) & (found["score"] >= LEAST_SCORE)
-    return found.where(sure & (found[FAMILIAR] >= LEAST_FAMILIAR)).select(*docs.columns)
+    language, score, familiar = unused(docs, "language", "score", "familiar")
+    found = langid.identify(docs, model, familiar, (language, score))
+    sure = (found[language] != langid.UNKNOWN) & (found[score] >= LEAST_SCORE)
+    return found.where(sure & (found[familiar] >= LEAST_FAMILIAR)).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +47,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scans: every character of a secret is replaced by an asterisk; no row goes."""
     prepare(spark)
-    return secrets.mask(secrets.scan(docs)).select(*docs.columns)
+    (spans,) = unused(docs, "spans")
+    return secrets.mask(secrets.scan(docs, spans=spans), spans=spans).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

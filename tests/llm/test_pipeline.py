@@ -38,7 +38,8 @@ def planted(spark):
     folder = scratch_path(spark, "planted")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     docs = docs_df(spark, rows).withColumns({"lang": F.when(F.col("doc_id") % 2 == 1, "en").otherwise("fr"), "source": F.lit("s"), "n_chars": F.length("text"),
-                                            "key": F.lit(1), "hash": F.lit("x")})
+                                            "key": F.lit(1), "hash": F.lit("x"), "score": F.lit(7.5), "spans": F.lit("s"), "lang_pred": F.lit("l"),
+                                            **{f"__{c}": F.lit(c) for c in ("kinds", "key", "score", "familiar", "language", "spans", "id", "text", "k1", "h1")}})
     docs.write.parquet(f"{folder}/documents.parquet")
     return folder, rows
 
@@ -51,6 +52,8 @@ def test_each_stage_does_its_whole_job(spark, planted):
         docs = written(stage(spark, docs, folder), f"test-{name}")
         results[name] = docs
         assert name == "packing" or docs.columns == columns
+        if name != "packing":  # the input's own columns come out as they were
+            assert docs.select("score", "spans", "lang_pred", "__kinds", "__id").distinct().collect() == [(7.5, "s", "l", "kinds", "id")]
     ids = {name: sorted(r.doc_id for r in df.select("doc_id").collect()) for name, df in results.items()}
     spoken = [(d, t) for d, t in rows if d not in (130, 131, 132, 133)]
     assert ids["language_id"] == sorted(d for d, _ in spoken)
@@ -89,7 +92,7 @@ def test_empty_table_passes_every_stage(spark, planted):
 
 def test_one_query_for_each_operator_and_the_pipeline():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(registry.QUERIES) | {"pipeline"} <= names and set(registry.ORACLE) <= set(registry.QUERIES)
     assert corpus_pipeline.ORACLE_SQL is None
 
