@@ -281,7 +281,7 @@ def _in_blocks(df: DataFrame, block: str, blocks: str) -> DataFrame:
         .withColumn("side", (F.col(block) > low).cast("int")).drop("__other")
 
 
-def candidate_edges(nodes: DataFrame, similarity: float) -> DataFrame:
+def candidate_edges(nodes: DataFrame, similarity: float, runs: int) -> DataFrame:
     """(a, b): pairs of nodes that connect every bucket's pairs of close sketches.
 
     ``nodes``: (k1, k2, sketch, paths), one row a node.
@@ -315,7 +315,7 @@ def candidate_edges(nodes: DataFrame, similarity: float) -> DataFrame:
         found.append(_bucket_edges(_in_blocks(dense, "block", "blocks"), similarity))
 
     labels, low = None, 0
-    for k, high in enumerate(_stages(nodes, similarity)):
+    for k, high in enumerate(_stages(runs, similarity)):
         own = nodes.select("k1", "k2", F.slice("paths", low + 1, high - low).alias("paths"), F.col("k1").alias("label"))
         if labels is not None:
             own = own.join(labels, ["k1", "k2"], "left").withColumn("label", F.coalesce("new", "label"))
@@ -328,11 +328,10 @@ def candidate_edges(nodes: DataFrame, similarity: float) -> DataFrame:
     return _edges(reduce(DataFrame.unionAll, found))
 
 
-def _stages(nodes: DataFrame, similarity: float) -> list[int]:
+def _stages(runs: int, similarity: float) -> list[int]:
     """Ends of the paths of each of the first ``ALONE`` runs, and of all."""
-    first = nodes.select(F.size("paths").alias("n")).first()
-    ends = np.cumsum([len(sampled_places(r, similarity)) for r in range(1, 1 + ALONE)]).tolist()
-    return [e for e in ends if first and e < first["n"]] + ([first["n"]] if first else [])
+    ends = np.cumsum([len(sampled_places(r, similarity)) for r in range(1, 1 + runs)]).tolist()
+    return [*ends[:ALONE], *ends[ALONE:][-1:]]
 
 
 def _edges(pairs: DataFrame) -> DataFrame:
@@ -422,10 +421,11 @@ def _with_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """(k1, k2, doc_id, class_id, class_key, n_links) of every row; (k1, k2) names the row's text."""
-    rows = written(sketched(docs, runs_for(recall, similarity), similarity), "shingle-sketches")
+    runs = runs_for(recall, similarity)
+    rows = written(sketched(docs, runs, similarity), "shingle-sketches")
     nodes = written(rows.groupBy("k1", "k2").agg(F.count("*").alias("size"), F.min("doc_id").alias("rep_id"), F.first("n").alias("n"),
                                                  F.first("sketch").alias("sketch"), F.first("paths").alias("paths")), "shingle-nodes")
-    edges = candidate_edges(nodes.where("n > 0").select("k1", "k2", "sketch", "paths"), similarity)
+    edges = candidate_edges(nodes.where("n > 0").select("k1", "k2", "sketch", "paths"), similarity, runs)
     groups = components(edges, "near-candidates").select(
         F.col("root.k1").alias("r1"), F.col("root.k2").alias("r2"), F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"))
     members = groups.join(nodes.select("k1", "k2", "size", "rep_id", "n"), ["k1", "k2"])

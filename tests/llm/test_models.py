@@ -1,5 +1,6 @@
 """Language identification, pseudo-likelihood scores and fingerprints."""
 
+import dataclasses
 import hashlib
 import inspect
 import random
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from knnspark.llm import langid, pseudo_lm, syncmers
+from knnspark.llm.words import WordHasher
 from tests.conftest import SF_CHECK
 from tests.llm.helpers import AWKWARD, DOCS, EXTRA, docs_df
 
@@ -52,66 +54,145 @@ def test_backoff_takes_the_longest_known_grams():
 
 # ---------------------------------------------------------------- pseudo-likelihood
 
-def test_scores_equal_the_forward_formula_and_beat_unigrams(spark):
+def _by_formula(model, text, counts, weights=None):
+    """Log-probabilities of a text's words, one at a time."""
+    w, v = weights or model.weights, model.vocabulary
+    hashes, endings = WordHasher.get().words_and_endings(text)
+    ranks = [v.hashes.tolist().index(h) if h in v.hashes else -1 for h in hashes.tolist()]
+    rows = [r if 0 <= r < pseudo_lm.INPUT_WORDS else pseudo_lm.INPUT_WORDS + e % pseudo_lm.ENDINGS for r, e in zip(ranks, endings.tolist())]
+    padded, out = [pseudo_lm.EDGE] * 2 + rows + [pseudo_lm.EDGE] * 2, []
+    for k, (rank, ending, h) in enumerate(zip(ranks, endings.tolist(), hashes.view(np.int64).tolist())):
+        of = rank if 0 <= rank < pseudo_lm.SINGLE else pseudo_lm.SINGLE + ending % (pseudo_lm.CLASSES - pseudo_lm.SINGLE)
+        hidden = np.maximum(w["embed"][[padded[k], padded[k + 1], padded[k + 3], padded[k + 4]]].ravel() @ w["mid"] + w["mid_bias"], 0)
+        top = (hidden @ w["top"] + w["top_bias"]).astype(float)
+        low = (hidden @ w["low"][of // 16] + w["low_bias"][of // 16]).astype(float)
+        share = np.log((counts.get(h, 0) + 0.5) / (v.mass[of] + 0.5 * (v.kinds[of] + 1)))
+        out.append(top[of // 16] - np.log(np.exp(top).sum()) + low[of % 16] - np.log(np.exp(low).sum()) + share)
+    return out
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text")
-    weights, vocabulary = pseudo_lm.train(docs, stride=4)
-    counts = pseudo_lm.count_ids(docs)
-    unigram = np.log((counts + 0.5) / (counts + 0.5).sum())
-    rows = pseudo_lm.score(docs, weights, vocabulary).collect()
+    model = pseudo_lm.train(docs)
+    return docs, model, {r.word: r.n for r in model.counts.collect()}, pseudo_lm.score(docs, model).collect()
+
+
+def test_scores_equal_the_forward_formula(trained):
+    docs, model, counts, rows = trained
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert len(rows) == len(texts)
-    for r in rows[:25]:
-        ids = pseudo_lm.ids_of(texts[r.doc_id])
-        padded = [pseudo_lm.EDGE] * 2 + vocabulary.inputs[ids].tolist() + [pseudo_lm.EDGE] * 2
-        total = 0.0
-        for k, word in enumerate(ids):
-            context = [padded[k], padded[k + 1], padded[k + 3], padded[k + 4]]
-            hidden = np.tanh(weights["embed"][context].ravel() @ weights["mid"] + weights["mid_bias"])
-            logits = (hidden @ weights["out"] + weights["out_bias"]).astype(float)
-            total += logits[vocabulary.classes[word]] - np.log(np.exp(logits).sum()) + vocabulary.share[word]
-        assert r.n_words == len(ids) and abs(r.log_prob - total) < 1e-3 * abs(total) + 1e-3
-    model = sum(r.log_prob for r in rows)
-    assert model > sum(unigram[pseudo_lm.ids_of(t)].sum() for t in texts.values()) + 0.05 * sum(r.n_words for r in rows)
+    for r in sorted(rows, key=lambda r: r.n_words)[:400:16]:
+        want = _by_formula(model, texts[r.doc_id], counts)
+        assert r.n_words == len(want) and abs(r.log_prob - sum(want)) < 1e-3 * abs(sum(want)) + 1e-3
+
+
+def test_rare_words_are_joined_with_their_counts(spark, trained):
+    docs, model, counts, rows = trained
+    few = dataclasses.replace(model, vocabulary=pseudo_lm.vocabulary_of(model.counts, known=300))
+    assert 128 < len(few.vocabulary.hashes) <= 300
+    part = docs.where("doc_id < 12").unionByName(spark.createDataFrame([(10**6, "neverseenword the xyzzyq neverseenword")], DOCS))
+    got = {r.doc_id: r for r in pseudo_lm.score(part, few).collect()}
+    for r in part.collect():
+        want = _by_formula(few, r.text, counts)
+        assert abs(got[r.doc_id].log_prob - sum(want)) < 1e-3 * abs(sum(want)) + 1e-3
+
+
+def test_counts_are_exact_and_better_than_unigrams(trained):
+    docs, model, counts, rows = trained
+    want = {}
+    for r in docs.collect():
+        for h in WordHasher.get().words(r.text).view(np.int64).tolist():
+            want[h] = want.get(h, 0) + 1
+    assert counts == want
+    v, total = model.vocabulary, sum(want.values())
+    assert int(v.mass.sum()) == total and int(v.kinds.sum()) == len(want)
+    unigram = sum(n * np.log((n + 0.5) / (total + 0.5 * (len(want) + 1))) for n in want.values())
+    assert sum(r.log_prob for r in rows) > unigram + 0.3 * total
+
+
+def test_gradients_equal_finite_differences():
+    rng = np.random.default_rng(3)
+    w = {k: rng.standard_normal(s) * 0.3 for k, s in pseudo_lm.SHAPES.items()}
+    x, y = rng.integers(0, 40, (30, pseudo_lm.WIDTH)).astype(np.int16), rng.integers(0, pseudo_lm.CLASSES, 30).astype(np.uint8)
+
+    def loss():
+        h = np.maximum(w["embed"][x].reshape(len(y), -1) @ w["mid"] + w["mid_bias"], 0)
+        top = h @ w["top"] + w["top_bias"]
+        low = np.stack([a @ w["low"][c // 16] + w["low_bias"][c // 16] for a, c in zip(h, y)])
+        at = np.arange(len(y))
+        return -np.mean(top[at, y // 16] - np.log(np.exp(top).sum(1)) + low[at, y % 16] - np.log(np.exp(low).sum(1)))
+
+    dense, rows, embed = pseudo_lm.gradients(w, x, y)
+    full = np.zeros(pseudo_lm.SHAPES["embed"])
+    full[rows] = embed
+    for name, grad in (dense | {"embed": full}).items():
+        flat = w[name].reshape(-1)
+        for k in [*rng.integers(0, flat.size, 6), *np.argsort(-abs(grad).ravel())[:6]]:
+            was = flat[k]
+            flat[k] = was + 1e-5
+            up = loss()
+            flat[k] = was - 1e-5
+            slope = (up - loss()) / 2e-5
+            flat[k] = was
+            assert abs(slope - grad.ravel()[k]) < 1e-6 + 1e-4 * abs(slope), (name, k)
+
+
+def test_probabilities_sum_to_one(trained):
+    _, model, counts, _ = trained
+    v = model.vocabulary
+    shares = np.zeros(pseudo_lm.CLASSES)
+    rows = model.counts.collect()
+    ranks = v.known(np.array([r.word for r in rows]).view(np.uint64))
+    of = v.classes(ranks, np.array([r.ending for r in rows]))
+    np.add.at(shares, of, (np.array([r.n for r in rows]) + 0.5) / np.exp(v.log_total())[of])
+    unseen = 0.5 / np.exp(v.log_total())
+    assert np.allclose(shares + unseen, 1)
+    h = np.abs(np.random.default_rng(0).standard_normal((5, pseudo_lm.HIDDEN)))
+    scorer = pseudo_lm.Scorer(model.weights)
+    total = 0
+    for c in range(pseudo_lm.CLASSES):
+        top = scorer._own(h @ model.weights["top"] + model.weights["top_bias"], np.full(5, c // 16))
+        total = total + np.exp(top + scorer._own(h @ model.weights["low"][c // 16] + model.weights["low_bias"][c // 16], np.full(5, c % 16)))
+    assert np.allclose(total, 1, atol=1e-5)
 
 
 def test_default_training_reads_every_word(spark):
     cycle = ["one", "two", "three", "four", "five", "six", "seven", "eight"]  # a stride of 8 or 16 meets one of them
-    docs = spark.createDataFrame([(1, " ".join(cycle * 2000))], DOCS)
-    (row,) = pseudo_lm.score(docs, *pseudo_lm.train(docs)).collect()
+    docs = spark.createDataFrame([(1, " ".join(cycle * 4000))], DOCS)
+    (row,) = pseudo_lm.score(docs, pseudo_lm.train(docs)).collect()
     assert row.mean_log_prob > -0.5
     defaults = {k: p.default for k, p in inspect.signature(pseudo_lm.train).parameters.items()}
     assert defaults["stride"] <= defaults["rounds"]
 
 
-def test_default_training_beats_unigrams(spark):
-    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text")
-    weights, vocabulary = pseudo_lm.train(docs)
-    counts = pseudo_lm.count_ids(docs)
-    unigram = np.log((counts + 0.5) / (counts + 0.5).sum())
-    rows = pseudo_lm.score(docs, weights, vocabulary).collect()
-    base = sum(unigram[pseudo_lm.ids_of(r.text)].sum() for r in docs.collect())
-    assert sum(r.log_prob for r in rows) > base + 0.05 * sum(r.n_words for r in rows)
+def test_documents_that_occur_twice_score_higher(spark):
+    rng = random.Random(4)
+    text = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(60))
+    once, twice = [text() for _ in range(30)], [text() for _ in range(30)]
+    rows = [(k, t) for k, t in enumerate(once + twice + twice)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    found = {r.doc_id: r.mean_log_prob for r in pseudo_lm.score(docs, pseudo_lm.train(docs)).collect()}
+    assert min(found[k] for k in range(30, 90)) > max(found[k] for k in range(30))
 
 
-def test_probabilities_sum_to_one():
-    vocabulary = pseudo_lm.Vocabulary.of(np.random.default_rng(0).integers(0, 50, pseudo_lm.BUCKETS))
-    weights = pseudo_lm.start_weights(vocabulary)
-    shares = np.bincount(vocabulary.classes, weights=np.exp(vocabulary.share.astype(float)), minlength=pseudo_lm.CLASSES)
-    assert np.allclose(shares, 1, atol=1e-3) and vocabulary.classes.max() == pseudo_lm.CLASSES - 1
-    scorer = pseudo_lm.Scorer(weights, vocabulary)
-    texts = [np.array([1, k, 3]) for k in range(0, pseudo_lm.BUCKETS, 7)]
-    assert np.isfinite(scorer.log_probs(texts)).all()
+def test_weights_of_many_tasks_are_added_level_by_level(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"some words {k} to learn from {k % 3}") for k in range(60)], DOCS).repartition(13)
+    vocabulary = pseudo_lm.vocabulary_of(pseudo_lm.count_words(docs))
+    start = pseudo_lm.start_weights(vocabulary)
+    once = pseudo_lm.train_round(docs, start, vocabulary, 1, 0, 0.1, 64)
+    monkeypatch.setattr(pseudo_lm, "FAN", 3)
+    again = pseudo_lm.train_round(docs, start, vocabulary, 1, 0, 0.1, 64)
+    assert all(np.allclose(once[k], again[k], atol=1e-6) for k in once)
 
 
 def test_awkward_texts_are_scored(spark):
-    docs = docs_df(spark, AWKWARD + [(10, "some words to learn from")], EXTRA)
-    weights, vocabulary = pseudo_lm.train(docs)
-    rows = {r.doc_id: r for r in pseudo_lm.score(docs, weights, vocabulary).collect()}
+    docs = docs_df(spark, AWKWARD + [(10, "some words to learn from")], EXTRA + ["word", "times"])
+    rows = {r.doc_id: r for r in pseudo_lm.score(docs, pseudo_lm.train(docs)).collect()}
     assert all((rows[k].n_words, rows[k].log_prob, rows[k].mean_log_prob) == (0, 0.0, None) for k in (1, 2, 3, 4))
     assert rows[8].n_words == 30_001 and rows[10].mean_log_prob < 0
     empty = spark.createDataFrame([], DOCS)
-    weights, vocabulary = pseudo_lm.train(empty)
-    assert pseudo_lm.score(empty, weights, vocabulary).collect() == []
+    assert pseudo_lm.score(empty, pseudo_lm.train(empty)).collect() == []
 
 
 # ---------------------------------------------------------------- fingerprints
