@@ -55,9 +55,9 @@ def main() -> None:
     methods = {}
     idx_flat = ivfflat.build_ivfflat(base, cluster.label_median_matrix(base))
     pq_index = pq.build_ivfpq(base, R.PQ_PARAMS, (idx_flat.cids, idx_flat.C))
-    pq_index.codes = pq_index.codes.cache()
-    pq_index.codes.count()
-    pq_wide = pq.PQIndex(R.RECALL_PQ, pq_index.cids, pq_index.C, pq_index.codebooks, pq_index.codes)
+    pq_index.blocks = pq_index.blocks.cache()
+    pq_index.blocks.count()
+    pq_wide = pq.PQIndex(R.RECALL_PQ, pq_index.cids, pq_index.C, pq_index.codebooks, pq_index.blocks)
     pivot_index = pivot.build(base, block_rows=R.PIVOT_ROWS)
     plans = {
         "exact": lambda n: exact.knn(base, queries, n),
