@@ -1,14 +1,14 @@
 """Language identification by words first, then by shorter and shorter character n-grams.
 
-Learning: from labelled documents (a random sample of about ``max_docs`` of them, whole texts), Spark
-counts words by language and, from those counts, character n-grams of one to four characters of the
+Learning: from labelled documents (of each language a random sample of about ``max_docs``, or all if there are
+fewer, so a rare language is learned alike at every size; whole texts), Spark counts words by language and, from those counts, character n-grams of one to four characters of the
 words between boundary marks.  The most frequent ``max_words`` words and ``max_grams`` n-grams are kept;
 they bound the model.
 
 Prediction: a known word adds the logarithm of its smoothed frequency in each language.  An unseen
 word is read end by end: at each of its characters the longest known n-gram that ends there gives its
 log frequency, and the mean over the characters stands for the word.  The language with the largest
-sum (plus the log share of each language in the sample) wins; the score is its share after the exponential.
+sum (plus the log share of each language in all labelled documents) wins; the score is its share after the exponential.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every text if
 nothing could be learned.  Rows without a language are never learned from.  Ties go to the language
@@ -143,12 +143,12 @@ def _table_of(counts: DataFrame, languages: list[str], limit: int, least: int, b
     return units, np.log((n + _SMOOTH) / base).astype(np.float32)
 
 
-def learn(labelled: DataFrame, max_docs: int = 20_000, max_words: int = 150_000, max_grams: int = 60_000, seed: int = 11) -> Model:
+def learn(labelled: DataFrame, max_docs: int = 5_000, max_words: int = 150_000, max_grams: int = 60_000, seed: int = 11) -> Model:
     """A model from the text and lang of ``labelled`` (rows without either are left out)."""
     rows = labelled.select("text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = rows.count()
-    if n > max_docs:
-        rows = rows.sample(fraction=max_docs / n, seed=seed)
+    shares = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if any(n > max_docs for n in shares.values()):
+        rows = rows.sampleBy("lang", {c: min(1.0, max_docs / n) for c, n in shares.items()}, seed)
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 2048):
@@ -172,7 +172,6 @@ def learn(labelled: DataFrame, max_docs: int = 20_000, max_words: int = 150_000,
     words = rows.mapInArrow(count_words, kind).groupBy("lang", "unit").agg(F.sum("n").alias("n"))
     words = written(words, "language-words")
     grams = words.mapInArrow(count_grams, kind).groupBy("lang", "unit").agg(F.sum("n").alias("n"))
-    shares = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(shares)
     if not languages:
         empty = np.zeros((0, 0), np.float32)
