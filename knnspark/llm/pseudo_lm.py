@@ -1,27 +1,33 @@
 """Masked pseudo-likelihood scores from a bidirectional window network, trained in NumPy.
 
-Words are hashed to ``BUCKETS`` ids, and Spark counts every id over all documents.  The network sees
-the ``SIDE`` words on each side of a masked word (embeddings of the frequent ids, hashed ones for the
-others, a boundary mark outside the text), and one hidden layer predicts the word in two steps: a
-softmax over classes (a class for each of the most frequent ids, the others in classes of equal mass),
-times the id's share of its class in the corpus.  So all ids of a text have a probability, and they sum
-to 1.  A document's score is the sum of the conditional log-probabilities of its words.
+Spark counts every word of all documents into a table, which grows with the corpus.  The network sees
+the ``SIDE`` words on each side of a masked word (embeddings of the frequent words, of their endings for the
+others, a boundary mark outside the text), and one hidden layer predicts the word in three steps: a
+softmax over groups of classes, one over the classes of the word's group, and the word's share of its class in
+the corpus.  The most frequent words are classes of their own; the others are classed by their last two
+letters, which tell the language and form that a context asks for.  A class keeps half a count for every word in it and for
+all words that the corpus doesn't have, so the probabilities of a masked word sum to 1.  A document's score is the
+sum of the conditional log-probabilities of its words.
 
 Training is data-parallel: in each of ``rounds`` rounds, every task starts from the same weights and
 takes gradient steps on windows of all of its documents (every ``stride``-th word, another offset each
-round; by default as many as rounds, so every word is a target once), and the weights are averaged, weighted by windows, in two levels on Spark.  What the rounds
-gather grows with the number of tasks, thus with the input; the driver only holds one set of weights
-and the ids' counts.
+round; by default as many as rounds, so every word is a target once), and the weights are averaged, weighted by
+windows, on Spark in groups of ``FAN`` tasks, level by level.  What the rounds gather grows with the number of tasks,
+thus with the input; the driver holds one set of weights and the ``KNOWN`` most frequent words at most.
+
+Scoring is one pass over the texts.  Shares of the frequent words are at hand in the task; the other words leave it as
+(document, word, times) and are joined with the table of counts.
 
 Defined results: null and empty texts, and texts without words, have 0 words, log_prob 0 and no mean;
 repeated rows, null and repeated ids are scored row by row; an empty table gives no rows; whole texts
-are read; other columns are ignored.
+are read; other columns are ignored.  Weights depend on how the documents are partitioned.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -29,154 +35,239 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from knnspark.llm.common import pieces
+from knnspark.llm.common import pieces, written
 from knnspark.llm.words import WordHasher
 
-BUCKETS, FREQUENT, HASHED = 1 << 16, 4096, 1024
-SINGLE, SHARED = 192, 64  # classes of one id, and classes of equal mass for the other ids
+KNOWN, INPUT_WORDS, ENDINGS = 1 << 16, 4096, 1024
+SINGLE, GROUP, CLASSES = 128, 16, 256  # classes of one word, classes of a group, classes in all
 SIDE, DIM, HIDDEN = 2, 16, 32
-INPUTS, EDGE, CLASSES, WIDTH = FREQUENT + HASHED + 1, FREQUENT + HASHED, SINGLE + SHARED, 2 * SIDE
-SHAPES = {"embed": (INPUTS, DIM), "mid": (WIDTH * DIM, HIDDEN), "mid_bias": (HIDDEN,), "out": (HIDDEN, CLASSES), "out_bias": (CLASSES,)}
-CHUNK = 1 << 9  # rows whose class layer stays in a core's cache
+INPUTS, EDGE, WIDTH, GROUPS = INPUT_WORDS + ENDINGS + 1, INPUT_WORDS + ENDINGS, 2 * SIDE, CLASSES // GROUP
+SHAPES = {"embed": (INPUTS, DIM), "mid": (WIDTH * DIM, HIDDEN), "mid_bias": (HIDDEN,), "top": (HIDDEN, GROUPS), "top_bias": (GROUPS,),
+          "low": (GROUPS, HIDDEN, GROUP), "low_bias": (GROUPS, GROUP)}
+HALF = 0.5     # count that every word, and all unseen ones of a class together, have besides
+FAN = 64       # tasks whose weights are added in one group
+_SLOTS = 22    # bits of the table that finds known words
+_BUFFER = 1 << 21  # words counted together before they leave a task
 
 
 @dataclass
 class Vocabulary:
-    """What the counts say of each of the ``BUCKETS`` ids: its input row, its class, its log share of the class."""
-
-    inputs: np.ndarray
-    classes: np.ndarray
-    share: np.ndarray
-    class_counts: np.ndarray
-
-    @classmethod
-    def of(cls, counts: np.ndarray) -> "Vocabulary":
-        rank = np.empty(BUCKETS, np.int64)
-        order = np.lexsort((np.arange(BUCKETS), -counts))
-        rank[order] = np.arange(BUCKETS)
-        inputs = np.where(rank < FREQUENT, rank, FREQUENT + np.arange(BUCKETS) % HASHED).astype(np.int32)
-        smooth = counts.astype(np.float64) + 0.5
-        mass = np.cumsum(smooth[order[SINGLE:]])
-        shared = SINGLE + np.minimum((mass * SHARED / mass[-1]).astype(np.int64), SHARED - 1)
-        classes = np.empty(BUCKETS, np.int32)
-        classes[order] = np.concatenate([np.arange(SINGLE), shared])
-        total = np.bincount(classes, weights=smooth, minlength=CLASSES)
-        return cls(inputs, classes, np.log(smooth / total[classes]).astype(np.float32), total)
+    """The most frequent words by rank (hash, count), and the mass and number of words of every class."""
+
+    hashes: np.ndarray
+    counts: np.ndarray
+    endings: np.ndarray
+    mass: np.ndarray
+    kinds: np.ndarray
+    least: int = 1  # words counted less often are not among the known ones
+    _slots: np.ndarray | None = field(default=None, repr=False)
+
+    def known(self, hashes: np.ndarray) -> np.ndarray:
+        """Rank of each word, or -1.  (Of words that meet in a slot, the most frequent is known.)"""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1, np.int32)
+        shift = np.uint64(64 - _SLOTS)
+        if self._slots is None:
+            self._slots = np.full(1 << _SLOTS, -1, np.int32)
+            self._slots[(self.hashes >> shift).astype(np.int64)[::-1]] = np.arange(len(self.hashes), dtype=np.int32)[::-1]
+        rank = self._slots[(hashes >> shift).astype(np.int64)]
+        return np.where((rank >= 0) & (self.hashes[rank] == hashes), rank, np.int32(-1))
+
+    def classes(self, rank: np.ndarray, endings: np.ndarray) -> np.ndarray:
+        return np.where((rank >= 0) & (rank < SINGLE), rank, SINGLE + endings % (CLASSES - SINGLE)).astype(np.uint8)
+
+    def inputs(self, rank: np.ndarray, endings: np.ndarray) -> np.ndarray:
+        return np.where((rank >= 0) & (rank < INPUT_WORDS), rank, INPUT_WORDS + endings % ENDINGS).astype(np.int16)
+
+    def log_total(self) -> np.ndarray:
+        """Log of each class's mass, with half a count for each of its words and for the unseen."""
+        return np.log(self.mass + HALF * (self.kinds + 1.0))
+
+    def log_shares(self) -> np.ndarray:
+        """Log share of each known word in its class."""
+        of = self.classes(np.arange(len(self.hashes)), self.endings)
+        return (np.log(self.counts + HALF) - self.log_total()[of]).astype(np.float32)
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """(word, ending, n): how often each word (by 64 bits of hash) occurs in all documents; written."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
 
+        def counted() -> pa.RecordBatch:
+            hashes, endings = (np.concatenate([h[k] for h in held]) for k in range(2))
+            which, words = pd.factorize(hashes)
+            ending = np.zeros(len(words), np.int32)
+            ending[which] = endings
+            return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(ending), pa.array(np.bincount(which, minlength=len(words)))],
+                                              names=["word", "ending", "n"])
 
-def ids_of(text: str) -> np.ndarray:
-    return (WordHasher.get().words(text) >> np.uint64(48)).astype(np.int64)
+        for batch in pieces(batches, 256):
+            for text in batch.column(0).to_pylist():
+                if text:
+                    held.append(WordHasher.get().words_and_endings(text))
+                    n += len(held[-1][0])
+                    if n >= _BUFFER:
+                        yield counted()
+                        held, n = [], 0
+        if n:
+            yield counted()
+
+    counts = docs.select("text").mapInArrow(run, "word long, ending int, n long")
+    return written(counts.groupBy("word").agg(F.min("ending").alias("ending"), F.sum("n").alias("n")), "word-counts")
+
+
+def vocabulary_of(counts: DataFrame, known: int = KNOWN) -> Vocabulary:
+    """The known words are those above the least count that ``known`` words at most reach; equal counts are in or out
+    together.  A row for each different count, each class and each known word goes to the driver."""
+    sizes = sorted(((r["n"], r["words"]) for r in counts.groupBy("n").agg(F.count("*").alias("words")).collect()), reverse=True)
+    total, least = 0, None
+    for n, words in sizes:
+        total += words
+        if total > known:
+            break
+        least = n
+    if least is None:
+        least = sizes[0][0] + 1 if sizes else 1
+    top = counts.where(F.col("n") >= least).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    hashes, endings, n = top["word"].to_numpy(np.int64).view(np.uint64), top["ending"].to_numpy(np.int32), top["n"].to_numpy(np.int64)
+    mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+    of = (F.lit(SINGLE) + F.col("ending") % (CLASSES - SINGLE)).alias("class")
+    for r in counts.groupBy(of).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
+        mass[r["class"]], kinds[r["class"]] = r["n"], r["words"]
+    own = SINGLE + endings[:SINGLE] % (CLASSES - SINGLE)
+    np.subtract.at(mass, own, n[:SINGLE])
+    np.subtract.at(kinds, own, 1)
+    mass[:len(n[:SINGLE])], kinds[:len(n[:SINGLE])] = n[:SINGLE], 1
+    return Vocabulary(hashes, n, endings, mass, kinds, least)
 
 
 def start_weights(vocabulary: Vocabulary, seed: int = 5) -> dict[str, np.ndarray]:
-    """Small random weights; the output bias is each class's log share of the corpus."""
+    """Small random weights; the output biases are each group's and class's log share of the corpus."""
     rng = np.random.default_rng(seed)
-    weights = {k: (rng.standard_normal(s) * (0.3 if k == "embed" else s[0] ** -0.5)).astype(np.float32) for k, s in SHAPES.items()}
+    weights = {k: (rng.standard_normal(s) * (0.3 if k == "embed" else WIDTH * DIM if k == "mid" else HIDDEN) ** (1 if k == "embed" else -0.5))
+               .astype(np.float32) for k, s in SHAPES.items()}
+    mass = (vocabulary.mass + HALF * (vocabulary.kinds + 1)).reshape(GROUPS, GROUP)
     weights["mid_bias"][:] = 0
-    weights["out"] *= 0.1
-    weights["out_bias"][:] = np.log(vocabulary.class_counts / vocabulary.class_counts.sum())
+    weights["top"] *= 0.1
+    weights["low"] *= 0.1
+    weights["top_bias"][:] = np.log(mass.sum(axis=1) / mass.sum())
+    weights["low_bias"][:] = np.log(mass / mass.sum(axis=1, keepdims=True))
     return weights
 
 
-def windows(texts: list[np.ndarray], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(padded input rows of all texts, places of their words in it, ids of the words).
+def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(padded input rows of all texts, places of their words in it).
 
     ``SIDE`` boundary marks stand before, between and after the texts, so every word has its window.
     """
     counts = np.array([len(t) for t in texts], np.int64)
     total = int(counts.sum())
-    ids = np.concatenate(texts) if total else np.zeros(0, np.int64)
     at = np.arange(total) + SIDE * (1 + np.repeat(np.arange(len(texts)), counts))
-    rows = np.full(total + SIDE * (len(texts) + 1), EDGE, np.int32)
-    rows[at] = vocabulary.inputs[ids]
-    return rows, at, ids
+    rows = np.full(total + SIDE * (len(texts) + 1), EDGE, np.int16)
+    if total:
+        rows[at] = np.concatenate(texts)
+    return rows, at
 
 
 _OFFSETS = np.array([o for o in range(-SIDE, SIDE + 1) if o])
 
 
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
+
+
+def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Gradients of the mean negative log-probability of classes ``y`` after contexts ``x``: by name, and of the
+    ``embed`` rows that occur.  A class's group alone is computed, so rows go by class."""
+    order = np.argsort(y, kind="stable")
+    x, y = x[order], y[order]
+    n, group, of = len(y), y // GROUP, y % GROUP
+    e = w["embed"][x].reshape(n, WIDTH * DIM)
+    h = e @ w["mid"]
+    h += w["mid_bias"]
+    np.maximum(h, 0, out=h)
+    scale = h.dtype.type(1 / n)
+    top = _softmax(h @ w["top"] + w["top_bias"])
+    top[np.arange(n), group] -= 1
+    top *= scale
+    back = top @ w["top"].T
+    low, low_bias = np.zeros_like(w["low"]), np.zeros_like(w["low_bias"])
+    cuts = np.searchsorted(group, np.arange(GROUPS + 1))
+    for g in np.flatnonzero(np.diff(cuts)).tolist():
+        a, b = cuts[g], cuts[g + 1]
+        delta = _softmax(h[a:b] @ w["low"][g] + w["low_bias"][g])
+        delta[np.arange(b - a), of[a:b]] -= 1
+        delta *= scale
+        low[g], low_bias[g] = h[a:b].T @ delta, delta.sum(axis=0)
+        back[a:b] += delta @ w["low"][g].T
+    back *= h > 0
+    flat, each = x.ravel(), (back @ w["mid"].T).reshape(n * WIDTH, DIM)
+    by_row = np.argsort(flat, kind="stable")
+    ranked = flat[by_row]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    dense = {"top": h.T @ top, "top_bias": top.sum(axis=0), "low": low, "low_bias": low_bias, "mid": e.T @ back, "mid_bias": back.sum(axis=0)}
+    return dense, ranked[first], np.add.reduceat(each[by_row], first, axis=0)
+
+
 class Trainer:
-    """Adagrad on minibatches of windows."""
+    """Adagrad on minibatches of windows; a row of ``embed`` has one step size."""
 
     def __init__(self, weights: dict[str, np.ndarray], rate: float, batch: int):
         self.w = {k: v.copy() for k, v in weights.items()}
-        self.sums = {k: np.full_like(v, 1e-2) for k, v in weights.items()}
+        self.sums = {k: np.full(v.shape[:1] if k == "embed" else v.shape, 1e-2, np.float32) for k, v in weights.items()}
         self.rate, self.batch, self.seen = rate, batch, 0
 
-    def _step(self, name: str, grad: np.ndarray, rows: np.ndarray | None = None) -> None:
-        w, s = self.w[name], self.sums[name]
-        if rows is None:
-            s += grad * grad
-            w -= self.rate * grad / np.sqrt(s)
-        else:
-            s[rows] += grad * grad
-            w[rows] -= self.rate * grad / np.sqrt(s[rows])
-
     def learn(self, contexts: np.ndarray, targets: np.ndarray) -> None:
-        room = np.empty((min(self.batch, len(targets)), CLASSES), np.float32)
         for low in range(0, len(targets), self.batch):
-            x, y = contexts[low:low + self.batch], targets[low:low + self.batch]
-            n = len(y)
-            e = self.w["embed"][x].reshape(n, WIDTH * DIM)
-            h = np.tanh(e @ self.w["mid"] + self.w["mid_bias"])
-            delta = np.matmul(h, self.w["out"], out=room[:n])
-            delta += self.w["out_bias"]
-            delta -= delta.max(axis=1, keepdims=True)
-            np.exp(delta, out=delta)
-            delta /= n * delta.sum(axis=1, keepdims=True)
-            delta[np.arange(n), y] -= np.float32(1 / n)
-            back = (delta @ self.w["out"].T) * (1 - h * h)
-            flat, grad_e = x.ravel(), (back @ self.w["mid"].T).reshape(n * WIDTH, DIM)
-            order = np.argsort(flat, kind="stable")
-            ranked = flat[order]
-            first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-            self._step("out", h.T @ delta)
-            self._step("out_bias", delta.sum(axis=0))
-            self._step("mid", e.T @ back)
-            self._step("mid_bias", back.sum(axis=0))
-            self._step("embed", np.add.reduceat(grad_e[order], first, axis=0), ranked[first])
-            self.seen += n
+            dense, rows, embed = gradients(self.w, contexts[low:low + self.batch], targets[low:low + self.batch])
+            for name, grad in dense.items():
+                s = self.sums[name]
+                s += grad * grad
+                self.w[name] -= self.rate * grad / np.sqrt(s)
+            s = self.sums["embed"][rows] + np.einsum("ij,ij->i", embed, embed) / DIM
+            self.sums["embed"][rows] = s
+            self.w["embed"][rows] -= embed * (self.rate / np.sqrt(s))[:, None]
+            self.seen += len(targets[low:low + self.batch])
 
 
 class Scorer:
-    """Log-probabilities of words; the products of embeddings and each place's weights are made once."""
+    """Log-probabilities of classes; the products of embeddings and each place's weights are made once."""
 
-    def __init__(self, weights: dict[str, np.ndarray], vocabulary: Vocabulary):
+    CHUNK = 1 << 10  # words whose layers stay in a core's cache
+
+    def __init__(self, weights: dict[str, np.ndarray]):
         mid = weights["mid"].reshape(WIDTH, DIM, HIDDEN)
         self.tables = [np.ascontiguousarray(weights["embed"] @ mid[k]) for k in range(WIDTH)]
-        self.weights, self.vocabulary = weights, vocabulary
-
-    def log_probs(self, texts: list[np.ndarray]) -> np.ndarray:
-        """One for each word of all texts, in order."""
-        rows, at, ids = windows(texts, self.vocabulary)
-        out = np.empty(len(ids), np.float32)
-        for low in range(0, len(ids), CHUNK):
-            here = at[low:low + CHUNK]
-            mid = self.weights["mid_bias"] + sum(t[rows[here + o]] for t, o in zip(self.tables, _OFFSETS))
-            logits = np.tanh(mid) @ self.weights["out"]
-            logits += self.weights["out_bias"]
-            target = ids[low:low + CHUNK]
-            logits -= logits.max(axis=1, keepdims=True)
-            own = logits[np.arange(len(here)), self.vocabulary.classes[target]]
-            out[low:low + CHUNK] = own - np.log(np.exp(logits, out=logits).sum(axis=1)) + self.vocabulary.share[target]
+        self.w = weights
+
+    def log_probs(self, texts: list[np.ndarray], classes: np.ndarray) -> np.ndarray:
+        """Of the class of each word of all texts (input rows), in order."""
+        rows, at = windows(texts)
+        out = np.empty(len(at), np.float32)
+        for low in range(0, len(at), self.CHUNK):
+            target = classes[low:low + self.CHUNK]
+            order = np.argsort(target, kind="stable")
+            here, target = at[low:low + self.CHUNK][order], target[order]
+            group, of, n = target // GROUP, target % GROUP, len(target)
+            h = self.w["mid_bias"] + sum(t[rows[here + o]] for t, o in zip(self.tables, _OFFSETS))
+            np.maximum(h, 0, out=h)
+            found = self._own(h @ self.w["top"] + self.w["top_bias"], group)
+            cuts = np.searchsorted(group, np.arange(GROUPS + 1))
+            for g in np.flatnonzero(np.diff(cuts)).tolist():
+                a, b = cuts[g], cuts[g + 1]
+                found[a:b] += self._own(h[a:b] @ self.w["low"][g] + self.w["low_bias"][g], of[a:b])
+            out[low + order] = found
         return out
 
-
-def count_ids(docs: DataFrame) -> np.ndarray:
-    """How often each id occurs in all documents (``BUCKETS`` rows at most go to the driver)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
-        for batch in pieces(batches, 1024):
-            for text in batch.column(0).to_pylist():
-                if text:
-                    np.add.at(counts, ids_of(text), 1)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at])], names=["id", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(BUCKETS, np.int64)
-    counts[rows["id"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
-    return counts
+    @staticmethod
+    def _own(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+        logits -= logits.max(axis=1, keepdims=True)
+        own = logits[np.arange(len(target)), target]
+        return own - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
 _PART = 1 << 14
@@ -206,58 +297,99 @@ def train_round(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: Voc
         task = TaskContext.get().partitionId()
         order = np.random.default_rng([task, offset])
         for piece in pieces(batches, 1024):
-            rows, at, ids = windows([ids_of(t) for t in piece.column(0).to_pylist() if t], vocabulary)
-            picked = order.permutation(np.arange(offset, len(ids), stride))
-            trainer.learn(rows[at[picked][:, None] + _OFFSETS], vocabulary.classes[ids[picked]])
+            inputs, classes = [], []
+            for text in piece.column(0).to_pylist():
+                hashes, endings = WordHasher.get().words_and_endings(text or "")
+                rank = vocabulary.known(hashes)
+                inputs.append(vocabulary.inputs(rank, endings))
+                classes.append(vocabulary.classes(rank, endings))
+            rows, at = windows(inputs)
+            picked = order.permutation(np.arange(offset, len(at), stride))
+            if len(picked):
+                trainer.learn(rows[at[picked][:, None] + _OFFSETS], np.concatenate(classes)[picked])
         if trainer.seen:
             flat = _flat(trainer.w).astype(np.float64) * trainer.seen
             cuts = range(0, len(flat), _PART)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(cuts)), pa.int32()), pa.array([task % 64] * len(cuts), pa.int32()),
-                 pa.array([float(trainer.seen)] * len(cuts)), pa.array([flat[c:c + _PART].astype("<f4").tobytes() for c in cuts], pa.binary())],
+                [pa.array(range(len(cuts)), pa.int32()), pa.array([task // FAN] * len(cuts), pa.int32()),
+                 pa.array([float(trainer.seen)] * len(cuts)), pa.array([flat[c:c + _PART].tobytes() for c in cuts], pa.binary())],
                 names=["part", "salt", "windows", "sums"])
 
-    def add(keys: list[str]):
-        def of(pdf: pd.DataFrame) -> pd.DataFrame:
-            total = np.sum([np.frombuffer(b, "<f4").astype(np.float64) for b in pdf["sums"]], axis=0).astype("<f4").tobytes()
-            return pd.DataFrame({"part": [pdf["part"].iloc[0]], "salt": [0 if len(keys) == 1 else pdf["salt"].iloc[0]],
-                                 "windows": [pdf["windows"].sum()], "sums": [total]})
-        return of
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(b, "<f8") for b in pdf["sums"]], axis=0).tobytes()
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "salt": pdf["salt"].iloc[:1] // FAN, "windows": [pdf["windows"].sum()], "sums": [total]})
 
     kind = "part int, salt int, windows double, sums binary"
-    sums = docs.select("text").mapInArrow(run, kind)
-    for keys in (["part", "salt"], ["part"]):
-        sums = sums.groupBy(*keys).applyInPandas(add(keys), kind)
+    texts = docs.select("text")
+    sums = texts.mapInArrow(run, kind)
+    for _ in range(max(1, math.ceil(math.log(max(2, texts.rdd.getNumPartitions()), FAN)))):  # FAN tasks a group, then FAN of those
+        sums = sums.groupBy("part", "salt").applyInPandas(add, kind)
     rows = sorted(sums.collect(), key=lambda r: r["part"])  # one set of weights
     if not rows:
         return weights
-    return _shaped(np.concatenate([np.frombuffer(r["sums"], "<f4") / r["windows"] for r in rows]))
+    return _shaped(np.concatenate([np.frombuffer(r["sums"], "<f8") / r["windows"] for r in rows]))
+
+
+@dataclass
+class Model:
+    weights: dict[str, np.ndarray]
+    vocabulary: Vocabulary
+    counts: DataFrame  # (word, ending, n)
 
 
-def train(docs: DataFrame, rounds: int = 2, stride: int = 2, rate: float = 0.2, batch: int = 128) -> tuple[dict[str, np.ndarray], Vocabulary]:
-    vocabulary = Vocabulary.of(count_ids(docs))
+def train(docs: DataFrame, rounds: int = 2, stride: int = 2, rate: float = 0.2, batch: int = 512) -> Model:
+    counts = count_words(docs)
+    vocabulary = vocabulary_of(counts)
     weights = start_weights(vocabulary)
     for k in range(rounds):
         weights = train_round(docs, weights, vocabulary, stride, k * stride // rounds, rate, batch)
-    return weights, vocabulary
+    return Model(weights, vocabulary, counts)
 
 
-def score(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: Vocabulary) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_words, log_prob, mean_log_prob) of every row."""
-    shipped = docs.sparkSession.sparkContext.broadcast((weights, vocabulary))
+    shipped = docs.sparkSession.sparkContext.broadcast((model.weights, model.vocabulary))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(*shipped.value)
+        weights, vocabulary = shipped.value
+        scorer, shares, totals = Scorer(weights), vocabulary.log_shares(), vocabulary.log_total()
         for batch in pieces(batches, 512):
-            texts = [ids_of(t) if t else np.zeros(0, np.int64) for t in batch.column(1).to_pylist()]
-            n = np.array([len(t) for t in texts])
-            sums = np.concatenate([[0.0], np.cumsum(scorer.log_probs(texts), dtype=np.float64)])
+            found = [WordHasher.get().words_and_endings(t or "") for t in batch.column(2).to_pylist()]
+            n = np.array([len(h) for h, _ in found], np.int64)
+            hashes, endings = (np.concatenate([f[k] for f in found]) for k in range(2))
+            rank = vocabulary.known(hashes)
+            classes, inputs = vocabulary.classes(rank, endings), vocabulary.inputs(rank, endings)
             ends = np.cumsum(n)
-            total = sums[ends] - sums[ends - n]
-            with np.errstate(invalid="ignore"):
-                mean = pa.array(total / n, mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(total), mean],
-                                             names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
-
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_words long, log_prob double, mean_log_prob double")
+            log_p = scorer.log_probs(np.split(inputs, ends[:-1]), classes).astype(np.float64)
+            # A word that isn't at hand: its class's mass here, its own count by the join.
+            rare = rank < 0
+            log_p += np.where(rare, -totals[classes], shares[rank] if len(shares) else 0.0)
+            sums = np.concatenate([[0.0], np.cumsum(log_p)])
+            doc, at = np.repeat(np.arange(len(n)), n)[rare], hashes[rare].view(np.int64)
+            order = np.lexsort((at, doc))
+            doc, at = doc[order], at[order]
+            first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])]) if len(doc) else np.zeros(0, np.int64)
+            times = np.diff(np.r_[first, len(doc)])
+            key, none = batch.column(0), pa.nulls(len(first), pa.int64())
+            yield pa.RecordBatch.from_arrays([key, batch.column(1), pa.array(n), pa.array(sums[ends] - sums[ends - n]), pa.nulls(len(n), pa.int64()),
+                                              pa.nulls(len(n), pa.int64())], names=["key", "doc_id", "n_words", "log_prob", "word", "times"])
+            if len(first):
+                yield pa.RecordBatch.from_arrays([key.take(pa.array(doc[first])), pa.nulls(len(first), batch.column(1).type), none,
+                                                  pa.nulls(len(first), pa.float64()), pa.array(at[first]), pa.array(times)],
+                                                 names=["key", "doc_id", "n_words", "log_prob", "word", "times"])
+
+    keyed = docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text")
+    made = written(keyed.mapInArrow(run, f"key long, doc_id {id_type}, n_words long, log_prob double, word long, times long"), "scored")
+    others = model.counts.where(F.col("n") <= _largest_rare(model.vocabulary)).select("word", "n")
+    rare = made.where("word IS NOT NULL").select("key", "word", "times").join(others, "word", "left")
+    added = rare.groupBy("key").agg(F.sum(F.col("times") * F.log(F.coalesce("n", F.lit(0)) + F.lit(HALF))).alias("added"))
+    rows = made.where("n_words IS NOT NULL").select("key", "doc_id", "n_words", "log_prob").join(added, "key", "left")
+    total = F.col("log_prob") + F.coalesce("added", F.lit(0.0))
+    return rows.select("doc_id", "n_words", total.alias("log_prob"), F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_prob"))
+
+
+def _largest_rare(vocabulary: Vocabulary) -> int:
+    """The largest count of a word that tasks don't have at hand: below the least known count, but for words that lost their slot."""
+    lost = vocabulary.known(vocabulary.hashes) < 0
+    return int(max(vocabulary.least - 1, vocabulary.counts[lost].max(initial=0)))

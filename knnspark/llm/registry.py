@@ -32,8 +32,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-log-likelihood of every document under a network trained on all of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    weights, vocabulary = pseudo_lm.train(docs)
-    return pseudo_lm.score(docs, weights, vocabulary)
+    return pseudo_lm.score(docs, pseudo_lm.train(docs))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,9 +42,13 @@ class WordHasher:
 
     def words(self, text: str) -> np.ndarray:
         """A hash for each word: differences of a running polynomial, shifted to the word's own start."""
+        return self.words_and_endings(text)[0]
+
+    def words_and_endings(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """A hash for each word, and 16 bits of one for its last two characters."""
         codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
         if not len(codes):
-            return np.zeros(0, np.uint64)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int32)
         inside = np.zeros(len(codes) + 2, bool)
         inside[1:-1] = self.in_word[codes]
         edges = np.flatnonzero(inside[1:] != inside[:-1])
@@ -52,4 +56,5 @@ class WordHasher:
         self._powers(len(codes) + 1)
         running = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * self.down[:len(codes)], out=running[1:])
-        return mix((running[end] - running[start]) * self.up[start])
+        last = codes[end - 1].astype(np.uint64) * np.uint64(0x110000) + codes[np.maximum(end - 2, start)]
+        return mix((running[end] - running[start]) * self.up[start]), (mix(last) >> np.uint64(48)).astype(np.int32)

@@ -42,6 +42,65 @@ def test_awkward_texts_and_columns(spark):
     assert langid.identify(spark.createDataFrame([], DOCS), model).collect() == []
 
 
+def test_a_rare_language_is_learned_whole(spark):
+    rng = random.Random(5)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randint(2, 6)))
+    rows = [(" ".join(word("abcdefgh") for _ in range(12)), "common") for _ in range(3000)]
+    rare = [(" ".join(word("opqrstuv") for _ in range(12)), "rare") for _ in range(20)]
+    model = langid.learn(spark.createDataFrame(rows + rare, "text string, lang string").repartition(4), max_docs=100)
+    assert model.languages == ["common", "rare"] and np.allclose(np.exp(model.prior), [3000 / 3020, 20 / 3020])
+    known = {w for t, _ in rare for w in t.split()}
+    assert {w for w in known if sum(t.split().count(w) for t, _ in rare) > 1} <= set(model.words)
+    assert all(model.predict(t)[0] == "rare" for t, _ in rare) and all(model.predict(t)[0] == "common" for t, _ in rows[:50])
+
+
+def test_prediction_equals_brute_force(spark):
+    """Counts, smoothing and back-off recomputed from the labelled texts, word by word."""
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.learn(langid.learned_from(docs))
+    rows = docs.collect()
+    learned = [r for r in rows if r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 and r.lang and r.text]
+    words, grams, sizes = {}, {}, {}
+    for r in learned:
+        sizes[r.lang] = sizes.get(r.lang, 0) + 1
+        for w in langid.words_of(r.text):
+            words.setdefault(w, {}).setdefault(r.lang, 0)
+            words[w][r.lang] += 1
+    for w, by in words.items():
+        for g in langid.grams_of(w):
+            for lang, n in by.items():
+                grams.setdefault(g, {}).setdefault(lang, 0)
+                grams[g][lang] += n
+    langs = sorted(sizes)
+    assert model.languages == langs and np.allclose(model.prior, np.log([sizes[c] / len(learned) for c in langs]))
+
+    def row(unit, table, same):
+        of = [(u, by) for u, by in table.items() if same(u)]
+        return [np.log((table[unit].get(c, 0) + 0.1) / (sum(by.get(c, 0) for _, by in of) + 0.1 * max(1, sum(c in by for _, by in of)))) for c in langs]
+
+    assert set(model.words) == {w for w, by in words.items() if sum(by.values()) >= 2}
+    assert set(model.grams) == {g for g, by in grams.items() if sum(by.values()) >= 3}
+    rng = random.Random(1)
+    for w in rng.sample(model.words, 25):
+        assert np.allclose(model.word_rows[model.words.index(w)], row(w, words, lambda u: True), atol=1e-5)
+    for g in rng.sample(model.grams, 25):
+        assert np.allclose(model.gram_rows[model.grams.index(g)], row(g, grams, lambda u, n=len(g): len(u) == n), atol=1e-5)
+    known = {w: model.word_rows[k].astype(float) for k, w in enumerate(model.words)}
+    short = {g: model.gram_rows[k].astype(float) for k, g in enumerate(model.grams)}
+    for r in rng.sample([r for r in rows if r.text and len(r.text) < 3000], 40):
+        total = model.prior.copy()
+        for w in langid.words_of(r.text):
+            if w in known:
+                total = total + known[w]
+                continue
+            marked = f"<{w}>"
+            ends = [next((short[marked[e - n:e]] for n in (4, 3, 2, 1) if n <= e and marked[e - n:e] in short), None) for e in range(2, len(marked) + 1)]
+            ends = [e for e in ends if e is not None]
+            total = total + (np.mean(ends, axis=0) if ends else 0)
+        lang, score = model.predict(r.text)
+        assert lang == langs[int(np.argmax(total))] and abs(score - 1 / np.exp(total - total.max()).sum()) < 1e-3
+
+
 def test_backoff_takes_the_longest_known_grams():
     rows = np.log(np.array([[0.5, 0.1], [0.2, 0.3], [0.1, 0.6]], np.float32))
     model = langid.Model(["a", "b"], np.log([0.5, 0.5]), ["known"], np.zeros((1, 2), np.float32), ["b", "ab", "<ab"], rows)
