@@ -12,7 +12,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -155,10 +154,6 @@ def check_broadcast(nbytes: int, what: str, max_bytes: int = DEFAULT_MAX_BROADCA
         raise MemoryError(f"{what} is {nbytes} bytes, above the broadcast bound of {max_bytes}")
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
 def probed_only(lists: DataFrame, probed: DataFrame, on: list[str], max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """``lists`` without the rows whose ``on`` columns aren't among the probed ones.
 

@@ -4,7 +4,6 @@ import struct
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from knnspark.functions.distance import metric_name
 from knnspark.operators import cluster, exact, hypercube, ivfflat, lsh, pq

@@ -1,6 +1,5 @@
 """The query side stays in Spark: blocks, one reading of the base, nothing collected, run-time filters."""
 
-import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import DataFrame, functions as F
