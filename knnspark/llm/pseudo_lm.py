@@ -9,7 +9,7 @@ letters, which tell the language and form that a context asks for.  A class keep
 all words that the corpus doesn't have, so the probabilities of a masked word sum to 1.  A document's score is the
 sum of the conditional log-probabilities of its words.
 
-Training is data-parallel: in each of ``rounds`` rounds, every task starts from the same weights and
+Words are numbered once, three bytes each, in a table.  Training is data-parallel: in each of ``rounds`` rounds, every task starts from the same weights and
 takes gradient steps on windows of all of its documents (every ``stride``-th word, another offset each
 round; by default as many as rounds, so every word is a target once), and the weights are averaged, weighted by
 windows, on Spark in groups of ``FAN`` tasks, level by level.  What the rounds gather grows with the number of tasks,
@@ -40,7 +40,7 @@ from knnspark.llm.words import WordHasher
 
 KNOWN, INPUT_WORDS, ENDINGS = 1 << 16, 4096, 1024
 SINGLE, GROUP, CLASSES = 128, 16, 256  # classes of one word, classes of a group, classes in all
-SIDE, DIM, HIDDEN = 2, 16, 32
+SIDE, DIM, HIDDEN = 2, 8, 24
 INPUTS, EDGE, WIDTH, GROUPS = INPUT_WORDS + ENDINGS + 1, INPUT_WORDS + ENDINGS, 2 * SIDE, CLASSES // GROUP
 SHAPES = {"embed": (INPUTS, DIM), "mid": (WIDTH * DIM, HIDDEN), "mid_bias": (HIDDEN,), "top": (HIDDEN, GROUPS), "top_bias": (GROUPS,),
           "low": (GROUPS, HIDDEN, GROUP), "low_bias": (GROUPS, GROUP)}
@@ -286,27 +286,37 @@ def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def train_round(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: Vocabulary, stride: int, offset: int,
-                rate: float, batch: int) -> dict[str, np.ndarray]:
-    """Weights after every task's steps on its documents, averaged by windows."""
-    shipped = docs.sparkSession.sparkContext.broadcast((weights, vocabulary))
+def numbered(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(inputs, classes) of every document with words: two bytes and one for each of them."""
+    shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, vocabulary = shipped.value
-        trainer = Trainer(weights, rate, batch)
+        vocabulary = shipped.value
+        for batch in pieces(batches, 1024):
+            found = [f for t in batch.column(0).to_pylist() if t and len((f := WordHasher.get().words_and_endings(t))[0])]
+            if found:
+                hashes, endings = (np.concatenate([f[k] for f in found]) for k in range(2))
+                rank, ends = vocabulary.known(hashes), np.cumsum([len(f[0]) for f in found])[:-1]
+                cols = (np.split(a, ends) for a in (vocabulary.inputs(rank, endings), vocabulary.classes(rank, endings)))
+                yield pa.RecordBatch.from_arrays([pa.array([a.tobytes() for a in c], pa.binary()) for c in cols], names=["inputs", "classes"])
+
+    return docs.select("text").mapInArrow(run, "inputs binary, classes binary")
+
+
+def train_round(rows: DataFrame, weights: dict[str, np.ndarray], stride: int, offset: int, rate: float, batch: int) -> dict[str, np.ndarray]:
+    """Weights after every task's steps on its documents (``numbered``), averaged by windows."""
+    shipped = rows.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer = Trainer(shipped.value, rate, batch)
         task = TaskContext.get().partitionId()
         order = np.random.default_rng([task, offset])
         for piece in pieces(batches, 1024):
-            inputs, classes = [], []
-            for text in piece.column(0).to_pylist():
-                hashes, endings = WordHasher.get().words_and_endings(text or "")
-                rank = vocabulary.known(hashes)
-                inputs.append(vocabulary.inputs(rank, endings))
-                classes.append(vocabulary.classes(rank, endings))
-            rows, at = windows(inputs)
+            padded, at = windows([np.frombuffer(b, np.int16) for b in piece.column(0).to_pylist()])
+            classes = np.frombuffer(b"".join(piece.column(1).to_pylist()), np.uint8)
             picked = order.permutation(np.arange(offset, len(at), stride))
             if len(picked):
-                trainer.learn(rows[at[picked][:, None] + _OFFSETS], np.concatenate(classes)[picked])
+                trainer.learn(padded[at[picked][:, None] + _OFFSETS], classes[picked])
         if trainer.seen:
             flat = _flat(trainer.w).astype(np.float64) * trainer.seen
             cuts = range(0, len(flat), _PART)
@@ -320,14 +330,13 @@ def train_round(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: Voc
         return pd.DataFrame({"part": pdf["part"].iloc[:1], "salt": pdf["salt"].iloc[:1] // FAN, "windows": [pdf["windows"].sum()], "sums": [total]})
 
     kind = "part int, salt int, windows double, sums binary"
-    texts = docs.select("text")
-    sums = texts.mapInArrow(run, kind)
-    for _ in range(max(1, math.ceil(math.log(max(2, texts.rdd.getNumPartitions()), FAN)))):  # FAN tasks a group, then FAN of those
+    sums = rows.select("inputs", "classes").mapInArrow(run, kind)
+    for _ in range(max(1, math.ceil(math.log(max(2, rows.rdd.getNumPartitions()), FAN)))):  # FAN tasks a group, then FAN of those
         sums = sums.groupBy("part", "salt").applyInPandas(add, kind)
-    rows = sorted(sums.collect(), key=lambda r: r["part"])  # one set of weights
-    if not rows:
+    found = sorted(sums.collect(), key=lambda r: r["part"])  # one set of weights
+    if not found:
         return weights
-    return _shaped(np.concatenate([np.frombuffer(r["sums"], "<f8") / r["windows"] for r in rows]))
+    return _shaped(np.concatenate([np.frombuffer(r["sums"], "<f8") / r["windows"] for r in found]))
 
 
 @dataclass
@@ -337,12 +346,12 @@ class Model:
     counts: DataFrame  # (word, ending, n)
 
 
-def train(docs: DataFrame, rounds: int = 2, stride: int = 2, rate: float = 0.2, batch: int = 512) -> Model:
+def train(docs: DataFrame, rounds: int = 2, stride: int = 2, rate: float = 0.3, batch: int = 1024) -> Model:
     counts = count_words(docs)
     vocabulary = vocabulary_of(counts)
-    weights = start_weights(vocabulary)
+    weights, rows = start_weights(vocabulary), written(numbered(docs, vocabulary), "numbered-words")
     for k in range(rounds):
-        weights = train_round(docs, weights, vocabulary, stride, k * stride // rounds, rate, batch)
+        weights = train_round(rows, weights, stride, k * stride // rounds, rate, batch)
     return Model(weights, vocabulary, counts)
 
 

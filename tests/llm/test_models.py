@@ -239,9 +239,11 @@ def test_weights_of_many_tasks_are_added_level_by_level(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"some words {k} to learn from {k % 3}") for k in range(60)], DOCS).repartition(13)
     vocabulary = pseudo_lm.vocabulary_of(pseudo_lm.count_words(docs))
     start = pseudo_lm.start_weights(vocabulary)
-    once = pseudo_lm.train_round(docs, start, vocabulary, 1, 0, 0.1, 64)
+    rows = pseudo_lm.numbered(docs, vocabulary)
+    assert rows.rdd.getNumPartitions() == 13
+    once = pseudo_lm.train_round(rows, start, 1, 0, 0.1, 64)
     monkeypatch.setattr(pseudo_lm, "FAN", 3)
-    again = pseudo_lm.train_round(docs, start, vocabulary, 1, 0, 0.1, 64)
+    again = pseudo_lm.train_round(rows, start, 1, 0, 0.1, 64)
     assert all(np.allclose(once[k], again[k], atol=1e-6) for k in once)
 
 
