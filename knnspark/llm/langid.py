@@ -32,14 +32,16 @@ from knnspark.llm.common import pieces, written
 
 UNKNOWN = "und"
 ORDERS = (4, 3, 2, 1)
-#: Characters that regular expressions count as part of a word, but that are numbers and no letters.
-_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_WORD = re.compile(rf"[^\W\d_{re.escape(_NUMBERS)}]+")
+_WORD = re.compile(r"[^\W\d_]+")  # numbers that aren't decimal digits are still in it
 _SMOOTH = 0.1
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Lower-cased runs of letters."""
+    found = _WORD.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in ([run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
 
 
 def grams_of(word: str) -> Iterator[str]:
