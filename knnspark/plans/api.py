@@ -178,6 +178,8 @@ def save(index: Index, path: str) -> None:
     spark = index.base.sparkSession
     out = path.rstrip("/")
     cfg = dataclasses.asdict(index.config) if dataclasses.is_dataclass(index.config) else {}
+    if index.method == "brute" and index.model is None:
+        cfg["pivots"] = 0  # an empty base has no pivots
     meta = {"method": index.method, "metric": index.metric, "config": cfg}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").text(f"{out}/meta")
     m = index.model

@@ -76,3 +76,11 @@ def test_capped_cube_gives_both_outputs_from_what_it_examined(split):
     rows = lambda df: sorted(map(tuple, df.collect()))
     assert rows(near) == rows(hypercube.search(model, base, queries, 5))
     assert rows(hits) == rows(hypercube.range_search(model, base, queries, 1.3))
+
+
+def test_pivot_index_of_an_empty_base(spark, split, tmp_path):
+    base, queries = split
+    index = api.build("brute", base.limit(0), api.BruteConfig(pivots=4))
+    assert api.search(index, queries, 3)[0].count() == 0
+    api.save(index, str(tmp_path / "empty"))
+    assert api.search(api.load(spark, str(tmp_path / "empty"), base.limit(0)), queries, 3)[0].count() == 0
