@@ -178,6 +178,38 @@ def gemm_error_bound(rn: np.ndarray, cn: np.ndarray, d: int) -> np.ndarray:
     return 4.0 * (d + 2) * eps * (rn[:, None] + cn[None, :]) + 1e-300
 
 
+# Elements of a float32 tile that stays in a core's cache.
+_L1_TILE, _L1_WIDTH = 1 << 15, 1 << 9
+
+
+def l1_near(Q: np.ndarray, X: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """L1 distances of all pairs in float32, and a bound on their error, whatever the summation order.
+
+    They are sums of the larger elements, ``sum |q - x| = 2 sum max(q, x) - sum q - sum x``, dimension by dimension, so no
+    difference tensor is made.  A pair's bound depends on its own two vectors only; rounding to float32 is part of it."""
+    nq, d = Q.shape
+    larger = np.empty((nq, len(X)))
+    with np.errstate(over="ignore"):
+        QT, XT = np.ascontiguousarray(Q.T, dtype=np.float32), np.ascontiguousarray(X.T, dtype=np.float32)
+    height = max(1, _L1_TILE // max(1, min(len(X), _L1_WIDTH)))
+    with np.errstate(over="ignore", invalid="ignore"):
+        for x0 in range(0, len(X), _L1_WIDTH):
+            for q0 in range(0, nq, height):
+                a, b = QT[:, q0:q0 + height, None], XT[:, None, x0:x0 + _L1_WIDTH]
+                total = np.zeros((a.shape[1], b.shape[2]), np.float32)
+                one = np.empty_like(total)
+                for k in range(d):
+                    np.maximum(a[k], b[k], out=one)
+                    total += one
+                larger[q0:q0 + height, x0:x0 + _L1_WIDTH] = total
+        larger *= 2
+        larger -= Q.sum(axis=1)[:, None]
+        larger -= X.sum(axis=1)[None, :]
+    eps = float(np.finfo(np.float32).eps)
+    err = 2.0 * (d + 2) * eps * (np.abs(Q).sum(axis=1)[:, None] + np.abs(X).sum(axis=1)[None, :]) + 1e-30
+    return larger, err
+
+
 def not_above(low: np.ndarray, threshold) -> tuple[np.ndarray, np.ndarray]:
     """Pairs whose lower bound isn't proven to exceed the threshold (an overflow proves nothing)."""
     return np.nonzero(~(low > threshold))

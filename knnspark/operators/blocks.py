@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from knnspark.functions.distance import arrow_matrix
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bound, scratch_path
 
+# Rows that a block's queries keep in a task at most (top-N, or the first M), so that its state doesn't grow with the queries.
+KEPT_ROWS = 1 << 20
+
 # Base rows buffered while the blocks are streamed past them (only with more than one block).
 CHUNK_BYTES = 64 << 20
 
@@ -30,11 +33,11 @@ _last: tuple[str, "Block"] | None = None
 
 @dataclass
 class Block:
-    """Some queries: ids, vectors, and the other columns of the side."""
+    """Some queries: ids, vectors, and the other columns of the side (lists stay Arrow)."""
 
     qids: np.ndarray
     Q: np.ndarray
-    extra: dict[str, np.ndarray]
+    extra: dict[str, np.ndarray | pa.Array]
 
 
 def shared_files(uri: str) -> tuple["object", list[str]]:
@@ -93,7 +96,7 @@ class QuerySide:
         table = pa.Table.from_batches(batches).select(names)
         Q, _ = arrow_matrix(table.column("qv"), self.dim)
         return Block(table.column("qid").to_numpy().astype(np.int64), np.ascontiguousarray(Q),
-                     {c: table.column(c).to_numpy() for c in self.extra})
+                     {c: _values(table.column(c)) for c in self.extra})
 
     def scan(self, batches: Iterator[pa.RecordBatch],
              solve: Callable[[Block], Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]]) -> Iterator[pa.RecordBatch]:
@@ -109,6 +112,10 @@ class QuerySide:
                 yield from solve(block)(iter(chunk))
 
 
+def _values(column: pa.ChunkedArray) -> np.ndarray | pa.Array:
+    return column.combine_chunks() if pa.types.is_list(column.type) else column.to_numpy()
+
+
 def chunks(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[list[pa.RecordBatch]]:
     held, size = [], 0
     for batch in batches:
@@ -130,11 +137,12 @@ def valid_queries(queries: DataFrame, dim: int, extra: tuple[str, ...] = ()) ->
 
 
 def query_side(queries: DataFrame, dim: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-               extra: tuple[str, ...] = ()) -> QuerySide | None:
+               extra: tuple[str, ...] = (), keep: int = 0, unique: bool = True) -> QuerySide | None:
     """The valid queries, written into the shared folder; None if there are none.
 
-    ``max_bytes`` bounds a block, whatever the number of queries.  Repeated ids raise, as their answers would be
-    mixed up.  Two numbers come back to the driver."""
+    ``max_bytes`` bounds a block, whatever the number of queries, and so does ``keep``, the rows that a task keeps for each
+    of them.  Repeated ids raise, as their answers would be mixed up, unless that is wanted (``unique``).  Two numbers
+    come back to the driver."""
     spark, path = queries.sparkSession, scratch_path(queries.sparkSession, "queries")
     valid = valid_queries(queries, dim, extra)
     valid.hint("rebalance").write.parquet(path)  # files of a fair size, however many tasks the queries came from
@@ -142,10 +150,13 @@ def query_side(queries: DataFrame, dim: int, max_bytes: int = DEFAULT_MAX_BROADC
     found = ids.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("ids")).first()
     if not found["rows"]:
         return None
-    if found["rows"] != found["ids"]:
+    if unique and found["rows"] != found["ids"]:
         raise ValueError(f"{found['rows'] - found['ids']} query rows repeat the id of another")
     row_bytes = 8 * max(dim, 1) + 48 + 8 * len(extra)
-    return QuerySide(path, int(found["rows"]), dim, max(1, broadcast_bound(max_bytes) // row_bytes), extra)
+    block_rows = broadcast_bound(max_bytes) // row_bytes
+    if keep:
+        block_rows = min(block_rows, KEPT_ROWS // keep)
+    return QuerySide(path, int(found["rows"]), dim, max(1, block_rows), extra)
 
 
 def check_broadcast(nbytes: int, what: str, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> None:

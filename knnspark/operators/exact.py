@@ -4,7 +4,8 @@ Plan: base scan -> ``mapInArrow`` past the query side's blocks (NumPy, local top
 -> shuffle of at most ``N`` rows per (query, task) on ``qid`` -> windowed final top-N ordered by
 ``(dist, id)``.  The base side is never shuffled or replicated.  For L2 the task kernel filters
 with one BLAS matrix product and a proven rounding bound, then scores the few survivors from
-explicit differences (exact answers at GEMM speed); L1 is scored directly.
+explicit differences (exact answers at GEMM speed); L1 is filtered by float32 sums with a proven bound.  Queries and base rows meet
+in tiles of bounded size, so a task's memory doesn't grow with the number of queries beyond their block and top-N rows.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from knnspark.functions.distance import arrow_matrix, gemm_error_bound, metric_name, not_above, pairwise, smallest_k
+from knnspark.functions.distance import arrow_matrix, gemm_error_bound, l1_near, metric_name
 from knnspark.operators.blocks import query_side
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES, scratch_path
 from knnspark.sources.vectors import vector_dim
@@ -23,8 +24,10 @@ PAIR_SCHEMA = "qid bigint, id bigint, dist double, top boolean, hit boolean"
 NEIGHBOR_SCHEMA = "qid bigint, rank int, id bigint, dist double"
 RANGE_SCHEMA = "qid bigint, id bigint, dist double"
 
-# Bound on (queries x base rows) distances held at once inside a task (~128 MB of doubles).
-_TASK_ELEMS = 1 << 24
+# Distances held at once inside a task, of so many queries with as many base rows (8 MB of doubles, with a few
+# temporaries of that size, whatever the number of queries).
+_TASK_ELEMS = 1 << 20
+_TILE_QUERIES = 1 << 11
 
 
 def _pair_batch(qid, ids, dist, top: bool, hit: bool) -> pa.RecordBatch:
@@ -35,24 +38,59 @@ def _pair_batch(qid, ids, dist, top: bool, hit: bool) -> pa.RecordBatch:
         names=["qid", "id", "dist", "top", "hit"])
 
 
-def _gemm_kernel(payload, n: int, radius: float | None):
-    """Exact L2 search with a GEMM pre-filter.
+def near_distances(Q: np.ndarray, X: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs' distances (L2: squared) up to a proven error, and that bound for each pair."""
+    if metric == "l1":
+        return l1_near(Q, X)
+    qn, xn = np.einsum("ij,ij->i", Q, Q), np.einsum("ij,ij->i", X, X)
+    return qn[:, None] + xn[None, :] - 2.0 * (Q @ X.T), gemm_error_bound(qn, xn, Q.shape[1])
+
+
+def _bound(high: np.ndarray, n: int, best: np.ndarray) -> np.ndarray:
+    """A bound on each query's N-th best of the chunk and those before: ``best`` of those before where all have one,
+    else no more than the N-th of the chunk's upper bounds."""
+    if n > high.shape[1] or np.isfinite(best).all():
+        return best[:, None]
+    return np.minimum(np.partition(high, n - 1, axis=1)[:, n - 1], best)[:, None]
 
-    One matrix product gives every squared distance up to a proven error bound for the pair.  A
-    query's top-N of the task all lie at or below T, the smaller of the N-th best upper bound of the
-    chunk and the N-th best exact distance of the chunks before, so only pairs whose lower bound
+
+def _scan_kernel(payload, metric: str, n: int, radius: float | None, allowed=None):
+    """Exact search with a pre-filter, tile by tile.
+
+    One matrix product (L1: sums in float32) gives every distance up to a proven error bound for the pair.  A
+    query's top-N of the task all lie at or below T, the N-th best exact distance of the chunks before (until there is
+    one, the N-th best upper bound of the chunk), so only pairs whose lower bound
     isn't above T are scored again from explicit differences, as are those for radius hits.  The
-    answer is exactly the one of the direct method.
+    answer is exactly the one of the direct method.  ``allowed(part, X)``: which pairs of a tile count, if not all.
     """
     from knnspark.operators.scan import GroupTopN, pair_distances
 
+    qids, Q = payload
+    power = 1 if metric == "l1" else 2
+
+    def near(part, X, best):
+        """Pairs that may be among the top-N, and those that may be hits; with their exact distances."""
+        A, err = near_distances(Q[part], X, metric)
+        meet = None if allowed is None else allowed(part, X)
+        low = A - err
+
+        def score(limit):
+            kept = ~(low > limit)  # an overflow proves nothing
+            qi, xi = np.nonzero(kept if meet is None else kept & meet)
+            return qi, xi, pair_distances(Q[part], X, qi, xi, metric)
+
+        top = hits = None
+        if n > 0:
+            high = A + err if meet is None else np.where(meet, A + err, np.inf)
+            top = score(_bound(high, n, best ** power * (1 + 1e-12)))
+        if radius is not None:
+            hits = score(radius ** power * (1 + 1e-12))
+        return top, hits
+
     def run(batches):
-        qids, Q = payload
         nq, d = Q.shape
-        qn = np.einsum("ij,ij->i", Q, Q)
         state = GroupTopN(n) if n > 0 else None
-        step = max(1, _TASK_ELEMS // max(nq, 1))
-        best = np.full(nq, np.inf)  # squared N-th best distance of each query so far
+        step = max(1, _TASK_ELEMS // max(min(nq, _TILE_QUERIES), 1))
         for rb in batches:
             if rb.num_rows == 0:
                 continue
@@ -60,23 +98,18 @@ def _gemm_kernel(payload, n: int, radius: float | None):
             X_all, _ = arrow_matrix(rb.column(1), d)
             for s in range(0, len(ids_all), step):
                 ids, X = ids_all[s:s + step], X_all[s:s + step]
-                xn = np.einsum("ij,ij->i", X, X)
-                A = qn[:, None] + xn[None, :] - 2.0 * (Q @ X.T)
-                err = gemm_error_bound(qn, xn, d)
-                low = A - err
-                if state is not None:
-                    k = min(n, A.shape[1])
-                    t = np.minimum(np.partition(A + err, k - 1, axis=1)[:, k - 1], best) if k == n else best
-                    qi, xi = not_above(low, t[:, None])
-                    state.add(qi, pair_distances(Q, X, qi, xi, "l2"), ids[xi])
-                    best = np.fmin(best, state.worst(nq) ** 2 * (1 + 1e-12))
-                if radius is not None:
-                    qi, xi = not_above(low, radius * radius * (1 + 1e-12))
-                    if len(qi):
-                        dist = pair_distances(Q, X, qi, xi, "l2")
+                best = state.worst(nq) if state is not None else np.empty(nq)
+                for q0 in range(0, nq, _TILE_QUERIES):
+                    part = slice(q0, q0 + _TILE_QUERIES)
+                    top, hits = near(part, X, best[part])
+                    if top is not None:
+                        qi, xi, dist = top
+                        state.add(q0 + qi, dist, ids[xi])
+                    if hits is not None:
+                        qi, xi, dist = hits
                         m = dist <= radius
                         if m.any():
-                            yield _pair_batch(qids[qi[m]], ids[xi[m]], dist[m], False, True)
+                            yield _pair_batch(qids[q0 + qi[m]], ids[xi[m]], dist[m], False, True)
         if state is not None:
             res = state.result()
             if res is not None:
@@ -85,36 +118,8 @@ def _gemm_kernel(payload, n: int, radius: float | None):
     return run
 
 
-def _scan_kernel(payload, metric: str, n: int, radius: float | None):
-    if metric == "l2":
-        return _gemm_kernel(payload, n, radius)
-
-    def run(batches):
-        qids, Q = payload
-        nq, d = Q.shape
-        best_d = np.empty((nq, 0))
-        best_i = np.empty((nq, 0), dtype=np.int64)
-        step = max(1, _TASK_ELEMS // max(nq, 1))
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            ids_all = rb.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            X_all, _ = arrow_matrix(rb.column(1), d)
-            for s in range(0, len(ids_all), step):
-                ids, X = ids_all[s:s + step], X_all[s:s + step]
-                D = pairwise(Q, X, metric)
-                if n > 0:
-                    cd = np.concatenate([best_d, D], axis=1)
-                    ci = np.concatenate([best_i, np.broadcast_to(ids, D.shape)], axis=1)
-                    best_d, best_i = smallest_k(cd, ci, n)
-                if radius is not None:
-                    qi, xi = np.nonzero(D <= radius)
-                    if len(qi):
-                        yield _pair_batch(qids[qi], ids[xi], D[qi, xi], False, True)
-        if n > 0 and best_d.size:
-            k = best_d.shape[1]
-            yield _pair_batch(np.repeat(qids, k), best_i.ravel(), best_d.ravel(), True, False)
-    return run
+def _gemm_kernel(payload, n: int, radius: float | None):
+    return _scan_kernel(payload, "l2", n, radius)
 
 
 def scan_pairs(base: DataFrame, queries: DataFrame, n: int = 0, radius: float | None = None,
@@ -124,7 +129,7 @@ def scan_pairs(base: DataFrame, queries: DataFrame, n: int = 0, radius: float |
 
     metric = metric_name(metric)
     d = vector_dim(base)
-    side = None if d is None else query_side(queries, d, max_block_bytes)
+    side = None if d is None else query_side(queries, d, max_block_bytes, keep=n)
     if side is None:
         return base.sparkSession.createDataFrame([], PAIR_SCHEMA)
     src = base.select(F.col("id").cast("bigint"), F.col("v").cast("array<double>"))

@@ -109,7 +109,7 @@ def _scan(index: IVFFlatIndex, queries: DataFrame, nprobe: int, n: int, radius:
     """Every point of the probed lists scored against its queries, in one pass."""
     if nprobe <= 0 or len(index.cids) == 0:
         return None
-    side = query_side(queries, index.C.shape[1], max_bytes)
+    side = query_side(queries, index.C.shape[1], max_bytes, keep=n)
     if side is None:
         return None
     check_broadcast(index.C.nbytes, "centroid matrix")

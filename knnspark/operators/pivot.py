@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knnspark.functions.distance import arrow_matrix, gemm_error_bound, metric_name, not_above, pairwise
+from knnspark.functions.distance import arrow_matrix, metric_name, not_above, pairwise
 from knnspark.operators.blocks import Block, QuerySide, check_broadcast, probed_only, query_side
-from knnspark.operators.exact import NEIGHBOR_SCHEMA, PAIR_SCHEMA, RANGE_SCHEMA, top_n
+from knnspark.operators.exact import NEIGHBOR_SCHEMA, PAIR_SCHEMA, RANGE_SCHEMA, near_distances, top_n
 from knnspark.operators.scan import GroupTopN, emit_scored, finish_topn, pair_distances, run_blocks
 from knnspark.session import scratch_path
 from knnspark.sources.vectors import vector_dim
@@ -40,8 +40,8 @@ STRETCH = 256
 # Above the rounding of distances, whatever the summation order.
 SLACK = 1e-9
 # Queries compared with a stretch at once, and distances or pairs held at once.
-_QUERIES = 1 << 14
-_ELEMS = 1 << 21
+_QUERIES = 1 << 12
+_ELEMS = 1 << 19
 
 
 @dataclass
@@ -196,16 +196,11 @@ def _home_kernel(payload):
 
 
 def _score(Q: np.ndarray, X: np.ndarray, bound: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs within their query's bound, and their distances.  L2 narrows by a matrix product first."""
-    if metric == "l2":
-        qn, xn = np.einsum("ij,ij->i", Q, Q), np.einsum("ij,ij->i", X, X)
-        low = qn[:, None] + xn[None, :] - 2.0 * (Q @ X.T) - gemm_error_bound(qn, xn, X.shape[1])
-        qi, xi = not_above(low, (bound * bound * (1 + 1e-12))[:, None])
-        dist = pair_distances(Q, X, qi, xi, "l2")
-    else:
-        D = pairwise(Q, X, metric)
-        qi, xi = np.nonzero(D <= bound[:, None])
-        return qi, xi, D[qi, xi]
+    """Pairs within their query's bound, and their distances.  Distances with a proven error narrow first."""
+    near, err = near_distances(Q, X, metric)
+    limit = bound if metric == "l1" else bound * bound
+    qi, xi = not_above(near - err, (limit * (1 + 1e-12))[:, None])
+    dist = pair_distances(Q, X, qi, xi, metric)
     keep = dist <= bound[qi]
     return qi[keep], xi[keep], dist[keep]
 

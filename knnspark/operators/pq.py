@@ -588,7 +588,7 @@ def adc_scan(index: PQIndex, queries: DataFrame, n: int, radius: float | None,
     ``sqrt(sum_m lut[m][code_m])`` and keeps a local top-N (or the radius hits)."""
     p = index.params
     check_broadcast(index.C.nbytes + index.codebooks.nbytes, "centroids and codebooks")
-    side = query_side(queries, index.dim, max_bytes) if len(index.cids) and p.nprobe > 0 else None
+    side = query_side(queries, index.dim, max_bytes, keep=n) if len(index.cids) and p.nprobe > 0 else None
     if side is None:
         return None
     # only probed cells are read (partition pruning when the codes are stored by cid)

@@ -27,9 +27,9 @@ PAIR_SCHEMA = "qid bigint, id bigint, dist double, top boolean, hit boolean"
 ORDERED_SCHEMA = "qid bigint, id bigint, prank int, dist double"
 
 # Candidate pairs buffered in a task before they are cut back to the top-N per query.
-_PAIR_BUFFER = 1 << 20
+_PAIR_BUFFER = 1 << 18
 # Pairs scored at once (bounds the gathered difference block).
-_PAIR_CHUNK = 1 << 16
+_PAIR_CHUNK = 1 << 13
 
 
 def match(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
