@@ -8,8 +8,9 @@ the same buckets as plain columns for use inside other projections.
 Search (L5-L7) is one candidate scan of the base (``operators.scan``): each base task streams the queries
 in blocks of bounded size, hashes them and its rows, matches
 them to the query buckets table by table, scores each distinct (query, point) pair once (D3) and
-keeps a local top-N, so only <= N rows per query and task are shuffled.  ``candidates`` and
-``search_index`` give the same answers from a stored ``lsh_index`` table by equi-joins.
+keeps a local top-N, so only <= N rows per query and task are shuffled.  Where queries share buckets with a large part of
+the base, whole tiles are scored instead, with the same answers.  ``candidates`` and
+``search_index`` give the same answers from a stored ``lsh_index`` table, its buckets brought together by id.
 """
 
 from __future__ import annotations
@@ -18,13 +19,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knnspark.functions.distance import arrow_matrix, metric_name, usable_rows
 from knnspark.functions.hashing import LSH_TABLE_SIZE, lsh_amplify, lsh_buckets_np, lsh_coefficients, lsh_hash
 from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, both, top_n
-from knnspark.operators.rerank import bounded_broadcast
+from knnspark.operators.exact import _scan_kernel as exact_kernel
 from knnspark.operators.blocks import Block, check_broadcast, probed_only, query_side
 from knnspark.operators.scan import PAIR_SCHEMA, GroupTopN, emit_scored, finish_topn, match_chunks, pair_distances, run_blocks
 from knnspark.session import DEFAULT_MAX_BROADCAST_BYTES
@@ -145,14 +147,74 @@ def write_index(model: LSHModel, base: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _entries(rows: DataFrame, key: str) -> DataFrame:
+    """``(key, entries)``: all tables and buckets of every key, each as one number, dealt by key.  The number of tasks is
+    given, as what follows compares their rows with all queries."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entry = F.col("t").cast("bigint") * (1 << 40) + F.col("bucket")
+    return rows.repartition(n, key).groupBy(key).agg(F.collect_set(entry).alias("entries"))
+
+
+def _probed(model: LSHModel, index: DataFrame, queries: DataFrame, max_bytes: int) -> DataFrame:
+    """``(id, entries)`` of an index; of one in folders (``write_index``) only those of probed buckets are opened."""
+    if "slot" in index.columns:
+        index = probed_only(index, query_buckets(model, queries, False).select(_slot()), ["slot"], max_bytes)
+    return _entries(index, "id")
+
+
+def _entry_payload(block: Block):
+    """A block's queries by entry."""
+    lists = block.extra["entries"]
+    keys, owners = lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+    order = np.argsort(keys, kind="stable")
+    return block.qids, block.Q, keys[order], owners[order]
+
+
+def _sharing(keys: np.ndarray, owners: np.ndarray, nq: int, lists: pa.Array, limit: int = 1 << 18):
+    """(row, query) pairs that share an entry, each once, in pieces of about ``limit`` shared entries."""
+    entries, size = lists.flatten().to_numpy(), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    ends = np.cumsum(size)
+    lo, hi = np.searchsorted(keys, entries, "left"), np.searchsorted(keys, entries, "right")
+    upto = np.concatenate([[0], np.cumsum(hi - lo)])[ends]  # shared entries of the rows up to each
+    row = 0
+    while row < len(size):
+        before = upto[row - 1] if row else 0
+        end = max(row + 1, int(np.searchsorted(upto, before + limit, "right")))
+        a, b = ends[row] - size[row], ends[end - 1]
+        count = hi[a:b] - lo[a:b]
+        of = np.repeat(np.repeat(np.arange(end - row), size[row:end]), count)
+        at = np.repeat(lo[a:b] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        if (end - row) * nq <= 16 * len(at):  # dense: marked in a matrix, else sorted
+            met = np.zeros((end - row, nq), bool)
+            met[of, owners[at]] = True
+            r, q = np.nonzero(met)
+        else:
+            r, q = np.divmod(np.unique(of * nq + owners[at]), nq)
+        yield row + r, q
+        row = end
+
+
 def candidates(model: LSHModel, index: DataFrame, queries: DataFrame,
                max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """L5 from a stored index: distinct ``(qid, id)`` sharing a bucket in at least one table.  Of an index in folders
-    (``write_index``) only those of probed buckets are opened."""
-    if "slot" in index.columns:
-        index = probed_only(index, query_buckets(model, queries, False).select(_slot()), ["slot"], max_bytes)
-    qb = bounded_broadcast(query_buckets(model, queries, False), queries, model.params.L, 24, max_bytes)
-    return index.join(qb, ["t", "bucket"]).select("qid", "id").distinct()
+    (``write_index``) only those of probed buckets are opened.
+
+    All buckets of an id are brought together, and of a query; a pair is found once, where its id is, and never shuffled."""
+    found = _entries(query_buckets(model, queries.where("qid IS NOT NULL"), False), "qid")
+    side = query_side(found.withColumn("qv", F.array().cast("array<double>")), 0, max_bytes // 4, ("entries",))
+    if side is None:
+        return index.sparkSession.createDataFrame([], "qid bigint, id bigint")
+
+    def kernel(payload):
+        qids, _, keys, owners = payload
+
+        def run(batches):
+            for rb in batches:
+                for rows, q in _sharing(keys, owners, len(qids), rb.column(1)):
+                    yield pa.RecordBatch.from_arrays([pa.array(qids[q]), rb.column(0).take(pa.array(rows))], names=["qid", "id"])
+        return run
+
+    return run_blocks(_probed(model, index, queries, max_bytes), ["id", "entries"], side, _entry_payload, kernel, "qid bigint, id bigint")
 
 
 def _payload(model: LSHModel):
@@ -161,19 +223,45 @@ def _payload(model: LSHModel):
 
     def make(block: Block):
         QB = lsh_buckets_np(block.Q, offsets, coef, p.w, p.k, p.table_size)
+        if _density(QB) > _DENSE:
+            return block.qids, block.Q, None, None, QB
         order = [np.argsort(QB[:, t], kind="stable") for t in range(p.L)]
         return block.qids, block.Q, [QB[o, t] for t, o in enumerate(order)], order, QB
     return make
 
 
+# Share of all pairs above which whole tiles are scored at once.
+_DENSE = 1 / 32
+
+
+def _density(QB: np.ndarray) -> float:
+    """The share of a block's pairs of queries that meet in a bucket, table by table: what to expect of the base's rows."""
+    counts = (np.unique(b, return_counts=True)[1] / max(len(b), 1) for b in QB.T)
+    return sum(float(c @ c) for c in counts)
+
+
 def _scan_kernel(model: LSHModel, n: int, radius: float | None, stored: bool = False):
     """``stored``: rows are those of one table each (column ``t``), else of all tables."""
     p = model.params
     offsets, coef, d = model.offsets, np.asarray(model.coef, dtype=np.int64), model.dim
 
+    def share(QB, X):
+        """Which queries and rows share a bucket."""
+        B = lsh_buckets_np(X, offsets, coef, p.w, p.k, p.table_size)
+        met = QB[:, 0, None] == B[None, :, 0]
+        for t in range(1, p.L):
+            met |= QB[:, t, None] == B[None, :, t]
+        return met
+
     def kernel(payload):
         def run(batches):
             qids, Q, keys, owners, QB = payload
+            if keys is None and not stored:
+                yield from exact_kernel((qids, Q), p.metric, n, radius, lambda part, X: share(QB[part], X))(batches)
+                return
+            if keys is None:
+                owners = [np.argsort(QB[:, t], kind="stable") for t in range(p.L)]
+                keys = [QB[o, t] for t, o in enumerate(owners)]
             state = GroupTopN(n) if n else None
             for rb in batches:
                 if rb.num_rows == 0:
@@ -202,7 +290,7 @@ def _scan_kernel(model: LSHModel, n: int, radius: float | None, stored: bool = F
 
 def _scan(model: LSHModel, base: DataFrame, queries: DataFrame, n: int, radius: float | None,
           max_bytes: int, lists: DataFrame | None = None) -> DataFrame | None:
-    side = query_side(queries, model.dim, max_bytes)
+    side = query_side(queries, model.dim, max_bytes, keep=n)
     if side is None:
         return None
     if lists is None:
@@ -258,9 +346,36 @@ def range_search(model: LSHModel, base: DataFrame, queries: DataFrame, radius: f
 
 def search_index(model: LSHModel, index: DataFrame, base: DataFrame, queries: DataFrame, n: int,
                  max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """L5 + L6 over a stored ``lsh_index``: candidates by bucket join, then the shared re-rank
-    (vectors fetched by an equi-join on ``id``)."""
-    from knnspark.operators.rerank import rerank
+    """L5 + L6 over a stored ``lsh_index``: candidates by the buckets of the index, their vectors fetched by an equi-join on
+    ``id``.
+
+    A vector is shuffled once, with all its buckets, however many queries it is a candidate of; its candidate pairs are
+    scored where it is, as in ``search``."""
+    if n <= 0:
+        raise ValueError("N must be a positive integer")
+    found = _entries(query_buckets(model, queries, False), "qid")
+    side = query_side(queries.select("qid", "qv").join(found, "qid"), model.dim, max_bytes, ("entries",), n, unique=False)
+    if side is None:
+        return queries.sparkSession.createDataFrame([], NEIGHBOR_SCHEMA)
+    rows = _probed(model, index, queries, max_bytes)
+    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    vectors = base.select(F.col("id").cast("bigint"), F.col("v").cast("array<double>")).repartition(tasks, "id")
+    metric, d = model.params.metric, model.dim
+
+    def kernel(payload):
+        qids, Q, keys, owners = payload
 
-    return rerank(candidates(model, index, queries, max_bytes), base, queries, n=n, metric=model.params.metric,
-                  max_bytes=max_bytes)
+        def run(batches):
+            state = GroupTopN(n)
+            for rb in batches:
+                if rb.num_rows == 0:
+                    continue
+                ids = rb.column(0).to_numpy()
+                X, _ = arrow_matrix(rb.column(1), d)
+                for r, q in _sharing(keys, owners, len(qids), rb.column(2)):
+                    state.add(q, pair_distances(Q, X, q, r, metric), ids[r])
+            yield from finish_topn(state, qids)
+        return run
+
+    pairs = run_blocks(rows.join(vectors, "id"), ["id", "v", "entries"], side, _entry_payload, kernel, PAIR_SCHEMA)
+    return top_n(pairs.where("top"), n)
