@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from knnspark.functions.distance import arrow_matrix, metric_name, usable_rows
 from knnspark.functions.hashing import cube_codes
 from knnspark.operators.exact import NEIGHBOR_SCHEMA, RANGE_SCHEMA, both, top_n
-from knnspark.operators.rerank import bounded_broadcast
 from knnspark.operators.blocks import Block, check_broadcast, probed_only, query_side
 from knnspark.operators.scan import (ORDERED_SCHEMA, PAIR_SCHEMA, GroupTopN, emit_scored, finish_topn, match_chunks,
                                      pair_distances, run_blocks)
@@ -146,10 +145,53 @@ def _cap(pairs: DataFrame, m: int) -> DataFrame:
 
 def candidates(model: CubeModel, index: DataFrame, queries: DataFrame,
                max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Candidates from a stored index -> ``(qid, id, prank)`` after the cap."""
-    pr = bounded_broadcast(query_probes(model, queries), queries, model.params.probes, 24, max_bytes)
-    pairs = index.join(pr, "code").select("qid", "id", "prank")
-    return _cap(pairs, model.params.max_candidates)
+    """Candidates from a stored index -> ``(qid, id, prank)`` after the cap.
+
+    The index is scanned once past the queries' vertices; each task keeps its first ``max_candidates`` rows of a query, so
+    no more than those are shuffled (without a cap, nothing is)."""
+    cap = model.params.max_candidates
+    codes = with_codes(model, queries.where("qid IS NOT NULL"), "qv", ("qid",), strict=False)
+    side = query_side(codes.withColumn("qv", F.array().cast("array<double>")), 0, max_bytes, ("code",), cap, unique=False)
+    if side is None:
+        return index.sparkSession.createDataFrame([], "qid bigint, id bigint, prank int")
+    pairs = run_blocks(index, ["id", "code"], side, _code_payload(model), _candidate_kernel(cap), "qid bigint, id bigint, prank int", cap)
+    return _cap(pairs, cap)
+
+
+def _code_payload(model: CubeModel):
+    """The probes of a block of queries of known vertices, sorted by code."""
+    masks = np.array(probe_masks(model.params.kproj, model.params.probes), dtype=np.int64)
+
+    def make(block: Block):
+        codes = (block.extra["code"][:, None] ^ masks[None, :]).ravel()
+        order = np.argsort(codes, kind="stable")
+        return block.qids, codes[order], order // len(masks), (order % len(masks) + 1).astype(np.int32)
+    return make
+
+
+def _candidate_kernel(cap: int):
+    def batch(qids, prank, ids, null):
+        return pa.RecordBatch.from_arrays([pa.array(qids), pa.array(ids, mask=null), pa.array(prank.astype(np.int32))], names=["qid", "id", "prank"])
+
+    def kernel(payload):
+        qids, pcodes, powner, prank = payload
+
+        def run(batches):
+            state = GroupTopN(cap) if cap > 0 else None
+            for rb in batches:
+                null = rb.column(0).is_null().to_numpy(zero_copy_only=False)
+                # Null ids come first in an order.
+                ids = rb.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).astype(np.int64)
+                for rows, pos in match_chunks(pcodes, rb.column(1).to_numpy(zero_copy_only=False)):
+                    if state is None:
+                        yield batch(qids[powner[pos]], prank[pos], ids[rows], null[rows])
+                    else:
+                        state.add(powner[pos], prank[pos], ids[rows], null[rows])
+            kept = state.result() if state is not None else None
+            if kept is not None:
+                yield batch(qids[kept[0]], *kept[1:])
+        return run
+    return kernel
 
 
 def _payload(model: CubeModel):
@@ -235,7 +277,7 @@ def _scan(model: CubeModel, base: DataFrame, queries: DataFrame, n: int, radius:
           max_bytes: int, lists: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame | None:
     schema = ORDERED_SCHEMA if model.params.max_candidates > 0 else PAIR_SCHEMA
     keep = model.params.max_candidates if model.params.max_candidates > 0 else n
-    side = query_side(queries, model.dim, max_bytes)
+    side = query_side(queries, model.dim, max_bytes, keep=keep)
     if side is None:
         return None
     if lists is None:
@@ -244,7 +286,7 @@ def _scan(model: CubeModel, base: DataFrame, queries: DataFrame, n: int, radius:
     if sizes is not None and model.params.max_candidates > 0:
         planned = planned_probes(model, frame, sizes)
         upto = frame.join(planned.groupBy("qid").agg(F.max("prank").alias("upto")), "qid")
-        side = query_side(upto, model.dim, max_bytes, extra=("upto",))
+        side = query_side(upto, model.dim, max_bytes, extra=("upto",), keep=keep)
         probed = planned_probes(model, side.frame(base.sparkSession), sizes).select(_part())
     else:
         probed = query_probes(model, frame).select(_part())
