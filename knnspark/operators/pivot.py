@@ -1,7 +1,8 @@
 """Exact search that skips: a pivot-distance table and the triangle inequality (E1, E2 over a stored base).
 
 Build: a few base vectors are pivots.  Every row gets its distances to them; rows are grouped by nearest pivot,
-sorted by the distance to it, and written in folders of about ``block_rows`` rows (``block``).  A small
+sorted by the distance to it, and written in folders of about ``block_rows`` rows (``block``), each of several files if
+there are fewer blocks than cores to search them.  A small
 table holds, for every block and pivot, the least and the largest distance.
 
 For a query at distance a from a pivot, rows whose distances to it lie in [lo, hi] are at least
@@ -37,6 +38,8 @@ from knnspark.sources.vectors import vector_dim
 
 # Rows of a block that are ruled out together.
 STRETCH = 256
+# Files of an index for each core at least (so few blocks are still many tasks' work), of so many rows at least.
+FILES_A_CORE, FILE_ROWS = 4, 1 << 10
 # Above the rounding of distances, whatever the summation order.
 SLACK = 1e-9
 # Queries compared with a stretch at once, and distances or pairs held at once.
@@ -85,6 +88,11 @@ def _near_kernel(pivots: np.ndarray, metric: str):
     return run
 
 
+def _files_of_block(n: int, n_blocks: int, cores: int) -> int:
+    """Files that a block is written in: a task reads one at least, so one block alone would be one task's."""
+    return max(1, min(-(-FILES_A_CORE * cores // n_blocks), n // (n_blocks * FILE_ROWS)))
+
+
 def build(base: DataFrame, path: str | None = None, pivots: int = 16, block_rows: int = 1 << 18, metric: str = "l2",
           seed: int = 1) -> PivotIndex | None:
     """The pivot index of ``base(id, v)``, written under ``path``; None for an empty base."""
@@ -96,8 +104,10 @@ def build(base: DataFrame, path: str | None = None, pivots: int = 16, block_rows
     path = path or scratch_path(spark, "pivot-index")
     src = base.select(F.col("id").cast("bigint"), F.col("v").cast("array<double>"))
     near = src.mapInArrow(_near_kernel(P, metric), "id bigint, v array<double>, near array<double>, cell int, own double")
-    n_blocks = max(1, -(-base.count() // block_rows))
-    placed = near.repartitionByRange(n_blocks, "cell", "own", "id").withColumn("block", F.spark_partition_id())
+    n = base.count()
+    n_blocks = max(1, -(-n // block_rows))
+    files = _files_of_block(n, n_blocks, spark.sparkContext.defaultParallelism)
+    placed = near.repartitionByRange(n_blocks * files, "cell", "own", "id").withColumn("block", F.floor(F.spark_partition_id() / files).cast("int"))
     (placed.sortWithinPartitions("block", "cell", "own", "id").select("id", "v", "near", "block")
      .write.mode("overwrite").partitionBy("block").parquet(f"{path}/rows"))
     rows = spark.read.schema(_ROWS).parquet(f"{path}/rows")

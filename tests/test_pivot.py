@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from knnspark.operators import exact, pivot
 from tests.test_query_side import rows, selected_folders
@@ -71,3 +72,13 @@ def test_blocks_of_queries_and_awkward_input(spark, data):
     assert rows(pivot.knn(index, q, 3)) == rows(exact.knn(same, q, 3))
     with pytest.raises(ValueError):
         pivot.knn(index, q, 0)
+
+
+def test_one_block_is_many_tasks_work(spark):
+    """Fewer blocks than cores: their rows are still spread over files, so that no task has a whole block."""
+    rng = np.random.default_rng(3)
+    X = rng.standard_normal((12000, 4))
+    base = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(X)], "id long, v array<double>")
+    index = pivot.build(base, block_rows=1 << 16)
+    sizes = [r["count"] for r in index.rows.groupBy("block", F.input_file_name().alias("f")).count().collect()]
+    assert index.blocks.count() == 1 and sum(sizes) == len(X) and len(sizes) >= 4 and max(sizes) <= len(X) // 2
