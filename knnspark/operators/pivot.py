@@ -205,14 +205,25 @@ def _home_kernel(payload):
     return run
 
 
-def _score(Q: np.ndarray, X: np.ndarray, bound: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs within their query's bound, and their distances.  Distances with a proven error narrow first."""
+def _score(Q: np.ndarray, X: np.ndarray, bound: np.ndarray, metric: str, n: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs within their query's bound, their distances, and the bounds.  Distances with a proven error narrow first.
+
+    With ``n``, the N-th best of a query's upper bounds in ``X`` bounds its N-th best row: the bounds come back
+    tightened, so no task scores all of its first rows."""
     near, err = near_distances(Q, X, metric)
-    limit = bound if metric == "l1" else bound * bound
-    qi, xi = not_above(near - err, (limit * (1 + 1e-12))[:, None])
+    power, low = 1 if metric == "l1" else 2, near - err
+    qi, xi = not_above(low, (bound ** power * (1 + 1e-12))[:, None])
+    if n:
+        many = np.flatnonzero(np.bincount(qi, minlength=len(Q)) >= n)  # fewer within the bound can't tighten it
+        if len(many):
+            high = np.maximum(np.partition(near[many] + err[many], n - 1, axis=1)[:, n - 1], 0.0)
+            bound = bound.copy()
+            bound[many] = np.fmin(bound[many], high ** (1 / power) * (1 + SLACK))
+            kept = ~(low[qi, xi] > (bound ** power * (1 + 1e-12))[qi])
+            qi, xi = qi[kept], xi[kept]
     dist = pair_distances(Q, X, qi, xi, metric)
     keep = dist <= bound[qi]
-    return qi[keep], xi[keep], dist[keep]
+    return qi[keep], xi[keep], dist[keep], bound
 
 
 def _scan_kernel(metric: str, n: int, hits: bool):
@@ -244,7 +255,7 @@ def _scan_kernel(metric: str, n: int, hits: bool):
                             continue
                         if X is None:
                             X, _ = arrow_matrix(rb.column("v"), Q.shape[1])
-                        qi, xi, dist = _score(Q[who], X[at:end], limit[who], metric)
+                        qi, xi, dist, limit[who] = _score(Q[who], X[at:end], limit[who], metric, n)
                         held.append((who[qi], ids[at + xi], dist))
                         size += len(qi)
                         if size > _ELEMS:

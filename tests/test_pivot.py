@@ -1,9 +1,11 @@
 """Exact search that skips: same answers as the scan, fewer blocks read on clustered data."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from knnspark.functions.distance import pairwise
 from knnspark.operators import exact, pivot
 from tests.test_query_side import rows, selected_folders
 
@@ -82,3 +84,22 @@ def test_one_block_is_many_tasks_work(spark):
     index = pivot.build(base, block_rows=1 << 16)
     sizes = [r["count"] for r in index.rows.groupBy("block", F.input_file_name().alias("f")).count().collect()]
     assert index.blocks.count() == 1 and sum(sizes) == len(X) and len(sizes) >= 4 and max(sizes) <= len(X) // 2
+
+
+@pytest.mark.parametrize("metric", ["l2", "l1"])
+def test_first_rows_of_a_task_are_not_all_scored(metric, monkeypatch):
+    rng = np.random.default_rng(4)
+    X, Q = np.round(rng.standard_normal((2000, 8)), 1), np.round(rng.standard_normal((50, 8)), 1)  # ties
+    near = pairwise(X, X[:3], metric)
+    lists = lambda A: pa.array(A.tolist(), pa.list_(pa.float64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(2000)), lists(X), lists(near), pa.array(np.zeros(2000, np.int32))],
+                                       names=["id", "v", "near", "block"])
+    scored = []
+    true = pivot.pair_distances
+    monkeypatch.setattr(pivot, "pair_distances", lambda q, x, qi, xi, m: (scored.append(len(qi)), true(q, x, qi, xi, m))[1])
+    payload = (np.arange(50), Q, pairwise(Q, X[:3], metric), np.full(50, np.inf), None)
+    out = [r for b in pivot._scan_kernel(metric, 5, False)(payload)(iter([batch])) for r in b.to_pylist()]
+    D = pairwise(Q, X, metric)
+    want = {(q, int(i)) for q in range(50) for i in np.lexsort((np.arange(2000), D[q]))[:5]}
+    assert {(r["qid"], r["id"]) for r in out} == want
+    assert sum(scored) < Q.shape[0] * len(X) // 10
