@@ -173,23 +173,25 @@ def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 _OFFSETS = np.array([o for o in range(-SIDE, SIDE + 1) if o])
 
 
-def _exponents(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(16 x rows): ``logits`` less the largest of their row, and the sums of each row's exponentials.
-
-    Columns are added in pairs, all rows at once: reductions over 16 numbers, row by row, take several times as long."""
+def _turned(logits: np.ndarray) -> np.ndarray:
+    """(16 x rows): ``logits`` less the largest of their row.  Reductions over 16 numbers, row by row, take several times as long."""
     turned = np.ascontiguousarray(logits.T)
     turned -= turned.max(axis=0)
-    total = np.exp(turned)
-    total = total[:GROUP // 2] + total[GROUP // 2:]
-    while len(total) > 1:
-        total = total[::2] + total[1::2]
-    return turned, total[0]
+    return turned
+
+
+def _total(turned: np.ndarray) -> np.ndarray:
+    """Sums of the columns of 16 numbers, in pairs."""
+    while len(turned) > 1:
+        half = len(turned) // 2
+        turned = turned[:half] + turned[half:] if half == GROUP // 2 else turned[::2] + turned[1::2]
+    return turned[0]
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    turned, total = _exponents(logits)
+    turned = _turned(logits)
     np.exp(turned, out=turned)
-    turned /= total
+    turned /= _total(turned)
     return np.ascontiguousarray(turned.T)
 
 
@@ -289,8 +291,9 @@ class Scorer:
 
     @staticmethod
     def _own(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-        turned, total = _exponents(logits)
-        return turned[target, np.arange(len(target))] - np.log(total)
+        turned = _turned(logits)
+        own = turned[target, np.arange(len(target))]
+        return own - np.log(_total(np.exp(turned, out=turned)))
 
 
 _PART = 1 << 14

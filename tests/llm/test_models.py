@@ -361,3 +361,32 @@ def test_numerals_are_no_letters(spark):
 def test_null_doc_ids_are_in_no_fold(spark):
     df = docs_df(spark, [(None, "x"), (3, "y")])
     assert langid.learned_from(df).where(F.col("doc_id").isNull()).count() == 0
+
+
+def test_softmaxes_of_all_rows_match_those_of_each():
+    """Rows of any magnitude, groups that don't occur, and scoring in one call for a chunk instead of one for each row or group."""
+    from unittest import mock
+
+    from knnspark.llm import pseudo_lm as lm
+
+    rng = np.random.default_rng(6)
+    logits = (rng.standard_normal((300, lm.GROUP)) * rng.choice([1, 30, 1e4], (300, 1))).astype(np.float32)
+    true = np.exp(logits.astype(float) - logits.max(axis=1, keepdims=True))
+    true /= true.sum(axis=1, keepdims=True)
+    assert np.allclose(lm._softmax(logits.copy()), true, atol=1e-6)
+    of = rng.integers(0, lm.GROUP, 300)
+    with np.errstate(divide="ignore"):
+        want = np.log(true[np.arange(300), of])
+    assert np.allclose(np.maximum(lm.Scorer._own(logits.copy(), of), -80), np.maximum(want, -80), atol=1e-4)
+    weights = {k: rng.standard_normal(s).astype(np.float32) for k, s in lm.SHAPES.items()}
+    texts = [rng.integers(0, lm.INPUTS, n).astype(np.int16) for n in (5, 0, 40)]
+    classes = rng.choice([0, 1, 17, 200], 45).astype(np.uint8)  # four of the groups
+    with mock.patch.object(lm.Scorer, "_own", side_effect=lm.Scorer._own) as own:
+        found = lm.Scorer(weights).log_probs(texts, classes)
+    assert own.call_count == 2  # groups, and the classes of all groups
+    rows, at = lm.windows(texts)
+    for k, (place, c) in enumerate(zip(at, classes)):
+        h = np.maximum(weights["embed"][rows[place + lm._OFFSETS]].reshape(-1) @ weights["mid"] + weights["mid_bias"], 0).astype(float)
+        log_softmax = lambda x: x - x.max() - np.log(np.exp(x - x.max()).sum())
+        g, o = divmod(int(c), lm.GROUP)
+        assert abs(log_softmax(h @ weights["top"] + weights["top_bias"])[g] + log_softmax(h @ weights["low"][g] + weights["low_bias"][g])[o] - found[k]) < 1e-3
