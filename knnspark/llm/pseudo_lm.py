@@ -195,14 +195,14 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(turned.T)
 
 
-def _low_logits(w: dict[str, np.ndarray], h: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """Logits within each row's own group, and (group, first row, end) of the groups that occur; rows go by group."""
-    cuts = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
-    spans = [(g, a, b) for g, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+def _low_logits(w: dict[str, np.ndarray], h: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Logits within each row's own group, ``cell % GROUPS``, and (group, first row, end) of the cells that occur; rows go by cell."""
+    cuts = np.searchsorted(cell, np.arange(int(cell[-1]) + 2)).tolist()
+    spans = [(c % GROUPS, a, b) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
     logits = np.empty((len(h), GROUP), h.dtype)
     for g, a, b in spans:
         np.matmul(h[a:b], w["low"][g], out=logits[a:b])
-    logits += np.take(w["low_bias"], group, axis=0)
+    logits += np.take(w["low_bias"], cell % GROUPS, axis=0)
     return logits, spans
 
 
@@ -263,7 +263,7 @@ class Trainer:
 class Scorer:
     """Log-probabilities of classes; the products of embeddings and each place's weights are made once."""
 
-    CHUNK = 1 << 12  # words whose layers stay in a core's cache
+    CHUNK, PRODUCT = 1 << 12, 1 << 10  # words at once, and in one product, whose layers stay in a core's cache
 
     def __init__(self, weights: dict[str, np.ndarray]):
         mid = weights["mid"].reshape(WIDTH, DIM, HIDDEN)
@@ -276,16 +276,17 @@ class Scorer:
         out = np.empty(len(at), np.float32)
         for low in range(0, len(at), self.CHUNK):
             target = classes[low:low + self.CHUNK]
-            order = np.argsort(target, kind="stable")
-            here, target = at[low:low + self.CHUNK][order], target[order]
-            group, of = target // GROUP, target % GROUP
+            key = (np.arange(len(target)) // self.PRODUCT * CLASSES + target).astype(np.uint16)
+            order = np.argsort(key, kind="stable")
+            here, cell, of = at[low:low + self.CHUNK][order], key[order] // GROUP, key[order] % GROUP
             h = np.take(self.tables[0], rows[here + _OFFSETS[0]], axis=0)
             for table, o in zip(self.tables[1:], _OFFSETS[1:]):
                 h += np.take(table, rows[here + o], axis=0)
             h += self.w["mid_bias"]
             np.maximum(h, 0, out=h)
-            found = self._own(h @ self.w["top"] + self.w["top_bias"], group)
-            found += self._own(_low_logits(self.w, h, group)[0], of)
+            top = np.concatenate([h[a:a + self.PRODUCT] @ self.w["top"] for a in range(0, len(h), self.PRODUCT)])
+            found = self._own(top + self.w["top_bias"], cell % GROUPS)
+            found += self._own(_low_logits(self.w, h, cell)[0], of)
             out[low + order] = found
         return out
 
