@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from knnspark.session import scratch_path
@@ -47,6 +48,18 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def text_pieces(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to at most ``rows`` rows whose texts in ``column`` have at most ``size`` bytes together (a
+    longer text is alone), so that what a task makes of them is bounded whatever the texts' lengths."""
+    for batch in pieces(batches, rows):
+        ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy().astype(np.int64))
+        at = done = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(ends, done + size, "right")))
+            yield batch.slice(at, end - at)
+            at, done = end, int(ends[end - 1])
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of complete groups, with each group's start and the end of the last.
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from knnspark.llm.common import pieces, written
+from knnspark.llm.common import text_pieces, written
 from knnspark.llm.encoder import BatchEncoder
 
 BLOCK = 4096
@@ -29,7 +29,7 @@ def length_counts(docs: DataFrame, tokenizer: str, ranks: str | None = None) ->
     """(length, docs): how many documents have each encoded length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = BatchEncoder.at(tokenizer, ranks)
-        for batch in pieces(batches, 4096):
+        for batch in text_pieces(batches, 0):
             _, ends = encoder.encode(batch.column(0).fill_null(""))
             length, n = np.unique(np.diff(ends, prepend=0), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(length, pa.int64()), pa.array(n, pa.int64())], names=["length", "docs"])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from knnspark.llm.common import pieces
+from knnspark.llm.common import text_pieces
 from knnspark.llm.encoder import BatchEncoder
 from knnspark.llm.words import mix
 
@@ -79,7 +79,7 @@ def cut(docs: DataFrame, tokenizer: str, ranks: str | None, capacity: int, end_i
         encoder = BatchEncoder.at(tokenizer, ranks)
         start_seed = mix(np.array([seed * 1_000_003 + TaskContext.get().partitionId()], np.uint64))
         seen: Counter = Counter()  # pieces of the task by their hash
-        for batch in pieces(batches, 4096):
+        for batch in text_pieces(batches, 1):
             ids, ends = encoder.encode(batch.column(1).fill_null(""))
             ids = np.insert(ids, ends, end_id).astype("<u4")
             ends = ends + np.arange(1, len(ends) + 1)

@@ -2,10 +2,12 @@
 
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
@@ -40,6 +42,44 @@ def test_a_wrong_rank_file_raises():
         BatchEncoder(TOKENIZER, public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).encode(pa.array(["some ordinary words here"]))
 
 
+@pytest.mark.parametrize("operator", ["packing", "histogram"])
+def test_texts_are_encoded_in_pieces_of_bounded_size(monkeypatch, operator):
+    texts = [" ".join(f"w{k}x{n}" for n in range(400)) for k in range(1500)] + [None, "", "long " * 300_000, "", "a b"] + ["short text"] * 500
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)][operator == "histogram":],
+                                       names=["doc_id", "text"][operator == "histogram":])
+    docs = SimpleNamespace(mapInArrow=lambda run, schema: run)
+    docs.select = lambda *_: docs
+    sizes, encode = [], BatchEncoder.encode
+
+    def spied(self, part):
+        sizes.append((len(part), sum(len(t.as_py().encode()) for t in part)))
+        return encode(self, part)
+
+    monkeypatch.setattr(BatchEncoder, "encode", spied)
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    if operator == "packing":
+        run = packing.cut(docs, TOKENIZER, RANKS, 2048, 1, 1, 7, False)
+    else:
+        docs.groupBy = lambda *_: SimpleNamespace(agg=lambda *_: docs.run)
+        docs.mapInArrow = lambda run, schema: setattr(docs, "run", run) or docs
+        monkeypatch.setattr(histogram, "F", SimpleNamespace(sum=lambda _: SimpleNamespace(alias=lambda _: None)))
+        run = histogram.length_counts(docs, TOKENIZER, RANKS)
+    out = pa.Table.from_batches(run(iter([batch])))
+    assert sum(n for n, _ in sizes) == len(texts)
+    assert all(size <= 1 << 20 or n == 1 for n, size in sizes)
+    assert len(sizes) < 12  # short texts still go together
+    lengths = [len(ids(t)) for t in texts]
+    if operator == "packing":
+        first = out.filter(pc.equal(out["start"], 0))
+        assert first["doc_id"].to_pylist() == list(range(len(texts)))
+        assert first["doc_tokens"].to_pylist() == [n + 1 for n in lengths]
+    else:
+        found = Counter()
+        for n, docs_ in zip(out["length"].to_pylist(), out["docs"].to_pylist()):
+            found[n] += docs_
+        assert found == Counter(lengths)
+
+
 ROWS = [(100 + k, t) for k, t in enumerate(ODD)] + [(200 + k, "word " * (37 * k)) for k in range(120)] + AWKWARD
 
 
