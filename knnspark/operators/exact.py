@@ -173,18 +173,26 @@ def range_search(base: DataFrame, queries: DataFrame, radius: float, metric: str
 
 def knn_and_range(base: DataFrame, queries: DataFrame, n: int, radius: float, metric: str = "l2",
                   max_block_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                  persist: bool = True) -> tuple[DataFrame, DataFrame]:
+                  persist: bool | str = True) -> tuple[DataFrame, DataFrame]:
     """Neighbours and radius hits from one scan of the base (see ``both``)."""
     _check_n(n)
     r = float(radius) if radius is not None and radius > 0 else None
     return both(scan_pairs(base, queries, n=n, radius=r, metric=metric, max_block_bytes=max_block_bytes), n, persist)
 
 
-def both(pairs: DataFrame, n: int, keep: bool = True) -> tuple[DataFrame, DataFrame]:
+# For ``keep`` in ``both``: the hits are counted, not listed.
+COUNTS = "counts"
+
+
+def both(pairs: DataFrame, n: int, keep: bool | str = True) -> tuple[DataFrame, DataFrame]:
     """Neighbours and radius hits of one scan's pairs.
 
     With ``keep`` the pairs are written to the shared folder once, so that both outputs share the scan
-    and no executor's memory is held; without it each output scans again (for streams)."""
+    and no executor's memory is held; without it each output scans again (for streams).  A wide radius has hits for
+    each query in proportion to the base; with ``COUNTS`` they are counted as they are found, so that what is written
+    are the tasks' top-N rows and ``(qid, hits)``, the second output."""
+    if keep == COUNTS:
+        return _counted(pairs, n)
     if keep:
         spark, path = pairs.sparkSession, scratch_path(pairs.sparkSession, "pairs")
         pairs.write.parquet(path)
@@ -192,6 +200,19 @@ def both(pairs: DataFrame, n: int, keep: bool = True) -> tuple[DataFrame, DataFr
     return top_n(pairs.where("top"), n), pairs.where("hit").select("qid", "id", "dist")
 
 
+def _counted(pairs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """``both`` with ``(qid, hits)`` for the hits: those of a query make one row of each task, before the shuffle."""
+    spark, path = pairs.sparkSession, scratch_path(pairs.sparkSession, "counted")
+    top = [F.when(F.col("top"), F.col(c)).alias(c) for c in ("id", "dist")]
+    rows = pairs.select("qid", *top, "top", "hit").groupBy("qid", "id", "dist", "top").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("hit").alias("hits"))
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    # rows of one id that tie count one by one
+    near = rows.where("top").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).select("qid", "id", "dist")
+    return top_n(near, n), rows.groupBy("qid").agg(F.sum("hits").alias("hits")).where("hits > 0")
+
+
 # Radius hits of a query in one row of the nested form.
 RUN_HITS = 100_000
 

@@ -326,7 +326,7 @@ def search(model: CubeModel, base: DataFrame, queries: DataFrame, n: int,
     return top_n(pairs.where("top"), n)
 
 
-def search_and_range(model: CubeModel, base: DataFrame, queries: DataFrame, n: int, radius: float, keep: bool = True,
+def search_and_range(model: CubeModel, base: DataFrame, queries: DataFrame, n: int, radius: float, keep: bool | str = True,
                      lists: DataFrame | None = None, sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """H8 + H9 from one scan."""
     pairs = _scan(model, base, queries, n, float(radius), DEFAULT_MAX_BROADCAST_BYTES, lists, sizes)

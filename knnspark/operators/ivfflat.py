@@ -134,7 +134,7 @@ def search(index: IVFFlatIndex, queries: DataFrame, n: int, nprobe: int,
 
 
 def search_and_range(index: IVFFlatIndex, queries: DataFrame, n: int, radius: float, nprobe: int,
-                     keep: bool = True) -> tuple[DataFrame, DataFrame]:
+                     keep: bool | str = True) -> tuple[DataFrame, DataFrame]:
     """I3 + I4 from one scan."""
     pairs = _scan(index, queries, nprobe, n, float(radius), DEFAULT_MAX_BROADCAST_BYTES)
     return both(pairs if pairs is not None else queries.sparkSession.createDataFrame([], PAIR_SCHEMA), n, keep)

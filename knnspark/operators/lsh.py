@@ -324,7 +324,7 @@ def search(model: LSHModel, base: DataFrame, queries: DataFrame, n: int,
     return top_n(pairs.where("top"), n)
 
 
-def search_and_range(model: LSHModel, base: DataFrame, queries: DataFrame, n: int, radius: float, keep: bool = True,
+def search_and_range(model: LSHModel, base: DataFrame, queries: DataFrame, n: int, radius: float, keep: bool | str = True,
                      lists: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """L6 + L7 from one scan."""
     pairs = _scan(model, base, queries, n, float(radius), DEFAULT_MAX_BROADCAST_BYTES, lists)

@@ -610,7 +610,7 @@ def _lonely(index: PQIndex, queries: DataFrame) -> DataFrame:
 
 
 def search_and_range(index: PQIndex, base: DataFrame, queries: DataFrame, n: int, radius: float,
-                     keep: bool = True) -> tuple[DataFrame, DataFrame]:
+                     keep: bool | str = True) -> tuple[DataFrame, DataFrame]:
     """P8 with both outputs from one scan of the codes (and one of the base for fallback queries)."""
     pairs = adc_scan(index, queries, n, float(radius))
     rest = exact.scan_pairs(base, _lonely(index, queries), n=n, radius=float(radius), metric=index.params.metric)

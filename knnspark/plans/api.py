@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from knnspark.functions.distance import metric_name
 from knnspark.operators import cluster, evaluate as M, exact, hypercube, ivfflat, lsh, pivot, pq
@@ -96,15 +97,18 @@ def build(method: str, base: DataFrame, config=None, centroids=None) -> Index:
 
 
 def search(index: Index, queries: DataFrame, n: int, radius: float | None = None,
-           persist: bool = True) -> tuple[DataFrame, DataFrame | None]:
+           persist: bool | str = True) -> tuple[DataFrame, DataFrame | None]:
     """Top-``n`` neighbours and, when ``radius > 0``, radius hits of every query, from one scan.
 
     ``persist=False`` writes nothing between them: each output scans again (for long-running callers such
-    as streams)."""
+    as streams).  ``persist=exact.COUNTS`` gives ``(qid, hits)``, the number of hits, for the hits."""
     base, m = index.base, index.model
     want_range = radius is not None and radius > 0
     if index.method == "brute" and m is not None:
-        return pivot.knn(m, queries, n), pivot.range_search(m, queries, radius) if want_range else None
+        hits = pivot.range_search(m, queries, radius) if want_range else None
+        if hits is not None and persist == exact.COUNTS:
+            hits = hits.groupBy("qid").agg(F.count(F.lit(1)).alias("hits"))
+        return pivot.knn(m, queries, n), hits
     if index.method == "brute":
         if want_range:
             return exact.knn_and_range(base, queries, n, radius, index.metric, persist=persist)
@@ -128,35 +132,37 @@ def search(index: Index, queries: DataFrame, n: int, radius: float | None = None
 @dataclass
 class EvaluationRun:
     neighbors: DataFrame
-    range_hits: DataFrame | None
+    range_hits: DataFrame | None  # None as well where only their numbers are kept
     truth: DataFrame
     compare: DataFrame
     evaluation: DataFrame
+    hit_counts: DataFrame | None = None  # (qid, hits)
 
 
 def evaluate(method: str, base: DataFrame, queries: DataFrame, n: int, radius: float | None = None,
-             config=None, centroids=None) -> EvaluationRun:
+             config=None, centroids=None, keep_hits: bool = True) -> EvaluationRun:
     """M6: build, exact truth, approximate run, timed metrics (M1-M5).
 
-    The evaluation row also carries the run configuration as a JSON ``config`` column (D17)."""
+    The evaluation row also carries the run configuration as a JSON ``config`` column (D17).  Without ``keep_hits`` the
+    run finds all radius hits as well, but keeps their number for each query only: under a wide radius they are a share
+    of all (query, row) pairs."""
     import dataclasses
     import json
 
-    from pyspark.sql import functions as F
-
     index = build(method, base, config, centroids)
     found: dict[str, DataFrame | None] = {}
 
     def approximate() -> DataFrame:
-        neighbors, found["hits"] = search(index, queries, n, radius)
+        neighbors, found["hits"] = search(index, queries, n, radius, persist=True if keep_hits else exact.COUNTS)
         return neighbors
 
     row, neighbors, truth = M.throughput(approximate, lambda: exact.knn(base, queries, n, index.metric), queries, n, method)
     hits = found["hits"]
+    counts = hits if hits is None or not keep_hits else hits.groupBy("qid").agg(F.count(F.lit(1)).alias("hits"))
     cfg = dataclasses.asdict(index.config) if dataclasses.is_dataclass(index.config) else {}
     cfg.update({"method": method, "N": n, "R": radius})
     evaluation = row.withColumn("config", F.lit(json.dumps(cfg, sort_keys=True)))
-    return EvaluationRun(neighbors, hits, truth, M.truth_compare(neighbors, truth), evaluation)
+    return EvaluationRun(neighbors, hits if keep_hits else None, truth, M.truth_compare(neighbors, truth), evaluation, counts)
 
 
 # --------------------------------------------------------------------------- persistence

@@ -776,8 +776,10 @@ SELECT '{method}' AS method, {N}::INTEGER AS n, round(avg(af), 6) AS average_af,
 
 def _job(spark, sf_dir, method, config):
     base, queries = fixture_split(spark, sf_dir)
-    run = API.evaluate(method, base, queries.withColumn("qv", F.transform("qv", lambda x: x * 0.5)), N, R, config)
-    row = run.evaluation.select("method", "n", "average_af", "recall_at_n", F.lit(run.range_hits.count()).alias("n_hits"))
+    run = API.evaluate(method, base, queries.withColumn("qv", F.transform("qv", lambda x: x * 0.5)), N, R, config,
+                       keep_hits=False)
+    n_hits = run.hit_counts.agg(F.sum("hits")).first()[0] or 0
+    row = run.evaluation.select("method", "n", "average_af", "recall_at_n", F.lit(n_hits).cast("bigint").alias("n_hits"))
     return _r6(row, "average_af", "recall_at_n")
 
 
