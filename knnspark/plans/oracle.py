@@ -13,6 +13,15 @@ SPLIT = """base AS (SELECT vec_id::BIGINT AS id, embedding::DOUBLE[] AS v, label
 queries AS (
   SELECT vec_id::BIGINT AS qid, embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id % 20 = 0)"""
 
+# The same with every tenth row as a query.
+TENTHS = SPLIT.replace("% 20", "% 10")
+
+
+def tenths(sql: str) -> str:
+    """``sql`` with every tenth row as a query."""
+    assert SPLIT in sql
+    return sql.replace(SPLIT, TENTHS)
+
 
 # The operators that have no query side run over the whole table.
 WHOLE = """base AS (SELECT vec_id::BIGINT AS id, embedding::DOUBLE[] AS v, label FROM embeddings),

@@ -1,6 +1,7 @@
 """Registered queries over the driver's ``embeddings`` table and their DuckDB oracles.
 
-Every entry reads the whole table (searches: queries = the rows whose id is divisible by 20, base = all rows;
+Every entry reads the whole table (searches: queries = the rows whose id is divisible by 20, or by 10 where ``TENTH``
+says so, base = all rows;
 operators without a query side: all rows) and returns a DataFrame whose column names and types match the oracle SQL.  Distances are rounded to 6 places
 on both sides (D15); ordering ties are always broken by id (D14).
 """
@@ -29,7 +30,8 @@ from knnspark.plans import oracle as O
 from knnspark.session import scratch_path
 from knnspark.sources import binary as B
 from knnspark.sources import sink as SINK
-from knnspark.sources.vectors import as_queries, canonical, fixture_split, others, read_embeddings, validate_vectors, whole_table
+from knnspark.sources.vectors import (QUERY_EVERY, TENTH, as_queries, canonical, fixture_split, others, read_embeddings, validate_vectors,
+                                       whole_table)
 
 # Fixture parameters (FIXTURES.md §1 / SURVEY §7.4).
 N = 5
@@ -69,9 +71,9 @@ pairs AS (SELECT q.qid, b.id, {O.dist('q.qv', 'b.v', metric)} AS dist FROM queri
 SELECT qid, id, round(dist, 6) AS dist FROM pairs WHERE dist <= {radius}"""
 
 
-@register("knn_l2", _knn_sql("l2"))
+@register("knn_l2", O.tenths(_knn_sql("l2")))
 def q_knn_l2(spark, sf_dir):
-    base, queries = fixture_split(spark, sf_dir)
+    base, queries = fixture_split(spark, sf_dir, TENTH)
     return _r6(exact.knn(base, queries, N, "l2"), "dist")
 
 
@@ -290,8 +292,8 @@ def q_subvectors(spark, sf_dir):
 # --------------------------------------------------------------------------- IVFFlat
 
 
-def _ivf_index(spark, sf_dir):
-    base, queries = fixture_split(spark, sf_dir)
+def _ivf_index(spark, sf_dir, every=QUERY_EVERY):
+    base, queries = fixture_split(spark, sf_dir, every)
     return IVF.build_ivfflat(base, _label_centroids(base)), base, queries
 
 
@@ -307,7 +309,10 @@ lists AS (SELECT a.cid, b.id, b.v FROM asg a JOIN base b ON b.id = a.id),
 cands AS (SELECT p.qid, l.id, {O.dist('p.qv', 'l.v')} AS dist FROM probes p JOIN lists l ON l.cid = p.cid)"""
 
 
-@register("ivfflat_knn", f"WITH {_IVF_CANDS}\n{O.topn('cands', N)}")
+_IVF_KNN_SQL = f"WITH {_IVF_CANDS}\n{O.topn('cands', N)}"
+
+
+@register("ivfflat_knn", _IVF_KNN_SQL)
 def q_ivfflat_knn(spark, sf_dir):
     index, _, queries = _ivf_index(spark, sf_dir)
     return _r6(IVF.search(index, queries, N, NPROBE), "dist")
@@ -380,7 +385,10 @@ def q_lsh_candidates(spark, sf_dir):
     return LSH.candidates(LSH_MODEL, LSH.build_index(LSH_MODEL, base), queries)
 
 
-@register("lsh_knn", f"WITH {_LSH_CTES}\n{O.topn('lpairs', N)}")
+_LSH_KNN_SQL = f"WITH {_LSH_CTES}\n{O.topn('lpairs', N)}"
+
+
+@register("lsh_knn", _LSH_KNN_SQL)
 def q_lsh_knn(spark, sf_dir):
     base, queries = fixture_split(spark, sf_dir)
     return _r6(LSH.search(LSH_MODEL, base, queries, N), "dist")
@@ -432,19 +440,24 @@ def q_cube_candidates(spark, sf_dir):
     return H.candidates(CUBE_MODEL_CAPPED, H.build_index(CUBE_MODEL_CAPPED, base), queries)
 
 
-@register("cube_knn", f"WITH {_CUBE_CTES}\n{O.topn('cdists', N)}")
+_CUBE_KNN_SQL = f"WITH {_CUBE_CTES}\n{O.topn('cdists', N)}"
+_CUBE_CAPPED_SQL = f"WITH {_CUBE_CTES}\n{O.topn('cdists_capped', N)}"
+_CUBE_RANGE_SQL = f"WITH {_CUBE_CTES}\nSELECT qid, id, round(dist, 6) AS dist FROM cdists WHERE dist <= {R}"
+
+
+@register("cube_knn", _CUBE_KNN_SQL)
 def q_cube_knn(spark, sf_dir):
     base, queries = fixture_split(spark, sf_dir)
     return _r6(H.search(CUBE_MODEL, base, queries, N), "dist")
 
 
-@register("cube_knn_capped", f"WITH {_CUBE_CTES}\n{O.topn('cdists_capped', N)}")
+@register("cube_knn_capped", _CUBE_CAPPED_SQL)
 def q_cube_knn_capped(spark, sf_dir):
     base, queries = fixture_split(spark, sf_dir)
     return _r6(H.search(CUBE_MODEL_CAPPED, base, queries, N), "dist")
 
 
-@register("cube_range", f"WITH {_CUBE_CTES}\nSELECT qid, id, round(dist, 6) AS dist FROM cdists WHERE dist <= {R}")
+@register("cube_range", _CUBE_RANGE_SQL)
 def q_cube_range(spark, sf_dir):
     base, queries = fixture_split(spark, sf_dir)
     return _r6(H.range_search(CUBE_MODEL, base, queries, R), "dist")
@@ -592,21 +605,21 @@ def q_ivf_lists(spark, sf_dir):
     return IVF.write_lists(index, scratch_path(spark, "ivf-lists")).select(F.col("cid").cast("int").alias("cid"), "id")
 
 
-@register("ivf_stored_knn", ORACLE["ivfflat_knn"])
+@register("ivf_stored_knn", _IVF_KNN_SQL)
 def q_ivf_stored_knn(spark, sf_dir):
     index, _, queries = _ivf_index(spark, sf_dir)
     IVF.write_lists(index, scratch_path(spark, "ivf-lists"))
     return _r6(IVF.search(index, queries, N, NPROBE), "dist")
 
 
-@register("lsh_stored_knn", ORACLE["lsh_knn"])
+@register("lsh_stored_knn", _LSH_KNN_SQL)
 def q_lsh_stored_knn(spark, sf_dir):
     base, queries = fixture_split(spark, sf_dir)
     lists = LSH.write_lists(LSH_MODEL, base, scratch_path(spark, "lsh-lists"))
     return _r6(LSH.search(LSH_MODEL, base, queries, N, lists=lists), "dist")
 
 
-@register("cube_stored_knn", ORACLE["cube_knn"])
+@register("cube_stored_knn", _CUBE_KNN_SQL)
 def q_cube_stored_knn(spark, sf_dir):
     base, queries = fixture_split(spark, sf_dir)
     lists = H.write_lists(CUBE_MODEL, base, scratch_path(spark, "cube-lists"))
@@ -620,14 +633,14 @@ def q_lsh_stored_range(spark, sf_dir):
     return _r6(LSH.range_search(LSH_MODEL, base, queries, R, lists=lists), "dist")
 
 
-@register("cube_stored_range", ORACLE["cube_range"])
+@register("cube_stored_range", _CUBE_RANGE_SQL)
 def q_cube_stored_range(spark, sf_dir):
     base, queries = fixture_split(spark, sf_dir)
     lists = H.write_lists(CUBE_MODEL, base, scratch_path(spark, "cube-lists"))
     return _r6(H.range_search(CUBE_MODEL, base, queries, R, lists=lists), "dist")
 
 
-@register("lsh_ids_knn", ORACLE["lsh_knn"])
+@register("lsh_ids_knn", _LSH_KNN_SQL)
 def q_lsh_ids_knn(spark, sf_dir):
     """The stored index holds ids only; the candidates' vectors are fetched from the base."""
     base, queries = fixture_split(spark, sf_dir)
@@ -635,7 +648,7 @@ def q_lsh_ids_knn(spark, sf_dir):
     return _r6(LSH.search_index(LSH_MODEL, index, base, queries, N), "dist")
 
 
-@register("cube_stored_knn_capped", ORACLE["cube_knn_capped"])
+@register("cube_stored_knn_capped", _CUBE_CAPPED_SQL)
 def q_cube_stored_knn_capped(spark, sf_dir):
     """The vertex sizes plan the probes that a capped search reaches; no others are read."""
     base, queries = fixture_split(spark, sf_dir)
@@ -656,7 +669,7 @@ RECALL_REFINE = 200
 RECALL_PQ = PQ.PQParams(m=PQ_M, nbits=PQ_NBITS, nprobe=RECALL_NPROBE, seed=1, metric="l2", train_iters=PQ_ITERS)
 
 
-@register("ivfflat_recall_knn", ORACLE["ivfflat_knn"].replace(O.probes(NPROBE), O.probes(RECALL_NPROBE)))
+@register("ivfflat_recall_knn", _IVF_KNN_SQL.replace(O.probes(NPROBE), O.probes(RECALL_NPROBE)))
 def q_ivfflat_recall_knn(spark, sf_dir):
     index, _, queries = _ivf_index(spark, sf_dir)
     return _r6(IVF.search(index, queries, N, RECALL_NPROBE), "dist")

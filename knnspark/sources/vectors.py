@@ -27,15 +27,16 @@ def as_queries(df: DataFrame, id_col: str = "id", vec_col: str = "v") -> DataFra
     return df.select(F.col(id_col).cast("bigint").alias("qid"), F.col(vec_col).cast("array<double>").alias("qv"))
 
 
-# Query set of the driver's ``embeddings`` table (FIXTURES.md §1): the rows whose id is divisible by 20 are
-# the queries, and all rows are the base set.  So a query's own row is in the base, and is its nearest neighbour
-# in a search; evaluations leave it out (``others``).
+# Query set of the driver's ``embeddings`` table (FIXTURES.md §1): the rows whose id is divisible by 20, or in the
+# searches that FIXTURES names by 10, are the queries, and all rows are the base set.  So a query's own row is in the
+# base, and is its nearest neighbour in a search; evaluations leave it out (``others``).
 QUERY_EVERY = 20
+TENTH = 10
 
 
-def fixture_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def fixture_split(spark: SparkSession, sf_dir: str, every: int = QUERY_EVERY) -> tuple[DataFrame, DataFrame]:
     emb = read_embeddings(spark, sf_dir)
-    return canonical(emb), as_queries(canonical(emb.where(F.col("vec_id") % QUERY_EVERY == 0), keep=()))
+    return canonical(emb), as_queries(canonical(emb.where(F.col("vec_id") % every == 0), keep=()))
 
 
 def others(neighbors: DataFrame, n: int) -> DataFrame:
