@@ -83,9 +83,9 @@ def q_knn_l1(spark, sf_dir):
     return _r6(exact.knn(base, queries, N, "l1"), "dist")
 
 
-@register("range_l2", _range_sql("l2", R))
+@register("range_l2", O.tenths(_range_sql("l2", R)))
 def q_range_l2(spark, sf_dir):
-    base, queries = fixture_split(spark, sf_dir)
+    base, queries = fixture_split(spark, sf_dir, TENTH)
     return _r6(exact.range_search(base, queries, R, "l2"), "dist")
 
 
