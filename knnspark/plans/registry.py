@@ -131,7 +131,7 @@ def q_pivot_range_l1(spark, sf_dir):
     return _pivot_search(spark, sf_dir, "l1", R_L1)
 
 
-_NESTED_SQL = f"""WITH {O.SPLIT},
+_NESTED_SQL = f"""WITH {O.TENTHS},
 pairs AS (SELECT q.qid, b.id, {O.dist('q.qv', 'b.v')} AS dist FROM queries q, base b),
 nb AS (SELECT qid, string_agg(printf('%d:%.6f', id, dist), ';' ORDER BY rank) AS neighbors FROM (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, id) AS rank FROM pairs) t
@@ -145,7 +145,7 @@ FROM nb LEFT JOIN rg ON nb.qid = rg.qid"""
 
 @register("knn_nested", _NESTED_SQL)
 def q_knn_nested(spark, sf_dir):
-    base, queries = fixture_split(spark, sf_dir)
+    base, queries = fixture_split(spark, sf_dir, TENTH)
     neighbors, hits = exact.knn_and_range(base, queries, N, R, "l2")
     nested = exact.nested_result(neighbors, hits)
     fmt = lambda arr: F.concat_ws(";", F.transform(arr, lambda s: F.format_string("%d:%.6f", s["id"], s["dist"])))
