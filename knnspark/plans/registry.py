@@ -297,10 +297,10 @@ def _ivf_index(spark, sf_dir, every=QUERY_EVERY):
     return IVF.build_ivfflat(base, _label_centroids(base)), base, queries
 
 
-@register("ivf_probes", f"""WITH {O.SPLIT}, {O.cent()}, {O.probes(NPROBE)}
+@register("ivf_probes", f"""WITH {O.TENTHS}, {O.cent()}, {O.probes(NPROBE)}
 SELECT qid, prank::INTEGER AS prank, cid, round(cdist, 6) AS cdist FROM probes""")
 def q_ivf_probes(spark, sf_dir):
-    index, _, queries = _ivf_index(spark, sf_dir)
+    index, _, queries = _ivf_index(spark, sf_dir, TENTH)
     return _r6(IVF.probes(index, queries, NPROBE).drop("qv"), "cdist")
 
 
