@@ -525,7 +525,7 @@ def q_kmedians_fit(spark, sf_dir):
     return _centroid_rows(spark, cids, C)
 
 
-@register("ivfflat_trained_knn", f"""WITH {O.SPLIT}, {_TRAIN},
+@register("ivfflat_trained_knn", f"""WITH {O.TENTHS}, {_TRAIN},
 tcent AS (SELECT cid, c FROM cen{TRAIN_ITERS}),
 tasg AS (SELECT id, cid FROM (
   SELECT b.id, c.cid, row_number() OVER (PARTITION BY b.id ORDER BY {O.dist('b.v', 'c.c')}, c.cid) AS r
@@ -535,7 +535,7 @@ tcands AS (SELECT p.qid, b.id, {O.dist('p.qv', 'b.v')} AS dist
            FROM probes p JOIN tasg a ON a.cid = p.cid JOIN base b ON b.id = a.id)
 {O.topn('tcands', N)}""")
 def q_ivfflat_trained_knn(spark, sf_dir):
-    base, queries = fixture_split(spark, sf_dir)
+    base, queries = fixture_split(spark, sf_dir, TENTH)
     index = IVF.build_ivfflat(base, None, TRAIN_PARAMS)
     return _r6(IVF.search(index, queries, N, NPROBE), "dist")
 
